@@ -245,7 +245,6 @@ def page_index(df: DataFrame, size: int, order: str, ties=(), **limits: int) ->
     return n.withColumn("page_no", F.ceil(F.col("row_no") / size).cast("bigint")).drop("_all", "_key")
 
 
-def directory_listing(entries: DataFrame) -> DataFrame:
-    """Directories first, then by name."""
-    return entries.orderBy(F.col("is_dir").desc(), F.col("name"))
-
+def directory_listing(entries: DataFrame, *parent: str) -> DataFrame:
+    """Directories first, then by name; a range-partitioned sort."""
+    return entries.orderBy(*parent, F.col("is_dir").desc(), F.col("name"))

@@ -56,8 +56,8 @@ def _shape(x: Column) -> Column:
     )
 
 
-def text_fragments(pages) -> Column:
-    """All fragments of a document as one array in reading order.
+def page_fragments(pages) -> Column:
+    """Fragments of each page, as one array per page next to ``pages``.
 
     ``reading_order`` counts the non-blank lines of a page from 0.
     """
@@ -75,7 +75,12 @@ def text_fragments(pages) -> Column:
         )
         return F.transform(typed, _shape)
 
-    return F.flatten(F.transform(S._c(pages), of_page))
+    return F.transform(S._c(pages), of_page)
+
+
+def text_fragments(pages) -> Column:
+    """All fragments of a document as one array in reading order."""
+    return F.flatten(page_fragments(pages))
 
 
 def with_fragments(docs: DataFrame) -> DataFrame:

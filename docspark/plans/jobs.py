@@ -62,17 +62,19 @@ def parse(docs: DataFrame, config: Configuration, key: str = "doc_id", text: str
     out = P.with_pages(docs, text)
     if "page_range" in docs.columns:
         out = P.keep_pages(out, "page_range")
-    out = G.with_fragments(out)
     drop = set(config.parsing.ignore_sections)
     if config.parsing.remove_strikethrough_lines:
         drop.add("strikethrough")
-    if drop:
-        kept = F.filter("fragments", lambda f: ~f["fragment_type"].isin(*sorted(drop)))
-        out = out.withColumn("fragments", kept)
-    if config.parsing.remove_strikethrough_lines:
-        cut = F.transform("fragments", lambda f: f.withField("text", G.unstruck(f["text"])))
-        out = out.withColumn("fragments", cut)
-    return out
+
+    def kept(frags: Column) -> Column:
+        if drop:
+            frags = F.filter(frags, lambda f: ~f["fragment_type"].isin(*sorted(drop)))
+        if config.parsing.remove_strikethrough_lines:
+            frags = F.transform(frags, lambda f: f.withField("text", G.unstruck(f["text"])))
+        return frags
+
+    out = out.withColumn("page_fragments", F.transform(G.page_fragments("pages"), kept))
+    return out.withColumn("fragments", F.flatten("page_fragments"))
 
 
 def with_chunks(docs: DataFrame, strategy: str) -> DataFrame:
@@ -88,32 +90,33 @@ def with_chunks(docs: DataFrame, strategy: str) -> DataFrame:
 
 
 def with_page_labels(docs: DataFrame, config: Configuration) -> DataFrame:
-    """Add ``page_labels``: best class per page, ``[{page_number, page_class, score, reason}]``."""
+    """Add ``page_best`` (best class, one entry per page, NULL without a match)
+    and ``page_labels`` (the matches only)."""
     rows = [
         {"class_no": i, "page_class": c.name, "text": c.description or c.name}
         for i, c in enumerate(config.page_classes)
     ]
-    raw = F.from_json(F.lit(json.dumps(rows, ensure_ascii=False)), "array<struct<class_no:int,page_class:string,text:string>>")
-    classes = F.transform(
-        raw, lambda c: F.struct(c["class_no"].alias("class_no"), c["page_class"].alias("page_class"), K.terms(c["text"]).alias("terms"))
+    raw = F.from_json(
+        F.lit(json.dumps(rows, ensure_ascii=False)), "array<struct<class_no:int,page_class:string,text:string>>"
     )
-    labels = F.transform(
-        "pages",
-        lambda p: F.struct(
-            p["page_number"].alias("page_number"),
-            S.let(K.terms(p["text"]), lambda t: K.best_class(t, classes)).alias("best"),
+    classes = F.transform(
+        raw,
+        lambda c: F.struct(
+            c["class_no"].alias("class_no"), c["page_class"].alias("page_class"), K.terms(c["text"]).alias("terms")
         ),
     )
-    flat = F.transform(
-        F.filter(labels, lambda x: x["best"].isNotNull()),
-        lambda x: F.struct(
-            x["page_number"].alias("page_number"),
-            x["best"]["page_class"].alias("page_class"),
-            x["best"]["score"].alias("score"),
-            x["best"]["reason"].alias("reason"),
+    best = F.transform("pages", lambda p: S.let(K.terms(p["text"]), lambda t: K.best_class(t, classes)))
+    zipped = F.arrays_zip(F.col("pages").alias("p"), F.col("page_best").alias("b"))
+    labels = F.transform(
+        F.filter(zipped, lambda z: z["b"].isNotNull()),
+        lambda z: F.struct(
+            z["p"]["page_number"].alias("page_number"),
+            z["b"]["page_class"].alias("page_class"),
+            z["b"]["score"].alias("score"),
+            z["b"]["reason"].alias("reason"),
         ),
     )
-    return docs.withColumn("page_labels", flat)
+    return docs.withColumn("page_best", best).withColumn("page_labels", labels)
 
 
 def with_page_classes(docs: DataFrame) -> DataFrame:
@@ -139,10 +142,9 @@ def _structured(options: ExtractionOptions, has_labels: bool) -> Column:
     needed = J.required(options.json_schema)
     frags = F.col("fragments")
     if options.page_classes and has_labels:
-        wanted = F.transform(
-            F.filter("page_labels", lambda x: x["page_class"].isin(*options.page_classes)), lambda x: x["page_number"]
-        )
-        frags = F.filter("fragments", lambda f: F.array_contains(wanted, f["page_number"]))
+        zipped = F.arrays_zip(F.col("page_fragments").alias("f"), F.col("page_best").alias("b"))
+        chosen = F.filter(zipped, lambda z: F.coalesce(z["b"]["page_class"].isin(*options.page_classes), F.lit(False)))
+        frags = F.flatten(F.transform(chosen, lambda z: z["f"]))
     cut = S.let(
         frags, lambda f: C.slices(f, options.partition_strategy, options.start_pattern or None, options.end_pattern or None)
     )
@@ -261,17 +263,16 @@ def assemble(docs: DataFrame, key: str = "parse_id") -> DataFrame:
             f["reading_order"].cast("bigint").alias("reading_order"),
         )
 
+    reasons = F.col("page_best")["reason"] if "page_best" in have else F.transform(
+        "pages", lambda p: F.lit(None).cast("string")
+    )
+    zipped = F.arrays_zip(F.col("pages").alias("p"), F.col("page_fragments").alias("f"), reasons.alias("r"))
     pages = F.transform(
-        "pages",
-        lambda p: F.struct(
-            p["page_number"].alias("page_number"),
-            F.transform(
-                F.filter("fragments", lambda f: f["page_number"] == p["page_number"]), frag
-            ).alias("page_fragments"),
-            (
-                F.get(F.filter("page_labels", lambda x: x["page_number"] == p["page_number"]), F.lit(0))["reason"]
-                if "page_labels" in have else F.lit(None).cast("string")
-            ).alias("classification_reason"),
+        zipped,
+        lambda z: F.struct(
+            z["p"]["page_number"].alias("page_number"),
+            F.transform(z["f"], frag).alias("page_fragments"),
+            z["r"].alias("classification_reason"),
         ),
     )
     empty = {
