@@ -143,7 +143,7 @@ def value_offsets(docs: DataFrame, fields: Sequence[str], key: str = "doc_id", t
         F.struct(
             F.lit(f).alias("field"),
             F.col(f).cast("string").alias("value"),
-            (F.locate(F.col(f).cast("string"), F.col(text)) - 1).alias("offset"),
+            (F.instr(F.col(text), S.blank_to_null(F.col(f).cast("string"))) - 1).alias("offset"),
         )
         for f in fields
     ])

@@ -31,7 +31,7 @@ def _rank(p: float, n: Column) -> Column:
 
 
 def nearest_rank(df: DataFrame, by: Sequence[str], value: str, range_width: int = RANGE_NS) -> DataFrame:
-    """Long form ``(by…, level, value)`` of every percentile level."""
+    """Long form ``(by…, pct, value)`` of every percentile level."""
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).alias("_v"))
@@ -47,7 +47,7 @@ def nearest_rank(df: DataFrame, by: Sequence[str], value: str, range_width: int
         .withColumn("_through", F.sum("_rc").over(upto))
     )
     wanted = F.array(*[
-        F.struct(F.lit(name).alias("level"), _rank(p, F.col("_n")).alias("rank")) for name, p in LEVELS.items()
+        F.struct(F.lit(name).alias("pct"), _rank(p, F.col("_n")).alias("rank")) for name, p in LEVELS.items()
     ])
     # First rank of each level that falls into this range.
     hits = (
@@ -68,7 +68,7 @@ def nearest_rank(df: DataFrame, by: Sequence[str], value: str, range_width: int
         .withColumn("_lo", F.col("_hi") - F.col("_c"))
         .withColumn("_at", F.filter("_hits", lambda w: (w["rank"] > F.col("_lo")) & (w["rank"] <= F.col("_hi"))))
         .select(*by, F.explode("_at").alias("_w"), F.col("_v").alias("value"))
-        .select(*by, F.col("_w.level").alias("level"), "value")
+        .select(*by, F.col("_w.pct").alias("pct"), "value")
     )
 
 
@@ -99,7 +99,7 @@ def latency_summary(df: DataFrame, by: Sequence[str], value: str, range_width: i
     """One row per group with the ten report rows as columns."""
     pct = nearest_rank(df, by, value, range_width)
     wide = pct.groupBy(*by).agg(*[
-        F.max(F.when(F.col("level") == name, F.col("value"))).alias(name) for name in LEVELS
+        F.max(F.when(F.col("pct") == name, F.col("value"))).alias(name) for name in LEVELS
     ])
     return moments(df, by, value).join(wide, list(by)).select(*by, "n", *[F.col(f"`{r}`") for r in ROWS])
 

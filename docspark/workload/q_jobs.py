@@ -1 +1,161 @@
-"""Queries."""
+"""Whole jobs (DOC-17, DOC-19..21, STR-5) over the driver tables."""
+
+from pyspark.sql import functions as F
+
+from docspark.functions import hooks
+from docspark.functions import scalars as S
+from docspark.operators import chunks as C
+from docspark.operators import fragments as G
+from docspark.operators import tables
+from docspark.plans import jobs
+from docspark.plans.config import Configuration, ExtractionOptions, PageClass, ParsingOptions
+from docspark.session import shared_dir
+from docspark.streaming import feeds, ingest
+from docspark.workload import doc_sql as D
+from docspark.workload import tables as t
+from docspark.workload.q_documents import ACCOUNT_SCHEMA, account_text
+from docspark.workload.registry import query
+
+PLAIN = Configuration(ParsingOptions(chunking_strategy="section", ignore_sections=("table",)))
+PAGED = Configuration(ParsingOptions(chunking_strategy="page"))
+
+# The filtered fragments renumber nothing: ignoring comes before the chunks.
+KEPT = f"""{D.PAGES},
+sel AS (SELECT * FROM pg WHERE doc_id % 3 <> 0 OR page_number <= 2),
+{D.fragments("sel", "all_fr")},
+fr AS (SELECT * FROM all_fr WHERE fragment_type <> 'table'),
+{D.marked()}"""
+
+
+def ranged_docs(spark, sf_dir):
+    d = t.load(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.withColumn("page_range", F.when(F.col("doc_id") % 3 == 0, "1-2"))
+
+
+@query("doc_17_filters_before_work", f"""WITH {KEPT} SELECT doc_id, page_number, reading_order, fragment_type FROM fr""")
+def filters_first(spark, sf_dir):
+    """Page range and ignored types are applied before fragments are shaped."""
+    out = G.explode_fragments(jobs.parse(ranged_docs(spark, sf_dir), PLAIN))
+    return out.select("doc_id", "page_number", "reading_order", "fragment_type")
+
+
+@query("doc_20_run_dataset", f"""WITH {KEPT}
+SELECT doc_id, CAST(section_id AS INTEGER) AS chunk_no, min(page_number) AS page_number, string_agg(md, chr(10) || chr(10) ORDER BY pos) AS content
+FROM md GROUP BY doc_id, section_id""")
+def run_dataset(spark, sf_dir):
+    out = jobs.run_dataset(ranged_docs(spark, sf_dir), PLAIN, "read")
+    c = S.unnest(out.select("doc_id", "fragments", "chunks"), ["doc_id", "fragments"], F.arrays_zip(
+        F.col("chunks").alias("c"), F.transform("chunks", lambda x, i: i).alias("i")
+    ), "z").where(F.col("z.c.page_number") > 0)
+    lead = F.when(C.is_header(F.get("fragments", F.lit(0))), 1).otherwise(0)
+    return c.select("doc_id", (F.col("z.i") + lead).cast("int").alias("chunk_no"), "z.c.page_number", "z.c.content")
+
+
+PRESETS = {"en": ("d0", PLAIN), "fr": ("d1", PAGED)}
+
+
+@query("doc_19_run_jobs", f"""WITH {D.PAGES}, {D.fragments("pg", "all_fr")},
+fr AS (SELECT * FROM all_fr WHERE NOT (lang = 'en' AND fragment_type = 'table')), {D.marked()},
+ch AS (SELECT doc_id, lang, CASE WHEN lang = 'en' THEN section_id ELSE page_number END AS k FROM md GROUP BY ALL),
+n AS (SELECT doc_id, count(*) AS chunks FROM ch GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS fragments FROM fr GROUP BY doc_id),
+r AS (SELECT DISTINCT doc_id, CASE lang WHEN 'en' THEN 'd0' ELSE 'd1' END AS dataset_id, total_pages,
+        CASE doc_id % 3 WHEN 0 THEN 'read' WHEN 1 THEN 'parse' ELSE 'dataset' END AS job_type FROM pg WHERE lang IN ('en', 'fr'))
+SELECT doc_id AS parse_id, dataset_id, job_type, 'successful' AS status, total_pages, coalesce(chunks, 1) AS chunks, coalesce(fragments, 0) AS fragments,
+       CAST(total_pages AS BIGINT) AS pages_parsed
+FROM r LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)""")
+def run_jobs(spark, sf_dir):
+    """Requests of two datasets and several job types, as nested results."""
+    d = t.load(spark, sf_dir, "documents").where(F.col("lang").isin("en", "fr"))
+    kind = F.when(F.col("doc_id") % 3 == 0, "read").when(F.col("doc_id") % 3 == 1, "parse").otherwise("dataset")
+    requests = d.select(
+        F.col("doc_id").alias("parse_id"), "text",
+        F.when(F.col("lang") == "en", "d0").otherwise("d1").alias("dataset_id"), kind.alias("job_type"),
+    )
+    out = jobs.run_jobs(requests, dict(PRESETS.values()))
+    frag_count = F.aggregate("pages", F.lit(0), lambda a, p: a + F.size(p["page_fragments"]))
+    return out.select(
+        "parse_id", "dataset_id", "job_type", "status", "total_pages",
+        F.size("chunks").cast("bigint").alias("chunks"), frag_count.cast("bigint").alias("fragments"),
+        F.col("usage.pages_parsed").alias("pages_parsed"),
+    )
+
+
+ACCOUNTS = Configuration(
+    ParsingOptions(chunking_strategy="fragment"),
+    extraction=(
+        ExtractionOptions("account", __import__("json").dumps(ACCOUNT_SCHEMA), partition_strategy="page"),
+    ),
+    page_classes=(PageClass("balance", "account ending balance"), PageClass("letter", "dear sir regards")),
+)
+
+
+@query("doc_21_assemble", """
+SELECT c_custkey AS doc_id, 'successful' AS status, 1 AS parsed_pages_count, CASE WHEN c_custkey % 7 = 0 THEN 5 ELSE 6 END - 1 AS fragments,
+   'balance' AS page_class, 'account, balance, ending' AS reason,
+   CASE WHEN c_custkey % 13 <> 0 AND c_custkey % 7 <> 0 THEN c_custkey END AS account_number, 1 AS pages_parsed
+FROM customer""")
+def assemble(spark, sf_dir):
+    """Statements through a full job: fragments, page classes and extracted data in one nested row."""
+    out = jobs.assemble(jobs.run_dataset(account_text(spark, sf_dir), ACCOUNTS, "parse"), "doc_id")
+    first = F.get("page_classes", F.lit(0))
+    return out.select(
+        "doc_id", "status", "parsed_pages_count",
+        (F.size(F.get("pages", F.lit(0))["page_fragments"]) - 1).alias("fragments"),
+        first["page_class"].alias("page_class"),
+        F.try_element_at(first["classification_reasons"], F.lit(1)).alias("reason"),
+        F.get_json_object(F.get("structured_data", F.lit(0))["data"], "$.account_number").cast("bigint").alias("account_number"),
+        F.col("usage.pages_parsed").cast("int").alias("pages_parsed"),
+    )
+
+
+@query("str_5_stream_dataset", f"""WITH {D.MARKED}
+SELECT doc_id, count(DISTINCT page_number) AS chunks FROM md GROUP BY doc_id""")
+def stream_dataset(spark, sf_dir):
+    """Documents arrive as files and flow through a dataset's configuration."""
+    docs = t.load(spark, sf_dir, "documents").select("doc_id", "text")
+    path = feeds.stage(docs, "documents")
+    work = shared_dir(spark)
+    feed = feeds.read_feed(spark, path, "doc_id BIGINT, text STRING")
+    ingest.stream_dataset(feed, PAGED, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    out = spark.read.parquet(f"{work}/out")
+    return out.select("doc_id", F.size("chunks").cast("bigint").alias("chunks"))
+
+
+@query("udf_2_custom_extractor", """
+SELECT c_custkey AS doc_id, '{"account_number":' || c_custkey || ',"client_name":"' || upper(c_name) || '"}' AS data FROM customer""")
+def custom_extractor(spark, sf_dir):
+    """A user's extractor as an Arrow-batched pandas UDF under the same schema."""
+    from docspark.functions import json_schema as J
+    from docspark.operators import extract
+
+    schema = {
+        "type": "object",
+        "properties": {"account_number": {"type": "integer"}, "client_name": {"type": "string"}},
+        "required": ["account_number"],
+    }
+
+    def fn(texts, prompt):
+        parts = texts.str.split("\t", expand=True)
+        return parts.assign(account_number=parts[0].astype("int64"), client_name=parts[1].str.upper())[
+            ["account_number", "client_name"]
+        ]
+
+    c = t.load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("doc_id"),
+        F.concat_ws("\t", F.col("c_custkey").cast("string"), "c_name").alias("text"),
+        F.lit(0).alias("partition_no"),
+        F.array(F.lit(1)).alias("page_numbers"),
+    )
+    hook = hooks.extractor(fn, J.json_schema_to_struct(schema))
+    return extract.extract(c, "account", schema, custom=hook)[0].select("doc_id", "data")
+
+
+@query("udf_3_summary_hook", f"""WITH {t.TABLE_ROWS}
+SELECT doc_id, page_number, 'rows: ' || count(*) AS summary FROM table_rows GROUP BY doc_id, page_number""")
+def summary_hook(spark, sf_dir):
+    """A prompted summary hook over rendered tables."""
+    hook = hooks.text_hook(
+        lambda texts, prompt: prompt + (texts.str.count("\n")).astype("string"), "rows: "
+    )
+    return tables.summarize_tables(t.table_rows(spark, sf_dir), enabled=True, hook=hook)
