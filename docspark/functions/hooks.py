@@ -1,7 +1,8 @@
 """Places where a user's model plugs in, always as Arrow-batched pandas UDFs.
 
 No provider ships with the package.  Filters go in front of a hook, because
-Spark does not push a filter through Python.
+Spark does not push a filter through Python; and a hook counts as
+nondeterministic, so that a filter on its result does not run it twice.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ def text_hook(fn: TextHook, prompt: str = "") -> Callable[[Column], Column]:
     def call(texts: pd.Series) -> pd.Series:
         return fn(texts, prompt)
 
-    return call
+    return call.asNondeterministic()
 
 
 def extractor(fn: Callable[[pd.Series, str], pd.DataFrame], schema: T.StructType, prompt: str = "") -> Callable[[Column], Column]:
@@ -33,7 +34,7 @@ def extractor(fn: Callable[[pd.Series, str], pd.DataFrame], schema: T.StructType
     def call(texts: pd.Series) -> pd.DataFrame:
         return fn(texts, prompt)
 
-    return call
+    return call.asNondeterministic()
 
 
 def page_classifier(fn: Callable[[pd.Series], pd.DataFrame]) -> Callable[[Column], Column]:
@@ -43,4 +44,4 @@ def page_classifier(fn: Callable[[pd.Series], pd.DataFrame]) -> Callable[[Column
     def call(texts: pd.Series) -> pd.DataFrame:
         return fn(texts)
 
-    return call
+    return call.asNondeterministic()

@@ -37,6 +37,15 @@ def unnest(df: DataFrame, keep: list, array, alias: str) -> DataFrame:
     return df.select(*keep, F.explode_outer(array).alias(alias)).where(F.col(alias).isNotNull())
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add an expensive column that is computed once even if it is filtered on.
+
+    A filter on a projected column is pushed below the projection together with
+    the expression, which would then run twice; it is not pushed below explode.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def blank_to_null(col) -> Column:
     """An omitted string field arrives as ``""``; treat it as NULL."""
     return F.nullif(_c(col), F.lit(""))

@@ -138,16 +138,13 @@ def create_datasets(existing: DataFrame, new: DataFrame) -> tuple[DataFrame, Dat
     valid = shaped.where("valid").drop("valid")
     row = F.struct(*[F.col(c) for c in valid.columns])
     firsts = valid.groupBy(F.col("name").alias("_name")).agg(
-        F.min_by(row, F.struct("created_at", "dataset_id")).alias("_row"), F.count(F.lit(1)).alias("_n")
+        F.min_by(row, F.struct("created_at", "dataset_id")).alias("_row")
     )
-    taken = existing.select(F.col("name").alias("_name")).withColumn("_taken", F.lit(True))
-    judged = firsts.join(taken, "_name", "left").withColumn("_free", F.col("_taken").isNull())
-    created = judged.where("_free").select("_row.*")
-    clashes = (
-        judged.withColumn("_lost", F.when(F.col("_free"), F.col("_n") - 1).otherwise(F.col("_n")))
-        .where("_lost > 0")
-        .select(F.col("_name").alias("name"), F.expr("explode(sequence(1, _lost))").alias("_i"))
-        .select("name", F.lit("ENTITY_ALREADY_EXISTS").alias("code"))
+    taken = existing.select(F.col("name").alias("_name"))
+    created = firsts.join(taken, "_name", "left_anti").select("_row.*")
+    # By id, not by name: a name may have many losers, an id has one row.
+    clashes = valid.join(created.select("dataset_id"), "dataset_id", "left_anti").select(
+        "name", F.lit("ENTITY_ALREADY_EXISTS").alias("code")
     )
     return existing.unionByName(created, allowMissingColumns=True), bad_name.unionByName(clashes)
 
@@ -240,7 +237,6 @@ def page_index(df: DataFrame, size: int, order: str, ties=(), **limits: int) ->
     The order is cut into blocks, so no task ever holds the whole table.
     """
     d = df.withColumn("_all", F.lit(0)).withColumn("_key", -F.col(order))
-    limits = {"min_rows": 0, "blocks": 4096, **limits}
     n = hotkeys.numbered(d, ["_all"], "_key", "row_no", ties, **limits)
     return n.withColumn("page_no", F.ceil(F.col("row_no") / size).cast("bigint")).drop("_all", "_key")
 

@@ -7,22 +7,22 @@ terms that occur on the page.  It is a documented stand-in for a hosted model;
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from docspark.functions import scalars as S
 
-# Classes are request configuration.  Up to these sizes they are inlined into
-# the plan as one constant; beyond, an equi join on terms does the same work.
-MAX_INLINE_CLASSES = 512
-MAX_INLINE_CHARS = 1 << 20
+# Classes are request configuration.  Up to this size their terms travel with
+# the tasks; beyond, an equi join on terms does the same work.
+MAX_CLASSES = 10_000
+MAX_CLASS_CHARS = 8 << 20
 
 # Fixed value: what separates terms.
 TERM_BREAK = r"[^\p{L}\p{N}]+"
-CLASSES_DDL = "array<struct<class_no:int,page_class:string,terms:array<string>>>"
 
 
 def terms(text) -> Column:
@@ -46,50 +46,96 @@ def best_class(page_terms: Column, classes: Column, threshold: float = 0.0) -> C
     Ties go to the class listed first.  ``classes`` may be a constant or the
     configuration of the row itself.
     """
-    scored = F.transform(
-        classes,
-        lambda c: F.struct(
-            (F.size(F.array_intersect(page_terms, c["terms"])) / F.size(c["terms"])).alias("score"),
-            (-c["class_no"]).alias("rank"),
-            c["page_class"].alias("page_class"),
-            c["terms"].alias("terms"),
-        ),
-    )
-    return S.let(
-        F.array_max(scored),
-        lambda b: F.when(
+    every = F.flatten(F.transform(classes, lambda c: c["terms"]))
+
+    def among(known: Column) -> Column:
+        scored = F.transform(
+            classes,
+            lambda c: F.struct(
+                (F.size(F.array_intersect(c["terms"], known)) / F.size(c["terms"])).alias("score"),
+                (-c["class_no"]).alias("rank"),
+                c["page_class"].alias("page_class"),
+                c["terms"].alias("terms"),
+            ),
+        )
+        return S.let(F.array_max(scored), lambda b: labelled(b, known))
+
+    def labelled(b: Column, known: Column) -> Column:
+        return F.when(
             (b["score"] > 0) & (b["score"] >= threshold),
             F.struct(
                 b["page_class"].alias("page_class"),
                 b["score"].alias("score"),
-                F.array_join(F.array_sort(F.array_intersect(b["terms"], page_terms)), ", ").alias("reason"),
+                F.array_join(F.array_sort(F.array_intersect(b["terms"], known)), ", ").alias("reason"),
             ),
-        ),
-    )
+        )
+
+    # The page's terms are cut down to those of any class once, before the
+    # comparison with each class.
+    return S.let(F.array_intersect(page_terms, every), among)
 
 
-def inline_classes(classes: DataFrame) -> Column | None:
-    """The classes as one plan constant, or None when they are too many.
+def small_classes(classes: DataFrame) -> list[Row] | None:
+    """The classes with their terms, or None when they are too many.
 
-    At most ``MAX_INLINE_CLASSES + 1`` rows ever reach the driver.
+    At most ``MAX_CLASSES + 1`` rows ever reach the driver, and only when a sum
+    over the table has shown that their text is small.
     """
-    rows = class_terms(classes).limit(MAX_INLINE_CLASSES + 1).collect()
-    text = json.dumps([r.asDict() for r in sorted(rows, key=lambda r: r["class_no"])], ensure_ascii=False)
-    if len(rows) > MAX_INLINE_CLASSES or len(text) > MAX_INLINE_CHARS:
+    size = classes.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("description")), F.lit(0)).alias("chars")
+    ).first()
+    if size["n"] > MAX_CLASSES or size["chars"] > MAX_CLASS_CHARS:
         return None
-    return F.from_json(F.lit(text), CLASSES_DDL)
+    return sorted(class_terms(classes).limit(MAX_CLASSES + 1).collect(), key=lambda r: r["class_no"])
+
+
+def term_scorer(rows: list[Row], threshold: float = 0.0) -> Callable[[Column], Column]:
+    """Best class of a page's terms, as an Arrow-batched function.
+
+    Postings ``term -> classes`` are counted with one ``bincount`` per page;
+    the built-in array functions would intersect the page with every class.
+    """
+    names = [r["page_class"] for r in rows]
+    vocabulary = [frozenset(r["terms"]) for r in rows]
+    lengths = np.array([len(v) for v in vocabulary], dtype="float64")
+    postings: dict[str, np.ndarray] = {}
+    for no, words in enumerate(vocabulary):
+        for w in words:
+            postings.setdefault(w, []).append(no)
+    postings = {w: np.array(nos, dtype="int64") for w, nos in postings.items()}
+
+    def best(words) -> tuple:
+        hits = [postings[w] for w in words if w in postings]
+        if not hits:
+            return (None, None, None)
+        scores = np.bincount(np.concatenate(hits), minlength=len(names)) / lengths
+        no = int(scores.argmax())
+        if scores[no] < threshold:
+            return (None, None, None)
+        return (names[no], float(scores[no]), ", ".join(sorted(w for w in words if w in vocabulary[no])))
+
+    @F.pandas_udf("page_class string, score double, reason string")
+    def score(terms_of_page: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([best(w) for w in terms_of_page], columns=["page_class", "score", "reason"])
+
+    # Not pushed into the filter below, where it would run a second time.
+    return score.asNondeterministic()
 
 
 def classify_pages(
     pages: DataFrame, classes: DataFrame, threshold: float = 0.0, keys: Sequence[str] = ("doc_id", "page_number")
 ) -> DataFrame:
-    """Best class per page with score and reason; unmatched pages are left out."""
-    constant = inline_classes(classes)
-    if constant is None:
+    """Best class per page with score and reason; unmatched pages are left out.
+
+    Terms are cut by Spark; with a small set of classes nothing is shuffled.
+    """
+    rows = small_classes(classes)
+    if rows is None:
         return classify_pages_join(pages, classes, threshold, keys)
-    best = S.let(terms("text"), lambda t: best_class(t, constant, threshold))
-    out = pages.select(*keys, best.alias("_b"))
-    return out.where(F.col("_b").isNotNull()).select(*keys, "_b.*")
+    if not rows:
+        return classify_pages_join(pages.limit(0), classes, threshold, keys)
+    scored = pages.select(*keys, term_scorer(rows, threshold)(terms("text")).alias("_b"))
+    return scored.where(F.col("_b.page_class").isNotNull()).select(*keys, "_b.*")
 
 
 def classify_pages_join(

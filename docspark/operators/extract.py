@@ -69,7 +69,7 @@ def extract(
     """One JSON object per partition; partitions without a required field are rejects."""
     struct = J.json_schema_to_struct(json_schema)
     data = custom(F.col("text")) if custom else extract_struct("text", struct)
-    done = parts.withColumn("_d", data).withColumn("_missing", missing_required(F.col("_d"), J.required(json_schema)))
+    done = S.with_once(parts, "_d", data).withColumn("_missing", missing_required(F.col("_d"), J.required(json_schema)))
     out = done.where(F.size("_missing") == 0).select(
         key, F.lit(schema_name).alias("schema_name"), "partition_no", "page_numbers", F.to_json("_d").alias("data")
     )

@@ -1,17 +1,19 @@
 """Ordered window work that survives hot keys.
 
-A plain ``Window.partitionBy(key)`` puts a whole key into one task.  Here the
-few keys that hold more than ``1/HOT_SHARE`` of all rows are cut into blocks of
-their (integer) ordering column first; the window runs per (key, block), and
-the small per-block totals are carried over from block to block.
-
-Fewer than ``HOT_SHARE`` keys can each hold more than ``1/HOT_SHARE`` of the
-rows, so the hot-key table has under ``HOT_SHARE`` rows and the carry table
-under ``HOT_SHARE * (BLOCKS + 1)`` rows, whatever the data size: both bounds
-hold by construction, which is what makes the broadcasts below safe.
-
-All statistics are exact integer aggregates, so every evaluation of the plan
-(a retried task, a lost executor) cuts the blocks in the same places.
+A plain ``Window.partitionBy(key)`` puts a whole key into one task.  So the
+largest keys are looked up first, in one aggregate over key and ordering column.
+Keys are hot when they have more than ``MIN_HOT_ROWS`` rows and are among the
+``MAX_HOT_KEYS`` largest; any other key has at most ``MIN_HOT_ROWS`` rows or a
+share of at most ``1/MAX_HOT_KEYS`` of the table.
+
+Without hot keys the plan is the plain window.  Otherwise hot keys are cut into
+blocks of their (integer) ordering column, the window runs per (key, block),
+and per-block totals are carried from block to block.  The hot-key table has at
+most ``MAX_HOT_KEYS`` rows and the carry table at most ``MAX_BLOCKS +
+MAX_HOT_KEYS``, whatever the data size: that is what makes the broadcasts safe.
+
+The cuts are exact integer aggregates turned into constants, so every later
+evaluation (a retried task, a lost executor) cuts in the same places.
 """
 
 from __future__ import annotations
@@ -20,34 +22,46 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-HOT_SHARE = 256
-BLOCKS = 256
+MAX_HOT_KEYS = 4096
+MAX_BLOCKS = 100_000
 MIN_HOT_ROWS = 1_000_000
 
 
-def with_blocks(
+def hot_keys(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
-    *,
-    share: int = HOT_SHARE,
-    blocks: int = BLOCKS,
+    max_keys: int = MAX_HOT_KEYS,
     min_rows: int = MIN_HOT_ROWS,
-) -> DataFrame:
-    """Add ``_block`` (0 unless the key is hot) and ``_hot``."""
+    max_blocks: int = MAX_BLOCKS,
+) -> DataFrame | None:
+    """Hot keys with the first value and the block width of their ordering
+    column; None when there are none."""
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi")
     )
-    total = stats.agg(F.sum("_n")).scalar()
-    hot = stats.where((F.col("_n") > min_rows) & (F.col("_n") * share > total)).select(
-        *keys, "_lo", F.expr(f"(_hi - _lo) div {blocks} + 1").alias("_width")
-    )
-    block = F.expr(f"(`{order}` - _lo) div _width")
+    largest = stats.where(F.col("_n") > min_rows).orderBy(F.col("_n").desc()).limit(max_keys)
+    rows = largest.collect()
+    if not rows:
+        return None
+    per_block = max(min_rows, -(-sum(r["_n"] for r in rows) // max_blocks), 1)
+    cuts = [
+        (*[r[k] for k in keys], int(r["_lo"]), (int(r["_hi"]) - int(r["_lo"])) // -(-r["_n"] // per_block) + 1)
+        for r in rows
+    ]
+    fields = [stats.schema[k] for k in keys]
+    schema = T.StructType([*fields, T.StructField("_lo", T.LongType()), T.StructField("_width", T.LongType())])
+    return df.sparkSession.createDataFrame(cuts, schema)
+
+
+def _blocked(df: DataFrame, keys: Sequence[str], order: str, hot: DataFrame) -> DataFrame:
+    """Add ``_block`` (0 unless the key is hot) and ``_hot``."""
     return (
         df.join(F.broadcast(hot), list(keys), "left")
         .withColumn("_hot", F.col("_lo").isNotNull())
-        .withColumn("_block", F.coalesce(block, F.lit(0)))
+        .withColumn("_block", F.coalesce(F.expr(f"(`{order}` - _lo) div _width"), F.lit(0)))
         .drop("_lo", "_width")
     )
 
@@ -61,28 +75,28 @@ def running_totals(
     **limits: int,
 ) -> DataFrame:
     """Inclusive running sums of ``totals`` within ``keys``, ordered by ``order, ties``."""
-    flags = {name: f"_f_{name}" for name in totals}
-    d = with_blocks(df, keys, order, **limits)
-    for name, expr in totals.items():
-        d = d.withColumn(flags[name], expr.cast("bigint"))
-
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    hot = hot_keys(df, keys, order, **limits)
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    if hot is None:
+        inside = Window.partitionBy(*keys).orderBy(order, *ties).rowsBetween(*upto)
+        return df.select(*kept, *[F.sum(e.cast("bigint")).over(inside).alias(n) for n, e in totals.items()])
+
+    d = _blocked(df, keys, order, hot)
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         d.where("_hot")
         .groupBy(*keys, "_block")
-        .agg(*[F.sum(f).alias(f) for f in flags.values()])
-        .select(*keys, "_block", *[F.sum(f).over(before).alias(f"_c_{n}") for n, f in flags.items()])
-    )
-    inside = (
-        Window.partitionBy(*keys, "_block")
-        .orderBy(order, *ties)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .agg(*[F.sum(e.cast("bigint")).alias(f"_s_{n}") for n, e in totals.items()])
+        .select(*keys, "_block", *[F.sum(f"_s_{n}").over(before).alias(f"_c_{n}") for n in totals])
     )
+    inside = Window.partitionBy(*keys, "_block").orderBy(order, *ties).rowsBetween(*upto)
     d = d.join(F.broadcast(carry), [*keys, "_block"], "left")
     sums = [
-        (F.sum(f).over(inside) + F.coalesce(F.col(f"_c_{n}"), F.lit(0))).alias(n) for n, f in flags.items()
+        (F.sum(e.cast("bigint")).over(inside) + F.coalesce(F.col(f"_c_{n}"), F.lit(0))).alias(n)
+        for n, e in totals.items()
     ]
-    return d.select(*[F.col(f"`{c}`") for c in df.columns], *sums)
+    return d.select(*kept, *sums)
 
 
 def numbered(
@@ -101,7 +115,13 @@ def previous_row(
     **limits: int,
 ) -> DataFrame:
     """Values of the preceding row within the key (NULL on the first row)."""
-    d = with_blocks(df, keys, order, **limits)
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    hot = hot_keys(df, keys, order, **limits)
+    if hot is None:
+        inside = Window.partitionBy(*keys).orderBy(order, *ties)
+        return df.select(*kept, *[F.lag(src).over(inside).alias(out) for out, src in columns.items()])
+
+    d = _blocked(df, keys, order, hot)
     last = F.struct(*[F.col(src).alias(out) for out, src in columns.items()])
     rank = F.struct(F.col(order), *[F.col(t) for t in ties])
     carry = (
@@ -121,7 +141,7 @@ def previous_row(
         F.when(first, F.col(f"_carry.{out}")).otherwise(F.lag(src).over(inside)).alias(out)
         for out, src in columns.items()
     ]
-    return d.select(*[F.col(f"`{c}`") for c in df.columns], *outs)
+    return d.select(*kept, *outs)
 
 
 def paired_order(df: DataFrame, major: Column, minor: Column, name: str) -> DataFrame:
@@ -130,5 +150,5 @@ def paired_order(df: DataFrame, major: Column, minor: Column, name: str) -> Data
     Needed where the leading column alone has too few values to be cut into
     blocks (a day, say).  ``minor`` must be a non-negative integer.
     """
-    top = df.agg(F.max(minor).alias("m")).scalar()
-    return df.withColumn(name, major.cast("bigint") * (top + 1) + minor.cast("bigint"))
+    top = df.agg(F.max(minor).alias("m")).first()["m"] or 0
+    return df.withColumn(name, major.cast("bigint") * (int(top) + 1) + minor.cast("bigint"))

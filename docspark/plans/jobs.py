@@ -8,7 +8,7 @@ columns of that row, and flat tables are unnested from it.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,13 +55,29 @@ def route(docs: DataFrame, routes: DataFrame) -> DataFrame:
 
 
 # ---- steps over the nested document row ----------------------------------
+#
+# A step is a Column made from a configuration.  Several configurations in one
+# table become one CASE over them, so a table is scanned once.
 
+# A condition on the row, and the configuration that applies under it.
+Cases = Sequence[tuple[Column, Configuration]]
 
-def parse(docs: DataFrame, config: Configuration, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Pages and fragments, after page range and ignored types are applied."""
-    out = P.with_pages(docs, text)
-    if "page_range" in docs.columns:
-        out = P.keep_pages(out, "page_range")
+CHUNKS = "array<struct<content:string,page_number:int>>"
+BEST = "array<struct<page_class:string,score:double,reason:string>>"
+STRUCTURED = "array<struct<data:string,page_numbers:array<int>,schema_name:string,missing:array<string>>>"
+
+
+def _case(cases: Cases, make: Callable[[Configuration], Column | None], kind: str) -> Column:
+    out = F.lit(None).cast(kind)
+    for when, config in reversed(cases):
+        made = make(config)
+        if made is not None:
+            out = F.when(when, made).otherwise(out)
+    return out
+
+
+def _kept_fragments(config: Configuration) -> Column:
+    """Fragments per page after ignored types and strikethrough are applied."""
     drop = set(config.parsing.ignore_sections)
     if config.parsing.remove_strikethrough_lines:
         drop.add("strikethrough")
@@ -73,25 +89,41 @@ def parse(docs: DataFrame, config: Configuration, key: str = "doc_id", text: str
             frags = F.transform(frags, lambda f: f.withField("text", G.unstruck(f["text"])))
         return frags
 
-    out = out.withColumn("page_fragments", F.transform(G.page_fragments("pages"), kept))
+    if not drop:
+        return F.col("page_fragments")
+    return F.transform("page_fragments", kept)
+
+
+def _parse(docs: DataFrame, cases: Cases, text: str) -> DataFrame:
+    out = P.with_pages(docs, text)
+    if "page_range" in docs.columns:
+        out = P.keep_pages(out, "page_range")
+    out = out.withColumn("page_fragments", G.page_fragments("pages"))
+    kind = out.schema["page_fragments"].dataType
+    out = out.withColumn("page_fragments", _case(cases, _kept_fragments, kind))
     return out.withColumn("fragments", F.flatten("page_fragments"))
 
 
-def with_chunks(docs: DataFrame, strategy: str) -> DataFrame:
-    """Add ``chunks``: ``[{content, page_number}]``."""
-    made = F.transform(
-        C.slices("fragments", strategy),
+def parse(docs: DataFrame, config: Configuration, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Pages and fragments, after page range and ignored types are applied."""
+    return _parse(docs, [(F.lit(True), config)], text)
+
+
+def _chunks(config: Configuration) -> Column:
+    """``[{content, page_number}]`` by the configured strategy."""
+    return F.transform(
+        C.slices("fragments", config.parsing.chunking_strategy or "none"),
         lambda s: F.struct(
             C.markdown(s["frags"]).alias("content"),
             F.coalesce(F.get(s["frags"], F.lit(0))["page_number"], F.lit(0)).alias("page_number"),
         ),
     )
-    return docs.withColumn("chunks", made)
 
 
-def with_page_labels(docs: DataFrame, config: Configuration) -> DataFrame:
-    """Add ``page_best`` (best class, one entry per page, NULL without a match)
-    and ``page_labels`` (the matches only)."""
+def _best(config: Configuration) -> Column | None:
+    """Best class of every page, aligned with ``pages``; NULL without a match."""
+    if not config.page_classes:
+        return None
     rows = [
         {"class_no": i, "page_class": c.name, "text": c.description or c.name}
         for i, c in enumerate(config.page_classes)
@@ -105,26 +137,23 @@ def with_page_labels(docs: DataFrame, config: Configuration) -> DataFrame:
             c["class_no"].alias("class_no"), c["page_class"].alias("page_class"), K.terms(c["text"]).alias("terms")
         ),
     )
-    best = F.transform("pages", lambda p: S.let(K.terms(p["text"]), lambda t: K.best_class(t, classes)))
+    return F.transform("pages", lambda p: S.let(K.terms(p["text"]), lambda t: K.best_class(t, classes)))
+
+
+def with_page_classes(docs: DataFrame) -> DataFrame:
+    """Add ``page_classes`` from ``page_best``: pages and reasons per class."""
     zipped = F.arrays_zip(F.col("pages").alias("p"), F.col("page_best").alias("b"))
     labels = F.transform(
         F.filter(zipped, lambda z: z["b"].isNotNull()),
         lambda z: F.struct(
             z["p"]["page_number"].alias("page_number"),
             z["b"]["page_class"].alias("page_class"),
-            z["b"]["score"].alias("score"),
             z["b"]["reason"].alias("reason"),
         ),
     )
-    return docs.withColumn("page_best", best).withColumn("page_labels", labels)
-
-
-def with_page_classes(docs: DataFrame) -> DataFrame:
-    """Add ``page_classes`` from ``page_labels``: pages and reasons per class."""
-    names = F.array_sort(F.array_distinct(F.transform("page_labels", lambda x: x["page_class"])))
 
-    def of(name: Column) -> Column:
-        mine = F.filter("page_labels", lambda x: x["page_class"] == name)
+    def of(rows: Column, name: Column) -> Column:
+        mine = F.filter(rows, lambda x: x["page_class"] == name)
         return F.struct(
             name.alias("page_class"),
             F.transform(mine, lambda x: x["page_number"]).alias("page_numbers"),
@@ -133,29 +162,35 @@ def with_page_classes(docs: DataFrame) -> DataFrame:
             ),
         )
 
-    return docs.withColumn("page_classes", F.transform(names, of))
+    def grouped(rows: Column) -> Column:
+        names = F.array_sort(F.array_distinct(F.transform(rows, lambda x: x["page_class"])))
+        return F.transform(names, lambda n: of(rows, n))
 
+    return docs.withColumn("page_classes", S.let(labels, grouped))
 
-def _structured(options: ExtractionOptions, has_labels: bool) -> Column:
-    """Objects of one schema: ``[{data, page_numbers, schema_name, missing, citations}]``."""
+
+def _objects(options: ExtractionOptions) -> Column:
+    """Objects of one schema: ``[{data, page_numbers, schema_name, missing}]``."""
     struct = J.json_schema_to_struct(options.json_schema)
     needed = J.required(options.json_schema)
     frags = F.col("fragments")
-    if options.page_classes and has_labels:
+    if options.page_classes:
         zipped = F.arrays_zip(F.col("page_fragments").alias("f"), F.col("page_best").alias("b"))
         chosen = F.filter(zipped, lambda z: F.coalesce(z["b"]["page_class"].isin(*options.page_classes), F.lit(False)))
         frags = F.flatten(F.transform(chosen, lambda z: z["f"]))
     cut = S.let(
-        frags, lambda f: C.slices(f, options.partition_strategy, options.start_pattern or None, options.end_pattern or None)
+        frags,
+        lambda f: C.slices(f, options.partition_strategy, options.start_pattern or None, options.end_pattern or None),
     )
 
     def one(s: Column) -> Column:
         text = F.array_join(F.transform(s["frags"], lambda f: f["text"]), "\n")
+        pages = F.array_sort(F.array_distinct(F.transform(s["frags"], lambda f: f["page_number"])))
         return S.let(
             X.extract_struct(text, struct),
             lambda d: F.struct(
                 F.to_json(d).alias("data"),
-                F.array_sort(F.array_distinct(F.transform(s["frags"], lambda f: f["page_number"]))).alias("page_numbers"),
+                pages.alias("page_numbers"),
                 F.lit(options.schema_name).alias("schema_name"),
                 X.missing_required(d, needed).alias("missing"),
             ),
@@ -164,11 +199,12 @@ def _structured(options: ExtractionOptions, has_labels: bool) -> Column:
     return F.transform(cut, one)
 
 
-def with_structured_data(docs: DataFrame, config: Configuration) -> DataFrame:
-    """Add ``structured``: objects of every schema, with missing required fields noted."""
-    has_labels = "page_labels" in docs.columns
-    parts = [_structured(o, has_labels) for o in config.extraction]
-    return docs.withColumn("structured", F.concat(*parts) if len(parts) > 1 else parts[0])
+def _structured(config: Configuration) -> Column | None:
+    """Objects of every schema, with missing required fields noted."""
+    parts = [_objects(o) for o in config.extraction]
+    if not parts:
+        return None
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
 def structured_rows(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
@@ -204,47 +240,62 @@ def with_usage(docs: DataFrame) -> DataFrame:
 # ---- jobs ----------------------------------------------------------------
 
 
-def run_dataset(docs: DataFrame, config: Configuration, job_type: str = "parse", key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One configuration over a whole table of documents.
+def _run(docs: DataFrame, cases: Cases, text: str) -> DataFrame:
+    """All steps over rows that have a ``job_type``; each row gets what its job
+    type asks for: ``read`` chunks, ``extract`` structured data, ``classify``
+    page classes, ``parse`` and ``dataset`` all of them as configured."""
+    kind = F.col("job_type")
+    everything = kind.isin("parse", "dataset")
+    out = _parse(docs, cases, text)
+    chunked = [((kind == "read") | everything) & when for when, _ in cases]
+    out = out.withColumn("chunks", _case([(w, c) for w, (_, c) in zip(chunked, cases)], _chunks, CHUNKS))
+    configs = [c for _, c in cases]
+    if any(c.page_classes for c in configs):
+        filtered = [any(o.page_classes for o in c.extraction) for c in configs]
+        wanted = [
+            (when & ((kind == "classify") | everything | ((kind == "extract") & F.lit(f))), c)
+            for (when, c), f in zip(cases, filtered)
+        ]
+        out = out.withColumn("page_best", _case(wanted, _best, BEST))
+        out = with_page_classes(out).withColumn(
+            "page_classes", F.when((kind == "classify") | everything, F.col("page_classes"))
+        )
+    if any(c.extraction for c in configs):
+        wanted = [(when & ((kind == "extract") | everything), c) for when, c in cases]
+        out = out.withColumn("structured", _case(wanted, _structured, STRUCTURED))
+    return with_usage(out)
+
 
-    ``read`` gives chunks, ``extract`` structured data, ``classify`` page
-    classes, ``parse`` and ``dataset`` all of them as configured.
-    """
+def run_dataset(
+    docs: DataFrame, config: Configuration, job_type: str = "parse", key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One configuration over a whole table of documents."""
     if job_type == "extract" and not config.extraction:
         raise ValueError("at least one structured_extraction_options must be provided")
     if job_type == "classify" and not config.page_classes:
         raise ValueError("at least one page_classifications must be provided")
-    everything = job_type in ("parse", "dataset")
-    out = parse(docs, config, key, text)
-    if everything or job_type == "read":
-        out = with_chunks(out, config.parsing.chunking_strategy or "none")
-    if config.page_classes and (everything or job_type == "classify" or any(o.page_classes for o in config.extraction)):
-        out = with_page_labels(out, config)
-        if everything or job_type == "classify":
-            out = with_page_classes(out)
-    if config.extraction and (everything or job_type == "extract"):
-        out = with_structured_data(out, config)
-    return with_usage(out).withColumn("job_type", F.lit(job_type))
-
-
-def run_jobs(requests: DataFrame, configs: Mapping[str, Configuration], key: str = "parse_id", text: str = "text") -> DataFrame:
+    return _run(docs.withColumn("job_type", F.lit(job_type)), [(F.lit(True), config)], text)
+
+
+def run_jobs(
+    requests: DataFrame, configs: Mapping[str, Configuration], key: str = "parse_id", text: str = "text"
+) -> DataFrame:
     """Requests of several datasets and job types to one table of results.
 
-    One branch per (dataset, job type) in use; the branches are unions of narrow
-    plans.  The number of configurations is bounded by what a user writes.
+    One scan: the configurations are the arms of one CASE per step.  Requests
+    whose job type needs something their dataset lacks belong to the rejects of
+    :mod:`docspark.operators.validate` and are left out here.
     """
-    results = []
-    for dataset_id, config in configs.items():
-        mine = requests.where(F.col("dataset_id") == dataset_id)
-        for job_type in ("parse", "read", "extract", "classify", "dataset"):
-            if job_type == "extract" and not config.extraction or job_type == "classify" and not config.page_classes:
-                continue
-            branch = run_dataset(mine.where(F.col("job_type") == job_type).drop("job_type"), config, job_type, key, text)
-            results.append(assemble(branch, key))
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out
+    known = requests.where(F.col("dataset_id").isin(*configs))
+    dataset = F.col("dataset_id")
+    lacking = F.lit(False)
+    for name, c in configs.items():
+        if not c.extraction:
+            lacking = lacking | ((dataset == name) & (F.col("job_type") == "extract"))
+        if not c.page_classes:
+            lacking = lacking | ((dataset == name) & (F.col("job_type") == "classify"))
+    cases = [(dataset == name, config) for name, config in configs.items()]
+    return assemble(_run(known.where(~lacking), cases, text), key)
 
 
 def assemble(docs: DataFrame, key: str = "parse_id") -> DataFrame:
@@ -263,9 +314,8 @@ def assemble(docs: DataFrame, key: str = "parse_id") -> DataFrame:
             f["reading_order"].cast("bigint").alias("reading_order"),
         )
 
-    reasons = F.col("page_best")["reason"] if "page_best" in have else F.transform(
-        "pages", lambda p: F.lit(None).cast("string")
-    )
+    reasons = F.col("page_best")["reason"] if "page_best" in have else F.lit(None).cast("array<string>")
+    reasons = F.coalesce(reasons, F.transform("pages", lambda p: F.lit(None).cast("string")))
     zipped = F.arrays_zip(F.col("pages").alias("p"), F.col("page_fragments").alias("f"), reasons.alias("r"))
     pages = F.transform(
         zipped,

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -37,3 +37,14 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="docspark-")
     return os.path.join(base, f"docspark-{uuid.uuid4().hex}")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input out to all cores.
+
+    A parquet file is read by row group at best, so an input with fewer splits
+    than cores leaves cores idle during row-local text work.  A large input has
+    more splits than cores and is left alone: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

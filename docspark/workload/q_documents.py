@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from docspark.operators import chunks, classify, extract, fragments, pages, tables
+from docspark.session import spread
 from docspark.workload import doc_sql as D
 from docspark.workload import tables as t
 from docspark.workload.registry import query
@@ -19,19 +20,29 @@ ch AS (SELECT doc_id, lang, section_id, string_agg(md, chr(10) || chr(10) ORDER
        FROM md WHERE doc_id IN (SELECT doc_id FROM first) GROUP BY doc_id, lang, section_id)
 SELECT lang, count(*) AS chunks, CAST(sum(length(content)) AS BIGINT) AS chars, max(length(content)) AS longest FROM ch GROUP BY lang""")
 def flagship(spark, sf_dir):
-    """Content hash, dedup, pages, fragments, section chunks, statistics per language.
+    """Pages, fragments, section chunks, content hash, dedup, statistics per language.
 
-    Copies are found on the hash alone, so texts are not shuffled for it; only
-    the ids of the survivors meet the documents again.
+    Each document is reduced to a few numbers in its own row first; copies are
+    then dropped among those small rows.  No text is ever shuffled, and copies,
+    however many, collapse before the shuffle by hash.
     """
     docs = t.load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    firsts = docs.groupBy(F.sha2("text", 256).alias("sha")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    unique = docs.join(firsts, "doc_id", "left_semi")
-    n = fragments.with_fragments(pages.with_pages(unique))
-    sections = n.select("lang", F.explode(chunks.section_slices("fragments")).alias("s")).select(
-        "lang", chunks.markdown(F.col("s.frags")).alias("content")
+    n = fragments.with_fragments(pages.with_pages(docs))
+    sizes = F.transform(chunks.section_slices("fragments"), lambda s: F.length(chunks.markdown(s["frags"])))
+    rows = n.select("doc_id", "lang", F.sha2("text", 256).alias("sha"), sizes.alias("sizes")).select(
+        "sha",
+        "doc_id",
+        F.struct(
+            "lang",
+            F.size("sizes").alias("chunks"),
+            F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("chars"),
+            F.array_max("sizes").alias("longest"),
+        ).alias("stats"),
+    )
+    unique = rows.groupBy("sha").agg(F.min_by("stats", "doc_id").alias("s")).select("s.*")
+    return unique.groupBy("lang").agg(
+        F.sum("chunks").alias("chunks"), F.sum("chars").alias("chars"), F.max("longest").alias("longest")
     )
-    return chunks.chunk_stats(sections, "lang")
 
 
 @query("doc_1_split_pages", f"""WITH {D.PAGES}
@@ -327,7 +338,7 @@ PLACE_SCHEMA = {"type": "object", "properties": {"address_nation": {"type": "int
 
 def account_text(spark, sf_dir):
     """Customers as statements: ``name: value`` lines, some without a segment."""
-    c = t.load(spark, sf_dir, "customer")
+    c = spread(t.load(spark, sf_dir, "customer"))
     k = F.col("c_custkey")
     text = F.concat_ws(
         "\n",

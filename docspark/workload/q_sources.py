@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from docspark.operators import catalog, events
-from docspark.session import shared_dir
+from docspark.session import shared_dir, spread
 from docspark.sources import files as files_src
 from docspark.sources import results as results_src
 from docspark.workload import tables as t
@@ -90,7 +90,7 @@ FROM jobs"""
 
 def result_json(spark, sf_dir):
     """Each order as a stored parse result in JSON."""
-    j = t.jobs(spark, sf_dir)
+    j = spread(t.jobs(spark, sf_dir))
     pid = F.col("parse_id")
     page = (pid % 7).cast("string")
     pages = F.when(pid % 2 == 0, page).otherwise(

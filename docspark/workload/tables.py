@@ -10,12 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.operators import events as E
+from docspark.session import spread
 from docspark.sources import files as files_src
 
 
+TEXT_TABLES = ("documents", "pages")
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def micros(col) -> Column:
@@ -211,7 +216,7 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(""),
     )
     return (
-        e.select("user_id", "event_id", F.posexplode(parts).alias("k", "line"))
+        spread(e).select("user_id", "event_id", F.posexplode(parts).alias("k", "line"))
         .where(F.col("line").isNotNull())
         .select(F.col("user_id").alias("stream_id"), (i * 8 + F.col("k")).alias("line_no"), "line")
     )
