@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -183,9 +184,10 @@ def keyset_page(
     """
     forward = direction == "next"
     if cursor:
-        text = S.b64_decode(F.lit(cursor))
-        at = F.to_timestamp(F.substring_index(text, "|", 1)).cast(df.schema[ts].dataType)
-        at_id = F.substring_index(text, "|", -1).cast(df.schema[key].dataType)
+        # Decoded here, so that the bound is a constant the scan can use.
+        moment, ident_text = base64.b64decode(cursor).decode().split("|", 1)
+        at = F.lit(moment).cast("timestamp").cast(df.schema[ts].dataType)
+        at_id = F.lit(ident_text).cast(df.schema[key].dataType)
         stamp, ident = F.col(ts), F.col(key)
         if forward:
             df = df.where((stamp <= at) & ((stamp < at) | (ident < at_id)))
