@@ -62,9 +62,8 @@ def list_jobs(
         _when_given(finished_before, lambda v: F.col("finished_at") < _time(jobs, "finished_at", v)),
     ])
     if dataset_name:
-        # Names are unique, so this side is at most one row.
         wanted = datasets.where(F.col("name") == dataset_name).select("dataset_id")
-        out = out.join(F.broadcast(wanted), "dataset_id", "left_semi")
+        out = out.join(wanted, "dataset_id", "left_semi")
     return out
 
 

@@ -20,6 +20,7 @@ from docspark.functions import scalars as S
 # the tasks; beyond, an equi join on terms does the same work.
 MAX_CLASSES = 10_000
 MAX_CLASS_CHARS = 8 << 20
+PART_PAGES = 100_000
 
 # Fixed value: what separates terms.
 TERM_BREAK = r"[^\p{L}\p{N}]+"
@@ -167,13 +168,15 @@ def classify_pages_join(
     )
 
 
-def collect_page_classes(page_labels: DataFrame, key: str = "doc_id") -> DataFrame:
+def collect_page_classes(page_labels: DataFrame, key: str = "doc_id", part_pages: int = PART_PAGES) -> DataFrame:
     """Per document and class: sorted pages and the reason of each page.
 
-    A group is the pages of one document, so it is bounded by that document.
+    A document of more than ``part_pages`` pages comes in numbered parts, each a
+    fixed range of pages, so no list grows with the length of a document.
     """
     entries = F.array_sort(F.collect_list(F.struct("page_number", "reason")))
-    return page_labels.groupBy(key, "page_class").agg(
+    part = F.expr(f"page_number div {part_pages}").alias("part_no")
+    return page_labels.groupBy(key, "page_class", part).agg(
         F.array_sort(F.collect_set("page_number")).alias("page_numbers"),
         F.map_from_entries(entries).alias("classification_reasons"),
     )

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docspark.functions import scalars as S
 
-# Line rules of text documents, tried in this order.
-SIGNATURE_LINE = r"(?i)^[ \t]*(signature|signed by|signed)[ \t]*:|^[ \t]*/s/|_{8,}"
-PAGE_NUMBER_LINE = r"(?i)^[ \t]*(page[ \t]+[0-9]+([ \t]+of[ \t]+[0-9]+)?|-[ \t]*[0-9]+[ \t]*-)[ \t]*$"
-LIST_LINE = r"^[ \t]*([-*+]|[0-9]{1,3}[.)])[ \t]+"
-HASH_LINE = r"^[ \t]*#{1,6}[ \t]+"
-STRUCK_LINE = r"^[ \t]*(~~.*~~|<(s|del)>.*</(s|del)>)[ \t]*$"
+# Line rules of text documents, tried in this order on the trimmed line.
+SIGNATURE_LINE = r"(?i)^(signature|signed by|signed)[ \t]*:"
+SIGNATURE_MARK = "/s/"
+SIGNATURE_RULE = "________"
+PAGE_NUMBER_LINE = r"(?i)^(page[ \t]+[0-9]+([ \t]+of[ \t]+[0-9]+)?|-[ \t]*[0-9]+[ \t]*-)$"
+LIST_LINE = r"^([-*+]|[0-9]{1,3}[.)])[ \t]+"
+HASH_LINE = r"^#{1,6}[ \t]+"
+STRUCK_LINE = r"^(~~.*~~|<(s|del)>.*</(s|del)>)$"
 STRUCK_TEXT = r"~~[^~]*~~|<s>[^<]*</s>|<del>[^<]*</del>"
 TITLE_CHARS = 80
 HEADER_CHARS = 40
@@ -22,15 +26,24 @@ HEADERS = ("title", "section_header")
 
 
 def line_type(line: Column, opens_document: Column) -> Column:
-    """Fragment type of one non-blank line."""
-    n = F.length(S.trimmed(line))
+    """Fragment type of one trimmed, non-blank line.
+
+    A pattern is only tried on a line that starts like it, so a line of prose
+    costs a few byte comparisons and no regex.
+    """
+    def starts(*prefixes: str) -> Column:
+        return reduce(or_, [line.startswith(p) for p in prefixes])
+
+    n = F.length(line)
+    signature = (starts("s", "S") & line.rlike(SIGNATURE_LINE)) | starts(SIGNATURE_MARK.lower(), SIGNATURE_MARK.upper())
+    listed = (starts("-", "*", "+") | ((line >= "0") & (line < ":"))) & line.rlike(LIST_LINE)
     return (
-        F.when(line.rlike(SIGNATURE_LINE), "signature")
-        .when(line.rlike(PAGE_NUMBER_LINE), "page_number")
-        .when(line.rlike(STRUCK_LINE), "strikethrough")
+        F.when(signature | line.contains(SIGNATURE_RULE), "signature")
+        .when(starts("p", "P", "-") & line.rlike(PAGE_NUMBER_LINE), "page_number")
+        .when(starts("~~", "<") & line.rlike(STRUCK_LINE), "strikethrough")
         .when(line.contains("|"), "table")
-        .when(line.rlike(LIST_LINE), "list_item")
-        .when(line.rlike(HASH_LINE), "section_header")
+        .when(listed, "list_item")
+        .when(starts("#") & line.rlike(HASH_LINE), "section_header")
         .when(opens_document & (n <= TITLE_CHARS), "title")
         .when(n <= HEADER_CHARS, "section_header")
         .otherwise("text")
@@ -40,7 +53,7 @@ def line_type(line: Column, opens_document: Column) -> Column:
 def _shape(x: Column) -> Column:
     """Fragment struct; markers of headers and list items are not content."""
     line, kind = x["line"], x["kind"]
-    hashes = F.length(F.regexp_extract(line, r"^[ \t]*(#{1,6})[ \t]+", 1))
+    hashes = F.length(F.regexp_extract(line, r"^(#{1,6})[ \t]+", 1))
     level = F.when(kind == "title", 0).when(kind == "section_header", F.greatest(hashes, F.lit(1)))
     body = (
         F.when(kind == "section_header", F.regexp_replace(line, HASH_LINE, ""))
@@ -52,7 +65,7 @@ def _shape(x: Column) -> Column:
         x["order"].cast("int").alias("reading_order"),
         kind.alias("fragment_type"),
         level.cast("int").alias("level"),
-        S.trimmed(body).alias("text"),
+        body.alias("text"),
     )
 
 
@@ -63,7 +76,7 @@ def page_fragments(pages) -> Column:
     """
 
     def of_page(p: Column) -> Column:
-        lines = F.filter(F.split(p["text"], "\r?\n"), lambda x: S.trimmed(x) != "")
+        lines = F.filter(F.transform(F.split(p["text"], "\n"), S.trimmed), lambda x: x != "")
         typed = F.transform(
             lines,
             lambda line, i: F.struct(

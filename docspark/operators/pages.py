@@ -59,7 +59,7 @@ def page_array(text, page_chars: int = PAGE_CHARS) -> Column:
     pieces = F.regexp_extract_all(t, F.lit(f"(?s).{{1,{page_chars}}}"), F.lit(0))
     return (
         F.when(t.contains("\f"), S.let(F.split(t, "\f"), feeds))
-        .when(t == "", windows(F.array(F.lit(""))))
+        .when(F.length(t) <= page_chars, windows(F.array(t)))
         .otherwise(windows(pieces))
         .cast(PAGE_STRUCT)
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docspark.operators import hotkeys
@@ -51,18 +51,15 @@ def transitions(log: DataFrame, ts: str = "ts_us", ties=(), **limits: int) -> Da
     return hotkeys.previous_row(log, ["entity_id"], ts, {"prev_status": "status"}, ties, **limits)
 
 
-def allowed_transitions(spark: SparkSession, pairs: Iterable[tuple[str, str]] = LIFE_CYCLE) -> DataFrame:
-    return spark.createDataFrame(list(pairs), "prev_status string, status string")
-
-
 def audit_transitions(
-    log: DataFrame, allowed: DataFrame, ts: str = "ts_us", ties=(), **limits: int
+    log: DataFrame, allowed: Iterable[tuple[str, str]] = LIFE_CYCLE, ts: str = "ts_us", ties=(), **limits: int
 ) -> DataFrame:
-    """Rows whose step is not part of the life cycle (a small fixed table)."""
+    """Rows whose step is not part of the life cycle."""
     steps = transitions(log, ts, ties, **limits).where(
         F.col("prev_status").isNotNull() & (F.col("prev_status") != F.col("status"))
     )
-    return steps.join(F.broadcast(allowed), ["prev_status", "status"], "left_anti")
+    pairs = [f"{a}>{b}" for a, b in allowed]
+    return steps.where(~F.concat_ws(">", "prev_status", "status").isin(pairs))
 
 
 def await_status(log: DataFrame, want: str, max_wait: int, ts: str = "ts_us") -> DataFrame:

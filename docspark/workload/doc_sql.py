@@ -16,14 +16,15 @@ PAGES = f"""pg AS (
 
 
 def line_type(line: str, first: str) -> str:
-    return f"""CASE WHEN regexp_matches({line}, '{G.SIGNATURE_LINE}') THEN 'signature'
+    return f"""CASE WHEN regexp_matches({line}, '{G.SIGNATURE_LINE}') OR lower({line}) LIKE '{G.SIGNATURE_MARK}%'
+            OR contains({line}, '{G.SIGNATURE_RULE}') THEN 'signature'
        WHEN regexp_matches({line}, '{G.PAGE_NUMBER_LINE}') THEN 'page_number'
        WHEN regexp_matches({line}, '{G.STRUCK_LINE}') THEN 'strikethrough'
        WHEN contains({line}, '|') THEN 'table'
        WHEN regexp_matches({line}, '{G.LIST_LINE}') THEN 'list_item'
        WHEN regexp_matches({line}, '{G.HASH_LINE}') THEN 'section_header'
-       WHEN {first} AND length(trim({line}, {BLANKS})) <= {G.TITLE_CHARS} THEN 'title'
-       WHEN length(trim({line}, {BLANKS})) <= {G.HEADER_CHARS} THEN 'section_header' ELSE 'text' END"""
+       WHEN {first} AND length({line}) <= {G.TITLE_CHARS} THEN 'title'
+       WHEN length({line}) <= {G.HEADER_CHARS} THEN 'section_header' ELSE 'text' END"""
 
 
 def fragments(pages: str = "pg", out: str = "fr") -> str:
@@ -31,8 +32,7 @@ def fragments(pages: str = "pg", out: str = "fr") -> str:
     return f"""{out}_lines AS (
   SELECT doc_id, lang, source, page_number, unnest(ls) AS line, unnest(range(len(ls))) AS ro
   FROM (SELECT doc_id, lang, source, page_number,
-               list_filter(string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)),
-                           lambda x: trim(x, {BLANKS}) <> '') AS ls
+               list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, {BLANKS})), lambda x: x <> '') AS ls
         FROM {pages})),
 {out}_typed AS (
   SELECT *, {line_type("line", "page_number = 1 AND ro = 0")} AS fragment_type FROM {out}_lines),
@@ -40,10 +40,10 @@ def fragments(pages: str = "pg", out: str = "fr") -> str:
   SELECT doc_id, lang, source, page_number, CAST(ro AS INTEGER) AS reading_order, fragment_type,
          CAST(CASE WHEN fragment_type = 'title' THEN 0
               WHEN fragment_type = 'section_header'
-              THEN greatest(length(regexp_extract(line, '^[ \\t]*(#{{1,6}})[ \\t]+', 1)), 1) END AS INTEGER) AS level,
-         trim(CASE WHEN fragment_type = 'section_header' THEN regexp_replace(line, '{G.HASH_LINE}', '')
+              THEN greatest(length(regexp_extract(line, '^(#{{1,6}})[ \\t]+', 1)), 1) END AS INTEGER) AS level,
+         CASE WHEN fragment_type = 'section_header' THEN regexp_replace(line, '{G.HASH_LINE}', '')
                    WHEN fragment_type = 'list_item' THEN regexp_replace(line, '{G.LIST_LINE}', '')
-                   ELSE line END, {BLANKS}) AS text
+                   ELSE line END AS text
   FROM {out}_typed)"""
 
 

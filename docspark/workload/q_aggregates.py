@@ -139,9 +139,7 @@ s AS (SELECT *, lag(status) OVER (PARTITION BY entity_id ORDER BY ts_us, event_i
 SELECT entity_id, event_id, prev_status, status FROM s WHERE prev_status <> status
 AND (prev_status, status) NOT IN (VALUES {_PAIRS})""")
 def audit(spark, sf_dir):
-    out = status.audit_transitions(
-        t.status_log(spark, sf_dir), status.allowed_transitions(spark), "ts_us", ["event_id"]
-    )
+    out = status.audit_transitions(t.status_log(spark, sf_dir), ties=["event_id"])
     return out.select("entity_id", "event_id", "prev_status", "status")
 
 
