@@ -38,13 +38,13 @@ def is_header(f: Column) -> Column:
     return f["fragment_type"].isin(*HEADERS)
 
 
-def _positions(frags: Column, test) -> Column:
+def positions(frags: Column, test) -> Column:
     """1-based positions of the fragments that pass ``test(fragment, index)``."""
     marks = F.transform(frags, lambda x, i: F.when(test(x, i), (i + 1).cast("int")))
     return F.filter(marks, lambda p: p.isNotNull())
 
 
-def _cut(frags: Column, starts: Column, first_no: Column) -> Column:
+def cut_at(frags: Column, starts: Column, first_no: Column) -> Column:
     """Slices ``frags[start_i .. start_{i+1})`` numbered from ``first_no``."""
 
     def slices_at(at: Column) -> Column:
@@ -67,15 +67,15 @@ def section_slices(frags) -> Column:
     f = S._c(frags)
     lead = ~F.coalesce(is_header(F.get(f, F.lit(0))), F.lit(False))
     opening = F.when(lead, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
-    starts = F.concat(opening, _positions(f, lambda x, i: is_header(x)))
-    return _cut(f, starts, F.when(lead, 0).otherwise(1))
+    starts = F.concat(opening, positions(f, lambda x, i: is_header(x)))
+    return cut_at(f, starts, F.when(lead, 0).otherwise(1))
 
 
 def page_slices(frags) -> Column:
     """One slice per page."""
     f = S._c(frags)
-    turns = _positions(f, lambda x, i: (i == 0) | (x["page_number"] != F.get(f, i - 1)["page_number"]))
-    return _cut(f, turns, F.lit(0))
+    turns = positions(f, lambda x, i: (i == 0) | (x["page_number"] != F.get(f, i - 1)["page_number"]))
+    return cut_at(f, turns, F.lit(0))
 
 
 def fragment_slices(frags) -> Column:
@@ -95,12 +95,12 @@ def pattern_slices(frags, start: str, end: str | None = None) -> Column:
     region without an end runs to the next start or the end of the document.
     """
     f = S._c(frags)
-    regions = _cut(f, _positions(f, lambda x, i: x["text"].rlike(start)), F.lit(1))
+    regions = cut_at(f, positions(f, lambda x, i: x["text"].rlike(start)), F.lit(1))
     if not end:
         return regions
 
     def close(r: Column) -> Column:
-        ends = _positions(r["frags"], lambda x, i: x["text"].rlike(end))
+        ends = positions(r["frags"], lambda x, i: x["text"].rlike(end))
         upto = F.coalesce(F.get(ends, F.lit(0)), F.size(r["frags"]))
         return F.struct(r["no"].alias("no"), F.slice(r["frags"], 1, upto).alias("frags"))
 

@@ -32,7 +32,7 @@ def _typed(raw: Column, kind: T.DataType) -> Column:
     return raw if isinstance(kind, T.StringType) else raw.try_cast(kind)
 
 
-def _by_line(kind: T.DataType) -> bool:
+def by_line(kind: T.DataType) -> bool:
     """Scalars and lists of scalars have a form on one line; the rest has none."""
     if isinstance(kind, T.ArrayType):
         kind = kind.elementType
@@ -48,7 +48,7 @@ def prose_struct(text, schema: T.StructType, prefix: str = "") -> Column:
     for f in schema.fields:
         if isinstance(f.dataType, T.StructType):
             cols.append(prose_struct(text, f.dataType, f"{prefix}{f.name}_").alias(f.name))
-        elif not _by_line(f.dataType):
+        elif not by_line(f.dataType):
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
         else:
             cols.append(_typed(field_text(text, prefix + f.name), f.dataType).alias(f.name))

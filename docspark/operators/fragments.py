@@ -20,13 +20,16 @@ LIST_LINE = r"^([-*+]|[0-9]{1,3}[.)])[ \t]+"
 HASH_LINE = r"^#{1,6}[ \t]+"
 STRUCK_LINE = r"^(~~.*~~|<(s|del)>.*</(s|del)>)$"
 STRUCK_TEXT = r"~~[^~]*~~|<s>[^<]*</s>|<del>[^<]*</del>"
+KEY_VALUE_LINE = r"^[A-Za-z0-9_ ]+:[ \t]*[^ \t]"
 TITLE_CHARS = 80
 HEADER_CHARS = 40
 HEADERS = ("title", "section_header")
 
 
-def line_type(line: Column, opens_document: Column) -> Column:
-    """Fragment type of one trimmed, non-blank line.
+def line_type(
+    line: Column, opens_document: Column, signatures: bool = True, struck: bool = True, key_values: bool = False
+) -> Column:
+    """Fragment type of one trimmed, non-blank line.  Detections that are off leave other types.
 
     A pattern is only tried on a line that starts like it, so a line of prose
     costs a few byte comparisons and no regex.
@@ -37,17 +40,22 @@ def line_type(line: Column, opens_document: Column) -> Column:
     n = F.length(line)
     signature = (starts("s", "S") & line.rlike(SIGNATURE_LINE)) | starts(SIGNATURE_MARK.lower(), SIGNATURE_MARK.upper())
     listed = (starts("-", "*", "+") | ((line >= "0") & (line < ":"))) & line.rlike(LIST_LINE)
-    return (
-        F.when(signature | line.contains(SIGNATURE_RULE), "signature")
-        .when(starts("p", "P", "-") & line.rlike(PAGE_NUMBER_LINE), "page_number")
-        .when(starts("~~", "<") & line.rlike(STRUCK_LINE), "strikethrough")
-        .when(line.contains("|"), "table")
-        .when(listed, "list_item")
-        .when(starts("#") & line.rlike(HASH_LINE), "section_header")
-        .when(opens_document & (n <= TITLE_CHARS), "title")
-        .when(n <= HEADER_CHARS, "section_header")
-        .otherwise("text")
-    )
+    rules = [
+        (signatures, signature | line.contains(SIGNATURE_RULE), "signature"),
+        (True, starts("p", "P", "-") & line.rlike(PAGE_NUMBER_LINE), "page_number"),
+        (struck, starts("~~", "<") & line.rlike(STRUCK_LINE), "strikethrough"),
+        (True, line.contains("|"), "table"),
+        (True, listed, "list_item"),
+        (True, starts("#") & line.rlike(HASH_LINE), "section_header"),
+        (key_values, line.contains(":") & line.rlike(KEY_VALUE_LINE), "key_value_region"),
+        (True, opens_document & (n <= TITLE_CHARS), "title"),
+        (True, n <= HEADER_CHARS, "section_header"),
+    ]
+    kind = F.lit("text")
+    for on, rule, name in reversed(rules):
+        if on:
+            kind = F.when(rule, name).otherwise(kind)
+    return kind
 
 
 def _shape(x: Column) -> Column:
@@ -69,7 +77,7 @@ def _shape(x: Column) -> Column:
     )
 
 
-def page_fragments(pages) -> Column:
+def page_fragments(pages, **detect: bool) -> Column:
     """Fragments of each page, as one array per page next to ``pages``.
 
     ``reading_order`` counts the non-blank lines of a page from 0.
@@ -83,7 +91,7 @@ def page_fragments(pages) -> Column:
                 p["page_number"].alias("page"),
                 i.alias("order"),
                 line.alias("line"),
-                line_type(line, (p["page_number"] == 1) & (i == 0)).alias("kind"),
+                line_type(line, (p["page_number"] == 1) & (i == 0), **detect).alias("kind"),
             ),
         )
         return F.transform(typed, _shape)
@@ -91,6 +99,23 @@ def page_fragments(pages) -> Column:
     return F.transform(S._c(pages), of_page)
 
 
+def whole_pages(pages) -> Column:
+    """Every page as one text fragment: layout detection is off."""
+
+    def of_page(p: Column) -> Column:
+        text = S.trimmed(p["text"])
+        one = F.struct(
+            p["page_number"].alias("page_number"),
+            F.lit(0).alias("reading_order"),
+            F.lit("text").alias("fragment_type"),
+            F.lit(None).cast("int").alias("level"),
+            text.alias("text"),
+        )
+        return F.filter(F.array(one), lambda f: f["text"] != "")
+
+    return F.transform(S._c(pages), of_page)
+
+
 def text_fragments(pages) -> Column:
     """All fragments of a document as one array in reading order."""
     return F.flatten(page_fragments(pages))

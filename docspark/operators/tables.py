@@ -33,6 +33,11 @@ def html_row(cells) -> Column:
     return F.concat(F.lit("<tr>"), inner, F.lit("</tr>"))
 
 
+def html_table(rows) -> Column:
+    """Rows of cells as one HTML table."""
+    return F.concat(F.lit("<table>"), F.array_join(F.transform(S._c(rows), html_row), ""), F.lit("</table>"))
+
+
 def markdown_row(cells) -> Column:
     inner = F.array_join(F.transform(S._c(cells), lambda c: F.replace(c, F.lit("|"), F.lit("\\|"))), " | ")
     return F.concat(F.lit("| "), inner, F.lit(" |"))

@@ -64,7 +64,15 @@ Cases = Sequence[tuple[Column, Configuration]]
 
 CHUNKS = "array<struct<content:string,page_number:int>>"
 BEST = "array<struct<page_class:string,score:double,reason:string>>"
-STRUCTURED = "array<struct<data:string,page_numbers:array<int>,schema_name:string,missing:array<string>>>"
+CITATIONS = "array<struct<field:string,page_number:int,offset:int>>"
+STRUCTURED = (
+    "array<struct<data:string,page_numbers:array<int>,schema_name:string,missing:array<string>,"
+    f"citations:{CITATIONS}>>"
+)
+MERGED = (
+    "array<struct<merged_table_id:string,merged_table_html:string,start_page:int,end_page:int,pages_merged:int,"
+    "summary:string,merge_actions:struct<pages:array<int>,target_columns:int>>>"
+)
 
 
 def _case(cases: Cases, make: Callable[[Configuration], Column | None], kind: str) -> Column:
@@ -76,15 +84,26 @@ def _case(cases: Cases, make: Callable[[Configuration], Column | None], kind: st
     return out
 
 
+def _typed_fragments(config: Configuration) -> Column:
+    """Fragments per page with the detections the configuration asks for."""
+    if config.parsing.disable_layout_detection:
+        return G.whole_pages("pages")
+    return G.page_fragments(
+        "pages",
+        signatures=config.parsing.signature_detection,
+        struck=config.parsing.remove_strikethrough_lines,
+        key_values=config.enrichment.key_value_extraction,
+    )
+
+
 def _kept_fragments(config: Configuration) -> Column:
-    """Fragments per page after ignored types and strikethrough are applied."""
+    """Fragments per page after ignored types and strikethrough are taken out."""
     drop = set(config.parsing.ignore_sections)
     if config.parsing.remove_strikethrough_lines:
         drop.add("strikethrough")
 
     def kept(frags: Column) -> Column:
-        if drop:
-            frags = F.filter(frags, lambda f: ~f["fragment_type"].isin(*sorted(drop)))
+        frags = F.filter(frags, lambda f: ~f["fragment_type"].isin(*sorted(drop)))
         if config.parsing.remove_strikethrough_lines:
             frags = F.transform(frags, lambda f: f.withField("text", G.unstruck(f["text"])))
         return frags
@@ -95,12 +114,16 @@ def _kept_fragments(config: Configuration) -> Column:
 
 
 def _parse(docs: DataFrame, cases: Cases, text: str) -> DataFrame:
+    """Pages, fragments per page, all fragments, and the metered usage.
+
+    Usage counts what was detected, so it is taken before anything is removed.
+    """
     out = P.with_pages(docs, text)
     if "page_range" in docs.columns:
         out = P.keep_pages(out, "page_range")
-    out = out.withColumn("page_fragments", G.page_fragments("pages"))
-    kind = out.schema["page_fragments"].dataType
-    out = out.withColumn("page_fragments", _case(cases, _kept_fragments, kind))
+    kind = docs.sparkSession.range(0).select(G.page_fragments(F.lit(None).cast(P.PAGE_STRUCT)).alias("f")).schema["f"].dataType
+    out = out.withColumn("page_fragments", _case(cases, _typed_fragments, kind))
+    out = with_usage(out).withColumn("page_fragments", _case(cases, _kept_fragments, kind))
     return out.withColumn("fragments", F.flatten("page_fragments"))
 
 
@@ -109,6 +132,22 @@ def parse(docs: DataFrame, config: Configuration, key: str = "doc_id", text: str
     return _parse(docs, [(F.lit(True), config)], text)
 
 
+def with_usage(docs: DataFrame) -> DataFrame:
+    """Add the nine usage counters; token counters are zero without a model."""
+
+    def pages_with(kind: str) -> Column:
+        hit = F.filter("page_fragments", lambda p: F.exists(p, lambda f: f["fragment_type"] == kind))
+        return F.size(hit).cast("bigint")
+
+    known = {
+        "pages_parsed": F.size("pages").cast("bigint"),
+        "signature_detected_pages": pages_with("signature"),
+        "strikethrough_detected_pages": pages_with("strikethrough"),
+    }
+    fields = [known.get(c, F.lit(0).cast("bigint")).alias(c) for c in USAGE_COUNTERS]
+    return docs.withColumn("usage", F.struct(*fields))
+
+
 def _chunks(config: Configuration) -> Column:
     """``[{content, page_number}]`` by the configured strategy."""
     return F.transform(
@@ -169,8 +208,23 @@ def with_page_classes(docs: DataFrame) -> DataFrame:
     return docs.withColumn("page_classes", S.let(labels, grouped))
 
 
-def _objects(options: ExtractionOptions) -> Column:
-    """Objects of one schema: ``[{data, page_numbers, schema_name, missing}]``."""
+def _citations(part_text: Column, struct, text: str) -> Column:
+    """Where the scalar fields of a partition stand in the document: page and offset."""
+    entries = []
+    for f in struct.fields:
+        if X.by_line(f.dataType):
+            raw = F.coalesce(X.field_text(part_text, f.name), F.get_json_object(part_text, f"$.{f.name}"))
+            at = F.instr(F.col(text), S.blank_to_null(raw)) - 1
+            entries.append(
+                F.struct(F.lit(f.name).alias("field"), X.cite_in_row("pages", at).alias("page_number"), at.alias("offset"))
+            )
+    if not entries:
+        return F.lit(None).cast(CITATIONS)
+    return F.filter(F.array(*entries), lambda e: e["offset"] >= 0)
+
+
+def _objects(options: ExtractionOptions, text: str) -> Column:
+    """Objects of one schema: ``[{data, page_numbers, schema_name, missing, citations}]``."""
     struct = J.json_schema_to_struct(options.json_schema)
     needed = J.required(options.json_schema)
     frags = F.col("fragments")
@@ -184,29 +238,75 @@ def _objects(options: ExtractionOptions) -> Column:
     )
 
     def one(s: Column) -> Column:
-        text = F.array_join(F.transform(s["frags"], lambda f: f["text"]), "\n")
+        part = F.array_join(F.transform(s["frags"], lambda f: f["text"]), "\n")
+        cited = _citations(part, struct, text) if options.provide_citations else F.lit(None).cast(CITATIONS)
         pages = F.array_sort(F.array_distinct(F.transform(s["frags"], lambda f: f["page_number"])))
         return S.let(
-            X.extract_struct(text, struct),
+            X.extract_struct(part, struct),
             lambda d: F.struct(
                 F.to_json(d).alias("data"),
                 pages.alias("page_numbers"),
                 F.lit(options.schema_name).alias("schema_name"),
                 X.missing_required(d, needed).alias("missing"),
+                cited.alias("citations"),
             ),
         )
 
     return F.transform(cut, one)
 
 
-def _structured(config: Configuration) -> Column | None:
+def _structured(config: Configuration, text: str) -> Column | None:
     """Objects of every schema, with missing required fields noted."""
-    parts = [_objects(o) for o in config.extraction]
+    parts = [_objects(o, text) for o in config.extraction]
     if not parts:
         return None
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
+def _merged_tables(config: Configuration) -> Column | None:
+    """Tables on consecutive pages with equal column counts, as one table each."""
+    if not config.parsing.merge_tables:
+        return None
+
+    def of_page(z: Column) -> Column:
+        lines = F.filter(z["f"], lambda f: f["fragment_type"] == "table")
+        rows = F.transform(lines, lambda f: T.table_cells_of(f["text"]))
+        return F.struct(z["p"]["page_number"].alias("page_number"), rows.alias("rows"))
+
+    def shaped(x: Column) -> Column:
+        widest = F.array_max(F.transform(x["rows"], lambda r: F.size(r)))
+        return F.struct(x["page_number"].alias("page_number"), x["rows"].alias("rows"), widest.alias("n_cols"))
+
+    def begins(tabs: Column, x: Column, i: Column) -> Column:
+        before = F.get(tabs, i - 1)
+        follows = (before["n_cols"] == x["n_cols"]) & (before["page_number"] == x["page_number"] - 1)
+        return x["n_cols"].isNotNull() & ~F.coalesce((i > 0) & follows, F.lit(False))
+
+    def merged(run: Column) -> Column:
+        rows = F.flatten(F.transform(run, lambda x: x["rows"]))
+        numbers = F.transform(run, lambda x: x["page_number"])
+        first, columns = F.get(run, F.lit(0)), F.get(run, F.lit(0))["n_cols"]
+        note = T.table_summary(F.get(rows, F.lit(0)), F.size(rows), columns)
+        return F.struct(
+            F.concat(F.lit("merged_"), first["page_number"].cast("string")).alias("merged_table_id"),
+            T.html_table(rows).alias("merged_table_html"),
+            first["page_number"].alias("start_page"),
+            F.element_at(numbers, -1).alias("end_page"),
+            F.size(run).alias("pages_merged"),
+            (note if config.enrichment.table_summarization else F.lit(None).cast("string")).alias("summary"),
+            F.struct(numbers.alias("pages"), columns.alias("target_columns")).alias("merge_actions"),
+        )
+
+    def runs(tabs: Column) -> Column:
+        cut = C.cut_at(tabs, C.positions(tabs, lambda x, i: begins(tabs, x, i)), F.lit(0))
+        # A run ends where the next starts; pages without tables in between are not part of it.
+        pages = F.transform(cut, lambda s: F.filter(s["frags"], lambda x: x["n_cols"].isNotNull()))
+        return F.transform(F.filter(pages, lambda r: F.size(r) > 1), merged)
+
+    zipped = F.arrays_zip(F.col("pages").alias("p"), F.col("page_fragments").alias("f"))
+    return S.let(F.transform(F.transform(zipped, of_page), shaped), runs)
+
+
 def structured_rows(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """Flat structured data and rejects of a nested ``structured`` column."""
     flat = S.unnest(docs, [key], "structured", "s")
@@ -220,23 +320,6 @@ def structured_rows(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, Da
     return ok, bad
 
 
-def with_usage(docs: DataFrame) -> DataFrame:
-    """Add the nine usage counters; token counters are zero without a model."""
-    frags = F.col("fragments")
-
-    def pages_with(kind: str) -> Column:
-        hit = F.filter(frags, lambda f: f["fragment_type"] == kind)
-        return F.size(F.array_distinct(F.transform(hit, lambda f: f["page_number"]))).cast("bigint")
-
-    known = {
-        "pages_parsed": F.size("pages").cast("bigint"),
-        "signature_detected_pages": pages_with("signature"),
-        "strikethrough_detected_pages": pages_with("strikethrough"),
-    }
-    fields = [known.get(c, F.lit(0).cast("bigint")).alias(c) for c in USAGE_COUNTERS]
-    return docs.withColumn("usage", F.struct(*fields))
-
-
 # ---- jobs ----------------------------------------------------------------
 
 
@@ -262,8 +345,16 @@ def _run(docs: DataFrame, cases: Cases, text: str) -> DataFrame:
         )
     if any(c.extraction for c in configs):
         wanted = [(when & ((kind == "extract") | everything), c) for when, c in cases]
-        out = out.withColumn("structured", _case(wanted, _structured, STRUCTURED))
-    return with_usage(out)
+        out = out.withColumn("structured", _case(wanted, lambda c: _structured(c, text), STRUCTURED))
+    if any(c.parsing.merge_tables for c in configs):
+        wanted = [(when & ((kind == "read") | everything), c) for when, c in cases]
+        out = out.withColumn("merged_tables", _case(wanted, _merged_tables, MERGED))
+    output = F.struct(
+        _case(cases, lambda c: F.lit(c.parsing.table_output_mode or "html"), "string").alias("tables"),
+        _case(cases, lambda c: F.lit(c.enrichment.table_summarization), "boolean").alias("table_summaries"),
+        _case(cases, lambda c: F.lit(c.enrichment.figure_summarization), "boolean").alias("figure_summaries"),
+    )
+    return out.withColumn("output", output)
 
 
 def run_dataset(
@@ -307,10 +398,31 @@ def assemble(docs: DataFrame, key: str = "parse_id") -> DataFrame:
     status = F.col("status") if "status" in have else F.lit("successful")
     good = status == "successful"
 
+    how = F.col("output")
+
+    def content(f: Column) -> Column:
+        kind, table = f["fragment_type"], f["fragment_type"] == "table"
+        cells = T.table_cells_of(f["text"])
+        boxed = F.transform(
+            cells, lambda c: F.struct(c.alias("text"), F.lit(None).cast("map<string,double>").alias("bounding_box"))
+        )
+        summary = F.when(table & how["table_summaries"], T.table_summary(cells, F.lit(1), F.size(cells))).when(
+            kind.isin("figure", "chart") & how["figure_summaries"], T.figure_summary(f["text"])
+        )
+        return G.content_struct(
+            kind,
+            f["text"],
+            f["level"],
+            summary,
+            boxed,
+            F.when(how["tables"] == "html", T.html_table(F.array(cells))),
+            F.when(how["tables"] == "markdown", T.markdown_row(cells)),
+        )
+
     def frag(f: Column) -> Column:
         return F.struct(
             f["fragment_type"].alias("fragment_type"),
-            G.content_struct(f["fragment_type"], f["text"], f["level"]).alias("content"),
+            content(f).alias("content"),
             f["reading_order"].cast("bigint").alias("reading_order"),
         )
 
@@ -326,14 +438,15 @@ def assemble(docs: DataFrame, key: str = "parse_id") -> DataFrame:
         ),
     )
     empty = {
-        "chunks": "array<struct<content:string,page_number:int>>",
+        "chunks": CHUNKS,
+        "merged_tables": MERGED,
         "page_classes": "array<struct<page_class:string,page_numbers:array<int>,classification_reasons:map<int,string>>>",
     }
-    sd = "array<struct<data:string,page_numbers:array<int>,schema_name:string>>"
+    sd = f"array<struct<data:string,page_numbers:array<int>,schema_name:string,citations:{CITATIONS}>>"
     structured = (
         F.transform(
             F.filter("structured", lambda s: F.size(s["missing"]) == 0),
-            lambda s: F.struct(s["data"], s["page_numbers"], s["schema_name"]),
+            lambda s: F.struct(s["data"], s["page_numbers"], s["schema_name"], s["citations"]),
         ).cast(sd)
         if "structured" in have else F.lit(None).cast(sd)
     )

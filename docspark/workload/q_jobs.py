@@ -18,7 +18,9 @@ from docspark.workload import tables as t
 from docspark.workload.q_documents import ACCOUNT_SCHEMA, account_text
 from docspark.workload.registry import query
 
-PLAIN = Configuration(ParsingOptions(chunking_strategy="section", ignore_sections=("table",)))
+PLAIN = Configuration(
+    ParsingOptions(chunking_strategy="section", ignore_sections=("table",), signature_detection=True)
+)
 PAGED = Configuration(ParsingOptions(chunking_strategy="page"))
 
 # The filtered fragments renumber nothing: ignoring comes before the chunks.

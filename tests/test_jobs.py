@@ -4,7 +4,7 @@ import pytest
 
 from docspark.operators import validate as V
 from docspark.plans import jobs as Jb
-from docspark.plans.config import Configuration, ExtractionOptions, PageClass, ParsingOptions
+from docspark.plans.config import Configuration, EnrichmentOptions, ExtractionOptions, PageClass, ParsingOptions
 
 SCHEMA = json.dumps({"type": "object", "properties": {"total": {"type": "number"}}, "required": ["total"]})
 FULL = Configuration(
@@ -139,3 +139,57 @@ def test_unknown_ids(spark):
     ok, bad = V.check_known(req, known, "dataset_id")
     assert {r["id"] for r in ok.collect()} == {1, 3}
     assert [(r["id"], r["code"]) for r in bad.collect()] == [(2, "ENTITY_NOT_FOUND")]
+
+
+def job(spark, text, parsing=None, **kw):
+    config = Configuration(ParsingOptions(**(parsing or {})), **kw)
+    docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    return Jb.assemble(Jb.run_dataset(docs, config, "parse"), "doc_id").first()
+
+
+def kinds(r):
+    return [f["fragment_type"] for p in r["pages"] for f in p["page_fragments"]]
+
+
+def test_detections_are_off_by_default(spark):
+    text = "Signed: me\n~~gone~~\nname: Ann\n" + "w" * 60
+    assert kinds(job(spark, text)) == ["title", "section_header", "section_header", "text"]
+    on = job(spark, text, {"signature_detection": True, "remove_strikethrough_lines": True},
+             enrichment=EnrichmentOptions(key_value_extraction=True))
+    assert kinds(on) == ["signature", "key_value_region", "text"]
+    assert on["usage"]["signature_detected_pages"] == 1 and on["usage"]["strikethrough_detected_pages"] == 1
+
+
+def test_layout_detection_off(spark):
+    r = job(spark, "# a\n| b | c |\n", {"disable_layout_detection": True})
+    assert kinds(r) == ["text"] and r["chunks"][0]["content"] == "# a\n| b | c |"
+
+
+def test_table_output(spark):
+    text = "| a & b | c |"
+    html = job(spark, text)["pages"][0]["page_fragments"][0]["content"]["table"]
+    assert html["html"] == "<table><tr><td>a &amp; b</td><td>c</td></tr></table>" and html["markdown"] is None
+    assert [c["text"] for c in html["cells"]] == ["a & b", "c"] and html["summary"] is None
+    md = job(spark, text, {"table_output_mode": "markdown"}, enrichment=EnrichmentOptions(table_summarization=True))
+    table = md["pages"][0]["page_fragments"][0]["content"]["table"]
+    assert table["markdown"] == "| a & b | c |" and table["html"] is None
+    assert table["summary"] == "1 rows, 2 columns; first row: a & b, c"
+
+
+def test_merged_tables_in_results(spark):
+    text = "a | b\nc | d\fe | f\fno table on this page but a line that is long enough\fg | h\fi | j | k\fl | m | n\fo | p | q"
+    assert job(spark, text)["merged_tables"] is None
+    got = job(spark, text, {"merge_tables": True})["merged_tables"]
+    assert [(m["start_page"], m["end_page"], m["pages_merged"], m["merge_actions"]["target_columns"]) for m in got] == [
+        (1, 2, 2, 2), (5, 7, 3, 3),
+    ]
+    assert got[0]["merged_table_html"].count("<tr>") == 3 and got[1]["merge_actions"]["pages"] == [5, 6, 7]
+
+
+def test_citations_on_request(spark):
+    text = "x" * 90 + "\f" + "y" * 20 + "\ntotal: 12.5\n"
+    options = ExtractionOptions("s", SCHEMA, provide_citations=True)
+    got = job(spark, text, extraction=(options,))["structured_data"][0]
+    assert [tuple(c) for c in got["citations"]] == [("total", 2, text.index("12.5"))]
+    plain = job(spark, text, extraction=(ExtractionOptions("s", SCHEMA),))["structured_data"][0]
+    assert plain["citations"] is None
