@@ -158,6 +158,11 @@ def html_text(markup: Column) -> Column:
     return F.trim(F.regexp_replace(t, r"[ \t\r\n]+", " "))
 
 
+def html_visible(html) -> Column:
+    """The whole visible text of a page."""
+    return html_text(F.regexp_replace(S._c(html), HIDDEN, ""))
+
+
 def html_segments(html) -> Column:
     """Markup cut at block elements, in document order.
 
@@ -208,7 +213,7 @@ def html_fragments(html) -> Column:
     return F.transform(
         typed,
         lambda f, i: F.struct(
-            F.lit(1).alias("page_number"),
+            F.lit(1).cast("int").alias("page_number"),
             i.cast("int").alias("reading_order"),
             f["fragment_type"].alias("fragment_type"),
             f["level"].alias("level"),

@@ -62,6 +62,7 @@ def route(docs: DataFrame, routes: DataFrame) -> DataFrame:
 # A condition on the row, and the configuration that applies under it.
 Cases = Sequence[tuple[Column, Configuration]]
 
+FRAGMENTS = "array<array<struct<page_number:int,reading_order:int,fragment_type:string,level:int,text:string>>>"
 CHUNKS = "array<struct<content:string,page_number:int>>"
 BEST = "array<struct<page_class:string,score:double,reason:string>>"
 CITATIONS = "array<struct<field:string,page_number:int,offset:int>>"
@@ -118,12 +119,26 @@ def _parse(docs: DataFrame, cases: Cases, text: str) -> DataFrame:
 
     Usage counts what was detected, so it is taken before anything is removed.
     """
-    out = P.with_pages(docs, text)
+    kind = FRAGMENTS
+    typed = _case(cases, _typed_fragments, kind)
+    if "mime_type" in docs.columns:
+        # A web page is one page; its text is what a reader sees.
+        web = F.coalesce(F.col("mime_type") == "text/html", F.lit(False))
+        out = docs.withColumn("page_text", F.when(web, G.html_visible(text)).otherwise(F.col(text)))
+        one = F.array(F.struct(
+            F.lit(1).alias("page_number"), F.lit(0).alias("start"), F.length("page_text").alias("end"),
+            F.col("page_text").alias("text"),
+        )).cast(P.PAGE_STRUCT)
+        out = out.withColumn("pages", F.when(web, one).otherwise(P.page_array("page_text")))
+        out = out.withColumn("total_pages", F.size("pages"))
+        of_web = F.transform("pages", lambda p: G.html_fragments(text)).cast(kind)
+        typed = F.when(web, of_web).otherwise(typed)
+    else:
+        out = P.with_pages(docs.withColumn("page_text", F.col(text)), text)
     if "page_range" in docs.columns:
         out = P.keep_pages(out, "page_range")
-    kind = docs.sparkSession.range(0).select(G.page_fragments(F.lit(None).cast(P.PAGE_STRUCT)).alias("f")).schema["f"].dataType
-    out = out.withColumn("page_fragments", _case(cases, _typed_fragments, kind))
-    out = with_usage(out).withColumn("page_fragments", _case(cases, _kept_fragments, kind))
+    out = with_usage(out.withColumn("page_fragments", typed))
+    out = out.withColumn("page_fragments", _case(cases, _kept_fragments, kind))
     return out.withColumn("fragments", F.flatten("page_fragments"))
 
 
@@ -208,13 +223,13 @@ def with_page_classes(docs: DataFrame) -> DataFrame:
     return docs.withColumn("page_classes", S.let(labels, grouped))
 
 
-def _citations(part_text: Column, struct, text: str) -> Column:
+def _citations(part_text: Column, struct) -> Column:
     """Where the scalar fields of a partition stand in the document: page and offset."""
     entries = []
     for f in struct.fields:
         if X.by_line(f.dataType):
             raw = F.coalesce(X.field_text(part_text, f.name), F.get_json_object(part_text, f"$.{f.name}"))
-            at = F.instr(F.col(text), S.blank_to_null(raw)) - 1
+            at = F.instr(F.col("page_text"), S.blank_to_null(raw)) - 1
             entries.append(
                 F.struct(F.lit(f.name).alias("field"), X.cite_in_row("pages", at).alias("page_number"), at.alias("offset"))
             )
@@ -223,7 +238,7 @@ def _citations(part_text: Column, struct, text: str) -> Column:
     return F.filter(F.array(*entries), lambda e: e["offset"] >= 0)
 
 
-def _objects(options: ExtractionOptions, text: str) -> Column:
+def _objects(options: ExtractionOptions) -> Column:
     """Objects of one schema: ``[{data, page_numbers, schema_name, missing, citations}]``."""
     struct = J.json_schema_to_struct(options.json_schema)
     needed = J.required(options.json_schema)
@@ -239,7 +254,7 @@ def _objects(options: ExtractionOptions, text: str) -> Column:
 
     def one(s: Column) -> Column:
         part = F.array_join(F.transform(s["frags"], lambda f: f["text"]), "\n")
-        cited = _citations(part, struct, text) if options.provide_citations else F.lit(None).cast(CITATIONS)
+        cited = _citations(part, struct) if options.provide_citations else F.lit(None).cast(CITATIONS)
         pages = F.array_sort(F.array_distinct(F.transform(s["frags"], lambda f: f["page_number"])))
         return S.let(
             X.extract_struct(part, struct),
@@ -255,9 +270,9 @@ def _objects(options: ExtractionOptions, text: str) -> Column:
     return F.transform(cut, one)
 
 
-def _structured(config: Configuration, text: str) -> Column | None:
+def _structured(config: Configuration) -> Column | None:
     """Objects of every schema, with missing required fields noted."""
-    parts = [_objects(o, text) for o in config.extraction]
+    parts = [_objects(o) for o in config.extraction]
     if not parts:
         return None
     return F.concat(*parts) if len(parts) > 1 else parts[0]
@@ -345,7 +360,7 @@ def _run(docs: DataFrame, cases: Cases, text: str) -> DataFrame:
         )
     if any(c.extraction for c in configs):
         wanted = [(when & ((kind == "extract") | everything), c) for when, c in cases]
-        out = out.withColumn("structured", _case(wanted, lambda c: _structured(c, text), STRUCTURED))
+        out = out.withColumn("structured", _case(wanted, _structured, STRUCTURED))
     if any(c.parsing.merge_tables for c in configs):
         wanted = [(when & ((kind == "read") | everything), c) for when, c in cases]
         out = out.withColumn("merged_tables", _case(wanted, _merged_tables, MERGED))

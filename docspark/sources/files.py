@@ -74,6 +74,35 @@ def ingest_files(
     )
 
 
+TEXT_TYPES = ("text/plain", "text/markdown", "text/x-markdown", "text/html", "text/csv", "text/xml")
+
+
+def read_documents(spark: SparkSession, path: str, limit: int = MAX_FILE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Files with their text, ready for a job; other types are rejects.
+
+    A type that is not text is rejected on its name alone, before its bytes
+    are read.
+    """
+    raw = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .where(F.col("length") <= limit)
+        .withColumn("file_name", F.element_at(F.split("path", "/"), -1))
+        .withColumn("mime_type", mime_type("file_name"))
+    )
+    readable = F.col("mime_type").isin(*TEXT_TYPES)
+    docs = raw.where(readable).select(
+        file_id_of("content").alias("file_id"), "file_name", "mime_type",
+        # Broken bytes become replacement characters instead of failing the job.
+        F.make_valid_utf8(F.col("content").cast("string")).alias("text"),
+    )
+    rejects = raw.where(~readable).select(
+        "file_name", "mime_type", F.lit("INVALID_MIME_TYPE").alias("code"), F.lit("no text reader for this type").alias("message")
+    )
+    return docs, rejects
+
+
 def from_raw_text(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Raw text without an upload: checksum, content id and size in bytes."""
     return (

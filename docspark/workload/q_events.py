@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from docspark.operators import events as E
+from docspark.schemas import PARSE_EVENT
+from docspark.session import shared_dir
 from docspark.streaming import feeds
 from docspark.workload import tables as t
 from docspark.workload.registry import query
@@ -130,6 +132,22 @@ def job_state_stream(spark, sf_dir):
     return feeds.run_job_state(spark, path).select("job_id", "status", "error")
 
 
+@query("udf_1_update_callback", f"""WITH {JUDGED},
+s AS (SELECT job_id, min(seq) AS stop FROM jd WHERE kind <> 'go' GROUP BY job_id)
+SELECT jd.job_id, jd.seq, jd.name FROM jd LEFT JOIN s ON s.job_id = jd.job_id
+WHERE (stop IS NULL OR seq <= stop) AND kind IN ('go', 'done', 'failed')""")
+def update_callback(spark, sf_dir):
+    """A user's callback sees every update row of the stream; this one stores them."""
+    work = shared_dir(spark)
+
+    def on_update(rows, batch_id):
+        rows.write.mode("overwrite").parquet(f"{work}/seen/batch_id={batch_id}")
+
+    feed = feeds.read_feed(spark, feeds.stage(t.job_events(spark, sf_dir), "updates"), PARSE_EVENT)
+    feeds.updates_to(feed, f"{work}/out", f"{work}/checkpoint", on_update).awaitTermination()
+    return spark.read.parquet(f"{work}/seen").select("job_id", "seq", "name")
+
+
 @query("str_3_follow_stream", f"WITH {FOLLOW} SELECT run_id, seq, line, stream, error FROM fo")
 def follow_stream(spark, sf_dir):
     path = feeds.stage(t.run_output(spark, sf_dir), "run_output")

@@ -15,7 +15,7 @@ from docspark.session import shared_dir
 from docspark.streaming import feeds, ingest
 from docspark.workload import doc_sql as D
 from docspark.workload import tables as t
-from docspark.workload.q_documents import ACCOUNT_SCHEMA, account_text
+from docspark.workload.q_documents import ACCOUNT_SCHEMA, HTML, account_text
 from docspark.workload.registry import query
 
 PLAIN = Configuration(
@@ -55,27 +55,31 @@ def run_dataset(spark, sf_dir):
     return c.select("doc_id", (F.col("z.i") + lead).cast("int").alias("chunk_no"), "z.c.page_number", "z.c.content")
 
 
-PRESETS = {"en": ("d0", PLAIN), "fr": ("d1", PAGED)}
+PRESETS = {
+    "en": ("d0", PLAIN),
+    "fr": ("d1", PAGED),
+    "de": ("d2", Configuration(ParsingOptions(chunking_strategy="fragment"))),
+    "es": ("d3", Configuration()),
+}
+_DATASET = " ".join(f"WHEN '{lang}' THEN '{name}'" for lang, (name, _) in PRESETS.items())
 
 
 @query("doc_19_run_jobs", f"""WITH {D.PAGES}, {D.fragments("pg", "all_fr")},
 fr AS (SELECT * FROM all_fr WHERE NOT (lang = 'en' AND fragment_type = 'table')), {D.marked()},
-ch AS (SELECT doc_id, lang, CASE WHEN lang = 'en' THEN section_id ELSE page_number END AS k FROM md GROUP BY ALL),
+ch AS (SELECT DISTINCT doc_id, CASE lang WHEN 'en' THEN section_id WHEN 'fr' THEN page_number WHEN 'de' THEN pos ELSE 0 END AS k FROM md),
 n AS (SELECT doc_id, count(*) AS chunks FROM ch GROUP BY doc_id),
 m AS (SELECT doc_id, count(*) AS fragments FROM fr GROUP BY doc_id),
-r AS (SELECT DISTINCT doc_id, CASE lang WHEN 'en' THEN 'd0' ELSE 'd1' END AS dataset_id, total_pages,
-        CASE doc_id % 3 WHEN 0 THEN 'read' WHEN 1 THEN 'parse' ELSE 'dataset' END AS job_type FROM pg WHERE lang IN ('en', 'fr'))
+r AS (SELECT DISTINCT doc_id, CASE lang {_DATASET} END AS dataset_id, total_pages,
+        CASE doc_id % 3 WHEN 0 THEN 'read' WHEN 1 THEN 'parse' ELSE 'dataset' END AS job_type FROM pg)
 SELECT doc_id AS parse_id, dataset_id, job_type, 'successful' AS status, total_pages, coalesce(chunks, 1) AS chunks, coalesce(fragments, 0) AS fragments,
        CAST(total_pages AS BIGINT) AS pages_parsed
 FROM r LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)""")
 def run_jobs(spark, sf_dir):
-    """Requests of two datasets and several job types, as nested results."""
-    d = t.load(spark, sf_dir, "documents").where(F.col("lang").isin("en", "fr"))
+    """Requests of four datasets and several job types, as nested results of one scan."""
+    d = t.load(spark, sf_dir, "documents")
     kind = F.when(F.col("doc_id") % 3 == 0, "read").when(F.col("doc_id") % 3 == 1, "parse").otherwise("dataset")
-    requests = d.select(
-        F.col("doc_id").alias("parse_id"), "text",
-        F.when(F.col("lang") == "en", "d0").otherwise("d1").alias("dataset_id"), kind.alias("job_type"),
-    )
+    dataset = t._case("lang", {lang: name for lang, (name, _) in PRESETS.items()})
+    requests = d.select(F.col("doc_id").alias("parse_id"), "text", dataset.alias("dataset_id"), kind.alias("job_type"))
     out = jobs.run_jobs(requests, dict(PRESETS.values()))
     frag_count = F.aggregate("pages", F.lit(0), lambda a, p: a + F.size(p["page_fragments"]))
     return out.select(
@@ -85,6 +89,24 @@ def run_jobs(spark, sf_dir):
     )
 
 
+@query("doc_19_web_pages", f"""WITH {HTML},
+h AS (SELECT page_id, count(*) AS fragments, count(*) FILTER (WHERE fragment_type IN ('title', 'section_header')) AS headers,
+   max(CASE WHEN fragment_type = 'title' THEN text END) AS title, min(CASE WHEN fragment_type IN ('title', 'section_header') THEN reading_order END) AS first_header
+ FROM hf WHERE fragment_type NOT IN ('page_header', 'page_footer') GROUP BY page_id)
+SELECT page_id, fragments, headers + CASE WHEN first_header IS NULL OR first_header > 1 THEN 1 ELSE 0 END AS chunks, title FROM h""")
+def web_pages(spark, sf_dir):
+    """Fetched pages as a job: navigation and footers ignored, chunks by section."""
+    config = Configuration(ParsingOptions(chunking_strategy="section", ignore_sections=("page_header", "page_footer")))
+    web = t.load(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"), F.lit("text/html").alias("mime_type"))
+    out = jobs.assemble(jobs.run_dataset(web, config, "read", "page_id"), "page_id")
+    frags = F.get("pages", F.lit(0))["page_fragments"]
+    title = F.get(F.filter(frags, lambda f: f["fragment_type"] == "title"), F.lit(0))["content"]["header"]["content"]
+    return out.select(
+        "page_id", F.size(frags).cast("bigint").alias("fragments"), F.size("chunks").cast("bigint").alias("chunks"),
+        title.alias("title"),
+    )
+
+
 ACCOUNTS = Configuration(
     ParsingOptions(chunking_strategy="fragment"),
     extraction=(

@@ -193,3 +193,30 @@ def test_citations_on_request(spark):
     assert [tuple(c) for c in got["citations"]] == [("total", 2, text.index("12.5"))]
     plain = job(spark, text, extraction=(ExtractionOptions("s", SCHEMA),))["structured_data"][0]
     assert plain["citations"] is None
+
+
+def test_web_pages_and_texts_in_one_job(spark):
+    html = "<html><head><title>t</title></head><body><nav>menu</nav><h1>Head</h1><p>some text about an invoice total<p>more</body>"
+    rows = [(1, html, "text/html"), (2, "# Head\nplain", "text/plain"), (3, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, mime_type string")
+    config = Configuration(ParsingOptions(chunking_strategy="section"), page_classes=(PageClass("invoice", "invoice total"),))
+    got = {r["doc_id"]: r for r in Jb.assemble(Jb.run_dataset(docs, config, "parse"), "doc_id").collect()}
+    assert kinds(got[1]) == ["page_header", "title", "text", "text"] and got[1]["total_pages"] == 1
+    assert [c["page_class"] for c in got[1]["page_classes"]] == ["invoice"]
+    assert kinds(got[2]) == ["section_header", "section_header"] and got[2]["page_classes"] == []
+    assert kinds(got[3]) == ["title"]
+
+
+def test_read_documents(spark, tmp_path):
+    from docspark.sources import files as files_src
+
+    (tmp_path / "a.html").write_text("<h1>Tïtle</h1>")
+    (tmp_path / "b.txt").write_text("plain é")
+    (tmp_path / "c.pdf").write_bytes(b"%PDF")
+    docs, rejects = files_src.read_documents(spark, str(tmp_path))
+    assert {r["file_name"]: (r["mime_type"], r["text"]) for r in docs.collect()} == {
+        "a.html": ("text/html", "<h1>Tïtle</h1>"), "b.txt": ("text/plain", "plain é"),
+    }
+    assert [(r["file_name"], r["code"]) for r in rejects.collect()] == [("c.pdf", "INVALID_MIME_TYPE")]
+    out = Jb.assemble(Jb.run_dataset(docs, Configuration(), "read", "file_id"), "file_id")
+    assert out.count() == 2
