@@ -8,6 +8,8 @@ holds each rank, and only those ranges are ranked row by row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,14 +32,33 @@ def _rank(p: float, n: Column) -> Column:
     return F.greatest(F.least(F.ceil(F.lit(p) * n.cast("double")), n), F.lit(1)).cast("bigint")
 
 
+def _join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on group keys, NULL groups included.
+
+    Null-safe equality also keeps the optimizer from adding a not-null filter to
+    one branch only, so branches over the same counts share one shuffle.
+    """
+    other = right.select(
+        *[F.col(k).alias(f"_r_{k}") for k in keys], *[F.col(f"`{c}`") for c in right.columns if c not in keys]
+    )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(other, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Rows per distinct value and group: what all statistics are made from."""
+    return df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c")
+    )
+
+
 def nearest_rank(df: DataFrame, by: Sequence[str], value: str, range_width: int = RANGE_NS) -> DataFrame:
     """Long form ``(by…, pct, value)`` of every percentile level."""
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_range", F.expr(f"_v div {range_width}"))
-    )
+    return _ranks(value_counts(df, by, value), by, range_width)
+
+
+def _ranks(value_count: DataFrame, by: Sequence[str], range_width: int) -> DataFrame:
+    counts = value_count.withColumn("_range", F.expr(f"_v div {range_width}"))
     group = Window.partitionBy(*by)
     upto = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranges = (
@@ -49,7 +70,7 @@ def nearest_rank(df: DataFrame, by: Sequence[str], value: str, range_width: int
     wanted = F.array(*[
         F.struct(F.lit(name).alias("pct"), _rank(p, F.col("_n")).alias("rank")) for name, p in LEVELS.items()
     ])
-    # First rank of each level that falls into this range.
+    # Ranges that hold a wanted rank: at most as many as there are levels.
     hits = (
         ranges.withColumn("_before", F.col("_through") - F.col("_rc"))
         .withColumn(
@@ -63,7 +84,7 @@ def nearest_rank(df: DataFrame, by: Sequence[str], value: str, range_width: int
         Window.unboundedPreceding, Window.currentRow
     )
     return (
-        counts.join(hits, [*by, "_range"])
+        _join_groups(counts, hits, [*by, "_range"])
         .withColumn("_hi", F.col("_before") + F.sum("_c").over(inside))
         .withColumn("_lo", F.col("_hi") - F.col("_c"))
         .withColumn("_at", F.filter("_hits", lambda w: (w["rank"] > F.col("_lo")) & (w["rank"] <= F.col("_hi"))))
@@ -78,12 +99,16 @@ def moments(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     Sums are exact decimals, so the result does not depend on the order in
     which partitions are merged.
     """
+    return _moments(value_counts(df, by, value), by)
+
+
+def _moments(value_count: DataFrame, by: Sequence[str]) -> DataFrame:
     big = "decimal(38,0)"
-    x = F.col(value).cast(big)
-    sums = df.where(F.col(value).isNotNull()).groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(x).cast(big).alias("_s"),
-        F.sum((x * x).cast(big)).cast(big).alias("_q"),
+    v, c = F.col("_v").cast(big), F.col("_c").cast(big)
+    sums = value_count.groupBy(*by).agg(
+        F.sum("_c").alias("_n"),
+        F.sum((v * c).cast(big)).cast(big).alias("_s"),
+        F.sum(((v * v).cast(big) * c).cast(big)).cast(big).alias("_q"),
     )
     # sum (x-m)^2 = q - 2*m*s + n*m^2
     m = F.col("_m").cast(big)
@@ -97,11 +122,12 @@ def moments(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 def latency_summary(df: DataFrame, by: Sequence[str], value: str, range_width: int = RANGE_NS) -> DataFrame:
     """One row per group with the ten report rows as columns."""
-    pct = nearest_rank(df, by, value, range_width)
+    counts = value_counts(df, by, value)
+    pct = _ranks(counts, by, range_width)
     wide = pct.groupBy(*by).agg(*[
         F.max(F.when(F.col("pct") == name, F.col("value"))).alias(name) for name in LEVELS
     ])
-    return moments(df, by, value).join(wide, list(by)).select(*by, "n", *[F.col(f"`{r}`") for r in ROWS])
+    return _join_groups(_moments(counts, by), wide, by).select(*by, "n", *[F.col(f"`{r}`") for r in ROWS])
 
 
 def outcome_counts(df: DataFrame, by: Sequence[str], error: str, started: str, ended: str) -> DataFrame:
@@ -117,7 +143,7 @@ def run_report(df: DataFrame, by: Sequence[str], value: str, error: str, started
     """Outcome counts and statistics; a group without successes reports zeros."""
     ok, _ = split_outcome(df, error)
     stats = latency_summary(ok, by, value).drop("n")
-    out = outcome_counts(df, by, error, started, ended).join(stats, list(by), "left")
+    out = _join_groups(outcome_counts(df, by, error, started, ended), stats, by, "left")
     return out.fillna(0, subset=[f"`{r}`" if "." in r else r for r in ROWS])
 
 

@@ -58,3 +58,9 @@ def test_repeats(spark):
     df = spark.createDataFrame([(1, 0, 10), (1, 1, 30)], "level int, rep int, ns bigint")
     rows = {r["row"]: r for r in L.repeat_summary(df, "level", "rep", "ns").collect()}
     assert (rows["P50"]["mean"], rows["P50"]["stddev"], rows["P50"]["repeats"]) == (20.0, 10.0, 2)
+
+
+def test_null_groups_are_groups(spark):
+    df = spark.createDataFrame([(None, 4), (None, 6), (1, 9)], "g int, ns bigint")
+    got = {r["g"]: (r["n"], r["Mean"], r["Max"]) for r in L.latency_summary(df, ["g"], "ns").collect()}
+    assert got == {None: (2, 5, 6), 1: (1, 9, 9)}
