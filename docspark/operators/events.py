@@ -247,7 +247,7 @@ def collect_output(
         "part_no",
         F.get("_l", F.lit(0))["line_no"].alias("first_line"),
         F.transform("_l", lambda x: x["line"]).alias("lines"),
-        F.size("_l").alias("part_line_count"),
+        F.size("_l").cast("bigint").alias("part_line_count"),
     )
 
 

@@ -56,14 +56,14 @@ def render_tables(rows: DataFrame, mode: str = "html", key: str = "doc_id") -> D
     line = html_row("cells") if mode == "html" else markdown_row("cells")
     lines = F.array_sort(F.collect_list(F.struct("row_no", line.alias("line"))))
     grouped = rows.groupBy(key, "page_number").agg(
-        lines.alias("_lines"), F.count(F.lit(1)).alias("n_rows"), F.max(F.size("cells")).alias("n_cols")
+        lines.alias("_lines"), F.count(F.lit(1)).alias("n_rows"), F.max(F.size("cells")).cast("bigint").alias("n_cols")
     )
     joined = F.transform("_lines", lambda x: x["line"])
     if mode == "html":
         body = F.array_join(joined, "")
         content = F.concat(F.lit("<table>"), body, F.lit("</table>"))
     else:
-        rule = F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), F.col("n_cols")))
+        rule = F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), F.col("n_cols").cast("int")))
         content = F.array_join(F.concat(F.slice(joined, 1, 1), F.array(rule), F.slice(joined, 2, F.size(joined))), "\n")
     return grouped.select(key, "page_number", "n_rows", "n_cols", content.alias("content"))
 
@@ -168,7 +168,7 @@ def summarize_tables(
     grouped = rows.groupBy(key, "page_number").agg(
         F.min_by("cells", "row_no").alias("_first"),
         F.count(F.lit(1)).alias("n_rows"),
-        F.max(F.size("cells")).alias("n_cols"),
+        F.max(F.size("cells")).cast("bigint").alias("n_cols"),
     )
     if not enabled:
         return grouped.select(key, "page_number", F.lit(None).cast("string").alias("summary"))

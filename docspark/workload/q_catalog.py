@@ -76,8 +76,8 @@ def page_range(spark, sf_dir):
     flat = pages.split_pages(d)
     i = F.col("doc_id")
     own = F.when(i % 3 == 1, "2-4").when(i % 3 == 2, "x")
-    const = pages.select_pages(flat, "1-2,5").select("doc_id", "page_number", F.length("text").alias("chars"))
-    per_doc = pages.select_pages(flat, own).select((-1 - i).alias("doc_id"), "page_number", F.length("text").alias("chars"))
+    const = pages.select_pages(flat, "1-2,5").select("doc_id", "page_number", F.length("text").cast("bigint").alias("chars"))
+    per_doc = pages.select_pages(flat, own).select((-1 - i).alias("doc_id"), "page_number", F.length("text").cast("bigint").alias("chars"))
     return const.unionByName(per_doc)
 
 

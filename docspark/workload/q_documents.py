@@ -36,7 +36,7 @@ def flagship(spark, sf_dir):
             "lang",
             F.size("sizes").alias("chunks"),
             F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("chars"),
-            F.array_max("sizes").alias("longest"),
+            F.array_max("sizes").cast("bigint").alias("longest"),
         ).alias("stats"),
     )
     unique = rows.groupBy("sha").agg(F.min_by("stats", "doc_id").alias("s")).select("s.*")
@@ -316,7 +316,7 @@ WHERE (doc_id, page_number) IN (SELECT doc_id, page_number FROM lab WHERE page_c
 def pages_in_classes(spark, sf_dir):
     p = pages.split_pages(t.load(spark, sf_dir, "documents"))
     return classify.pages_in_classes(p, _labels(spark, sf_dir), ["item 1", "item 3", "item 7"]).select(
-        "doc_id", "page_number", F.length("text").alias("chars")
+        "doc_id", "page_number", F.length("text").cast("bigint").alias("chars")
     )
 
 

@@ -38,7 +38,7 @@ def web_pages(spark, sf_dir):
     joined = files_src.from_web_pages(first.unionByName(again), web)
     ids = web.select("page_id", F.col("url").alias("file_url"))
     return joined.join(ids, "file_url", "left").select(
-        "file_url", "page_id", "request_id", F.length("html").alias("html_chars")
+        "file_url", "page_id", "request_id", F.length("html").cast("bigint").alias("html_chars")
     )
 
 
