@@ -1,8 +1,8 @@
 """Exact latency statistics: nearest-rank percentiles, truncated mean, spread.
 
 ``percentile_disc`` keeps every distinct value of a group in one task.  Here a
-group is cut into value ranges instead: per-range counts locate the range that
-holds each rank, and only those ranges are ranked row by row.
+group is cut into value ranges instead: counts per range locate the range that
+holds each rank, and only those ranges are cut further, down to single values.
 """
 
 from __future__ import annotations
@@ -18,7 +18,10 @@ from pyspark.sql import functions as F
 LEVELS = {"Min": 0.0, "P50": 0.50, "P75": 0.75, "P90": 0.90, "P95": 0.95, "P99": 0.99, "P99.9": 0.999, "Max": 1.0}
 ROWS = ("Min", "Mean", "Stddev", "P50", "P75", "P90", "P95", "P99", "P99.9", "Max")
 
-RANGE_NS = 1 << 20
+# Range widths of the search.  A 64-bit value has at most 2**21 ranges of the
+# first width, a range holds at most 2**21 of the next, so no window is longer
+# than that, whatever the values are.
+WIDTHS = (1 << 42, 1 << 21, 1)
 
 
 def split_outcome(runs: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
@@ -52,44 +55,47 @@ def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     )
 
 
-def nearest_rank(df: DataFrame, by: Sequence[str], value: str, range_width: int = RANGE_NS) -> DataFrame:
+def nearest_rank(
+    df: DataFrame, by: Sequence[str], value: str, widths: Sequence[int] = WIDTHS
+) -> DataFrame:
     """Long form ``(by…, pct, value)`` of every percentile level."""
-    return _ranks(value_counts(df, by, value), by, range_width)
-
-
-def _ranks(value_count: DataFrame, by: Sequence[str], range_width: int) -> DataFrame:
-    counts = value_count.withColumn("_range", F.expr(f"_v div {range_width}"))
-    group = Window.partitionBy(*by)
-    upto = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranges = (
-        counts.groupBy(*by, "_range")
-        .agg(F.sum("_c").alias("_rc"))
-        .withColumn("_n", F.sum("_rc").over(group))
-        .withColumn("_through", F.sum("_rc").over(upto))
-    )
-    wanted = F.array(*[
-        F.struct(F.lit(name).alias("pct"), _rank(p, F.col("_n")).alias("rank")) for name, p in LEVELS.items()
-    ])
-    # Ranges that hold a wanted rank: at most as many as there are levels.
-    hits = (
-        ranges.withColumn("_before", F.col("_through") - F.col("_rc"))
-        .withColumn(
-            "_hits",
-            F.filter(wanted, lambda w: (w["rank"] > F.col("_before")) & (w["rank"] <= F.col("_through"))),
+    return _ranks(value_counts(df, by, value), by, widths)
+
+
+def _ranks(counts: DataFrame, by: Sequence[str], widths: Sequence[int]) -> DataFrame:
+    """Locate each wanted rank in ever narrower value ranges, down to one value.
+
+    A step keeps, per group, only the ranges that hold a wanted rank (at most
+    one per level), with the number of rows before the range.
+    """
+    found = None
+    for step, width in enumerate(widths):
+        if found is None:
+            kept = counts.withColumn("_parent", F.lit(0).cast("bigint"))
+            facts = []
+        else:
+            kept = _join_groups(
+                counts.withColumn("_parent", F.expr(f"_v div {widths[step - 1]}")), found, [*by, "_parent"]
+            )
+            facts = [F.first("_before").alias("_before"), F.first("_hits").alias("_hits")]
+        group = Window.partitionBy(*by, "_parent")
+        upto = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = kept.groupBy(*by, "_parent", F.expr(f"_v div {width}").alias("_range")).agg(F.sum("_c").alias("_rc"), *facts)
+        if found is None:
+            sums = sums.withColumn("_n", F.sum("_rc").over(group)).withColumn("_before", F.lit(0).cast("bigint"))
+            sums = sums.withColumn("_hits", F.array(*[
+                F.struct(F.lit(name).alias("pct"), _rank(p, F.col("_n")).alias("rank")) for name, p in LEVELS.items()
+            ]))
+        ranked = sums.withColumn("_hi", F.col("_before") + F.sum("_rc").over(upto)).withColumn(
+            "_lo", F.col("_hi") - F.col("_rc")
         )
-        .where(F.size("_hits") > 0)
-        .select(*by, "_range", "_before", "_hits")
-    )
-    inside = Window.partitionBy(*by, "_range").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return (
-        _join_groups(counts, hits, [*by, "_range"])
-        .withColumn("_hi", F.col("_before") + F.sum("_c").over(inside))
-        .withColumn("_lo", F.col("_hi") - F.col("_c"))
-        .withColumn("_at", F.filter("_hits", lambda w: (w["rank"] > F.col("_lo")) & (w["rank"] <= F.col("_hi"))))
-        .select(*by, F.explode("_at").alias("_w"), F.col("_v").alias("value"))
-        .select(*by, F.col("_w.pct").alias("pct"), "value")
+        here = F.filter("_hits", lambda w: (w["rank"] > F.col("_lo")) & (w["rank"] <= F.col("_hi")))
+        found = (
+            ranked.select(*by, F.col("_range").alias("_parent"), F.col("_lo").alias("_before"), here.alias("_hits"))
+            .where(F.size("_hits") > 0)
+        )
+    return found.select(*by, F.explode("_hits").alias("_w"), F.col("_parent").alias("value")).select(
+        *by, F.col("_w.pct").alias("pct"), "value"
     )
 
 
@@ -120,10 +126,10 @@ def _moments(value_count: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def latency_summary(df: DataFrame, by: Sequence[str], value: str, range_width: int = RANGE_NS) -> DataFrame:
+def latency_summary(df: DataFrame, by: Sequence[str], value: str, widths: Sequence[int] = WIDTHS) -> DataFrame:
     """One row per group with the ten report rows as columns."""
     counts = value_counts(df, by, value)
-    pct = _ranks(counts, by, range_width)
+    pct = _ranks(counts, by, widths)
     wide = pct.groupBy(*by).agg(*[
         F.max(F.when(F.col("pct") == name, F.col("value"))).alias(name) for name in LEVELS
     ])
@@ -147,9 +153,9 @@ def run_report(df: DataFrame, by: Sequence[str], value: str, error: str, started
     return out.fillna(0, subset=[f"`{r}`" if "." in r else r for r in ROWS])
 
 
-def repeat_summary(df: DataFrame, level: str, repeat: str, value: str, range_width: int = RANGE_NS) -> DataFrame:
+def repeat_summary(df: DataFrame, level: str, repeat: str, value: str, widths: Sequence[int] = WIDTHS) -> DataFrame:
     """Statistic per (level, repeat), then mean and population deviation over repeats."""
-    per_repeat = latency_summary(df, [level, repeat], value, range_width)
+    per_repeat = latency_summary(df, [level, repeat], value, widths)
     long = per_repeat.select(
         level,
         F.explode(
