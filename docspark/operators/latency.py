@@ -66,35 +66,39 @@ def _ranks(counts: DataFrame, by: Sequence[str], widths: Sequence[int]) -> DataF
     """Locate each wanted rank in ever narrower value ranges, down to one value.
 
     A step keeps, per group, only the ranges that hold a wanted rank (at most
-    one per level), with the number of rows before the range.
+    one per level), with the group's size and the number of rows before the
+    range.  Those are carried as plain numbers, so every step is a hash
+    aggregate.
     """
+    wanted = F.array(*[
+        F.struct(F.lit(name).alias("pct"), _rank(p, F.col("_n")).alias("rank")) for name, p in LEVELS.items()
+    ])
+
+    def here(w: Column) -> Column:
+        return (w["rank"] > F.col("_before")) & (w["rank"] <= F.col("_through"))
+
+    inside = [*by, "_parent"]
+    group = Window.partitionBy(*inside)
+    upto = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = None
     for step, width in enumerate(widths):
         if found is None:
-            kept = counts.withColumn("_parent", F.lit(0).cast("bigint"))
-            facts = []
+            kept, carried = counts.withColumn("_parent", F.lit(0).cast("bigint")), []
         else:
-            kept = _join_groups(
-                counts.withColumn("_parent", F.expr(f"_v div {widths[step - 1]}")), found, [*by, "_parent"]
-            )
-            facts = [F.first("_before").alias("_before"), F.first("_hits").alias("_hits")]
-        group = Window.partitionBy(*by, "_parent")
-        upto = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        sums = kept.groupBy(*by, "_parent", F.expr(f"_v div {width}").alias("_range")).agg(F.sum("_c").alias("_rc"), *facts)
+            parent = counts.withColumn("_parent", F.expr(f"_v div {widths[step - 1]}"))
+            kept = _join_groups(parent, found, inside)
+            carried = [F.max("_before").alias("_start"), F.max("_n").alias("_n")]
+        sums = kept.groupBy(*inside, F.expr(f"_v div {width}").alias("_range")).agg(F.sum("_c").alias("_rc"), *carried)
         if found is None:
-            sums = sums.withColumn("_n", F.sum("_rc").over(group)).withColumn("_before", F.lit(0).cast("bigint"))
-            sums = sums.withColumn("_hits", F.array(*[
-                F.struct(F.lit(name).alias("pct"), _rank(p, F.col("_n")).alias("rank")) for name, p in LEVELS.items()
-            ]))
-        ranked = sums.withColumn("_hi", F.col("_before") + F.sum("_rc").over(upto)).withColumn(
-            "_lo", F.col("_hi") - F.col("_rc")
+            sums = sums.withColumn("_n", F.sum("_rc").over(group)).withColumn("_start", F.lit(0).cast("bigint"))
+        located = (
+            sums.withColumn("_through", F.col("_start") + F.sum("_rc").over(upto))
+            .withColumn("_before", F.col("_through") - F.col("_rc"))
+            .where(F.exists(wanted, here))
         )
-        here = F.filter("_hits", lambda w: (w["rank"] > F.col("_lo")) & (w["rank"] <= F.col("_hi")))
-        found = (
-            ranked.select(*by, F.col("_range").alias("_parent"), F.col("_lo").alias("_before"), here.alias("_hits"))
-            .where(F.size("_hits") > 0)
-        )
-    return found.select(*by, F.explode("_hits").alias("_w"), F.col("_parent").alias("value")).select(
+        found = located.select(*by, F.col("_range").alias("_parent"), "_before", "_n")
+    # The last ranges are single values.
+    return located.select(*by, F.explode(F.filter(wanted, here)).alias("_w"), F.col("_range").alias("value")).select(
         *by, F.col("_w.pct").alias("pct"), "value"
     )
 
@@ -105,16 +109,21 @@ def moments(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     Sums are exact decimals, so the result does not depend on the order in
     which partitions are merged.
     """
-    return _moments(value_counts(df, by, value), by)
+    ones = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"), F.lit(1).alias("_c"))
+    return _moments(ones, by)
 
 
 def _moments(value_count: DataFrame, by: Sequence[str]) -> DataFrame:
     big = "decimal(38,0)"
     v, c = F.col("_v").cast(big), F.col("_c").cast(big)
+
+    def times_count(x: Column) -> Column:
+        return F.when(F.col("_c") == 1, x).otherwise((x * c).cast(big))
+
     sums = value_count.groupBy(*by).agg(
         F.sum("_c").alias("_n"),
-        F.sum((v * c).cast(big)).cast(big).alias("_s"),
-        F.sum(((v * v).cast(big) * c).cast(big)).cast(big).alias("_q"),
+        F.sum(times_count(v)).cast(big).alias("_s"),
+        F.sum(times_count((v * v).cast(big))).cast(big).alias("_q"),
     )
     # sum (x-m)^2 = q - 2*m*s + n*m^2
     m = F.col("_m").cast(big)
