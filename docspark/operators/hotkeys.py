@@ -144,6 +144,43 @@ def previous_row(
     return d.select(*kept, *outs)
 
 
+def skewed_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "left",
+    max_keys: int = MAX_HOT_KEYS,
+    min_rows: int = MIN_HOT_ROWS,
+    max_blocks: int = MAX_BLOCKS,
+) -> DataFrame:
+    """Join many rows per key on the left with few on the right.
+
+    Rows of a hot key are dealt over several copies of their partner, by a hash
+    of the row, so the same row goes the same way in every evaluation.  At most
+    ``max_blocks + max_keys`` copies are made.  NULL keys match nothing and are
+    spread as they are.  Without hot keys this is the plain join.
+    """
+    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    rows = counts.where(F.col("_n") > min_rows).orderBy(F.col("_n").desc()).limit(max_keys).collect()
+    if not rows:
+        return left.join(right, key, how)
+    share = max(min_rows, -(-sum(r["_n"] for r in rows) // max_blocks), 1)
+    schema = T.StructType([counts.schema[key], T.StructField("_copies", T.LongType())])
+    copies = F.broadcast(left.sparkSession.createDataFrame([(r[key], -(-r["_n"] // share)) for r in rows], schema))
+    plain = [f.name for f in left.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    spot = F.xxhash64(*plain)
+    salt = F.when(F.col(key).isNull(), F.pmod(spot, F.lit(max_keys))).otherwise(
+        F.coalesce(F.pmod(spot, F.col("_copies")), F.lit(0))
+    )
+    dealt = left.join(copies, key, "left").withColumn("_salt", salt.cast("bigint")).drop("_copies")
+    copied = (
+        right.join(copies, key, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_copies", F.lit(1)) - 1)))
+        .drop("_copies")
+    )
+    return dealt.join(copied, [key, "_salt"], how).drop("_salt")
+
+
 def paired_order(df: DataFrame, major: Column, minor: Column, name: str) -> DataFrame:
     """One integer that sorts like ``(major, minor)`` and is evenly spread.
 

@@ -21,6 +21,7 @@ from docspark.operators import extract as X
 from docspark.operators import fragments as G
 from docspark.operators import pages as P
 from docspark.operators import tables as T
+from docspark.operators.hotkeys import skewed_join
 from docspark.plans.config import Configuration, ExtractionOptions
 from docspark.schemas import USAGE_COUNTERS
 
@@ -31,11 +32,11 @@ def apply_dataset(requests: DataFrame, datasets: DataFrame) -> DataFrame:
     """Requests with their dataset's configuration; values of the request win.
 
     No broadcast hint: Spark broadcasts the datasets when they are measured to
-    be small and sorts and splits otherwise.
+    be small; a dataset with very many requests is split.
     """
     shared = [c for c in ("page_range", "mime_type", "file_name", "labels") if c in datasets.columns]
     d = datasets.select("dataset_id", "configuration", *[F.col(c).alias(f"_d_{c}") for c in shared])
-    joined = requests.join(d, "dataset_id", "left")
+    joined = skewed_join(requests, d, "dataset_id")
     for c in shared:
         joined = joined.withColumn(c, F.coalesce(F.col(c), F.col(f"_d_{c}"))).drop(f"_d_{c}")
     return joined
@@ -46,12 +47,12 @@ def attach_file(jobs: DataFrame, files: DataFrame) -> DataFrame:
     f = files.select(
         "file_id", "file_name", F.col("labels").alias("file_labels"), "mime_type"
     )
-    return jobs.join(f, "file_id", "left")
+    return skewed_join(jobs, f, "file_id")
 
 
 def route(docs: DataFrame, routes: DataFrame) -> DataFrame:
     """Dataset of each document by its type; an unmapped type has none."""
-    return docs.join(routes.select("doc_type", "dataset_id"), "doc_type", "left")
+    return skewed_join(docs, routes.select("doc_type", "dataset_id"), "doc_type")
 
 
 # ---- steps over the nested document row ----------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.functions import scalars as S
+from docspark.operators.hotkeys import skewed_join
 from docspark.schemas import DEFAULT_MIME, MIME_BY_EXTENSION
 
 MAX_FILE_BYTES = 1 << 30
@@ -116,9 +117,9 @@ def from_web_pages(requests: DataFrame, web: DataFrame) -> DataFrame:
     """URL requests joined with already fetched pages ``(url, html)``.
 
     ``html`` is NULL for a URL nobody fetched.  Requests repeat URLs, so the
-    join carries the page text once per request; AQE splits a hot URL.
+    join carries the page text once per request; a hot URL is split.
     """
-    return requests.join(web.select(F.col("url").alias("file_url"), "html"), "file_url", "left")
+    return skewed_join(requests, web.select(F.col("url").alias("file_url"), "html"), "file_url")
 
 
 def dedup_files(files: DataFrame) -> DataFrame:

@@ -61,3 +61,17 @@ def test_paired_order(spark):
     d = spark.createDataFrame([(1, 0), (1, 9), (2, 0), (2, 5)], "a bigint, b bigint")
     o = H.paired_order(d, F.col("a"), F.col("b"), "o")
     assert [r["o"] for r in o.orderBy("a", "b").collect()] == sorted({r["o"] for r in o.collect()})
+
+
+def test_skewed_join_equals_plain_join(spark):
+    data = [(i, "a" if i % 3 else f"k{i % 40}", {"m": str(i)}) for i in range(600)] + [(1000 + i, None, None) for i in range(50)]
+    left = spark.createDataFrame(data, "id bigint, k string, m map<string,string>")
+    right = spark.createDataFrame([("a", 1), ("k0", 2), ("k3", 3), ("zz", 4)], "k string, v int")
+    for how in ("left", "inner"):
+        want = left.join(right, "k", how).select("id", "k", "v")
+        for limits in ({}, {"min_rows": 10, "max_keys": 5}, {"min_rows": 3, "max_blocks": 4}):
+            got = H.skewed_join(left, right, "k", how, **limits)
+            assert got.columns == ["k", "id", "m", "v"]
+            assert got.count() == want.count()
+            assert got.select("id", "k", "v").exceptAll(want).count() == 0
+    assert "_salt" in H.skewed_join(left, right, "k", min_rows=10)._jdf.queryExecution().optimizedPlan().toString()
