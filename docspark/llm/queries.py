@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, sharding
+from docspark.llm import bpe, dedup_exact, pii, sharding
 from docspark.llm.common import load
 from docspark.llm.registry import query
 
@@ -33,3 +33,22 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle_rows(docs, SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query("op8_golomb_dedup", """
+WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS s
+           FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+       s AS text_sha256
+FROM d WINDOW g AS (PARTITION BY s)""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = dedup_exact.exact_groups(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return groups.withColumnRenamed("keep_key", "keep_id")
+
+
+@query("op9_offset_pii")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
