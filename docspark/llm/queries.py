@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, dedup_exact, pii, sharding
+from docspark.llm import bpe, dedup_exact, pii, sharding, warc
 from docspark.llm.common import load
 from docspark.llm.registry import query
 
 SHARDS = 24
 
 
+@query("op2_warc_index")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.fetch(warc.archive(pages), pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query("op4_byte_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
