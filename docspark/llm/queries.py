@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, dedup_exact, pii, sharding, warc
+from docspark.llm import bpe, decontam, dedup_exact, langid, pii, sharding, warc
 from docspark.llm.common import load
 from docspark.llm.registry import query
 
@@ -31,6 +31,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_cross_parsing_langid")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    samples = langid.sample(docs.where(~langid.held_out("doc_id")).select("text", "lang"))
+    return langid.identify(docs.select("doc_id", "text"), samples).select(
+        "doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query("op6_feistel_sharding")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select(
@@ -43,6 +52,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_cgk_decontamination")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 @query("op8_golomb_dedup", """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS s
            FROM documents)
