@@ -134,3 +134,23 @@ class Rolling:
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sums[end] - self.sums[start]) * self._inverse[start]
+
+
+def word_spans(low: np.ndarray, offs: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end bytes of the runs of ``inside`` bytes, cut at text boundaries, and each text's first run (n + 1)."""
+    n = len(low)
+    edge = np.zeros(n + 1, bool)
+    if n:
+        edge[1:-1] = inside[1:] != inside[:-1]
+        edge[0], edge[-1] = inside[0], inside[-1]
+    at = np.flatnonzero(edge)
+    starts, ends = at[0::2], at[1::2]
+    cut = offs[1:-1][(offs[1:-1] > 0) & (offs[1:-1] < n)]
+    joined = np.unique(cut[inside[cut - 1] & inside[cut]]) if len(cut) else cut
+    if len(joined):
+        starts, ends = np.sort(np.concatenate([starts, joined])), np.sort(np.concatenate([ends, joined]))
+    return starts, ends, np.searchsorted(starts, offs)
+
+
+def word_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return mix(Rolling(low).hashes(starts, ends) ^ (ends - starts).astype(np.uint64))

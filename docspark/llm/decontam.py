@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from docspark.llm.common import Rolling, lower_ascii, mix, text_bytes
+from docspark.llm.common import lower_ascii, mix, text_bytes, word_hashes, word_spans
 
 SIMILARITY = 0.8
 # Steps of a walk, sampled steps of a key, independent walks and samples per walk.
@@ -40,19 +40,8 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     """Hash, start byte, end byte of all words, and the first word of each text (n + 1 values)."""
     low = lower_ascii(data)
     inside = (low >= 128) | ((low >= 97) & (low <= 122)) | ((low >= 48) & (low <= 57))
-    edge = np.zeros(len(low) + 1, bool)
-    edge[1:-1] = inside[1:] != inside[:-1]
-    if len(low):
-        edge[0], edge[-1] = inside[0], inside[-1]
-    # A text boundary ends a word even between two word bytes.
-    cut = offs[1:-1][(offs[1:-1] > 0) & (offs[1:-1] < len(low))]
-    joined = np.unique(cut[inside[cut - 1] & inside[cut]]) if len(cut) else cut
-    at = np.flatnonzero(edge)
-    starts, ends = at[0::2], at[1::2]
-    if len(joined):
-        starts, ends = np.sort(np.concatenate([starts, joined])), np.sort(np.concatenate([ends, joined]))
-    hashes = mix(Rolling(low).hashes(starts, ends) ^ (ends - starts).astype(np.uint64))
-    return hashes, starts, ends, np.searchsorted(starts, offs)
+    starts, ends, first = word_spans(low, offs, inside)
+    return word_hashes(low, starts, ends), starts, ends, first
 
 
 def _plan():

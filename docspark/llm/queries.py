@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, decontam, dedup_exact, langid, pii, sharding, warc
+from docspark.llm import bpe, decontam, dedup_exact, langid, ngram_join, pii, sharding, warc
 from docspark.llm.common import load
 from docspark.llm.registry import query
 
@@ -74,3 +74,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base_spans", 256).alias("base_sha256"), "spans"
     )
+
+
+@query("op10_ngram_trie_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_components(load(spark, sf_dir, "documents"))
