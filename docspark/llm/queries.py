@@ -6,13 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, decontam, dedup_exact, langid, ngram_join, pii, sharding, warc
+from docspark.llm import bpe, decontam, dedup_exact, langid, ngram_join, pii, sharding, suffix_dedup, warc
 from docspark.llm.common import load
 from docspark.llm.registry import query
 
 SHARDS = 24
 
 
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_warc_index")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
