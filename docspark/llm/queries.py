@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, decontam, dedup_exact, langid, ngram_join, pii, sharding, suffix_dedup, warc
+from docspark.llm import bpe, decontam, dedup_exact, langid, line_dedup, ngram_join, pii, sharding, suffix_dedup, warc
 from docspark.llm.common import load
 from docspark.llm.registry import query
 
@@ -27,6 +27,28 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Windows of three lines; later ones by (doc_id, line) are deleted with all their lines.
+@query("op3_line_runs", """
+WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+               FROM documents WHERE text IS NOT NULL),
+threes AS (SELECT doc_id, pos, line, lead(line, 1) OVER d AS l2, lead(line, 2) OVER d AS l3 FROM lines
+           WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+later AS (SELECT doc_id, pos, l3 IS NOT NULL
+                 AND row_number() OVER (PARTITION BY line, l2, l3 ORDER BY doc_id, pos) > 1 AS copy FROM threes),
+gone AS (SELECT doc_id, pos, coalesce(copy, false) OR coalesce(lag(copy, 1) OVER d, false) OR coalesce(lag(copy, 2) OVER d, false) AS g
+         FROM later WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+runs AS (SELECT doc_id, pos, g, g AND NOT coalesce(lag(g) OVER (PARTITION BY doc_id ORDER BY pos), false) AS starts FROM gone)
+SELECT documents.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (g) AS n_removed, count(*) FILTER (starts) AS n_runs,
+         string_agg(line, chr(10) ORDER BY pos) FILTER (NOT g) AS kept
+  FROM runs JOIN lines USING (doc_id, pos) GROUP BY doc_id) r ON r.doc_id = documents.doc_id""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.drop_repeated_lines(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query("op4_byte_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
