@@ -450,3 +450,16 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", bloc
     return out.unionByName(alone).select(
         F.col("__key").alias(key), F.col("__n").alias("n_shingles"), F.col("__least").alias("component_id")
     )
+
+
+def drop_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` whose key is the smallest of its component; columns unchanged.
+
+    Only the keys that go are shuffled or broadcast.  Where one key stands for
+    several texts, its rows stay if any of them does.
+    """
+    found = materialise(near_components(df, key, text))
+    stays = F.col(key).eqNullSafe(F.col("component_id")).cast("int")
+    goes = materialise(
+        found.groupBy(F.col(key).alias("__k")).agg(F.max(stays).alias("__stays")).where("__stays = 0").select("__k"))
+    return df.join(bounded_broadcast(goes, 16), F.col(key).eqNullSafe(F.col("__k")), "left_anti")
