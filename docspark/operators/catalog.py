@@ -149,10 +149,17 @@ def create_datasets(existing: DataFrame, new: DataFrame) -> tuple[DataFrame, Dat
     return existing.unionByName(created, allowMissingColumns=True), bad_name.unionByName(clashes)
 
 
-def update_datasets(existing: DataFrame, patch: DataFrame, key: str = "dataset_id") -> DataFrame:
-    """Replace each supplied object whole; omitted ones and the name stay."""
-    changed = [c for c in patch.columns if c not in (key, "name")]
-    p = patch.select(key, *[F.col(c).alias(f"_new_{c}") for c in changed])
+def update_datasets(existing: DataFrame, patch: DataFrame, key: str = "dataset_id", at: str | None = None) -> DataFrame:
+    """Replace each supplied object whole; omitted ones and the name stay.
+
+    Of several patches of one id the last by ``at`` counts (without ``at``, or at
+    the same time, the largest by value).
+    """
+    changed = [c for c in patch.columns if c not in (key, "name", at)]
+    order = F.struct(*[F.to_json(F.struct(F.col(c))).alias(f"_{i}") for i, c in enumerate(changed)])
+    p = patch.groupBy(key).agg(
+        F.max_by(F.struct(*[F.col(c).alias(f"_new_{c}") for c in changed]), F.struct(F.col(at) if at else F.lit(0), order)).alias("_p")
+    ).select(key, "_p.*")
     joined = existing.join(p, key, "left")
     return joined.select(*[
         F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in changed else F.col(c)

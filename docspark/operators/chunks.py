@@ -175,22 +175,36 @@ def section_id(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
-def _step(path: Column, f: Column) -> Column:
-    """Header path after a header: set its level, clear the deeper ones."""
-    return F.transform(
-        path,
-        lambda t, i: F.when(i < f["level"], t).when(i == f["level"], f["text"]).otherwise(F.lit(None).cast("string")),
-    )
+def _split_level(groups: Column, level: int) -> Column:
+    """Cut ``[{path, frags}]`` at the headers of one level; each part's path gets that level's header or NULL.
+
+    Shallower levels are cut before, so inside a group a header of this level
+    holds up to the next one: every level reads the fragments once.
+    """
+
+    def starts(f: Column) -> Column:
+        marks = positions(f, lambda x, i: is_header(x) & (x["level"] == level))
+        first = F.coalesce(F.get(marks, F.lit(0)), F.lit(0))
+        return F.concat(F.when(first == 1, F.array().cast("array<int>")).otherwise(F.array(F.lit(1))), marks)
+
+    def cut(g: Column) -> Column:
+        def part(s: Column) -> Column:
+            head = F.get(s["frags"], F.lit(0))
+            own = F.when(is_header(head) & (head["level"] == level), head["text"])
+            return F.struct(F.concat(g["path"], F.array(own)).alias("path"), s["frags"].alias("frags"))
+
+        return F.transform(cut_at(g["frags"], starts(g["frags"]), F.lit(0)), part)
+
+    return F.flatten(F.transform(groups, cut))
 
 
 def header_path(docs: DataFrame, cross_page: bool = True, key: str = "doc_id") -> DataFrame:
     """Flat fragments with the chain of headers above each.
 
-    Without ``cross_page`` only headers of the same page count.  The path
-    changes at headers only, so it is folded over the sections, not over the
-    fragments.
+    Without ``cross_page`` only headers of the same page count.  The document
+    is cut level by level, so the work is linear in its fragments, and the
+    document stays one row until its fragments are taken apart.
     """
-    empty = F.array_repeat(F.lit(None).cast("string"), MAX_LEVEL + 1)
     units = docs.select(
         key,
         (
@@ -198,31 +212,21 @@ def header_path(docs: DataFrame, cross_page: bool = True, key: str = "doc_id") -
             else F.transform(page_slices("fragments"), lambda s: s["frags"])
         ).alias("units"),
     )
-    units = S.unnest(units, [key], "units", "unit")
-    cut = units.select(key, section_slices("unit").alias("sections"))
-    folded = F.aggregate(
-        "sections",
-        F.struct(F.array().cast("array<array<string>>").alias("paths"), empty.alias("now")),
-        lambda acc, s: _append(acc, s),
-        lambda acc: acc["paths"],
-    )
+    no_path = F.array().cast("array<string>")
+    groups = F.transform("units", lambda u: F.struct(no_path.alias("path"), u.alias("frags")))
+    for level in range(MAX_LEVEL + 1):
+        groups = _split_level(groups, level)
     return (
-        cut.select(key, F.explode(F.arrays_zip(F.col("sections"), folded.alias("paths"))).alias("z"))
+        S.unnest(units.select(key, groups.alias("groups")), [key], "groups", "g")
         .select(
             key,
-            F.concat_ws(" > ", F.filter("z.paths", lambda t: t.isNotNull())).alias("header_path"),
-            F.explode("z.sections.frags").alias("f"),
+            F.concat_ws(" > ", F.filter("g.path", lambda t: t.isNotNull())).alias("header_path"),
+            F.explode("g.frags").alias("f"),
         )
         .select(key, "header_path", "f.*")
     )
 
 
-def _append(acc: Column, section: Column) -> Column:
-    head = F.get(section["frags"], F.lit(0))
-    now = F.when(is_header(head), _step(acc["now"], head)).otherwise(acc["now"])
-    return S.let(now, lambda n: F.struct(F.concat(acc["paths"], F.array(n)).alias("paths"), n.alias("now")))
-
-
 def chunk_stats(chunks: DataFrame, by: str) -> DataFrame:
     """Chunk count and sizes per group."""
     size = F.length("content")

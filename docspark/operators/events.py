@@ -21,14 +21,37 @@ TOO_LONG = "event exceeded max line length of 1048576"
 MALFORMED = "malformed line in SSE stream: "
 BAD_PAYLOAD = "failed to unmarshal SSE event"
 BAD_OUTPUT = "failed to decode output event"
+BAD_SCAN = "failed to scan SSE events: "
 UNKNOWN = "unknown SSE event: "
 FAILED_TEXT = "failed to parse result: "
 NO_EVENTS = "SSE stream closed without sending any events"
 NO_TERMINAL = "without a terminal event (parse_done or parse_failed)"
 
 
+# Blanks that end lines and surround values, beyond the ASCII ones.
+WIDE_BLANKS = S.BLANKS + "\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
 def valid_json(col) -> Column:
-    return F.coalesce(F.try_parse_json(S._c(col)).isNotNull(), F.lit(False))
+    """Whether a payload decodes into a record: one object, or ``null``, and nothing behind it.
+
+    Repeated members are allowed.  The text is read as the only element of a
+    list, so that trailing text is not overlooked.
+    """
+    text = S._c(col)
+    one = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<struct<_any:string>>", STRICT_JSON)
+    record = (F.size(one) == 1) & (F.get(one, F.lit(0)).isNotNull() | (S.trimmed(text) == "null"))
+    return F.coalesce(record, F.lit(False))
+
+
+def quoted(text: Column) -> Column:
+    """Text in double quotes with quotes, backslashes and control characters escaped."""
+    short = {7: "a", 8: "b", 9: "t", 10: "n", 11: "v", 12: "f", 13: "r"}
+    out = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    for code in (*range(32), 127):
+        out = F.replace(out, F.lit(chr(code)), F.lit("\\" + short.get(code, f"x{code:02x}")))
+    return F.concat(F.lit('"'), out, F.lit('"'))
 
 
 # ---- framing -------------------------------------------------------------
@@ -47,7 +70,7 @@ def parse_sse(lines: DataFrame, **limits: int) -> DataFrame:
     too_long = F.octet_length("line") >= MAX_LINE_BYTES
     bad = too_long | (~blank & ~F.col("_line").contains(":"))
     field = F.when(~blank & ~bad, F.substring_index("_line", ":", 1))
-    value = S.trimmed(F.expr("substring(_line, instr(_line, ':') + 1)"))
+    value = F.btrim(F.expr("substring(_line, instr(_line, ':') + 1)"), F.lit(WIDE_BLANKS))
     shaped = (
         lines.withColumn("_line", line)
         .withColumn("_blank", blank)
@@ -55,7 +78,7 @@ def parse_sse(lines: DataFrame, **limits: int) -> DataFrame:
         .withColumn("_field", field)
         .withColumn("_value", value)
         .withColumn("_error", F.when(too_long, F.lit(TOO_LONG)).when(
-            bad, F.concat(F.lit(MALFORMED + '"'), F.col("_line"), F.lit('"'))))
+            bad, F.concat(F.lit(MALFORMED), quoted(F.col("_line")))))
         .select("stream_id", "line_no", "_blank", "_bad", "_field", "_value", "_error")
     )
     numbered = hotkeys.running_totals(
@@ -114,10 +137,14 @@ def parse_sse(lines: DataFrame, **limits: int) -> DataFrame:
 
 def judged(events: DataFrame) -> DataFrame:
     """Add ``kind``: what the reader does with each event.  The payload is
-    decoded first, so a bad one is an error whatever the event's name."""
+    decoded first, so a bad one is an error whatever the event's name.  A row
+    with a framing ``error`` (see :func:`parse_sse`) ends the feed."""
     name = F.col("name")
+    if "error" not in events.columns:
+        events = events.withColumn("error", F.lit(None).cast("string"))
     kind = (
-        F.when(~valid_json("payload"), "bad")
+        F.when(F.col("error").isNotNull(), "scan")
+        .when(~valid_json("payload"), "bad")
         .when(name.isin(QUEUED, UPDATE), "go")
         .when(name == DONE, "done")
         .when(name == FAILED, "failed")
@@ -129,7 +156,7 @@ def judged(events: DataFrame) -> DataFrame:
 def job_state_aggregates() -> list[Column]:
     """Partial-able aggregates behind :func:`job_state`; also used on streams."""
     stop = F.col("kind") != "go"
-    row = F.struct("seq", "kind", "name", "payload")
+    row = F.struct("seq", "kind", "name", "payload", "error")
     return [
         F.min(F.when(stop, row)).alias("_stop"),
         F.count(F.lit(1)).alias("_events"),
@@ -142,8 +169,8 @@ def job_outcome(ended: bool = True) -> list[Column]:
     kind, stop = F.col("_stop.kind"), F.col("_stop")
     detail = F.get_json_object("_stop.payload", "$.error")
     no_end = F.concat(
-        F.lit("SSE stream ended after "), F.col("_events").cast("string"), F.lit(' event(s), last event "'),
-        F.col("_last.name"), F.lit('", ' + NO_TERMINAL),
+        F.lit("SSE stream ended after "), F.col("_events").cast("string"), F.lit(" event(s), last event "),
+        quoted(F.col("_last.name")), F.lit(", " + NO_TERMINAL),
     )
     open_status = F.lit("error") if ended else F.lit("processing")
     status = (
@@ -154,6 +181,7 @@ def job_outcome(ended: bool = True) -> list[Column]:
     )
     error = (
         F.when(kind == "failed", F.concat(F.lit(FAILED_TEXT), F.coalesce(detail, F.lit(""))))
+        .when(kind == "scan", F.concat(F.lit(BAD_SCAN), F.col("_stop.error")))
         .when(kind == "bad", F.lit(BAD_PAYLOAD))
         .when(kind == "unknown", F.concat(F.lit(UNKNOWN), F.col("_stop.name")))
         .when(kind.isNull() & F.lit(ended), F.when(F.coalesce(F.col("_events"), F.lit(0)) == 0, F.lit(NO_EVENTS)).otherwise(no_end))
@@ -177,9 +205,18 @@ def job_state(events: DataFrame, jobs: DataFrame | None = None) -> DataFrame:
     return reduced.select("job_id", *job_outcome())
 
 
+def feed_state(lines: DataFrame, **limits: int) -> DataFrame:
+    """Final state of each feed ``(stream_id, line_no, line)``: one row per feed, framing errors included."""
+    events = parse_sse(lines, **limits).select(
+        F.col("stream_id").alias("job_id"), F.col("event_no").alias("seq"), "name", F.col("data").alias("payload"), "error"
+    )
+    feeds = lines.select(F.col("stream_id").alias("job_id")).distinct()
+    return job_state(events, feeds).withColumnRenamed("job_id", "stream_id")
+
+
 def job_updates(events: DataFrame, **limits: int) -> DataFrame:
     """Rows an update callback sees: up to and including the terminal event."""
-    j = judged(events)
+    j = judged(events).drop("error")
     n = hotkeys.running_totals(j, ["job_id"], "seq", {"_stops": F.col("kind") != "go"}, **limits)
     own = (F.col("kind") != "go").cast("int")
     return n.where((F.col("_stops") == own) & (F.col("_stops") <= 1) & F.col("kind").isin("go", "done", "failed")).drop(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,8 @@ CITE_BUCKET = 3000
 
 def field_text(text, name: str) -> Column:
     """Value of the first ``name: value`` line; spaces may stand for underscores."""
-    label = name.replace("_", "[ _]")
+    # The name is text; only its underscores may stand for spaces.
+    label = re.escape(name).replace("_", "[ _]")
     found = F.regexp_extract(S._c(text), rf"(?im)^[ \t]*{label}[ \t]*:[ \t]*([^\n]+)$", 1)
     return S.blank_to_null(S.trimmed(found))
 
@@ -61,11 +63,22 @@ def extract_struct(text, schema: T.StructType) -> Column:
     return F.when(t.startswith("{"), F.from_json(t, schema)).otherwise(prose_struct(t, schema))
 
 
-def missing_required(data: Column, names: Sequence[str]) -> Column:
-    """Names of required fields without a value."""
+def missing_required(data: Column, paths: Sequence[tuple[str, ...]]) -> Column:
+    """Required fields without a value, as dotted paths.
+
+    What an absent object requires is not missing, unless the object is.
+    """
+
+    def absent(path: tuple[str, ...]) -> Column:
+        value, there = data, F.lit(True)
+        for i, name in enumerate(path):
+            if i:
+                there = there & value.isNotNull()
+            value = value.getField(name)
+        return F.when(there & value.isNull(), F.lit(".".join(path)))
+
     return F.filter(
-        F.array(*[F.when(data[n].isNull(), F.lit(n)) for n in names]) if names else F.array().cast("array<string>"),
-        lambda n: n.isNotNull(),
+        F.array(*[absent(p) for p in paths]) if paths else F.array().cast("array<string>"), lambda n: n.isNotNull()
     )
 
 
@@ -77,33 +90,34 @@ def extract(
     custom: Callable[[Column], Column] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """One JSON object per partition; partitions without a required field are rejects."""
-    struct = J.json_schema_to_struct(json_schema)
-    data = custom(F.col("text")) if custom else extract_struct("text", struct)
-    done = S.with_once(parts, "_d", data).withColumn("_missing", missing_required(F.col("_d"), J.required(json_schema)))
-    out = done.where(F.size("_missing") == 0).select(
-        key, F.lit(schema_name).alias("schema_name"), "partition_no", "page_numbers", F.to_json("_d").alias("data")
+    return extract_all(parts, {schema_name: json_schema}, key, custom)
+
+
+def extract_all(
+    parts: DataFrame, schemas: dict[str, str | dict], key: str = "doc_id", custom: Callable[[Column], Column] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Several schemas over the same partitions, in one pass: each partition's text is read once for all of them."""
+
+    def one(name: str, schema: str | dict) -> Column:
+        struct = J.json_schema_to_struct(schema)
+        data = custom(F.col("text")) if custom else extract_struct("text", struct)
+        return S.let(data, lambda d: F.struct(
+            F.lit(name).alias("schema_name"), F.to_json(d).alias("data"), missing_required(d, J.required(schema)).alias("missing")))
+
+    done = S.unnest(parts, [key, "partition_no", "page_numbers"], F.array(*[one(n, s) for n, s in schemas.items()]), "_d")
+    out = done.where(F.size("_d.missing") == 0).select(
+        key, F.col("_d.schema_name").alias("schema_name"), "partition_no", "page_numbers", F.col("_d.data").alias("data")
     )
-    rejects = done.where(F.size("_missing") > 0).select(
+    rejects = done.where(F.size("_d.missing") > 0).select(
         key,
-        F.lit(schema_name).alias("schema_name"),
+        F.col("_d.schema_name").alias("schema_name"),
         "partition_no",
         F.lit("INVALID_JSON_SCHEMA").alias("code"),
-        F.concat(F.lit("missing required: "), F.array_join("_missing", ", ")).alias("message"),
+        F.concat(F.lit("missing required: "), F.array_join("_d.missing", ", ")).alias("message"),
     )
     return out, rejects
 
 
-def extract_all(
-    parts: DataFrame, schemas: dict[str, str | dict], key: str = "doc_id"
-) -> tuple[DataFrame, DataFrame]:
-    """Several schemas over the same partitions."""
-    pairs = [extract(parts, name, js, key) for name, js in schemas.items()]
-    out, rejects = pairs[0]
-    for o, r in pairs[1:]:
-        out, rejects = out.unionByName(o), rejects.unionByName(r)
-    return out, rejects
-
-
 def key_value_map(text) -> Column:
     """All key-value lines of a text as ``[{key, value}]`` in text order."""
     t = S._c(text)

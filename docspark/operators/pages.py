@@ -38,20 +38,14 @@ def page_array(text, page_chars: int = PAGE_CHARS) -> Column:
         )
 
     def feeds(parts: Column) -> Column:
-        starts = F.aggregate(
-            parts,
-            F.struct(F.array().cast("array<int>").alias("at"), F.lit(0).alias("next")),
-            lambda acc, p: F.struct(
-                F.concat(acc["at"], F.array(acc["next"])).alias("at"),
-                (acc["next"] + F.length(p) + 1).cast("int").alias("next"),
-            ),
-        )["at"]
+        # A page ends one character (its form feed) before the next begins.
+        nexts = S.running_sum(F.transform(parts, lambda p: F.length(p) + 1))
         return F.transform(
-            F.arrays_zip(parts.alias("p"), starts.alias("s")),
+            F.arrays_zip(parts.alias("p"), nexts.alias("n")),
             lambda z, i: F.struct(
                 (i + 1).cast("int").alias("page_number"),
-                z["s"].alias("start"),
-                (z["s"] + F.length(z["p"])).cast("int").alias("end"),
+                (z["n"] - F.length(z["p"]) - 1).cast("int").alias("start"),
+                (z["n"] - 1).cast("int").alias("end"),
                 z["p"].alias("text"),
             ),
         )

@@ -28,21 +28,33 @@ def _first(status: str, ts: str) -> Column:
     return F.min(F.when(F.col("status") == status, F.col(ts)))
 
 
+ENDED_EARLY = "sandbox terminated unexpectedly"
+NEVER_READY = "timed out waiting for running"
+
+
 def time_to_state(log: DataFrame, ts: str = "ts_us") -> DataFrame:
-    """Per entity: first request, first running, and the waits between (integer time unit).
+    """Per entity: the waits from the first request to pending and to running (integer time unit).
 
-    Only minima are needed, so the log collapses before the shuffle.
+    An entity that runs at once was never pending and waits nothing more.  One
+    that ends first, or never runs, has no waits but an ``error``; statistics
+    leave it out.  Only minima are needed, so the log collapses before the
+    shuffle.
     """
     firsts = log.groupBy("entity_id").agg(
-        F.min(ts).alias("requested"), _first("pending", ts).alias("pending"), _first("running", ts).alias("running")
+        F.min(ts).alias("requested"), _first("pending", ts).alias("pending"), _first("running", ts).alias("running"),
+        _first("terminated", ts).alias("ended"),
     )
-    create = F.col("pending") - F.col("requested")
-    wait = F.greatest(F.col("running") - F.col("pending"), F.lit(0))
-    return firsts.select(
+    running = F.col("running")
+    # Created: when it is first seen pending or running.
+    made = F.least("pending", "running")
+    error = F.when(F.col("ended").isNotNull() & (running.isNull() | (F.col("ended") < running)), ENDED_EARLY).when(
+        running.isNull(), NEVER_READY)
+    return firsts.withColumn("error", error).select(
         "entity_id",
-        create.alias("create_wait"),
-        wait.alias("pending_wait"),
-        (create + wait).alias("ready_wait"),
+        F.when(F.col("error").isNull(), made - F.col("requested")).alias("create_wait"),
+        F.when(F.col("error").isNull(), running - made).alias("pending_wait"),
+        F.when(F.col("error").isNull(), running - F.col("requested")).alias("ready_wait"),
+        "error",
     )
 
 

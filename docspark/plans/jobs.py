@@ -21,7 +21,7 @@ from docspark.operators import extract as X
 from docspark.operators import fragments as G
 from docspark.operators import pages as P
 from docspark.operators import tables as T
-from docspark.operators.hotkeys import skewed_join
+from docspark.operators import validate as V
 from docspark.plans.config import Configuration, ExtractionOptions
 from docspark.schemas import USAGE_COUNTERS
 
@@ -32,11 +32,11 @@ def apply_dataset(requests: DataFrame, datasets: DataFrame) -> DataFrame:
     """Requests with their dataset's configuration; values of the request win.
 
     No broadcast hint: Spark broadcasts the datasets when they are measured to
-    be small; a dataset with very many requests is split.
+    be small; otherwise adaptive execution splits a dataset with very many requests.
     """
     shared = [c for c in ("page_range", "mime_type", "file_name", "labels") if c in datasets.columns]
     d = datasets.select("dataset_id", "configuration", *[F.col(c).alias(f"_d_{c}") for c in shared])
-    joined = skewed_join(requests, d, "dataset_id")
+    joined = requests.join(d, "dataset_id", "left")
     for c in shared:
         joined = joined.withColumn(c, F.coalesce(F.col(c), F.col(f"_d_{c}"))).drop(f"_d_{c}")
     return joined
@@ -47,12 +47,12 @@ def attach_file(jobs: DataFrame, files: DataFrame) -> DataFrame:
     f = files.select(
         "file_id", "file_name", F.col("labels").alias("file_labels"), "mime_type"
     )
-    return skewed_join(jobs, f, "file_id")
+    return jobs.join(f, "file_id", "left")
 
 
 def route(docs: DataFrame, routes: DataFrame) -> DataFrame:
     """Dataset of each document by its type; an unmapped type has none."""
-    return skewed_join(docs, routes.select("doc_type", "dataset_id"), "doc_type")
+    return docs.join(routes.select("doc_type", "dataset_id"), "doc_type", "left")
 
 
 # ---- steps over the nested document row ----------------------------------
@@ -224,13 +224,24 @@ def with_page_classes(docs: DataFrame) -> DataFrame:
     return docs.withColumn("page_classes", S.let(labels, grouped))
 
 
-def _citations(part_text: Column, struct) -> Column:
-    """Where the scalar fields of a partition stand in the document: page and offset."""
+def _partition_start(frags: Column) -> Column:
+    """Offset in the document where a partition begins: its first fragment on the page that holds it."""
+    first = F.get(frags, F.lit(0))
+    page = F.get(F.filter("pages", lambda p: p["page_number"] == first["page_number"]), F.lit(0))["start"]
+    base = F.coalesce(page, F.lit(0))
+    inside = F.instr(F.substring(F.col("page_text"), base + 1, F.length("page_text")), first["text"])
+    return base + F.greatest(F.coalesce(inside, F.lit(0)) - 1, F.lit(0))
+
+
+def _citations(part_text: Column, start: Column, struct) -> Column:
+    """Where the scalar fields of a partition stand in the document, from the partition's start on: page and offset."""
     entries = []
+    rest = F.substring(F.col("page_text"), start + 1, F.length("page_text"))
     for f in struct.fields:
         if X.by_line(f.dataType):
             raw = F.coalesce(X.field_text(part_text, f.name), F.get_json_object(part_text, f"$.{f.name}"))
-            at = F.instr(F.col("page_text"), S.blank_to_null(raw)) - 1
+            found = F.instr(rest, S.blank_to_null(raw))
+            at = F.when(found > 0, start + found - 1)
             entries.append(
                 F.struct(F.lit(f.name).alias("field"), X.cite_in_row("pages", at).alias("page_number"), at.alias("offset"))
             )
@@ -255,7 +266,10 @@ def _objects(options: ExtractionOptions) -> Column:
 
     def one(s: Column) -> Column:
         part = F.array_join(F.transform(s["frags"], lambda f: f["text"]), "\n")
-        cited = _citations(part, struct) if options.provide_citations else F.lit(None).cast(CITATIONS)
+        cited = (
+            S.let(_partition_start(s["frags"]), lambda at: _citations(part, at, struct))
+            if options.provide_citations else F.lit(None).cast(CITATIONS)
+        )
         pages = F.array_sort(F.array_distinct(F.transform(s["frags"], lambda f: f["page_number"])))
         return S.let(
             X.extract_struct(part, struct),
@@ -386,32 +400,47 @@ def run_dataset(
 
 def run_jobs(
     requests: DataFrame, configs: Mapping[str, Configuration], key: str = "parse_id", text: str = "text"
-) -> DataFrame:
-    """Requests of several datasets and job types to one table of results.
+) -> tuple[DataFrame, DataFrame]:
+    """Requests of several datasets and job types to a table of results and one of rejects.
 
-    One scan: the configurations are the arms of one CASE per step.  Requests
-    whose job type needs something their dataset lacks belong to the rejects of
-    :mod:`docspark.operators.validate` and are left out here.
+    One scan: the configurations are the arms of one CASE per step.  A request
+    is a reject if its dataset is unknown or not given, or if the dataset lacks
+    what the job type needs; every request is in one of the two tables.
     """
-    known = requests.where(F.col("dataset_id").isin(*configs))
-    dataset = F.col("dataset_id")
-    lacking = F.lit(False)
-    for name, c in configs.items():
-        if not c.extraction:
-            lacking = lacking | ((dataset == name) & (F.col("job_type") == "extract"))
-        if not c.page_classes:
-            lacking = lacking | ((dataset == name) & (F.col("job_type") == "classify"))
+    dataset, kind = F.col("dataset_id"), F.col("job_type")
+    no_schema = [n for n, c in configs.items() if not c.extraction]
+    no_classes = [n for n, c in configs.items() if not c.page_classes]
+    known = F.coalesce(dataset.isin(*configs), F.lit(False))
+    code = (
+        F.when(~known, F.struct(F.lit("ENTITY_NOT_FOUND").alias("code"), F.lit("dataset not found").alias("message")))
+        .when((kind == "extract") & dataset.isin(*no_schema), F.struct(
+            F.lit("INVALID_CONFIGURATION").alias("code"), F.lit(V.NO_SCHEMA).alias("message")))
+        .when((kind == "classify") & dataset.isin(*no_classes), F.struct(
+            F.lit("INVALID_PAGE_CLASSIFICATION").alias("code"), F.lit(V.NO_CLASSES).alias("message")))
+    )
     cases = [(dataset == name, config) for name, config in configs.items()]
-    return assemble(_run(known.where(~lacking), cases, text), key)
+    results = assemble(_run(requests.where(code.isNull()), cases, text), key)
+    rejects = requests.where(code.isNotNull()).select(key, "dataset_id", "job_type", code["code"].alias("code"), code["message"].alias("message"))
+    return results, rejects
 
 
 def assemble(docs: DataFrame, key: str = "parse_id") -> DataFrame:
     """Nested result row.  Usage only for successful jobs, an error only for failed ones.
 
-    The children already sit in the document's row, so nothing is joined.
+    A job has failed if a schema got no object with all its required fields
+    from any partition.  The children already sit in the document's row, so
+    nothing is joined.
     """
     have = set(docs.columns)
     status = F.col("status") if "status" in have else F.lit("successful")
+    error = F.col("error") if "error" in have else F.lit("")
+    if "structured" in have:
+        whole = F.transform(F.filter("structured", lambda s: F.size(s["missing"]) == 0), lambda s: s["schema_name"])
+        broken = F.filter("structured", lambda s: ~F.array_contains(whole, s["schema_name"]))
+        lacking = F.array_distinct(F.flatten(F.transform(broken, lambda s: s["missing"])))
+        lacks = F.coalesce(F.size(lacking) > 0, F.lit(False)) & (status == "successful")
+        error = F.when(lacks, F.concat(F.lit("missing required: "), F.array_join(lacking, ", "))).otherwise(error)
+        status = F.when(lacks, "failure").otherwise(status)
     good = status == "successful"
 
     how = F.col("output")
@@ -471,7 +500,7 @@ def assemble(docs: DataFrame, key: str = "parse_id") -> DataFrame:
         "job_type",
         *[F.col("dataset_id") if "dataset_id" in have else F.lit(None).cast("string").alias("dataset_id")],
         status.alias("status"),
-        F.when(~good, F.col("error") if "error" in have else F.lit("")).alias("error"),
+        F.when(~good, error).alias("error"),
         F.size("pages").alias("parsed_pages_count"),
         F.col("total_pages"),
         pages.alias("pages"),

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.functions import scalars as S
-from docspark.operators.hotkeys import skewed_join
 from docspark.schemas import DEFAULT_MIME, MIME_BY_EXTENSION
 
 MAX_FILE_BYTES = 1 << 30
@@ -33,36 +32,44 @@ def resolve_mime(files: DataFrame, declared: str | None = None) -> DataFrame:
 def check_size(files: DataFrame, limit: int = MAX_FILE_BYTES) -> tuple[DataFrame, DataFrame]:
     """Split into accepted files and rejects with ``INVALID_FILE``."""
     too_big = F.col("file_size") > limit
-    ok = files.where(~too_big)
-    rejects = files.where(too_big).select(
-        "file_name",
-        "file_size",
+    # A size nobody knows is not too big.
+    ok = files.where(~F.coalesce(too_big, F.lit(False)))
+    return ok, files.where(too_big).select("*", *_too_large(limit))
+
+
+def _too_large(limit: int) -> list[Column]:
+    return [
         F.lit("INVALID_FILE").alias("code"),
         F.concat(F.lit("file is larger than "), F.lit(limit), F.lit(" bytes")).alias("message"),
+    ]
+
+
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return raw.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
+
+
+def _oversized(spark: SparkSession, path: str, limit: int) -> DataFrame:
+    """Rejects from the listing's columns alone: the bytes of these files are not read."""
+    return (
+        _listing(spark, path).select("file_name", F.col("length").alias("file_size")).where(F.col("file_size") > limit)
+        .select("file_name", "file_size", mime_type("file_name").alias("mime_type"), *_too_large(limit))
     )
-    return ok, rejects
 
 
 def ingest_files(
     spark: SparkSession, path: str, labels: dict[str, str] | None = None, limit: int = MAX_FILE_BYTES
-) -> DataFrame:
-    """A folder of files as catalog rows.
+) -> tuple[DataFrame, DataFrame]:
+    """A folder of files as catalog rows, and its oversized files as rejects.
 
     The length filter is pushed into the file listing, so oversized files are
     never read.
     """
-    raw = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .where(F.col("length") <= limit)
-    )
+    raw = _listing(spark, path).where(F.col("length") <= limit)
     pairs = [F.lit(x) for kv in (labels or {}).items() for x in kv]
     label_col = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
-    name = F.element_at(F.split("path", "/"), -1)
-    return (
-        raw.withColumn("file_name", name)
-        .withColumn("checksum_sha256", F.sha2("content", 256))
+    files = (
+        raw.withColumn("checksum_sha256", F.sha2("content", 256))
         .select(
             F.concat(F.lit(S.FILE_ID_PREFIX), F.col("checksum_sha256")).alias("file_id"),
             "file_name",
@@ -73,25 +80,19 @@ def ingest_files(
             label_col.alias("labels"),
         )
     )
+    return files, _oversized(spark, path, limit)
 
 
 TEXT_TYPES = ("text/plain", "text/markdown", "text/x-markdown", "text/html", "text/csv", "text/xml")
 
 
 def read_documents(spark: SparkSession, path: str, limit: int = MAX_FILE_BYTES) -> tuple[DataFrame, DataFrame]:
-    """Files with their text, ready for a job; other types are rejects.
+    """Files with their text, ready for a job; other types and oversized files are rejects.
 
-    A type that is not text is rejected on its name alone, before its bytes
-    are read.
+    A type that is not text is rejected on its name alone, and an oversized
+    file on its length, before their bytes are read.
     """
-    raw = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .where(F.col("length") <= limit)
-        .withColumn("file_name", F.element_at(F.split("path", "/"), -1))
-        .withColumn("mime_type", mime_type("file_name"))
-    )
+    raw = _listing(spark, path).where(F.col("length") <= limit).withColumn("mime_type", mime_type("file_name"))
     readable = F.col("mime_type").isin(*TEXT_TYPES)
     docs = raw.where(readable).select(
         file_id_of("content").alias("file_id"), "file_name", "mime_type",
@@ -101,7 +102,8 @@ def read_documents(spark: SparkSession, path: str, limit: int = MAX_FILE_BYTES)
     rejects = raw.where(~readable).select(
         "file_name", "mime_type", F.lit("INVALID_MIME_TYPE").alias("code"), F.lit("no text reader for this type").alias("message")
     )
-    return docs, rejects
+    large = _oversized(spark, path, limit).select("file_name", "mime_type", "code", "message")
+    return docs, rejects.unionByName(large)
 
 
 def from_raw_text(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -117,9 +119,10 @@ def from_web_pages(requests: DataFrame, web: DataFrame) -> DataFrame:
     """URL requests joined with already fetched pages ``(url, html)``.
 
     ``html`` is NULL for a URL nobody fetched.  Requests repeat URLs, so the
-    join carries the page text once per request; a hot URL is split.
+    join carries the page text once per request; adaptive execution splits the
+    requests of a hot URL.
     """
-    return skewed_join(requests, web.select(F.col("url").alias("file_url"), "html"), "file_url")
+    return requests.join(web.select(F.col("url").alias("file_url"), "html"), "file_url", "left")
 
 
 def dedup_files(files: DataFrame) -> DataFrame:

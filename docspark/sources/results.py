@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.functions import scalars as S
-from docspark.operators.events import DONE, parse_sse
+from docspark.operators.events import feed_state, valid_json
 from docspark.schemas import PARSE_RESULT_JSON
 
+# Fixed value: the text of an error.
+BAD_REPLY = "failed to decode SSE response"
+
 
 def shape_result(df: DataFrame) -> DataFrame:
     """Typed form of decoded results: timestamps, page lists, page-keyed reasons.
@@ -52,20 +55,31 @@ def decode_results(df: DataFrame, column: str) -> DataFrame:
 def read_replies(replies: DataFrame) -> DataFrame:
     """Replies that are either an event feed or one plain JSON result.
 
-    ``(stream_id, content_type, line_no, line)``: feeds are framed and their
-    final event decoded, plain replies are decoded as they are.
+    ``(stream_id, content_type, line_no, line)``: feeds are framed and reduced
+    to their first outcome, plain replies are decoded as they are.  Every reply
+    gives one row; ``reply_status`` and ``reply_error`` say how it went, and only
+    successful ones have a result.  The lines of one plain reply are joined in
+    one value, so such a reply is bounded by the size of a value.
     """
-    is_feed = F.col("content_type").contains("text/event-stream")
-    feed = parse_sse(replies.where(is_feed).select("stream_id", "line_no", "line"))
-    from_feed = feed.where(F.col("name") == DONE).select("stream_id", F.col("data").alias("body"))
+    is_feed = F.coalesce(F.col("content_type").contains("text/event-stream"), F.lit(False))
+    from_feed = feed_state(replies.where(is_feed).select("stream_id", "line_no", "line")).select(
+        "stream_id", F.col("result").alias("body"), F.col("status").alias("reply_status"), F.col("error").alias("reply_error")
+    )
     plain = replies.where(~is_feed).groupBy("stream_id").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n"
         ).alias("body")
     )
-    both = from_feed.unionByName(plain)
-    decoded = both.select("stream_id", F.from_json("body", PARSE_RESULT_JSON).alias("r")).select("stream_id", "r.*")
-    return shape_result(decoded)
+    readable = valid_json("body")
+    judged = plain.select(
+        "stream_id",
+        F.when(readable, F.col("body")).alias("body"),
+        F.when(readable, "successful").otherwise("error").alias("reply_status"),
+        F.when(~readable, F.lit(BAD_REPLY)).alias("reply_error"),
+    )
+    both = from_feed.unionByName(judged)
+    decoded = both.select("stream_id", "reply_status", "reply_error", F.from_json("body", PARSE_RESULT_JSON).alias("r"))
+    return shape_result(decoded.select("stream_id", "reply_status", "reply_error", "r.*"))
 
 
 def write_results(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -86,6 +86,8 @@ def run_job_state(spark: SparkSession, path: str, ended: bool = True, files_per_
 
 
 JOB_STATE = "stop_seq BIGINT, kind STRING, name STRING, payload STRING, events BIGINT, last_seq BIGINT, last_name STRING"
+# Mark in ``kind`` of a job whose outcome is out already.
+CLOSED = "closed"
 JOB_OUT = "job_id BIGINT, status STRING, error STRING, result STRING"
 
 
@@ -107,24 +109,27 @@ def job_state_with_timeout(events: DataFrame, ts: str, delay: str, timeout_ms: i
     """One row per job, on its end or when event time passes its last event by
     ``timeout_ms``: the streaming form of a feed that ends without an outcome.
 
-    The state is seven values and batches are folded as they come, so memory
-    does not depend on the size of a job.
+    The first outcome stands: an ended job leaves a mark until its timeout, and
+    rows that come meanwhile are dropped; rows older than the watermark never
+    arrive.  The state is seven values and batches are folded as they come, so
+    memory does not depend on the size of a job.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         now = state.get if state.exists else (None, None, None, None, 0, None, None)
+        closed = now[1] == CLOSED
         if state.hasTimedOut:
             state.remove()
-            yield _closing_row(key[0], now)
+            if not closed:
+                yield _closing_row(key[0], now)
             return
         newest = 0
         for pdf in batches:
-            now = _merge(now, pdf)
+            now = now if closed else _merge(now, pdf)
             newest = max(newest, int(pdf["ts_ms"].max()))
-        if now[0] is not None:
-            state.remove()
+        if not closed and now[0] is not None:
             yield _closing_row(key[0], now)
-            return
+            now = (now[0], CLOSED, None, None, now[4], None, None)
         state.update(now)
         state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + timeout_ms)
 
@@ -142,7 +147,7 @@ def job_state_with_timeout(events: DataFrame, ts: str, delay: str, timeout_ms: i
     )
     shaped = out.select(
         "job_id",
-        F.when(F.col("kind").isNotNull(), F.struct("kind", "name", "payload")).alias("_stop"),
+        F.when(F.col("kind").isNotNull(), F.struct("kind", "name", "payload", F.lit(None).cast("string").alias("error"))).alias("_stop"),
         F.col("events").alias("_events"),
         F.struct(F.col("last_name").alias("name")).alias("_last"),
     )

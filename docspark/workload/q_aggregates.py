@@ -124,9 +124,14 @@ def run_report(spark, sf_dir):
 
 @query("win_6_time_to_state", f"""WITH {t.STATUS_LOG},
 f AS (SELECT entity_id, min(ts_us) AS r, min(ts_us) FILTER (WHERE status = 'pending') AS p,
-             min(ts_us) FILTER (WHERE status = 'running') AS g FROM status_log GROUP BY entity_id)
-SELECT entity_id, p - r AS create_wait, CASE WHEN p IS NULL OR g IS NULL THEN 0 ELSE greatest(g - p, 0) END AS pending_wait,
-       CASE WHEN p IS NULL THEN NULL WHEN g IS NULL THEN p - r ELSE p - r + greatest(g - p, 0) END AS ready_wait FROM f""")
+             min(ts_us) FILTER (WHERE status = 'running') AS g, min(ts_us) FILTER (WHERE status = 'terminated') AS e
+      FROM status_log GROUP BY entity_id),
+-- A run counts only if it is reached before the entity ends.
+ok AS (SELECT *, CASE WHEN p < g THEN p ELSE g END AS made FROM f WHERE g IS NOT NULL AND (e IS NULL OR g <= e))
+SELECT f.entity_id, made - ok.r AS create_wait, ok.g - made AS pending_wait, ok.g - ok.r AS ready_wait,
+       CASE WHEN ok.entity_id IS NOT NULL THEN NULL WHEN f.e IS NOT NULL THEN 'sandbox terminated unexpectedly'
+            ELSE 'timed out waiting for running' END AS error
+FROM f LEFT JOIN ok ON ok.entity_id = f.entity_id""")
 def time_to_state(spark, sf_dir):
     return status.time_to_state(t.status_log(spark, sf_dir))
 

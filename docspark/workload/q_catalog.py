@@ -277,4 +277,4 @@ def page_index(spark, sf_dir):
     j = t.jobs(spark, sf_dir).select("parse_id", "created_at")
     day = F.unix_date(F.col("created_at").cast("date"))
     ordered = hotkeys.paired_order(j, day, F.col("parse_id"), "listing_order")
-    return catalog.page_index(ordered, 100, "listing_order").select("parse_id", "row_no", "page_no")
+    return catalog.page_index(ordered, 100, "listing_order", [F.col("parse_id").desc()]).select("parse_id", "row_no", "page_no")

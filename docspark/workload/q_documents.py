@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from docspark.operators import chunks, classify, extract, fragments, pages, tables
-from docspark.session import spread
 from docspark.workload import doc_sql as D
 from docspark.workload import tables as t
 from docspark.workload.registry import query
@@ -53,6 +52,21 @@ def split_pages(spark, sf_dir):
     )
 
 
+# Every line break becomes a form feed: the lines are the pages.
+@query("doc_1_form_feed_pages", """WITH parts AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS n,
+         len(string_split(text, chr(10))) AS total FROM documents),
+ends AS (SELECT *, sum(length(text) + 1) OVER (PARTITION BY doc_id ORDER BY n) - 1 AS e FROM parts)
+SELECT doc_id, CAST(n AS INTEGER) AS page_number, CAST(e - length(text) AS INTEGER) AS "start", CAST(e AS INTEGER) AS "end",
+       CAST(total AS INTEGER) AS total_pages, text FROM ends
+WHERE total > 1""")
+def form_feed_pages(spark, sf_dir):
+    docs = t.load(spark, sf_dir, "documents").where(F.col("text").contains("\n"))
+    return pages.split_pages(docs.withColumn("text", F.translate("text", "\n", "\f"))).select(
+        "doc_id", "page_number", "start", "end", "total_pages", "text"
+    )
+
+
 @query("doc_2_fragment_text", f"""WITH {D.CORE}
 SELECT doc_id, page_number, reading_order, fragment_type, level, text FROM fr""")
 def fragment_text(spark, sf_dir):
@@ -338,7 +352,7 @@ PLACE_SCHEMA = {"type": "object", "properties": {"address_nation": {"type": "int
 
 def account_text(spark, sf_dir):
     """Customers as statements: ``name: value`` lines, some without a segment."""
-    c = spread(t.load(spark, sf_dir, "customer"))
+    c = t.spread(t.load(spark, sf_dir, "customer"))
     k = F.col("c_custkey")
     text = F.concat_ws(
         "\n",

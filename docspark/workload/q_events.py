@@ -10,7 +10,7 @@ from docspark.workload import tables as t
 from docspark.workload.registry import query
 
 JUDGED = f"""{t.JOB_EVENTS},
-jd AS (SELECT *, CASE WHEN NOT json_valid(payload) THEN 'bad' WHEN name IN ('parse_queued', 'parse_update') THEN 'go'
+jd AS (SELECT *, CASE WHEN coalesce(CASE WHEN json_valid(payload) THEN json_type(payload) END, '') NOT IN ('OBJECT', 'NULL') THEN 'bad' WHEN name IN ('parse_queued', 'parse_update') THEN 'go'
          WHEN name = 'parse_done' THEN 'done' WHEN name = 'parse_failed' THEN 'failed' ELSE 'unknown' END AS kind FROM job_events)"""
 
 STATE = f"""{JUDGED},
@@ -27,10 +27,8 @@ DAILY = "user_id * 1000 + CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DA
 
 
 def daily_events(spark, sf_dir):
-    e = t.load(spark, sf_dir, "events")
     day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")).cast("bigint")
-    ids = e.select(F.col("event_id").alias("seq"), (F.col("user_id") * 1000 + day).alias("daily"))
-    return t.job_events(spark, sf_dir).join(ids, "seq").drop("job_id").withColumnRenamed("daily", "job_id")
+    return t.job_events(spark, sf_dir, F.col("user_id") * 1000 + day)
 
 
 @query("str_1_job_state", f"WITH {STATE.replace('user_id AS job_id', f'{DAILY} AS job_id')} SELECT * FROM state")

@@ -69,24 +69,32 @@ fr AS (SELECT * FROM all_fr WHERE NOT (lang = 'en' AND fragment_type = 'table'))
 ch AS (SELECT DISTINCT doc_id, CASE lang WHEN 'en' THEN section_id WHEN 'fr' THEN page_number WHEN 'de' THEN pos ELSE 0 END AS k FROM md),
 n AS (SELECT doc_id, count(*) AS chunks FROM ch GROUP BY doc_id),
 m AS (SELECT doc_id, count(*) AS fragments FROM fr GROUP BY doc_id),
-r AS (SELECT DISTINCT doc_id, CASE lang {_DATASET} END AS dataset_id, total_pages,
-        CASE doc_id % 3 WHEN 0 THEN 'read' WHEN 1 THEN 'parse' ELSE 'dataset' END AS job_type FROM pg)
+r AS (SELECT DISTINCT doc_id, CASE WHEN doc_id % 17 = 3 THEN NULL WHEN doc_id % 17 = 4 THEN 'gone' ELSE CASE lang {_DATASET} END END AS dataset_id, total_pages,
+        CASE WHEN doc_id % 17 = 5 THEN 'extract' WHEN doc_id % 17 = 6 THEN 'classify'
+             ELSE CASE doc_id % 3 WHEN 0 THEN 'read' WHEN 1 THEN 'parse' ELSE 'dataset' END END AS job_type FROM pg),
+bad AS (SELECT doc_id, dataset_id, job_type, CASE WHEN doc_id % 17 IN (3, 4) THEN 'ENTITY_NOT_FOUND' WHEN doc_id % 17 = 5 THEN 'INVALID_CONFIGURATION'
+          ELSE 'INVALID_PAGE_CLASSIFICATION' END AS status FROM r WHERE doc_id % 17 BETWEEN 3 AND 6)
 SELECT doc_id AS parse_id, dataset_id, job_type, 'successful' AS status, total_pages, coalesce(chunks, 1) AS chunks, coalesce(fragments, 0) AS fragments,
        CAST(total_pages AS BIGINT) AS pages_parsed
-FROM r LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)""")
+FROM r LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id) WHERE doc_id NOT IN (SELECT doc_id FROM bad)
+UNION ALL SELECT doc_id, dataset_id, job_type, status, NULL, NULL, NULL, NULL FROM bad""")
 def run_jobs(spark, sf_dir):
-    """Requests of four datasets and several job types, as nested results of one scan."""
+    """Requests of four datasets and several job types, as nested results of one scan; bad requests are rejects."""
     d = t.load(spark, sf_dir, "documents")
-    kind = F.when(F.col("doc_id") % 3 == 0, "read").when(F.col("doc_id") % 3 == 1, "parse").otherwise("dataset")
-    dataset = t._case("lang", {lang: name for lang, (name, _) in PRESETS.items()})
+    i, odd = F.col("doc_id"), F.col("doc_id") % 17
+    kind = (
+        F.when(odd == 5, "extract").when(odd == 6, "classify")
+        .when(i % 3 == 0, "read").when(i % 3 == 1, "parse").otherwise("dataset")
+    )
+    dataset = F.when(odd == 4, "gone").when(odd != 3, t._case("lang", {lang: name for lang, (name, _) in PRESETS.items()}))
     requests = d.select(F.col("doc_id").alias("parse_id"), "text", dataset.alias("dataset_id"), kind.alias("job_type"))
-    out = jobs.run_jobs(requests, dict(PRESETS.values()))
+    out, rejects = jobs.run_jobs(requests, dict(PRESETS.values()))
     frag_count = F.aggregate("pages", F.lit(0), lambda a, p: a + F.size(p["page_fragments"]))
     return out.select(
         "parse_id", "dataset_id", "job_type", "status", "total_pages",
         F.size("chunks").cast("bigint").alias("chunks"), frag_count.cast("bigint").alias("fragments"),
         F.col("usage.pages_parsed").alias("pages_parsed"),
-    )
+    ).unionByName(rejects.select("parse_id", "dataset_id", "job_type", F.col("code").alias("status")), allowMissingColumns=True)
 
 
 @query("doc_19_web_pages", f"""WITH {HTML},
@@ -117,16 +125,19 @@ ACCOUNTS = Configuration(
 
 
 @query("doc_21_assemble", """
-SELECT c_custkey AS doc_id, 'successful' AS status, 1 AS parsed_pages_count, CASE WHEN c_custkey % 7 = 0 THEN 5 ELSE 6 END AS fragments,
+SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 13 <> 0 AND c_custkey % 7 <> 0 THEN 'successful' ELSE 'failure' END AS status,
+   CASE WHEN c_custkey % 13 = 0 OR c_custkey % 7 = 0 THEN 'missing required: ' || concat_ws(', ',
+        CASE WHEN c_custkey % 13 = 0 THEN 'account_number' END, CASE WHEN c_custkey % 7 = 0 THEN 'segment' END) END AS error, 1 AS parsed_pages_count, CASE WHEN c_custkey % 7 = 0 THEN 5 ELSE 6 END AS fragments,
    'balance' AS page_class, 'account, balance, ending' AS reason,
-   CASE WHEN c_custkey % 13 <> 0 AND c_custkey % 7 <> 0 THEN c_custkey END AS account_number, 1 AS pages_parsed
+   CASE WHEN c_custkey % 13 <> 0 AND c_custkey % 7 <> 0 THEN c_custkey END AS account_number,
+   CASE WHEN c_custkey % 13 <> 0 AND c_custkey % 7 <> 0 THEN 1 END AS pages_parsed
 FROM customer""")
 def assemble(spark, sf_dir):
     """Statements through a full job: fragments, page classes and extracted data in one nested row."""
     out = jobs.assemble(jobs.run_dataset(account_text(spark, sf_dir), ACCOUNTS, "parse"), "doc_id")
     first = F.get("page_classes", F.lit(0))
     return out.select(
-        "doc_id", "status", "parsed_pages_count",
+        "doc_id", "status", "error", "parsed_pages_count",
         F.size(F.get("pages", F.lit(0))["page_fragments"]).alias("fragments"),
         first["page_class"].alias("page_class"),
         F.try_element_at(first["classification_reasons"], F.lit(1)).alias("reason"),

@@ -3,17 +3,26 @@
 from pyspark.sql import functions as F
 
 from docspark.operators import catalog, events
-from docspark.session import shared_dir, spread
+from docspark.session import shared_dir
 from docspark.sources import files as files_src
 from docspark.sources import results as results_src
 from docspark.workload import tables as t
 from docspark.workload.registry import query
 
 
-@query("src_1_ingest_files")
+# Every document is written as a text file of its own; the writer ends it with a line break.
+@query("src_1_ingest_files", """WITH f AS (SELECT text || chr(10) AS body FROM documents)
+SELECT CASE WHEN strlen(body) <= 8192 THEN 'file_' || sha256(body) END AS file_id, 'text/plain' AS mime_type, strlen(body) AS file_size,
+       CASE WHEN strlen(body) <= 8192 THEN '{"origin":"driver"}' END AS labels, CASE WHEN strlen(body) > 8192 THEN 'INVALID_FILE' ELSE '' END AS code
+FROM f""")
 def ingest(spark, sf_dir):
-    out = files_src.ingest_files(spark, sf_dir, {"origin": "driver"})
-    return out.select("file_id", "file_name", "mime_type", "file_size", F.to_json("labels").alias("labels"))
+    """A folder of files as a catalog; files over the limit are rejects, so none is lost."""
+    path = shared_dir(spark)
+    t.load(spark, sf_dir, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(path)
+    files, rejects = files_src.ingest_files(spark, path, {"origin": "driver"}, limit=8192)
+    return files.select("file_id", "mime_type", "file_size", F.to_json("labels").alias("labels"), F.lit("").alias("code")).unionByName(
+        rejects.select("mime_type", "file_size", "code"), allowMissingColumns=True
+    )
 
 
 @query("src_2_raw_text", f"""WITH {t.FILES}
@@ -73,10 +82,7 @@ SELECT doc_id, file_size, CASE WHEN file_size > 8192 THEN 'INVALID_FILE' ELSE ''
 def size_limit(spark, sf_dir):
     f = t.files(spark, sf_dir).select("doc_id", "file_name", "file_size")
     ok, bad = files_src.check_size(f, 8192)
-    rejected = bad.join(f.select("doc_id", "file_name"), "file_name")
-    return ok.select("doc_id", "file_size", F.lit("").alias("code")).unionByName(
-        rejected.select("doc_id", "file_size", "code")
-    )
+    return ok.select("doc_id", "file_size", F.lit("").alias("code")).unionByName(bad.select("doc_id", "file_size", "code"))
 
 
 RESULT_SQL = f"""WITH {t.JOBS}
@@ -90,7 +96,7 @@ FROM jobs"""
 
 def result_json(spark, sf_dir):
     """Each order as a stored parse result in JSON."""
-    j = spread(t.jobs(spark, sf_dir))
+    j = t.spread(t.jobs(spark, sf_dir))
     pid = F.col("parse_id")
     page = (pid % 7).cast("string")
     pages = F.when(pid % 2 == 0, page).otherwise(
@@ -174,22 +180,39 @@ def sse(spark, sf_dir):
     return events.parse_sse(t.feed_lines(spark, sf_dir))
 
 
+# Feeds end in five ways, plain replies in two; every reply is one row.
 @query("str_6_feed_or_json", f"""WITH {t.JOBS}
-SELECT parse_id AS stream_id, 'parse_' || parse_id AS parse_id, status FROM jobs""")
+SELECT parse_id AS stream_id, CASE WHEN good THEN 'parse_' || parse_id END AS parse_id, CASE WHEN good THEN status END AS status,
+       CASE WHEN good THEN 'successful' WHEN parse_id % 10 = 0 THEN 'failure' ELSE 'error' END AS reply_status,
+       CASE parse_id % 10 WHEN 0 THEN 'failed to parse result: no "model"'
+            WHEN 2 THEN 'SSE stream ended after 1 event(s), last event "parse_queued", without a terminal event (parse_done or parse_failed)'
+            WHEN 6 THEN 'failed to scan SSE events: malformed line in SSE stream: "no \\"colon\\""'
+            WHEN 9 THEN 'failed to decode SSE response' END AS reply_error
+FROM (SELECT *, parse_id % 10 NOT IN (0, 2, 6, 9) AS good FROM jobs)""")
 def feed_or_json(spark, sf_dir):
-    """Half of the replies are event feeds, half are plain JSON."""
+    """Half of the replies are event feeds, half are plain JSON; some of both are broken."""
     r = result_json(spark, sf_dir)
     is_feed = F.col("order_id") % 2 == 0
-    lines = F.when(
-        is_feed,
-        F.array(F.lit("event: parse_done"), F.concat(F.lit("data: "), F.col("json")), F.lit("")),
-    ).otherwise(F.array("json"))
+    end = F.col("order_id") % 10
+    done = [F.lit("event: parse_done"), F.concat(F.lit("data: "), F.col("json")), F.lit("")]
+    before = {
+        0: ["event: parse_failed", r'data: {"error":"no \"model\""}', ""],
+        2: ["event: parse_queued", "data: {}", ""],
+        4: ["event: parse_update", "data: null", ""],
+        6: ['no "colon"'],
+    }
+    lines = F.when(end == 2, F.array(*map(F.lit, before[2])))
+    for k in (0, 4, 6):
+        lines = lines.when(end == k, F.array(*map(F.lit, before[k]), *done))
+    # A second outcome after the first is not read.
+    lines = lines.when(is_feed, F.array(*done, F.lit("event: parse_failed"), F.lit("data: {}"), F.lit("")))
+    lines = lines.when(end == 9, F.array(F.lit("no result"))).otherwise(F.array("json"))
     replies = r.select(
         F.col("order_id").alias("stream_id"),
         F.when(is_feed, "text/event-stream; charset=utf-8").otherwise("application/json").alias("content_type"),
         F.posexplode(lines).alias("line_no", "line"),
     )
-    return results_src.read_replies(replies).select("stream_id", "parse_id", "status")
+    return results_src.read_replies(replies).select("stream_id", "parse_id", "status", "reply_status", "reply_error")
 
 
 @query("src_10_deletes", f"""WITH {t.FILES}, {t.JOBS}

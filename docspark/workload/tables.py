@@ -10,11 +10,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.operators import events as E
-from docspark.session import spread
 from docspark.sources import files as files_src
 
 
 TEXT_TABLES = ("documents", "pages")
+# The driver's small tables are one row group each, which one core reads; a
+# table of more bytes has splits of its own and is never dealt out.
+SPREAD_BYTES = 256 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small one-file table out to the cores, so that row-local text work uses them."""
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > SPREAD_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -162,22 +171,35 @@ EVENT_NAME = {
     "signup": E.QUEUED, "view": E.UPDATE, "click": E.UPDATE, "purchase": E.DONE, "error": E.FAILED,
 }
 
+# Payloads that are JSON but no record, records with text behind them, and odd ones that are fine.
+ODD_PAYLOADS = {6: "5", 7: "[1]", 8: '{"a":1} x', 9: '{"a":1,"a":2}', 10: "null"}
+_ODD_SQL = " ".join(f"WHEN event_id % 89 = {k} THEN '{v}'" for k, v in ODD_PAYLOADS.items())
+
+
+def _odd_payloads(i: Column) -> Column:
+    out = F.when(i % 89 == 5, F.substring("props", 1, 4))
+    for k, v in ODD_PAYLOADS.items():
+        out = out.when(i % 89 == k, v)
+    return out
+
+
 JOB_EVENTS = f"""job_events AS (
   SELECT user_id AS job_id, event_id AS seq,
          CASE WHEN event_id % 101 = 7 THEN 'parse_other' ELSE {_sql_case("event_type", EVENT_NAME)} END AS name,
          CASE WHEN event_id % 89 = 5 THEN substr(props, 1, 4)
+              {_ODD_SQL}
               WHEN event_type = 'error' THEN '{{"error":"code ' || event_id || '"}}' ELSE props END AS payload
   FROM events)"""
 
 
-def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def job_events(spark: SparkSession, sf_dir: str, job: Column | None = None) -> DataFrame:
     e = load(spark, sf_dir, "events")
     i = F.col("event_id")
     return e.select(
-        F.col("user_id").alias("job_id"),
+        (F.col("user_id") if job is None else job).alias("job_id"),
         i.alias("seq"),
         F.when(i % 101 == 7, "parse_other").otherwise(_case("event_type", EVENT_NAME)).alias("name"),
-        F.when(i % 89 == 5, F.substring("props", 1, 4))
+        _odd_payloads(i)
         .when(F.col("event_type") == "error", F.concat(F.lit('{"error":"code '), i.cast("string"), F.lit('"}')))
         .otherwise(F.col("props"))
         .alias("payload"),

@@ -89,12 +89,44 @@ def test_json_schema_types():
     assert isinstance(t["ending_balance"].dataType, T.DoubleType)
     assert isinstance(t["table_item"].dataType.elementType, T.StructType)
     assert isinstance(t["others"].dataType, T.VariantType)
-    assert J.required(STATEMENT) == ["account_number", "ending_balance"]
+    assert J.required(STATEMENT) == [("account_number",), ("ending_balance",)]
     for bad in ("[1]", "no json", '{"type":"string"}', '{"type":"object","properties":{"a":{"type":"date"}}}'):
         with pytest.raises(J.InvalidJsonSchema):
             J.json_schema_to_struct(bad)
 
 
+def test_json_schema_references_unions_and_enums():
+    schema = {
+        "type": "object", "$defs": {"place": {"type": "object", "properties": {"city": {"type": "string"}}, "required": ["city"]}},
+        "properties": {
+            "home": {"$ref": "#/$defs/place"}, "size": {"anyOf": [{"type": "number"}, {"type": "null"}]}, "kind": {"enum": ["a", "b"]},
+        },
+        "required": ["kind"],
+    }
+    t = J.json_schema_to_struct(schema)
+    assert t["home"].dataType.names == ["city"] and isinstance(t["size"].dataType, T.DoubleType)
+    assert isinstance(t["kind"].dataType, T.StringType)
+    assert J.required(schema) == [("kind",), ("home", "city")]
+    loop = {"type": "object", "$defs": {"n": {"type": "object", "properties": {"n": {"$ref": "#/$defs/n"}}}}, "properties": {"n": {"$ref": "#/$defs/n"}}}
+    for bad in (loop, {**schema, "required": ["other"]}, {"type": "object", "properties": {"a": {"$ref": "#/nowhere"}}}):
+        with pytest.raises(J.InvalidJsonSchema):
+            J.json_schema_to_struct(bad)
+
+
+def test_nested_required(spark):
+    schema = {"type": "object", "properties": {"a": {"type": "object", "properties": {"b": {"type": "string"}, "c": {"type": "string"}}, "required": ["b"]}}}
+    p = parts(spark, '{"a":{"c":"x"}}', '{"a":{"b":"y"}}', "{}")
+    out, rejects = X.extract(p, "s", schema)
+    assert {r["doc_id"] for r in out.collect()} == {1, 2}
+    assert [r["message"] for r in rejects.collect()] == ["missing required: a.b"]
+
+
+def test_names_are_text_not_patterns(spark):
+    schema = {"type": "object", "properties": {"price($)": {"type": "number"}, "a(b": {"type": "string"}, "x_y": {"type": "string"}}}
+    out, _ = X.extract(parts(spark, "Price($): 3\na(b: q\nx y: z\n"), "s", schema)
+    assert json.loads(out.first()["data"]) == {"price($)": 3.0, "a(b": "q", "x_y": "z"}
+
+
 def parts(spark, *texts):
     rows = [(i, t, 0, [1]) for i, t in enumerate(texts)]
     return spark.createDataFrame(rows, "doc_id int, text string, partition_no int, page_numbers array<int>")

@@ -92,6 +92,8 @@ def test_merge_streams(spark):
 
 
 def test_valid_json(spark):
-    df = spark.createDataFrame([("{}",), ("1",), ("{",), ("",), (None,)], "p string")
-    assert [r[0] for r in df.select(E.valid_json("p")).collect()] == [True, True, False, False, False]
+    df = spark.createDataFrame([("{}",), ("1",), ("{",), ("",), (None,), ("[1]",), ('{"a":1} x',), ('{"a":1},{"b":2}',), ('{"a":1,"a":2}',), (" null ",),
+                                ("{'a':1}",), ('{"a":{"b":[1]}}',), ('"x"',)], "p string")
+    assert [r[0] for r in df.select(E.valid_json("p")).collect()] == [
+        True, False, False, False, False, False, False, False, True, True, False, True, False]
     assert df.where(F.col("p").isNull()).count() == 1

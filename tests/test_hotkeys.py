@@ -63,15 +63,21 @@ def test_paired_order(spark):
     assert [r["o"] for r in o.orderBy("a", "b").collect()] == sorted({r["o"] for r in o.collect()})
 
 
-def test_skewed_join_equals_plain_join(spark):
-    data = [(i, "a" if i % 3 else f"k{i % 40}", {"m": str(i)}) for i in range(600)] + [(1000 + i, None, None) for i in range(50)]
-    left = spark.createDataFrame(data, "id bigint, k string, m map<string,string>")
-    right = spark.createDataFrame([("a", 1), ("k0", 2), ("k3", 3), ("zz", 4)], "k string, v int")
-    for how in ("left", "inner"):
-        want = left.join(right, "k", how).select("id", "k", "v")
-        for limits in ({}, {"min_rows": 10, "max_keys": 5}, {"min_rows": 3, "max_blocks": 4}):
-            got = H.skewed_join(left, right, "k", how, **limits)
-            assert got.columns == ["k", "id", "m", "v"]
-            assert got.count() == want.count()
-            assert got.select("id", "k", "v").exceptAll(want).count() == 0
-    assert "_salt" in H.skewed_join(left, right, "k", min_rows=10)._jdf.queryExecution().optimizedPlan().toString()
+def test_paired_order_of_large_ids(spark):
+    rows = [(d, i) for d in (-3, 0, 5) for i in (-(2**63), -1, 0, 7, 2**63 - 1)]
+    o = H.paired_order(spark.createDataFrame(rows, "a bigint, b bigint"), F.col("a"), F.col("b"), "o").orderBy("a", "b").collect()
+    values = [r["o"] for r in o]
+    assert values == sorted(values)
+
+
+@pytest.mark.parametrize("limits", [HOT, {**HOT, "max_blocks": 4}])
+def test_blocks_have_about_equal_rows(spark, limits):
+    """Clustered positions, one outlier, and a key that is NULL."""
+    rows = [(None if i % 2 else "a", 0 if i < 2 else 10**15 + i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, pos bigint")
+    hot = H.hot_keys(df, ["k"], "pos", **limits)
+    blocks = H._blocked(df, ["k"], "pos", hot).groupBy("k", "_block").count().collect()
+    parts = min(limits.get("max_blocks", 100_000), 256, 2000 // 20)
+    assert max(r["count"] for r in blocks) <= 3 * 4000 / min(parts, 200) + 2
+    got = H.numbered(df, ["k"], "pos", "n", **limits)
+    assert sorted((str(r["k"]), r["n"]) for r in got.collect()) == sorted((str(k), n) for k in (None, "a") for n in range(1, 2001))

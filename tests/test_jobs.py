@@ -63,9 +63,10 @@ def test_presets_need_their_options(spark):
 
 
 def test_many_configurations_in_one_scan(spark):
-    rows = [(1, TEXT, "a", "parse"), (2, TEXT, "b", "read"), (3, TEXT, "b", "extract"), (4, TEXT, "zz", "read"), (5, TEXT, "a", "extract")]
+    rows = [(1, TEXT, "a", "parse"), (2, TEXT, "b", "read"), (3, TEXT, "b", "extract"), (4, TEXT, "zz", "read"), (5, TEXT, "a", "extract"), (6, TEXT, None, "read")]
     df = spark.createDataFrame(rows, "parse_id int, text string, dataset_id string, job_type string")
-    out = Jb.run_jobs(df, {"a": FULL, "b": Configuration(ParsingOptions(chunking_strategy="fragment"))})
+    out, rejects = Jb.run_jobs(df, {"a": FULL, "b": Configuration(ParsingOptions(chunking_strategy="fragment"))})
+    assert {r["parse_id"]: r["code"] for r in rejects.collect()} == {3: "INVALID_CONFIGURATION", 4: "ENTITY_NOT_FOUND", 6: "ENTITY_NOT_FOUND"}
     got = {r["parse_id"]: r for r in out.collect()}
     assert set(got) == {1, 2, 5}
     assert len(got[1]["chunks"]) == 2 and len(got[2]["chunks"]) == 6

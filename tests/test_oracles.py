@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from docspark import workload
 from compare import connect, differences
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = workload.queries(), workload.oracles()
 
 
 @pytest.fixture(scope="module")

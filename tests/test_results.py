@@ -78,6 +78,28 @@ def test_files_and_replies(spark, tmp_path):
     assert {r["stream_id"]: r["parse_id"] for r in R.read_replies(df).collect()} == {1: "parse_1", 2: "p3"}
 
 
+def test_every_reply_is_one_row(spark):
+    done = ["event: parse_done", 'data: {"parse_id":"a"}', ""]
+    feeds = {
+        1: ["event: parse_failed", 'data: {"error":"x"}', "", *done],
+        2: [*done, "event: parse_done", 'data: {"parse_id":"b"}', ""],
+        3: ["event: parse_queued", "data: {}", ""],
+        4: ["no colon", *done],
+        5: [": only a comment"],
+        6: ["event: parse_done", "data: 5", ""],
+    }
+    rows = [(k, "text/event-stream", i, x) for k, lines in feeds.items() for i, x in enumerate(lines)] + [(7, None, 0, "oops")]
+    df = spark.createDataFrame(rows, "stream_id bigint, content_type string, line_no bigint, line string")
+    got = {r["stream_id"]: (r["parse_id"], r["reply_status"], r["reply_error"]) for r in R.read_replies(df).collect()}
+    assert got == {
+        1: (None, "failure", "failed to parse result: x"), 2: ("a", "successful", None),
+        3: (None, "error", 'SSE stream ended after 1 event(s), last event "parse_queued", without a terminal event (parse_done or parse_failed)'),
+        4: (None, "error", 'failed to scan SSE events: malformed line in SSE stream: "no colon"'),
+        5: (None, "error", "SSE stream closed without sending any events"), 6: (None, "error", "failed to unmarshal SSE event"),
+        7: (None, "error", "failed to decode SSE response"),
+    }
+
+
 def test_write_is_partitioned(spark, tmp_path):
     df = spark.createDataFrame([(1, "read"), (2, "extract")], "parse_id int, job_type string")
     R.write_results(df, str(tmp_path / "out"))
@@ -88,12 +110,14 @@ def test_ingest(spark, tmp_path):
     (tmp_path / "a.TXT").write_bytes(b"hello")
     (tmp_path / "copy.md").write_bytes(b"hello")
     (tmp_path / "blob").write_bytes(b"x" * 100)
-    got = {r["file_name"]: r for r in files_src.ingest_files(spark, str(tmp_path), {"k": "v"}).collect()}
+    got = {r["file_name"]: r for r in files_src.ingest_files(spark, str(tmp_path), {"k": "v"})[0].collect()}
     assert got["a.TXT"]["file_id"] == got["copy.md"]["file_id"] == "file_" + got["a.TXT"]["checksum_sha256"]
     assert (got["a.TXT"]["mime_type"], got["copy.md"]["mime_type"], got["blob"]["mime_type"]) == (
         "text/plain", "text/markdown", "application/octet-stream")
     assert got["a.TXT"]["file_size"] == 5 and got["a.TXT"]["labels"] == {"k": "v"}
-    assert files_src.ingest_files(spark, str(tmp_path), limit=50).count() == 2
+    files, rejects = files_src.ingest_files(spark, str(tmp_path), limit=50)
+    assert files.count() == 2
+    assert [tuple(r)[:2] + (r["code"],) for r in rejects.collect()] == [("blob", 100, "INVALID_FILE")]
 
 
 def test_dedup_keeps_the_earliest_name(spark):

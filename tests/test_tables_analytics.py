@@ -92,7 +92,10 @@ def test_status_log(spark):
         (2, 0, "pending", 8), (2, 5, "terminated", 8), (3, 0, "pending", 7), (3, 90, "running", 7), (4, 0, "terminated", 7), (4, 5, "pending", 7),
     ])
     t = {r["entity_id"]: tuple(r)[1:] for r in ST.time_to_state(d).collect()}
-    assert t[1] == (0, 10, 10) and t[3] == (0, 90, 90)
+    assert t[1] == (0, 10, 10, None) and t[3] == (0, 90, 90, None)
+    assert t[2] == t[4] == (None, None, None, ST.ENDED_EARLY)
+    quiet = ST.time_to_state(log(spark, [(5, 3, "pending", 1), (6, 4, "running", 1)])).orderBy("entity_id").collect()
+    assert [tuple(r)[1:] for r in quiet] == [(None, None, None, ST.NEVER_READY), (0, 0, 0, None)]
     for limits in ({}, {"min_rows": 1}):
         bad = ST.audit_transitions(d, **limits).collect()
         assert [(r["entity_id"], r["prev_status"], r["status"]) for r in bad] == [(4, "terminated", "pending")]
