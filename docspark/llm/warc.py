@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from docspark.llm.common import materialise, shared_base
+from docspark.llm.common import bounded_broadcast, materialise, shared_base
 
 BLOCK_LINES = 1024
 # The upper level of the directory is broadcast: at most this many segments.
@@ -113,19 +113,21 @@ def resolve_duplicates(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     ).withColumn("digest", F.sha1("payload"))
     keep = hashed.groupBy("digest").agg(F.max("page_id").alias("keep_id"), F.count(F.lit(1)).alias("copies"))
     # Rows that share the page id of the response too: the first of an order decides.
-    same = hashed.groupBy("digest", "page_id").agg(F.count(F.lit(1)).alias("same"), F.min(F.coalesce("url", F.lit(""))).alias("u0"))
-    info = keep.join(
+    same = hashed.groupBy("digest", "page_id").agg(F.count(F.lit(1)).alias("same"))
+    info = materialise(keep.join(
         same.withColumnRenamed("digest", "d2"),
         (F.col("digest") == F.col("d2")) & F.col("keep_id").eqNullSafe(F.col("page_id")), "left",
-    ).select("digest", "keep_id", "copies", "same", "u0").where("copies > 1")
-    joined = hashed.join(info, "digest", "left")
+    ).select("digest", "keep_id", "copies", "same").where("copies > 1"))
+    # Only payloads that occur twice have a row; beyond the bound payloads are shuffled to meet it.
+    joined = hashed.join(bounded_broadcast(info, 128), "digest", "left")
     single = F.col("copies").isNull() | (F.octet_length("payload") < min_bytes)
     is_keep = F.col("page_id").eqNullSafe(F.col("keep_id"))
     plain = joined.where(single | ~is_keep | (F.col("same") == 1)).select(
         "page_id", "url", "payload", "digest", F.when(~single, F.col("keep_id")).alias("keep_id"), (single | is_keep).alias("response")
     )
     # Repeated page ids: number them inside (digest, page id), which only ties reach.
-    ties = joined.where(~single & is_keep & (F.col("same") > 1)).withColumn(
+    tied = bounded_broadcast(materialise(info.where("same > 1")), 128)
+    ties = hashed.join(tied, "digest").where(is_keep & (F.octet_length("payload") >= min_bytes)).withColumn(
         "n", F.row_number().over(Window.partitionBy("digest", "page_id").orderBy(F.coalesce("url", F.lit(""))))
     ).select("page_id", "url", "payload", "digest", "keep_id", (F.col("n") == 1).alias("response"))
     return plain.unionByName(ties)
