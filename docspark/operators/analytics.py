@@ -65,10 +65,19 @@ def meter(fragments: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
-def progress(jobs: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Tasks done / total per job; a job without tasks keeps NULL counts, not zero."""
+def progress(jobs: DataFrame, tasks: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Tasks done / total per job; a job without tasks keeps NULL counts, not zero.
+
+    With ``pages`` (``parse_id, parsed``), pages parsed / total alike.
+    """
     per_job = tasks.groupBy("parse_id").agg(
         F.count_if("done").alias("tasks_completed_count"), F.count(F.lit(1)).alias("tasks_total_count")
     )
     share = F.try_divide(F.col("tasks_completed_count"), F.col("tasks_total_count"))
-    return jobs.select("parse_id").join(per_job, "parse_id", "left").withColumn("share_done", share)
+    out = jobs.select("parse_id").join(per_job, "parse_id", "left").withColumn("share_done", share)
+    if pages is None:
+        return out
+    counted = pages.groupBy("parse_id").agg(
+        F.count_if("parsed").alias("parsed_pages_count"), F.count(F.lit(1)).alias("total_pages")
+    )
+    return out.join(counted, "parse_id", "left")

@@ -249,6 +249,32 @@ def page_index(df: DataFrame, size: int, order: str, ties=(), **limits: int) ->
     return n.withColumn("page_no", F.ceil(F.col("row_no") / size).cast("bigint")).drop("_all", "_key")
 
 
+def all_pages(df: DataFrame, size: int, ts: str = "created_at", key: str = "id", **limits: int) -> DataFrame:
+    """Every page of a listing at once, newest first: each row with its page number and the cursor that leads to the next page.
+
+    The distributed form of following the cursors to the end; the last page has
+    no next cursor.  ``ts`` is a date or timestamp, ``key`` an integer.
+    """
+    day = F.unix_micros(F.col(ts).cast("timestamp"))
+    ordered = hotkeys.paired_order(df, day, F.col(key), "_order")
+    pages = page_index(ordered, size, "_order", [F.col(ts).desc(), F.col(key).desc()], **limits)
+    # The last row of a page is its cursor, if another page begins.
+    ends = pages.where(F.col("row_no") % size == 0).select(F.col("page_no").alias("_p"), cursor_of(ts, key).alias("next_cursor"))
+    begins = pages.where(((F.col("row_no") - 1) % size == 0) & (F.col("row_no") > 1)).select((F.col("page_no") - 1).alias("_p"))
+    ends = ends.join(begins, "_p", "left_semi")
+    return pages.join(ends, pages["page_no"] == ends["_p"], "left").drop("_p", "_order", "row_no")
+
+
 def directory_listing(entries: DataFrame, *parent: str) -> DataFrame:
     """Directories first, then by name; a range-partitioned sort."""
     return entries.orderBy(*parent, F.col("is_dir").desc(), F.col("name"))
+
+
+def listing_positions(entries: DataFrame, *parent: str) -> DataFrame:
+    """The same with each entry's position in its directory, for consumers that lose the order of rows.
+
+    Directories are bounded by what one folder holds; entries of equal name are
+    numbered in an arbitrary order.
+    """
+    w = Window.partitionBy(*parent).orderBy(F.col("is_dir").desc(), F.col("name"))
+    return entries.withColumn("position", F.row_number().over(w))

@@ -60,14 +60,19 @@ def metering(spark, sf_dir):
 
 
 @query("agg_5_progress", """
-SELECT o_orderkey AS parse_id, tasks_completed_count, tasks_total_count, tasks_completed_count / tasks_total_count AS share_done
-FROM orders LEFT JOIN (SELECT l_orderkey, count(*) FILTER (WHERE l_linestatus = 'F') AS tasks_completed_count,
-       count(*) AS tasks_total_count FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey""")
+SELECT o_orderkey AS parse_id, tasks_completed_count, tasks_total_count, tasks_completed_count / tasks_total_count AS share_done,
+       parsed_pages_count, total_pages
+FROM orders LEFT JOIN (SELECT l_orderkey, count(*) FILTER (WHERE l_linestatus = 'F') AS tasks_completed_count, count(*) AS tasks_total_count,
+       count(*) FILTER (WHERE l_returnflag <> 'N') AS parsed_pages_count, count(*) AS total_pages
+       FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey""")
 def progress(spark, sf_dir):
     tasks = t.load(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("parse_id"), (F.col("l_linestatus") == "F").alias("done")
     )
-    return analytics.progress(t.jobs(spark, sf_dir), tasks)
+    pages = t.load(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("parse_id"), (F.col("l_returnflag") != "N").alias("parsed")
+    )
+    return analytics.progress(t.jobs(spark, sf_dir), tasks, pages)
 
 
 # Nearest rank: index ceil(p*n)-1 of the sorted values, clamped.

@@ -248,14 +248,19 @@ def keyset_prev(spark, sf_dir):
     return p.select("parse_id", t.micros("created_at").alias("created_us"), "has_more")
 
 
-@query("srt_2_iterate_all", f"""WITH {t.JOBS} SELECT parse_id, status FROM jobs""")
+@query("srt_2_iterate_all", f"""WITH {t.JOBS},
+n AS (SELECT *, row_number() OVER (ORDER BY created_at DESC, parse_id DESC) AS r, count(*) OVER () AS total FROM jobs),
+p AS (SELECT *, CAST(ceil(r / 100.0) AS BIGINT) AS page_no FROM n),
+e AS (SELECT page_no, {CUR.format(ts="created_at", id="parse_id")} AS next_cursor FROM p WHERE r % 100 = 0 AND r < total)
+SELECT parse_id, status, p.page_no, next_cursor FROM p LEFT JOIN e ON e.page_no = p.page_no""")
 def iterate_all(spark, sf_dir):
-    """Iterating everything is the table itself; a driver consumer uses ``iter_rows``."""
-    return t.jobs(spark, sf_dir).select("parse_id", "status")
+    """All pages of the listing, as a consumer that follows the cursors would get them."""
+    jobs = t.jobs(spark, sf_dir).select("parse_id", "status", "created_at")
+    return catalog.all_pages(jobs, 100, key="parse_id").select("parse_id", "status", "page_no", "next_cursor")
 
 
 @query("srt_3_directory_listing", """
-SELECT directory, name, is_dir, size FROM (
+SELECT directory, name, is_dir, size, CAST(row_number() OVER (PARTITION BY directory ORDER BY is_dir DESC, name) AS INTEGER) AS position FROM (
   SELECT p_brand AS directory, p_name || ' ' || p_partkey AS name, p_size % 5 = 0 AS is_dir,
          CASE WHEN p_size % 5 <> 0 THEN CAST(p_size AS BIGINT) END AS size FROM part)""")
 def directory_listing(spark, sf_dir):
@@ -267,7 +272,7 @@ def directory_listing(spark, sf_dir):
         is_dir.alias("is_dir"),
         F.when(~is_dir, F.col("p_size").cast("bigint")).alias("size"),
     )
-    return catalog.directory_listing(entries, "directory")
+    return catalog.directory_listing(catalog.listing_positions(entries, "directory"), "directory")
 
 
 @query("win_9_page_index", f"""WITH {t.JOBS}
