@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,11 +98,17 @@ _BRACKET = re.compile(rf"[ ]?{_OPEN}[ ]?(?:(?P<at>{_WORD}|@)|(?P<dot>{_DOT}|\.))
 _PLAIN = re.compile(
     rf"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?:\.| {_DOT} )[A-Za-z0-9_%+-]+)*?(?P<at> {_WORD} |[ ]?@[ ]?)"
     rf"[A-Za-z0-9-]+(?:(?:\.| {_DOT} )[A-Za-z0-9-]+)*(?:\.| {_DOT} )(?:{'|'.join(TOP.split())})(?![\w-])")
+_PLAIN_HINT = re.compile(rf" {_WORD} [^ \n]+ {_DOT} |@[ ]| @| {_DOT} ")
 _PLAIN_SIGN = re.compile(rf" {_DOT} | {_WORD} |[ ]?@[ ]?")
 _SPELLED_RUN = re.compile(
     rf"(?<!\w)(?:plus[ -]+)?(?:{NUMBER}|[0-9]+)(?:(?:[ ,.-]+|[ ]dot[ ]|[ ]point[ ])(?:{NUMBER}|[0-9]+)(?!\w))+", re.I)
 _SPELLED_WORD = re.compile(rf"(?:(?P<dot>[ ](?:dot|point)[ ])|(?P<plus>plus[ -]+)|(?P<num>{NUMBER}(?!\w))|(?P<gap>[ ,-]+))", re.I)
-_STRANGE = re.compile("[" + re.escape("".join(HOMOGLYPHS) + INVISIBLE) + "]")
+# Marks of the characters that are rewritten, by code point.
+_STRANGE = np.zeros(0x110000, bool)
+_STRANGE[[ord(c) for c in [*HOMOGLYPHS, *INVISIBLE]]] = True
+# A run of spelled digits holds one of these: a plain search before the pattern.
+_HINT_WORDS = ("zero", "two", "three", "four", "five", "six", "seven", "eight", "nine", "one one", "one-one", "one,one", "one, one",
+               "one.one", "one. one", "one  one", "one oh", "oh one", "oh oh", "one dot one", "one point one")
 _SPELLED_HINT = re.compile(rf"{NUMBER}(?:[ ,.-]+|[ ]dot[ ]|[ ]point[ ]){NUMBER}", re.I)
 
 
@@ -156,18 +163,20 @@ def rewrite(text: str) -> Mapped | None:
     """The rewritten text, or None if nothing is disguised."""
     m = Mapped(text)
     if not text.isascii():
-        m.apply([(x.start(), x.end(), HOMOGLYPHS.get(x.group(), "")) for x in _STRANGE.finditer(m.text)])
+        at = np.flatnonzero(_STRANGE[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)])
+        m.apply([(i, i + 1, HOMOGLYPHS.get(text[i], "")) for i in at.tolist()])
     low = m.text
     if "[" in low or "(" in low or "{" in low or "<" in low:
         m.apply([(x.start(), x.end(), "@" if x["at"] else ".") for x in _BRACKET.finditer(m.text)])
-    if _SPELLED_HINT.search(m.text):
+    small = m.text.lower()
+    if any(w in small for w in _HINT_WORDS) and _SPELLED_HINT.search(m.text):
         edits = []
         for x in _SPELLED_RUN.finditer(m.text):
             words = re.findall(NUMBER, x.group(), re.I)
             if len(words) >= 3:
                 edits += _spelled(x, x.start())
         m.apply(edits)
-    if re.search(rf" {_WORD} [^ \n]+(?:\.| {_DOT} )|@[ ]| @| {_DOT} ", m.text):
+    if _PLAIN_HINT.search(m.text):
         edits = []
         for x in _PLAIN.finditer(m.text):
             # "look at example.com" is prose: the word "at" counts only with a dot in words too.
