@@ -193,6 +193,31 @@ def html_type(segment: Column) -> Column:
     )
 
 
+CELL_END = r"(?is)</?(?:td|th|tr|table|thead|tbody|tfoot|caption)\b.*$"
+
+
+def html_table_text(markup: Column) -> Column:
+    """A ``<table>`` as lines of cells between vertical bars; bars inside cells are escaped.
+
+    Rows and cells begin at their opening tags, so unclosed ones end where the
+    next begins; header cells are cells.  A table without rows is its text.
+    """
+
+    def cell(c: Column) -> Column:
+        return F.replace(html_text(F.regexp_replace(c, CELL_END, "")), F.lit("|"), F.lit("\\|"))
+
+    def row(r: Column) -> Column:
+        cells = F.split(F.regexp_replace(r, r"(?i)<t[dh]\b[^>]*>", "\u0001"), "\u0001")
+        return F.array_join(F.transform(F.slice(cells, 2, F.size(cells)), cell), " | ")
+
+    def lines(parts: Column) -> Column:
+        rows = F.transform(F.slice(parts, 2, F.size(parts)), row)
+        # A bar at the end keeps a row of one cell a row of a table.
+        return F.when(F.size(parts) > 1, F.array_join(F.transform(rows, lambda r: F.concat(r, F.lit(" |"))), "\n"))
+
+    return S.let(F.split(F.regexp_replace(markup, r"(?i)<tr\b[^>]*>", "\u0002"), "\u0002"), lines)
+
+
 def html_fragments(html) -> Column:
     """Typed fragments of a fetched page (one page per URL) as one array."""
 
@@ -203,7 +228,8 @@ def html_fragments(html) -> Column:
         )
         body = F.when(seg.rlike(IS_CONTAINER), seg).otherwise(F.regexp_replace(seg, BLOCK_CLOSE, ""))
         alt = F.regexp_extract(seg, r"""(?i)^<img\b[^>]*\balt="([^"]*)""", 1)
-        text = F.when(seg.rlike(r"(?i)^<img\b"), html_text(alt)).otherwise(html_text(body))
+        table = F.when(kind == "table", html_table_text(seg))
+        text = F.when(seg.rlike(r"(?i)^<img\b"), html_text(alt)).otherwise(F.coalesce(table, html_text(body)))
         return F.struct(kind.alias("fragment_type"), level.cast("int").alias("level"), text.alias("text"))
 
     segments = F.transform(html_segments(html), lambda s: F.struct(s.alias("seg"), html_type(s).alias("kind")))

@@ -44,9 +44,26 @@ def markdown_row(cells) -> Column:
 
 
 def table_cells_of(line) -> Column:
-    """Cells of a text line with vertical bars."""
-    bare = F.regexp_replace(S.trimmed(line), r"^\||\|$", "")
-    return F.transform(F.split(bare, r"\|"), lambda c: S.trimmed(c))
+    """Cells of a text line with vertical bars; an escaped bar belongs to its cell."""
+    bare = F.regexp_replace(S.trimmed(line), r"^\||(?<!\\)\|$", "")
+    return F.transform(F.split(bare, r"(?<!\\)\|"), lambda c: F.replace(S.trimmed(c), F.lit("\\|"), F.lit("|")))
+
+
+# The line under a table's header: bars, dashes and colons only.
+RULE_LINE = r"^[ \t|:-]*-[ \t|:-]*$"
+
+
+def table_rows_of(text) -> Column:
+    """Rows of cells of a table's lines, without the line that rules off its header."""
+    lines = F.filter(F.split(S._c(text), "\n"), lambda x: ~x.rlike(RULE_LINE))
+    return F.transform(lines, table_cells_of)
+
+
+def markdown_table(rows) -> Column:
+    """Rows of cells as a markdown table; the first row is its header."""
+    lines = F.transform(S._c(rows), markdown_row)
+    rule = F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), F.size(F.get(S._c(rows), F.lit(0)))))
+    return F.array_join(F.concat(F.slice(lines, 1, 1), F.array(rule), F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1)))), "\n")
 
 
 def render_tables(rows: DataFrame, mode: str = "html", key: str = "doc_id") -> DataFrame:

@@ -293,14 +293,14 @@ def _structured(config: Configuration) -> Column | None:
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
-def _merged_tables(config: Configuration) -> Column | None:
+def _merged_tables(config: Configuration, key: str) -> Column | None:
     """Tables on consecutive pages with equal column counts, as one table each."""
     if not config.parsing.merge_tables:
         return None
 
     def of_page(z: Column) -> Column:
         lines = F.filter(z["f"], lambda f: f["fragment_type"] == "table")
-        rows = F.transform(lines, lambda f: T.table_cells_of(f["text"]))
+        rows = F.flatten(F.transform(lines, lambda f: T.table_rows_of(f["text"])))
         return F.struct(z["p"]["page_number"].alias("page_number"), rows.alias("rows"))
 
     def shaped(x: Column) -> Column:
@@ -318,7 +318,7 @@ def _merged_tables(config: Configuration) -> Column | None:
         first, columns = F.get(run, F.lit(0)), F.get(run, F.lit(0))["n_cols"]
         note = T.table_summary(F.get(rows, F.lit(0)), F.size(rows), columns)
         return F.struct(
-            F.concat(F.lit("merged_"), first["page_number"].cast("string")).alias("merged_table_id"),
+            T.merged_id(key, first["page_number"]).alias("merged_table_id"),
             T.html_table(rows).alias("merged_table_html"),
             first["page_number"].alias("start_page"),
             F.element_at(numbers, -1).alias("end_page"),
@@ -353,7 +353,7 @@ def structured_rows(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, Da
 # ---- jobs ----------------------------------------------------------------
 
 
-def _run(docs: DataFrame, cases: Cases, text: str) -> DataFrame:
+def _run(docs: DataFrame, cases: Cases, text: str, key: str) -> DataFrame:
     """All steps over rows that have a ``job_type``; each row gets what its job
     type asks for: ``read`` chunks, ``extract`` structured data, ``classify``
     page classes, ``parse`` and ``dataset`` all of them as configured."""
@@ -378,7 +378,7 @@ def _run(docs: DataFrame, cases: Cases, text: str) -> DataFrame:
         out = out.withColumn("structured", _case(wanted, _structured, STRUCTURED))
     if any(c.parsing.merge_tables for c in configs):
         wanted = [(when & ((kind == "read") | everything), c) for when, c in cases]
-        out = out.withColumn("merged_tables", _case(wanted, _merged_tables, MERGED))
+        out = out.withColumn("merged_tables", _case(wanted, lambda c: _merged_tables(c, key), MERGED))
     output = F.struct(
         _case(cases, lambda c: F.lit(c.parsing.table_output_mode or "html"), "string").alias("tables"),
         _case(cases, lambda c: F.lit(c.enrichment.table_summarization), "boolean").alias("table_summaries"),
@@ -395,7 +395,7 @@ def run_dataset(
         raise ValueError("at least one structured_extraction_options must be provided")
     if job_type == "classify" and not config.page_classes:
         raise ValueError("at least one page_classifications must be provided")
-    return _run(docs.withColumn("job_type", F.lit(job_type)), [(F.lit(True), config)], text)
+    return _run(docs.withColumn("job_type", F.lit(job_type)), [(F.lit(True), config)], text, key)
 
 
 def run_jobs(
@@ -419,7 +419,7 @@ def run_jobs(
             F.lit("INVALID_PAGE_CLASSIFICATION").alias("code"), F.lit(V.NO_CLASSES).alias("message")))
     )
     cases = [(dataset == name, config) for name, config in configs.items()]
-    results = assemble(_run(requests.where(code.isNull()), cases, text), key)
+    results = assemble(_run(requests.where(code.isNull()), cases, text, key), key)
     rejects = requests.where(code.isNotNull()).select(key, "dataset_id", "job_type", code["code"].alias("code"), code["message"].alias("message"))
     return results, rejects
 
@@ -447,11 +447,12 @@ def assemble(docs: DataFrame, key: str = "parse_id") -> DataFrame:
 
     def content(f: Column) -> Column:
         kind, table = f["fragment_type"], f["fragment_type"] == "table"
-        cells = T.table_cells_of(f["text"])
+        rows = F.when(table, T.table_rows_of(f["text"]))
         boxed = F.transform(
-            cells, lambda c: F.struct(c.alias("text"), F.lit(None).cast("map<string,double>").alias("bounding_box"))
+            F.flatten(rows), lambda c: F.struct(c.alias("text"), F.lit(None).cast("map<string,double>").alias("bounding_box"))
         )
-        summary = F.when(table & how["table_summaries"], T.table_summary(cells, F.lit(1), F.size(cells))).when(
+        first = F.coalesce(F.get(rows, F.lit(0)), F.array().cast("array<string>"))
+        summary = F.when(table & how["table_summaries"], T.table_summary(first, F.size(rows), F.size(first))).when(
             kind.isin("figure", "chart") & how["figure_summaries"], T.figure_summary(f["text"])
         )
         return G.content_struct(
@@ -460,10 +461,19 @@ def assemble(docs: DataFrame, key: str = "parse_id") -> DataFrame:
             f["level"],
             summary,
             boxed,
-            F.when(how["tables"] == "html", T.html_table(F.array(cells))),
-            F.when(how["tables"] == "markdown", T.markdown_row(cells)),
+            F.when(how["tables"] == "html", T.html_table(rows)),
+            F.when(how["tables"] == "markdown", T.markdown_table(rows)),
         )
 
+    def whole_tables(frags: Column) -> Column:
+        """Lines of bars that follow each other are one table; a table of a web page has its lines already."""
+        def bars(f: Column) -> Column:
+            return (f["fragment_type"] == "table") & ~f["text"].contains("\n")
+
+        begins = C.positions(frags, lambda f, i: (i == 0) | ~bars(f) | ~F.coalesce(bars(F.get(frags, i - 1)), F.lit(False)))
+        return F.transform(C.cut_at(frags, begins, F.lit(0)), lambda s: F.get(s["frags"], F.lit(0)).withField(
+            "text", F.array_join(F.transform(s["frags"], lambda f: f["text"]), "\n")))
+
     def frag(f: Column) -> Column:
         return F.struct(
             f["fragment_type"].alias("fragment_type"),
@@ -478,7 +488,7 @@ def assemble(docs: DataFrame, key: str = "parse_id") -> DataFrame:
         zipped,
         lambda z: F.struct(
             z["p"]["page_number"].alias("page_number"),
-            F.transform(z["f"], frag).alias("page_fragments"),
+            F.transform(S.let(z["f"], whole_tables), frag).alias("page_fragments"),
             z["r"].alias("classification_reason"),
         ),
     )

@@ -10,7 +10,7 @@ from docspark.operators import chunks as C
 from docspark.operators import fragments as G
 from docspark.operators import tables
 from docspark.plans import jobs
-from docspark.plans.config import Configuration, ExtractionOptions, PageClass, ParsingOptions
+from docspark.plans.config import Configuration, EnrichmentOptions, ExtractionOptions, PageClass, ParsingOptions
 from docspark.session import shared_dir
 from docspark.streaming import feeds, ingest
 from docspark.workload import doc_sql as D
@@ -68,7 +68,9 @@ _DATASET = " ".join(f"WHEN '{lang}' THEN '{name}'" for lang, (name, _) in PRESET
 fr AS (SELECT * FROM all_fr WHERE NOT (lang = 'en' AND fragment_type = 'table')), {D.marked()},
 ch AS (SELECT DISTINCT doc_id, CASE lang WHEN 'en' THEN section_id WHEN 'fr' THEN page_number WHEN 'de' THEN pos ELSE 0 END AS k FROM md),
 n AS (SELECT doc_id, count(*) AS chunks FROM ch GROUP BY doc_id),
-m AS (SELECT doc_id, count(*) AS fragments FROM fr GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) FILTER (WHERE NOT follows) AS fragments FROM (
+   SELECT doc_id, fragment_type = 'table' AND coalesce(lag(fragment_type) OVER (PARTITION BY doc_id, page_number ORDER BY reading_order), '') = 'table' AS follows
+   FROM fr) GROUP BY doc_id),
 r AS (SELECT DISTINCT doc_id, CASE WHEN doc_id % 17 = 3 THEN NULL WHEN doc_id % 17 = 4 THEN 'gone' ELSE CASE lang {_DATASET} END END AS dataset_id, total_pages,
         CASE WHEN doc_id % 17 = 5 THEN 'extract' WHEN doc_id % 17 = 6 THEN 'classify'
              ELSE CASE doc_id % 3 WHEN 0 THEN 'read' WHEN 1 THEN 'parse' ELSE 'dataset' END END AS job_type FROM pg),
@@ -115,6 +117,36 @@ def web_pages(spark, sf_dir):
     )
 
 
+# A web page with a table at its end: header cells, an entity, a bar in a cell, unclosed rows and cells.
+@query("doc_13_web_tables", """
+SELECT page_id, '<table><tr><td>A &amp; B</td><td>é</td></tr><tr><td>' || page_id || '</td><td>1|2</td></tr></table>' AS html, 4 AS cells,
+       '2 rows, 2 columns; first row: A & B, é' AS summary FROM pages""")
+def web_tables(spark, sf_dir):
+    page = F.col("page_id").cast("string")
+    markup = F.concat(F.lit("<table class=x><tr><th>A &amp; B<th>é<tr><td>"), page, F.lit("</td><td>1|2</table>"))
+    web = t.load(spark, sf_dir, "pages").select(
+        "page_id", F.concat(F.coalesce("html", F.lit("")), markup).alias("text"), F.lit("text/html").alias("mime_type"))
+    config = Configuration(ParsingOptions(), EnrichmentOptions(table_summarization=True))
+    out = jobs.assemble(jobs.run_dataset(web, config, "parse", "page_id"), "page_id")
+    frags = F.filter(F.get("pages", F.lit(0))["page_fragments"], lambda f: f["fragment_type"] == "table")
+    last = F.element_at(frags, -1)["content"]["table"]
+    return out.select("page_id", last["html"].alias("html"), F.size(last["cells"]).alias("cells"), last["summary"].alias("summary"))
+
+
+@query("doc_13_bar_tables", """
+SELECT doc_id, '| k | v |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || doc_id || ' | x |' AS markdown, 1 AS tables
+FROM documents WHERE NOT contains(text, '|') AND length(text) < 2500""")
+def bar_tables(spark, sf_dir):
+    """A table of three lines at the end of each short document is one fragment of the job's output."""
+    docs = t.load(spark, sf_dir, "documents").where(~F.col("text").contains("|") & (F.length("text") < 2500))
+    lines = F.concat(F.lit("\n\n| k | v |\n|---|:-:|\n| "), F.col("doc_id").cast("string"), F.lit(" | x |\n"))
+    docs = docs.select("doc_id", F.concat("text", lines).alias("text"))
+    config = Configuration(ParsingOptions(table_output_mode="markdown"))
+    out = jobs.assemble(jobs.run_dataset(docs, config, "parse"), "doc_id")
+    tables_ = F.filter(F.flatten(F.transform("pages", lambda p: p["page_fragments"])), lambda f: f["fragment_type"] == "table")
+    return out.select("doc_id", F.get(tables_, F.lit(0))["content"]["table"]["markdown"].alias("markdown"), F.size(tables_).alias("tables"))
+
+
 ACCOUNTS = Configuration(
     ParsingOptions(chunking_strategy="fragment"),
     extraction=(

@@ -128,7 +128,7 @@ def test_html(spark):
     assert got == [
         ("page_header", None, "x y"), ("title", 0, "Big & bold"), ("text", None, "open"), ("text", None, "next <p>"),
         ("section_header", 2, "Sub"), ("list_item", None, "one"), ("list_item", None, "two"), ("text", None, "box"),
-        ("table", None, "1"), ("figure", None, "a picture"), ("figure", None, "cap"), ("page_footer", None, "© me"),
+        ("table", None, "1 |"), ("figure", None, "a picture"), ("figure", None, "cap"), ("page_footer", None, "© me"),
     ]
 
 
@@ -145,3 +145,14 @@ def test_content_union_has_one_member(spark):
     for r in df.select("k", G.content_struct("k", "t", "l").alias("c")).collect():
         assert sum(v is not None for v in r["c"]) == 1
     assert df.select(G.content_struct("k", "t", "l")["header"]["level"].alias("x")).where(F.col("x") == 1).count() == 2
+
+
+def test_html_table_rows_and_cells(spark):
+    from docspark.operators import tables as T
+
+    got = html(spark, "<body><table><thead><tr><th>A &amp; B<th> C <tbody><tr><td>1|2</td><td></td></tr><tr><td>x<td>y</table>"
+                      "<table><caption>no rows</caption></table></body>")
+    assert [t for _, _, t in got] == ["A & B | C |\n1\\|2 |  |\nx | y |", "no rows"]
+    df = spark.createDataFrame([(got[0][2],), ("a | b\n|---|:-:|\nc | d",)], "t string")
+    assert [r[0] for r in df.select(T.table_rows_of("t")).collect()] == [
+        [["A & B", "C"], ["1|2", ""], ["x", "y"]], [["a", "b"], ["c", "d"]]]

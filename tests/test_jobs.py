@@ -173,7 +173,7 @@ def test_table_output(spark):
     assert [c["text"] for c in html["cells"]] == ["a & b", "c"] and html["summary"] is None
     md = job(spark, text, {"table_output_mode": "markdown"}, enrichment=EnrichmentOptions(table_summarization=True))
     table = md["pages"][0]["page_fragments"][0]["content"]["table"]
-    assert table["markdown"] == "| a & b | c |" and table["html"] is None
+    assert table["markdown"] == "| a & b | c |\n| --- | --- |" and table["html"] is None
     assert table["summary"] == "1 rows, 2 columns; first row: a & b, c"
 
 
@@ -221,3 +221,28 @@ def test_read_documents(spark, tmp_path):
     assert [(r["file_name"], r["code"]) for r in rejects.collect()] == [("c.pdf", "INVALID_MIME_TYPE")]
     out = Jb.assemble(Jb.run_dataset(docs, Configuration(), "read", "file_id"), "file_id")
     assert out.count() == 2
+
+
+def test_lines_of_bars_are_one_table(spark):
+    r = job(spark, "Title of it\nsome words here that make a line of text, long enough\n| a | b |\n|---|---|\n| 1 | 2 |\n")
+    tables = [f["content"]["table"] for f in r["pages"][0]["page_fragments"] if f["fragment_type"] == "table"]
+    assert len(tables) == 1
+    assert tables[0]["html"] == "<table><tr><td>a</td><td>b</td></tr><tr><td>1</td><td>2</td></tr></table>"
+    assert [c["text"] for c in tables[0]["cells"]] == ["a", "b", "1", "2"]
+
+
+def test_citations_stay_in_their_partition(spark):
+    text = "Invoice of the month\ntotal: 7\n\fInvoice of the month\ntotal: 7\n"
+    config = Configuration(extraction=(ExtractionOptions("t", SCHEMA, partition_strategy="page", provide_citations=True),))
+    docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    r = Jb.assemble(Jb.run_dataset(docs, config, "extract"), "doc_id").first()
+    cited = [(c["page_number"], c["offset"]) for s in r["structured_data"] for c in s["citations"]]
+    second = text.index("\f")
+    assert cited == [(1, text.index("7")), (2, text.index("7", second))]
+
+
+def test_an_extraction_without_its_field_fails(spark):
+    config = Configuration(extraction=(ExtractionOptions("t", SCHEMA),))
+    docs = spark.createDataFrame([(1, "nothing here"), (2, "total: 3")], "doc_id int, text string")
+    got = {r["doc_id"]: (r["status"], r["error"], r["usage"] is None) for r in Jb.assemble(Jb.run_dataset(docs, config, "extract"), "doc_id").collect()}
+    assert got == {1: ("failure", "missing required: total", True), 2: ("successful", None, False)}
