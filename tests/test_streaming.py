@@ -118,3 +118,26 @@ def test_stream_dataset(spark, tmp_path):
     assert done == [0, 1, 2]
     assert out.where(F.size("chunks") == 1).count() == 6
     assert json.loads(out.select(F.to_json("usage")).first()[0])["pages_parsed"] == 1
+
+
+def test_an_ended_job_stays_ended_in_later_batches(spark, tmp_path):
+    """Rows after the end come in files of their own, so in later micro-batches; the batch reducer is the measure."""
+    at = dt.datetime(2024, 1, 1)
+    schema = "job_id BIGINT, seq BIGINT, name STRING, payload STRING, ts TIMESTAMP"
+    files = [
+        [(1, 0, E.QUEUED, "{}", at), (2, 0, E.FAILED, '{"error":"x"}', at), (4, 0, E.DONE, "{}", at)],
+        [(1, 1, E.DONE, '{"a":1}', at + dt.timedelta(seconds=5)), (2, 1, E.DONE, "{}", at + dt.timedelta(seconds=5))],
+        [(1, 2, E.UPDATE, "{}", at + dt.timedelta(seconds=9)), (1, 3, E.FAILED, "{}", at + dt.timedelta(seconds=9)), (4, 1, E.DONE, "{}", at)],
+        [(3, 0, E.QUEUED, "{}", at + dt.timedelta(hours=2))],
+        [(3, 1, E.DONE, "{}", at + dt.timedelta(hours=2, seconds=1))],
+    ]
+    path, out, cp = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    every = []
+    for rows in files:
+        every += rows
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        feed = feeds.read_feed(spark, path, schema, files_per_trigger=1)
+        feeds.to_end(feeds.job_state_with_timeout(feed, "ts", "1 minute", 10 * 60 * 1000), feeds._batch_writer(out), cp)
+    got = spark.read.parquet(out).select("job_id", "status", "error", "result").collect()
+    want = E.job_state(spark.createDataFrame(every, schema).drop("ts")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 4
