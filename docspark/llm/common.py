@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,8 @@ EXPAND_BLOCK = 4096
 
 def prepare(spark: SparkSession) -> None:
     """Bound the Arrow batches that carry whole texts to Python."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,5 +154,68 @@ def word_spans(low: np.ndarray, offs: np.ndarray, inside: np.ndarray) -> tuple[n
     return starts, ends, np.searchsorted(starts, offs)
 
 
+# Bytes of words that are hashed at once.
+HASHED = 1 << 20
+
+
 def word_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return mix(Rolling(low).hashes(starts, ends) ^ (ends - starts).astype(np.uint64))
+    """Polynomial hash of each word, whatever its place; memory is bounded by HASHED or one word."""
+    sizes = ends - starts
+    out = np.zeros(len(starts), np.uint64)
+    if not len(starts):
+        return out
+    Rolling._grow(int(sizes.max()))
+    total = np.cumsum(sizes)
+    a = 0
+    while a < len(starts):
+        done = int(total[a - 1]) if a else 0
+        b = max(a + 1, int(np.searchsorted(total, done + HASHED, "right")))
+        n = sizes[a:b]
+        begin = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) - np.repeat(begin, n)
+        values = (low[np.repeat(starts[a:b], n) + place].astype(np.uint64) + np.uint64(1)) * Rolling._powers[place]
+        out[a:b] = np.add.reduceat(values, begin)
+        a = b
+    return mix(out ^ sizes.astype(np.uint64))
+
+
+def releasing(run):
+    """A batch function that gives the memory it no longer needs back to the system when its partition ends.
+
+    Python workers live on between stages; what their allocators keep would add up.
+    """
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(_libc(), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
+_resident: dict = {}
+
+
+def resident(group: str, key, build):
+    """A model that a Python worker keeps between tasks; models of another group go first.
+
+    Workers serve one operator after the other, so the models of all would add up.
+    """
+    if _resident.get("group") != group:
+        _resident.clear()
+        _resident["group"] = group
+    if key not in _resident:
+        _resident[key] = build()
+    return _resident[key]
+
+
+@lru_cache(maxsize=1)
+def _libc():
+    try:
+        return ctypes.CDLL(None)
+    except (OSError, TypeError):
+        return None

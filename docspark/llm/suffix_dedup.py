@@ -15,8 +15,9 @@ run, and the run's bytes are its context.
   sorted by a merge sort that compares by prefix polynomial hashes: a binary
   search finds the common extension, the byte behind it decides.  Neighbours with
   MATCH bytes in common are verified byte by byte.
-* Anchors with very many different contexts are split by a cryptographic digest
-  of each window, so that no bucket grows with the corpus.
+* An anchor with very many different contexts is sorted in runs of bounded size.
+  What a run has twice is settled in it; of each different window one digest goes
+  on, and those of several runs are merged by an aggregate.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docspark.llm.common import Rolling, bounded_broadcast, free_names, materialise, mix, text_bytes
+from docspark.llm.common import Rolling, bounded_broadcast, free_names, materialise, mix, releasing, text_bytes
 
 MATCH = 200
 # Bytes of an anchor.
@@ -37,8 +38,8 @@ GRAM = 48
 PIECE = 1 << 20
 # Anchors a task combines at once before they are shuffled.
 COMBINED = 1 << 21
-# Contexts of one anchor that are sorted together; with more, windows are dealt out by digest.
-BUCKET = 512
+# Contexts of one anchor that are sorted together (some 300 bytes and 80 suffixes each).
+BUCKET = 2048
 # Rows of one anchor that a task holds.
 RUN_ROWS = 1 << 18
 
@@ -112,6 +113,7 @@ def _scan(df: DataFrame, match: int, gram: int) -> DataFrame:
     number; the others come out as covered windows (n = 0, spread by a hash).
     """
 
+    @releasing
     def run(batches):
         held, size = [], 0
 
@@ -172,9 +174,13 @@ def _runs(batches, limit: int):
 
 
 def _route(bucket: int, limit: int):
-    """Covered windows (``rep`` false), and one row per different context of anchors that have several (``rep`` true)."""
+    """Covered windows (``part`` -1), and one row per different context of anchors that have several.
+
+    Contexts of one anchor are numbered; every ``bucket`` of them are a part.
+    """
 
     def run(batches):
+        last, used = None, 0  # the anchor that came in pieces, and its parts so far
         for rows, large in _runs(batches, limit):
             h, c, n = rows["h"], rows["c"], rows["n"]
             new_h = np.concatenate([[True], h[1:] != h[:-1]])
@@ -185,18 +191,22 @@ def _route(bucket: int, limit: int):
             covered = (n == 0) | ((n == 1) & (total[group] > 1))
             anchor_of = np.cumsum(new_h) - 1
             real = new & (total[group] > 0)
-            contexts = np.bincount(anchor_of[real], minlength=int(anchor_of[-1]) + 1)[anchor_of]
-            hot = contexts > bucket if large is None else (contexts > bucket) | (h == large)
-            rep = real & ((contexts > 1) | hot)
-            out = []
-            for mask, is_rep in ((covered, False), (rep, True)):
-                m = int(mask.sum())
-                if m:
-                    out.append(pa.RecordBatch.from_arrays(
+            contexts = np.bincount(anchor_of[real], minlength=int(anchor_of[-1]) + 1)
+            before = np.concatenate([[0], np.cumsum(contexts)[:-1]])
+            part = (np.cumsum(real) - 1 - before[anchor_of]) // bucket
+            pieces = h == large if large is not None else np.zeros(len(h), bool)
+            if pieces.any():
+                used = used if last == large else 0
+                part = np.where(pieces, part + used, part)
+                last, used = large, int(part[pieces].max()) + 1
+            hot = (contexts > bucket)[anchor_of] | pieces
+            rep = real & ((contexts > 1)[anchor_of] | hot)
+            for mask, number in ((covered, np.full(len(h), -1)), (rep, part)):
+                if mask.any():
+                    yield pa.RecordBatch.from_arrays(
                         [pa.array(rows[f][mask]) for f in ("h", "doc", "tk", "first", "last", "anchor")]
-                        + [pa.array(np.full(m, is_rep)), pa.array(total[group][mask] > 1), pa.array(hot[mask])],
-                        ["h", "doc", "tk", "first", "last", "anchor", "rep", "covered", "hot"]))
-            yield from out
+                        + [pa.array(number[mask].astype(np.int32)), pa.array(hot[mask])],
+                        ["h", "doc", "tk", "first", "last", "anchor", "part", "hot"])
 
     return run
 
@@ -272,8 +282,8 @@ def merge_sort(data: np.ndarray, rolling: Rolling, suffix: np.ndarray, group: np
     return order
 
 
-def repeated(contexts: list[tuple[int, bytes]], bucket_of: np.ndarray, match: int = MATCH) -> list[np.ndarray]:
-    """Per context, flags of the windows that also occur in another context of its bucket.
+def repeated(contexts: list[tuple[int, bytes]], bucket_of: np.ndarray, match: int = MATCH) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Per context, flags of the windows that also occur in another context of its bucket, and of the first of equal ones.
 
     ``contexts``: (offset of the anchor, bytes), ordered by bucket.
     """
@@ -293,8 +303,9 @@ def repeated(contexts: list[tuple[int, bytes]], bucket_of: np.ndarray, match: in
     order = by[merge_sort(data, rolling, suffix[by], group, match)]
     x, y = order[:-1], order[1:]
     same = (group[1:] == group[:-1]) & (rolling.hashes(suffix[x], suffix[x] + match) == rolling.hashes(suffix[y], suffix[y] + match))
-    flags = np.zeros(len(owner), bool)
+    flags, first = np.zeros(len(owner), bool), np.ones(len(owner), bool)
     pairs = np.flatnonzero(same)
+    first[y[pairs]] = False
     if len(pairs):
         bad = _collisions(data, owner, suffix, x[pairs], y[pairs], match)
         flags[x[pairs]] = flags[y[pairs]] = True
@@ -302,7 +313,9 @@ def repeated(contexts: list[tuple[int, bytes]], bucket_of: np.ndarray, match: in
             members = by[group == g]
             texts = [data[s: s + match].tobytes() for s in suffix[members]]
             flags[members] = [texts.count(t) > 1 for t in texts]
-    return np.split(flags, np.cumsum(windows)[:-1])
+            first[members] = True  # some may be equal, which the merge of runs allows
+    cut = np.cumsum(windows)[:-1]
+    return np.split(flags, cut), np.split(first, cut)
 
 
 def _collisions(data, owner, suffix, x, y, match) -> np.ndarray:
@@ -327,19 +340,27 @@ def _collisions(data, owner, suffix, x, y, match) -> np.ndarray:
     return by[bad[np.cumsum(new) - 1]]
 
 
+SORTED = "doc long, tk long, first int, last int, digest binary, part int, single boolean"
+
+
 def _sort_buckets(match: int):
-    """Covered windows of contexts that come sorted by anchor hash."""
+    """Covered windows of contexts that come sorted by anchor hash and part.
+
+    Of an anchor in several parts also each different window: its digest, and
+    whether the part has it once only.
+    """
 
     def run(batches):
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            h = held.column("h").to_numpy()
-            if not len(h):
+            if not held.num_rows:
                 continue
-            k = int(np.searchsorted(h, h[-1], "left"))
-            if k:
+            h, part = held.column("h").to_numpy(), held.column("part").to_numpy()
+            open_ = np.flatnonzero((h != h[-1]) | (part != part[-1]))
+            if len(open_):
+                k = int(open_[-1]) + 1
                 yield from work(held.slice(0, k))
                 held = held.slice(k)
         if held is not None and held.num_rows:
@@ -347,34 +368,39 @@ def _sort_buckets(match: int):
 
     def work(table):
         # A document row that is there twice brings its contexts twice.
-        same = [table.column(x).to_numpy() for x in ("h", "doc", "tk", "first")]
+        same = [table.column(x).to_numpy() for x in ("h", "part", "doc", "tk", "first")]
         new = np.ones(table.num_rows, bool)
         new[1:] = np.any([v[1:] != v[:-1] for v in same], axis=0)
         table = table.filter(pa.array(new))
-        h = table.column("h").to_numpy()
-        bucket = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])) - 1
+        h, part = table.column("h").to_numpy(), table.column("part").to_numpy()
+        change = np.concatenate([[False], (h[1:] != h[:-1]) | (part[1:] != part[:-1])])
+        bucket = np.cumsum(change)
         context = [(a - f, b) for a, f, b in zip(*(table.column(x).to_pylist() for x in ("anchor", "first", "bytes")))]
         # Bounded stretches of whole buckets.
         cut = [0]
-        for i in np.flatnonzero(np.concatenate([[False], bucket[1:] != bucket[:-1]])):
+        for i in np.flatnonzero(change):
             if i - cut[-1] >= 2048:
                 cut.append(int(i))
         cut.append(len(context))
         for a, b in zip(cut, cut[1:]):
             if a == b:
                 continue
-            flags = repeated(context[a:b], bucket[a:b], match)
-            doc, tk, first = ([], [], [])
-            out_first, out_last = [], []
-            docs, tks, firsts = (table.column(x).slice(a, b - a).to_pylist() for x in ("doc", "tk", "first"))
-            for d, t, f, flag in zip(docs, tks, firsts, flags):
+            flags, leaders = repeated(context[a:b], bucket[a:b], match)
+            spans, windows = [], []
+            rows = zip(*(table.column(x).slice(a, b - a).to_pylist() for x in ("doc", "tk", "first", "bytes", "part", "hot")))
+            for (doc, tk, first, raw, number, hot), flag, leader in zip(rows, flags, leaders):
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], flag.astype(np.int8), [0]])))
-                for s, e in zip(edge[0::2].tolist(), edge[1::2].tolist()):
-                    doc.append(d), tk.append(t), out_first.append(f + s), out_last.append(f + e - 1)
-            if doc:
+                spans += [(doc, tk, first + s, first + e - 1, None, None, None) for s, e in zip(edge[0::2].tolist(), edge[1::2].tolist())]
+                if hot:
+                    windows += [
+                        (doc, tk, first + i, first + i, hashlib.blake2b(raw[i: i + match], digest_size=16).digest(), number, not flag[i])
+                        for i in np.flatnonzero(leader).tolist()]
+            out = spans + windows
+            for lo in range(0, len(out), 1 << 16):
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.bool_())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc, pa.int64()), pa.array(tk, pa.int64()), pa.array(out_first, pa.int32()), pa.array(out_last, pa.int32())],
-                    ["doc", "tk", "first", "last"])
+                    [pa.array(c, k) for c, k in zip(zip(*out[lo: lo + (1 << 16)]), kinds)],
+                    ["doc", "tk", "first", "last", "digest", "part", "single"])
 
     return run
 
@@ -396,8 +422,8 @@ def _with_text(keyed: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def _contexts(keyed: DataFrame, reps: DataFrame, match: int) -> DataFrame:
-    """The bytes of the contexts: (h, doc, tk, first, anchor, bytes)."""
-    per = materialise(reps.groupBy("doc", "tk").agg(F.collect_set(F.struct("h", "first", "last", "anchor")).alias("list")))
+    """The bytes of the contexts: (h, part, hot, doc, tk, first, anchor, bytes)."""
+    per = materialise(reps.groupBy("doc", "tk").agg(F.collect_set(F.struct("h", "first", "last", "anchor", "part", "hot")).alias("list")))
     texts = _with_text(keyed.select("__doc", "__tk", "__text"), per)
 
     def run(batches):
@@ -405,27 +431,15 @@ def _contexts(keyed: DataFrame, reps: DataFrame, match: int) -> DataFrame:
             out = []
             for d, t, text, items in zip(*(batch.column(c).to_pylist() for c in ("__doc", "__tk", "__text", "list"))):
                 raw = text.encode()
-                out += [(x["h"], d, t, x["first"], x["anchor"], raw[x["first"]: x["last"] + match]) for x in items]
+                out += [(x["h"], x["part"], x["hot"], d, t, x["first"], x["anchor"], raw[x["first"]: x["last"] + match]) for x in items]
             if out:
                 cols = list(zip(*out))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["h", "doc", "tk", "first", "anchor", "bytes"])
-
-    return texts.select("__doc", "__tk", "__text", "list").mapInArrow(
-        run, "h long, doc long, tk long, first int, anchor int, bytes binary")
-
-
-def _digests(match: int):
-    def run(batches):
-        for batch in batches:
-            for d, t, f, b in zip(*(batch.column(c).to_pylist() for c in ("doc", "tk", "first", "bytes"))):
-                n = len(b) - match + 1
+                kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([hashlib.blake2b(b[i: i + match], digest_size=16).digest() for i in range(n)], pa.binary()),
-                     pa.array([d] * n, pa.int64()), pa.array([t] * n, pa.int64()), pa.array(range(f, f + n), pa.int32())],
-                    ["digest", "doc", "tk", "first"])
+                    [pa.array(c, k) for c, k in zip(cols, kinds)], ["h", "part", "hot", "doc", "tk", "first", "anchor", "bytes"])
 
-    return run
+    return texts.select("__doc", "__tk", "__text", "list").mapInArrow(
+        run, "h long, part int, hot boolean, doc long, tk long, first int, anchor int, bytes binary")
 
 
 def covered_windows(df: DataFrame, key: str = "doc_id", text: str = "text", match: int = MATCH, gram: int = GRAM,
@@ -438,23 +452,20 @@ def covered_windows(df: DataFrame, key: str = "doc_id", text: str = "text", matc
     routed = materialise(
         _scan(keyed.where(F.octet_length("__text") >= match), match, gram)
         .repartition(partitions, "h").sortWithinPartitions("h", "c")
-        .mapInArrow(_route(bucket, run_rows), "h long, doc long, tk long, first int, last int, anchor int, rep boolean, covered boolean, hot boolean")
+        .mapInArrow(releasing(_route(bucket, run_rows)), "h long, doc long, tk long, first int, last int, anchor int, part int, hot boolean")
     )
-    spans = routed.where("NOT rep").select("doc", "tk", "first", "last")
-    reps = routed.where("rep")
-    sorted_ = (
-        _contexts(keyed, reps.where("NOT hot"), match)
-        .repartition(partitions, "h").sortWithinPartitions("h", "doc", "tk", "first")
-        .mapInArrow(_sort_buckets(match), "doc long, tk long, first int, last int")
+    settled = materialise(
+        _contexts(keyed, routed.where("part >= 0"), match)
+        .repartition(partitions, "h", "part").sortWithinPartitions("h", "part", "doc", "tk", "first")
+        .mapInArrow(releasing(_sort_buckets(match)), SORTED)
     )
-    spans = spans.unionByName(sorted_)
-    if not reps.where("hot").isEmpty():
-        windows = materialise(
-            _contexts(keyed, reps.where("hot"), match).mapInArrow(_digests(match), "digest binary, doc long, tk long, first int")
-        ).distinct()
-        twice = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("digest")
-        spans = spans.unionByName(windows.join(twice, "digest").select("doc", "tk", "first", F.col("first").alias("last")))
-    return spans
+    # Windows of several parts; those a part has twice are settled in it.
+    windows = settled.where("digest IS NOT NULL")
+    several = windows.groupBy("digest").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("digest")
+    merged = windows.where("single").join(several, "digest")
+    found = [routed.where("part < 0"), settled.where("digest IS NULL"), merged]
+    out = [x.select("doc", "tk", "first", "last") for x in found]
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", match: int = MATCH, **how) -> DataFrame:

@@ -79,7 +79,7 @@ def test_collisions_are_resolved_by_bytes(monkeypatch):
     """With a hash that cannot tell texts apart the flags still follow the bytes."""
     monkeypatch.setattr(sd.Rolling, "hashes", lambda self, a, b: np.zeros(len(np.atleast_1d(a)), np.uint64))
     made = [(2, b"abcdefgh"), (2, b"xbcdefgh"), (2, b"abcdefgx")]
-    flags = sd.repeated(made, np.zeros(3, np.int64), match=6)
+    flags, _ = sd.repeated(made, np.zeros(3, np.int64), match=6)
     assert [f.tolist() for f in flags] == [[True, True, True], [False, True, True], [True, True, False]]
 
 
