@@ -11,7 +11,6 @@ ranks.  Decoding concatenates the raw bytes of the tokens.
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,14 +19,14 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docspark.llm.common import free_names
+from docspark.llm.common import free_names, releasing, resident
 
 # Characters a match may look at behind its end.
 LOOKAHEAD = 4
 CHUNK, OVERLAP = 1 << 15, 1 << 9
 # Texts of more characters than this are dealt out chunk by chunk.
 SPREAD = 1 << 16
-CACHE_PIECES = 1 << 18
+CACHE_PIECES = 1 << 16
 
 
 def boundaries(text: str, at: int, last: bool, scan) -> list[int]:
@@ -60,14 +59,9 @@ class Tokenizer:
     """Merge ranks of a ``.tiktoken`` file; pieces are cached up to a fixed number."""
 
     def __init__(self, path: str, pattern: str):
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pattern = regex.compile(pattern)
         # One match per piece: the pieces are cut before.
-        merges = tiktoken.Encoding("pieces", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
-        self.bytes_of = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.bytes_of[rank] = token
+        merges = tiktoken.Encoding("pieces", pat_str=r"(?s:.+)", mergeable_ranks=load_ranks(path), special_tokens={})
 
         class Pieces(dict):
             def __missing__(self, piece: str) -> bytes:
@@ -90,48 +84,77 @@ class Tokenizer:
         """Token ids as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.pieces.__getitem__, self.pieces_of(text, chunk, overlap)))
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+def load_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+
+def decoder(path: str):
+    """Raw bytes of token ids; needs the vocabulary only, no merges."""
+    return resident("bpe", ("decode", path), lambda: _decoder(path))
+
+
+def _decoder(path: str):
+    ranks = load_ranks(path)
+    bytes_of = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        bytes_of[rank] = token
+    return lambda ids: b"".join(map(bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str, pattern: str) -> Tokenizer:
-    return Tokenizer(path, pattern)
+    return resident("bpe", ("encode", path, pattern), lambda: Tokenizer(path, pattern))
+
 
+def _map_column(df: DataFrame, source: str, out: str, fn, check=None) -> DataFrame:
+    """``df`` with a binary column ``out`` = ``fn()(value of source)``, computed in Arrow batches.
 
-def _map_column(df: DataFrame, source: str, out: str, fn) -> DataFrame:
-    """``df`` with a binary column ``out`` = ``fn()(value of source)``, computed in Arrow batches."""
+    With ``check``, also ``round_trip``: whether ``check()(out)`` gives the bytes of the source back.
+    """
     names = df.columns
-    schema = df.select(*[F.col(f"`{c}`") for c in names], F.lit(b"").alias(out)).schema
+    added = [F.lit(b"").alias(out), *([F.lit(True).alias("round_trip")] if check else [])]
+    schema = df.select(*[F.col(f"`{c}`") for c in names], *added).schema
 
+    @releasing
     def run(batches):
-        each = fn()
+        each, back = fn(), check() if check else None
         for batch in batches:
-            values = pa.array([each(v) for v in batch.column(source).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, values], [*names, out])
+            given = batch.column(source).to_pylist()
+            made = [each(v) for v in given]
+            columns, title = [*batch.columns, pa.array(made, pa.binary())], [*names, out]
+            if back:
+                columns.append(pa.array([back(m) == (v or "").encode() for m, v in zip(made, given)], pa.bool_()))
+                title.append("round_trip")
+            yield pa.RecordBatch.from_arrays(columns, title)
 
     return df.mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP,
-           spread: int = SPREAD, keep_text: bool = True) -> DataFrame:
+           spread: int = SPREAD, keep_text: bool = True, verify: bool = False) -> DataFrame:
     """``df`` plus ``token_ids`` (binary, little-endian uint32) and ``n_tokens``.
 
+    ``verify`` adds ``round_trip``: whether decoding the ids gives the text's
+    bytes back (null: empty), in the same pass.
+
     A null or empty text has no tokens.  Repeated rows are encoded alike.  Texts
     above ``spread`` characters are dealt out as overlapping chunks, one row
     each, keyed by the text's digest: equal long texts are encoded once.  Input
     columns named like an output keep their values as ``<name>_in``.
     """
-    df = free_names(df, ["token_ids", "n_tokens"])
+    df = free_names(df, ["token_ids", "n_tokens", *(["round_trip"] if verify else [])])
     ids = lambda t: t.withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long"))
     size = F.coalesce(F.length(text), F.lit(0))
     short = _map_column(
         df.where(size <= spread), text, "token_ids",
         lambda: (lambda t, e=tokenizer(path, pattern): e.encode(t, chunk, overlap) if t else b""),
+        (lambda: decoder(path)) if verify else None,
     )
     long = df.where(size > spread).withColumn("__k", F.sha2(F.col(text), 256))
     done = _encode_long(long.select("__k", F.col(text).alias("__t")).dropDuplicates(["__k"]), path, pattern, chunk, overlap)
-    out = ids(short.unionByName(long.join(done, "__k").drop("__k")))
+    coded = long.join(done, "__k").drop("__k")
+    out = ids(short.unionByName(round_trips(coded, path, text) if verify else coded))
     return out if keep_text else out.drop(text)
 
 
@@ -197,8 +220,23 @@ def _encode_long(texts: DataFrame, path: str, pattern: str, chunk: int, overlap:
     return joined.unionByName(through)
 
 
-def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids", drop_ids: bool = False) -> DataFrame:
+def round_trips(df: DataFrame, path: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
+    """``df`` plus ``round_trip``, for rows that were encoded in chunks."""
+    names = df.columns
+    schema = df.select("*", F.lit(True).alias("round_trip")).schema
+
+    @releasing
+    def run(batches):
+        to_bytes = decoder(path)
+        for batch in batches:
+            same = [to_bytes(i or b"") == (t or "").encode() for i, t in zip(batch.column(ids).to_pylist(), batch.column(text).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(same, pa.bool_())], [*names, "round_trip"])
+
+    return df.mapInArrow(run, schema)
+
+
+def decode(df: DataFrame, path: str, ids: str = "token_ids", drop_ids: bool = False) -> DataFrame:
     """``df`` plus ``decoded`` (binary); null ids decode to nothing."""
     df = free_names(df, ["decoded"])
-    out = _map_column(df, ids, "decoded", lambda: (lambda b, e=tokenizer(path, pattern): e.decode(b) if b else b""))
+    out = _map_column(df, ids, "decoded", lambda: (lambda b, d=decoder(path): d(b) if b else b""))
     return out.drop(ids) if drop_ids else out

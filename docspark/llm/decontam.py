@@ -13,15 +13,13 @@ distance of the item to the best part of the window.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from docspark.llm.common import lower_ascii, mix, text_bytes, word_hashes, word_spans
+from docspark.llm.common import lower_ascii, mix, releasing, resident, text_bytes, word_hashes, word_spans
 
 SIMILARITY = 0.8
 # Steps of a walk, sampled steps of a key, independent walks and samples per walk.
@@ -200,9 +198,8 @@ class Index:
         return out
 
 
-@lru_cache(maxsize=1)
 def _index(items: tuple, similarity: float) -> Index:
-    return Index(items, similarity)
+    return resident("decontam", (items, similarity), lambda: Index(items, similarity))
 
 
 def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES):
@@ -241,6 +238,7 @@ def find(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "
     out = None
     for block in blocks(benchmark, text="text", block_bytes=block_bytes):
 
+        @releasing
         def run(batches, block=block):
             index = _index(block, similarity)
             for batch in batches:
@@ -263,6 +261,7 @@ def remove(df: DataFrame, benchmark: DataFrame, text: str = "text", similarity:
     names = df.columns
     for block in blocks(benchmark):
 
+        @releasing
         def run(batches, block=block):
             index = _index(block, similarity)
             for batch in batches:

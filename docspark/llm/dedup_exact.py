@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docspark.llm.common import bounded_broadcast, expand, free_names, lower_ascii, materialise, text_bytes
+from docspark.llm.common import bounded_broadcast, expand, lower_ascii, materialise, releasing, text_bytes
 
 FINGERPRINT_BITS = 48
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -57,6 +57,7 @@ def _scan(df: DataFrame, key: str, text: str, owners: int, bits: int) -> DataFra
     for f in schema:
         f.nullable = True
 
+    @releasing
     def run(batches):
         sender, seen = TaskContext.get().partitionId(), []
         key_arrow = None

@@ -8,14 +8,12 @@ position in its sample, wins.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docspark.llm.common import free_names
+from docspark.llm.common import free_names, releasing, resident
 
 # The classifier's sample per language: at most FRAGMENTS pieces of FRAGMENT_CHARS characters.
 FRAGMENTS, FRAGMENT_CHARS = 24, 1500
@@ -153,9 +151,8 @@ class Model:
         return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known)], score
 
 
-@lru_cache(maxsize=1)
 def _model(samples: tuple) -> Model:
-    return Model(samples)
+    return resident("langid", samples, lambda: Model(samples))
 
 
 def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", fragments: int = FRAGMENTS,
@@ -196,6 +193,7 @@ def identify(df: DataFrame, samples: tuple, text: str = "text") -> DataFrame:
     names = df.columns
     schema = df.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 
+    @releasing
     def run(batches):
         model = _model(samples)
         for batch in batches:

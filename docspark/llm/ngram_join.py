@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docspark.llm.common import (
-    bounded_broadcast, lower_ascii, materialise, mix, text_bytes, word_hashes, word_spans,
+    bounded_broadcast, lower_ascii, materialise, mix, releasing, text_bytes, word_hashes, word_spans,
 )
 from docspark.llm.components import components
 
@@ -35,7 +35,7 @@ NUM, DEN = 80, 100
 # The most frequent shingles that the order puts last; the list goes to all tasks.
 FREQUENT = 1 << 16
 # Shingles a task counts at once, and how often one must then occur to be reported.
-COUNTED, REPORTED = 1 << 23, 4
+COUNTED, REPORTED = 1 << 22, 4
 MAX_BITMAP = 4096
 # Sets that one task compares at once; larger components are compared block against block.
 BLOCK_SETS = 2048
@@ -106,6 +106,7 @@ def _scan_sets(df: DataFrame, key: str, text: str) -> DataFrame:
     for f in schema:
         f.nullable = True
 
+    @releasing
     def run(batches):
         held, size, seen, kind = [], 0, set(), None
 
@@ -145,6 +146,7 @@ def _scan_sets(df: DataFrame, key: str, text: str) -> DataFrame:
 def _prefixes(df: DataFrame, text: str, frequent: np.ndarray, rank: np.ndarray) -> DataFrame:
     """(tok, sid, n) of the first shingles of every distinct set of a task."""
 
+    @releasing
     def run(batches):
         seen = set()
         for batch in batches:
@@ -362,6 +364,7 @@ def _fetch_sets(rows: DataFrame, text: str, frequent: np.ndarray, rank: np.ndarr
     """(comp, blocks, sid, tokens): the ordered sets of the rows whose set is the wanted one."""
     names = ["comp", "blocks", "sid", "tokens"]
 
+    @releasing
     def run(batches):
         for batch in batches:
             comp, blocks, want = (batch.column(c).to_pylist() for c in ("comp", "blocks", "sid"))
@@ -418,11 +421,11 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", bloc
 
     members = (
         _prefixes(df, text, frequent, rank).repartition(partitions, "tok").sortWithinPartitions("tok", "sid")
-        .mapInArrow(_groups, "sign long, sid long, n int").distinct()
+        .mapInArrow(releasing(_groups), "sign long, sid long, n int").distinct()
     )
     bits = rows.where("__n > 0").groupBy(F.col("__sid").alias("sid")).agg(F.first("__bits").alias("bits"), F.min("__key").alias("__rep"))
     grouped = members.join(bits.select("sid", "bits"), "sid").repartition(partitions, "sign").sortWithinPartitions("sign", "sid")
-    edges = grouped.select("sign", "sid", "n", "bits").mapInArrow(_candidates, "a long, b long")
+    edges = grouped.select("sign", "sid", "n", "bits").mapInArrow(releasing(_candidates), "a long, b long")
     comps = components(edges, "a", "b")
 
     sizes = comps.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block_sets).cast("int").alias("blocks"))
@@ -440,11 +443,12 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", bloc
             F.xxhash64("comp", F.least("i", "j"), F.greatest("i", "j"))).alias("part"),
         "sid", F.when(F.col("i") > F.col("j"), 1).otherwise(0).alias("side"), "tokens",
     )
-    links = dealt.repartition(partitions, "part").sortWithinPartitions("part", "sid").mapInArrow(_join_parts, "a long, b long")
+    links = dealt.repartition(partitions, "part").sortWithinPartitions("part", "sid").mapInArrow(releasing(_join_parts), "a long, b long")
     roots = materialise(components(links, "a", "b").withColumnRenamed("node", "__sid"))
 
     linked = rows.where("__n > 0").join(roots, "__sid", "left").withColumn("__root", F.coalesce("root", "__sid"))
-    least = linked.groupBy("__root").agg(F.min("__key").alias("__least"))
+    # Written first: a join of two plain exchanges, in which the rows of a huge component can be split.
+    least = materialise(linked.groupBy("__root").agg(F.min("__key").alias("__least")))
     out = linked.join(least, "__root").select("__key", "__n", "__least")
     alone = rows.where("__n = 0").select("__key", "__n", F.col("__key").alias("__least"))
     return out.unionByName(alone).select(

@@ -54,7 +54,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bpe.encode(docs, path, pattern, keep_text=False)
-    return bpe.decode(ids, path, pattern).select(
+    return bpe.decode(ids, path).select(
         "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

@@ -37,13 +37,15 @@ def test_chunks_are_stitched_exactly(reference):
 def test_frames_equal_the_library(spark, reference, spread):
     rows = [(i, t, "x") for i, t in enumerate(texts())] + [(5, texts()[5], "x"), (5, texts()[5], "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, token_ids string")
-    out = bpe.decode(bpe.encode(df, PATH, PATTERN, chunk=40, overlap=20, spread=spread), PATH, PATTERN).collect()
+    out = bpe.decode(bpe.encode(df, PATH, PATTERN, chunk=40, overlap=20, spread=spread), PATH).collect()
     assert len(out) == len(rows)
     for r in out:
         assert np.frombuffer(r.token_ids, "<u4").tolist() == reference(r.text or "")
         assert bytes(r.decoded) == (r.text or "").encode()
         assert r.n_tokens * 4 == len(r.token_ids) and r.token_ids_in == "x"
     assert bpe.encode(df.limit(0), PATH, PATTERN).count() == 0
+    sure = bpe.encode(df, PATH, PATTERN, chunk=40, overlap=20, spread=spread, verify=True)
+    assert sure.where("round_trip").count() == len(rows) and sure.where("NOT round_trip OR round_trip IS NULL").count() == 0
 
 
 def test_query(spark, sf_dir, reference):
