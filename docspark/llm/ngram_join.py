@@ -6,7 +6,11 @@ global order: frequent shingles last, the others by hash.
 1. Candidates.  Two sets at Jaccard similarity t share one of their first
    ``n - ceil(t n) + 1`` shingles.  Sets that share such a shingle meet; a parity
    bitmap of each set bounds the symmetric difference from below and drops
-   pairs that cannot reach t.  What passes is tied by spanning edges.
+   pairs that cannot reach t.  What passes is tied by spanning edges.  A group
+   of very many sets is dealt into blocks by size.  Each block is tied first and
+   covered by small clusters; only their representatives go on, with the largest
+   bitmap distance R of a member.  By the triangle inequality two clusters with a
+   link are no farther apart than the link allows plus both R, and those are tied.
 2. Prefix trees.  Each component of candidates is stored as a trie of ordered
    sets.  Every set walks the trie; the overlap with a branch is counted once
    for all sets below it; a subtree goes when even its remaining shingles could
@@ -37,8 +41,12 @@ FREQUENT = 1 << 16
 # Shingles a task counts at once, and how often one must then occur to be reported.
 COUNTED, REPORTED = 1 << 22, 4
 MAX_BITMAP = 4096
-# Sets that one task compares at once; larger components are compared block against block.
+# Sets that one task compares at once; larger groups and components are compared block against block.
 BLOCK_SETS = 2048
+# A cluster of a block holds sets within this fraction (NEAR_NUM / NEAR_DEN) of both sizes from its representative.
+NEAR_NUM, NEAR_DEN = 1, 24
+# Rows of a split group in one batch.
+CHUNK = 1 << 16
 _FACTORS = np.random.Generator(np.random.PCG64(11)).integers(0, 2**63, WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -192,8 +200,12 @@ def _runs(batches, column: str):
         yield pa.Table.from_batches(held)
 
 
-def _groups(batches):
-    """Groups of distinct sets that share a shingle, each group once per task: (signature, sid, n)."""
+def _groups(batches, block_sets: int):
+    """Groups of distinct sets that share a shingle, each group once per task: (part, whole, sid, n).
+
+    A group of up to ``block_sets`` sets is one part, without ``whole``; a larger
+    one is cut by size into parts, and ``whole`` is the group's signature.
+    """
     done = set()
     for table in _runs(batches, "tok"):
         tok, sid, n = (table.column(c).to_numpy() for c in ("tok", "sid", "n"))
@@ -211,10 +223,23 @@ def _groups(batches):
                 if len(done) < COUNTED:
                     done.add(s)
                 keep[g] = True
-        rows = np.repeat(keep, size)
+        rows = np.repeat(keep & (size <= block_sets), size)
         if rows.any():
+            m = int(rows.sum())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(sign, size)[rows]), pa.array(sid[rows]), pa.array(n[rows])], ["sign", "sid", "n"])
+                [pa.array(np.repeat(sign, size)[rows]), pa.nulls(m, pa.int64()), pa.array(sid[rows]), pa.array(n[rows])],
+                ["part", "whole", "sid", "n"])
+        for g in np.flatnonzero(keep & (size > block_sets)):
+            a, m = int(start[g]), int(size[g])
+            at = a + np.lexsort((sid[a: a + m], n[a: a + m]))
+            blocks = -(-m // block_sets)
+            block = np.arange(m) * blocks // m
+            part = mix(sign[g: g + 1].astype(np.uint64) + mix(block.astype(np.uint64) + np.uint64(1))).astype(np.int64)
+            for lo in range(0, m, CHUNK):
+                here = slice(lo, lo + CHUNK)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[here]), pa.array(np.full(len(part[here]), sign[g])), pa.array(sid[at[here]]), pa.array(n[at[here]])],
+                    ["part", "whole", "sid", "n"])
 
 
 def _fold(bits: np.ndarray, size: int) -> np.ndarray:
@@ -224,13 +249,32 @@ def _fold(bits: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
-def _spanning(sid: np.ndarray, n: np.ndarray, bits: list[bytes]) -> list[tuple[int, int]]:
-    """Spanning edges of the graph of pairs that size and bitmap leave possible."""
-    order = np.argsort(n, kind="stable")
-    sid, n = sid[order], n[order].astype(np.int64)
-    maps = [np.frombuffer(bits[i], np.uint8) for i in order]
-    widths = np.array([len(m) for m in maps])
-    by_width = {w: np.stack([_fold(m, w) if len(m) >= w else np.zeros(w, np.uint8) for m in maps]) for w in np.unique(widths)}
+class Maps:
+    """Bitmaps of a list of sets, folded to every width among them."""
+
+    def __init__(self, bits: list[bytes]):
+        maps = [np.frombuffer(b, np.uint8) for b in bits]
+        self.widths = np.array([len(m) for m in maps])
+        self.by_width = {
+            w: np.stack([_fold(m, w) if len(m) >= w else np.zeros(w, np.uint8) for m in maps]) for w in np.unique(self.widths)}
+
+    def distances(self, x: int, others: np.ndarray):
+        """(sets, distances from ``x`` at the smaller width), by width of the others."""
+        for w in np.unique(self.widths[others]):
+            mine = others[self.widths[others] == w]
+            w = min(int(w), int(self.widths[x]))
+            yield mine, np.bitwise_count(self.by_width[w][mine] ^ self.by_width[w][x]).sum(axis=1, dtype=np.int64)
+
+
+def _spanning(sid: np.ndarray, lo: np.ndarray, hi: np.ndarray, radius: np.ndarray, bits: list[bytes]) -> list[tuple[int, int]]:
+    """Spanning edges of the graph of pairs that size and bitmap leave possible.
+
+    A row stands for sets of ``lo`` to ``hi`` shingles whose bitmaps, of its own width, are within ``radius`` of its own.
+    """
+    order = np.argsort(lo, kind="stable")
+    sid, lo, hi, radius = sid[order], lo[order].astype(np.int64), hi[order].astype(np.int64), radius[order].astype(np.int64)
+    maps = Maps([bits[i] for i in order])
+    reach = np.maximum.accumulate(hi)
     free = np.ones(len(sid), bool)
     out = []
     for seed in range(len(sid)):
@@ -241,17 +285,15 @@ def _spanning(sid: np.ndarray, n: np.ndarray, bits: list[bytes]) -> list[tuple[i
         while stack:
             x = stack.pop()
             # Sizes within the ratio; of two sets, |x - y| + |y - x| <= (x + y)(1 - t) / (1 + t).
-            lo = np.searchsorted(n, -(-n[x] * NUM // DEN))
-            hi = np.searchsorted(n, n[x] * DEN // NUM, "right")
-            rest = lo + np.flatnonzero(free[lo:hi])
+            least = -(-lo[x] * NUM // DEN)
+            a = np.searchsorted(reach, least)
+            b = np.searchsorted(lo, hi[x] * DEN // NUM, "right")
+            rest = a + np.flatnonzero(free[a:b] & (hi[a:b] >= least))
             if not len(rest):
                 continue
-            near = []
-            for w in np.unique(widths[rest]):
-                mine = rest[widths[rest] == w]
-                w = min(int(w), int(widths[x]))
-                differ = np.bitwise_count(by_width[w][mine] ^ by_width[w][x]).sum(axis=1, dtype=np.int64)
-                near.append(mine[differ * (DEN + NUM) <= (n[mine] + n[x]) * (DEN - NUM)])
+            near = [
+                mine[(differ - radius[mine] - radius[x]) * (DEN + NUM) <= (hi[mine] + hi[x]) * (DEN - NUM)]
+                for mine, differ in maps.distances(x, rest)]
             for y in np.concatenate(near):
                 free[y] = False
                 out.append((int(sid[x]), int(sid[y])))
@@ -259,22 +301,85 @@ def _spanning(sid: np.ndarray, n: np.ndarray, bits: list[bytes]) -> list[tuple[i
     return out
 
 
+def _clusters(n: np.ndarray, bits: list[bytes]) -> list[tuple[int, int, int, int]]:
+    """(representative, least size, largest size, radius) of clusters that cover all sets.
+
+    Members have the representative's bitmap width, so that a distance at any
+    smaller width is within the radius too, and are tied to it by ``_spanning``.
+    """
+    maps, n = Maps(bits), n.astype(np.int64)
+    free = np.ones(len(n), bool)
+    out = []
+    for x in range(len(n)):
+        if not free[x]:
+            continue
+        free[x] = False
+        rest = np.flatnonzero(free & (maps.widths == maps.widths[x]) & (n * DEN >= n[x] * NUM) & (n * NUM <= n[x] * DEN))
+        least = most = int(n[x])
+        radius = 0
+        for mine, differ in maps.distances(x, rest):
+            near = differ * NEAR_DEN <= (n[mine] + n[x]) * NEAR_NUM
+            if near.any():
+                free[mine[near]] = False
+                radius = int(differ[near].max())
+                least, most = min(least, int(n[mine[near]].min())), max(most, int(n[mine[near]].max()))
+        out.append((x, least, most, radius))
+    return out
+
+
+_EDGES = "a long, b long, whole long, lo int, hi int, radius int, bits binary"
+
+
+def _edge_batch(edges: list[tuple[int, int]], reps: list[tuple]) -> pa.RecordBatch:
+    """Edges (a, b), and representatives (a, whole, lo, hi, radius, bits)."""
+    rows = [(a, b, None, None, None, None, None) for a, b in edges] + [(sid, None, *rest) for sid, *rest in reps]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["a", "b", "whole", "lo", "hi", "radius", "bits"])
+
+
 def _candidates(batches):
-    for table in _runs(batches, "sign"):
-        sign, sid, n = (table.column(c).to_numpy() for c in ("sign", "sid", "n"))
+    """Spanning edges of each part, and the representatives of parts of split groups."""
+    for table in _runs(batches, "part"):
+        part, sid, n = (table.column(c).to_numpy() for c in ("part", "sid", "n"))
+        whole = table.column("whole").to_pylist()
         bits = table.column("bits").to_pylist()
-        cut = [0, *(np.flatnonzero(sign[1:] != sign[:-1]) + 1).tolist(), len(sign)]
-        edges = []
+        cut = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+        edges, reps = [], []
         for a, b in zip(cut, cut[1:]):
             # Equal groups found by several tasks repeat their sets.
             _, at = np.unique(sid[a:b], return_index=True)
             at = at + a
-            edges += _spanning(sid[at], n[at], [bits[i] for i in at])
+            ids, size, maps = sid[at], n[at], [bits[i] for i in at]
+            edges += _spanning(ids, size, size, np.zeros(len(at), np.int64), maps)
+            if whole[a] is not None:
+                reps += [(int(ids[x]), whole[a], lo, hi, r, maps[x]) for x, lo, hi, r in _clusters(size, maps)]
+        if edges or reps:
+            yield _edge_batch(edges, reps)
+
+
+def _cross(batches):
+    """Edges between the representatives of each part."""
+    for table in _runs(batches, "part"):
+        part, sid, lo, hi, radius = (table.column(c).to_numpy() for c in ("part", "a", "lo", "hi", "radius"))
+        bits = table.column("bits").to_pylist()
+        cut = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+        edges = []
+        for a, b in zip(cut, cut[1:]):
+            edges += _spanning(sid[a:b], lo[a:b], hi[a:b], radius[a:b], bits[a:b])
         if edges:
             x, y = zip(*edges)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
 
+def _across(reps: DataFrame, partitions: int, block_sets: int) -> DataFrame:
+    """Edges between the representatives of each split group, block against block."""
+    sizes = materialise(reps.groupBy("whole").agg(F.ceil(F.count(F.lit(1)) / block_sets).cast("int").alias("blocks")))
+    dealt = reps.join(bounded_broadcast(sizes, 16), "whole").withColumn("i", F.pmod(F.xxhash64("a"), F.col("blocks"))).withColumn(
+        "j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select(F.xxhash64("whole", F.least("i", "j"), F.greatest("i", "j")).alias("part"), "a", "lo", "hi", "radius", "bits").repartition(
+        partitions, "part").sortWithinPartitions("part", "a").mapInArrow(releasing(_cross), "a long, b long")
+
+
 # ---- prefix trees --------------------------------------------------------
 
 
@@ -421,11 +526,15 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", bloc
 
     members = (
         _prefixes(df, text, frequent, rank).repartition(partitions, "tok").sortWithinPartitions("tok", "sid")
-        .mapInArrow(releasing(_groups), "sign long, sid long, n int").distinct()
+        .mapInArrow(releasing(lambda batches: _groups(batches, block_sets)), "part long, whole long, sid long, n int").distinct()
     )
     bits = rows.where("__n > 0").groupBy(F.col("__sid").alias("sid")).agg(F.first("__bits").alias("bits"), F.min("__key").alias("__rep"))
-    grouped = members.join(bits.select("sid", "bits"), "sid").repartition(partitions, "sign").sortWithinPartitions("sign", "sid")
-    edges = grouped.select("sign", "sid", "n", "bits").mapInArrow(releasing(_candidates), "a long, b long")
+    grouped = members.join(bits.select("sid", "bits"), "sid").repartition(partitions, "part").sortWithinPartitions("part", "sid")
+    tied = materialise(grouped.select("part", "whole", "sid", "n", "bits").mapInArrow(releasing(_candidates), _EDGES))
+    edges = tied.where("whole IS NULL").select("a", "b")
+    reps = tied.where("whole IS NOT NULL").drop("b")
+    if not reps.isEmpty():
+        edges = edges.unionByName(_across(reps, partitions, block_sets))
     comps = components(edges, "a", "b")
 
     sizes = comps.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block_sets).cast("int").alias("blocks"))

@@ -120,3 +120,62 @@ def test_query(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = entry.queries()["op10_ngram_trie_join"](spark, sf_dir).collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
+def family(seed, copies, length=120):
+    """Different near copies of one text in a chain: each edits the one before."""
+    rnd = random.Random(seed)
+    w, out = [f"v{rnd.randrange(300)}" for _ in range(length)], []
+    for k in range(copies):
+        w = list(w)
+        w[rnd.randrange(length)] = f"x{k}"
+        out.append((k, " ".join(w)))
+    return out
+
+
+def test_a_large_group_is_dealt_into_bounded_parts():
+    import pyarrow as pa
+
+    sid = np.arange(1, 1001, dtype=np.int64)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.repeat(np.int64(7), 1000)), pa.array(sid), pa.array(np.full(1000, 50, np.int32))], ["tok", "sid", "n"])
+    parts, seen = {}, []
+    for out in nj._groups([batch], 64):
+        for part, i in zip(out.column("part").to_pylist(), out.column("sid").to_pylist()):
+            parts[part] = parts.get(part, 0) + 1
+            seen.append(i)
+    assert sorted(seen) == sid.tolist() and len(parts) == 16 and max(parts.values()) <= 64
+
+
+@pytest.mark.parametrize("spread", [0, 6, 30])
+def test_representatives_lose_no_link(spread):
+    rnd = np.random.default_rng(spread)
+    texts = [t for k in range(3) for _, t in family(k, 60, 40 + 30 * k + spread)]
+    sets = list(nj.shingle_sets(np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *map(len, texts)])))
+    order = rnd.permutation(len(sets))
+    sets, n = [sets[i] for i in order], np.array([len(sets[i]) for i in order])
+    bits = [nj.bitmap(s) for s in sets]
+    root = list(range(len(sets)))
+    find = lambda i: i if root[i] == i else find(root[i])
+    reps = []
+    for lo in range(0, len(sets), 25):
+        ids = np.arange(lo, min(lo + 25, len(sets)))
+        here = [bits[i] for i in ids]
+        for i, j in nj._spanning(ids, n[ids], n[ids], np.zeros(len(ids), np.int64), here):
+            root[find(i)] = find(j)
+        reps += [(int(ids[x]), *rest) for x, *rest in nj._clusters(n[ids], here)]
+    assert len(reps) < len(sets)
+    sid, least, most, radius = map(np.array, zip(*reps))
+    for i, j in nj._spanning(sid, least, most, radius, [bits[i] for i in sid]):
+        root[find(i)] = find(j)
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                assert find(i) == find(j)
+
+
+def test_many_near_copies_in_small_blocks(spark):
+    rows = family(1, 150) + [(k + 1000, t) for k, t in family(2, 150)]
+    got = nj.near_components(spark.createDataFrame(rows, "doc_id long, text string"), block_sets=16).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
