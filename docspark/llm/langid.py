@@ -22,6 +22,8 @@ FRAGMENTS, FRAGMENT_CHARS = 24, 1500
 WIDTH, OTHER, END = 64, 62, 63
 # A text is parsed in blocks of this many symbols, many blocks side by side.
 BLOCK, LANES = 2048, 4096
+# Hash buckets of a language from which its least hashes are gathered.
+BUCKETS = 64
 UNKNOWN = "und"
 
 
@@ -157,24 +159,25 @@ def _model(samples: tuple) -> Model:
 
 def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", fragments: int = FRAGMENTS,
            chars: int = FRAGMENT_CHARS) -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """At most ``fragments`` pieces of at most ``chars`` characters per language, chosen by content hash.
+    """``fragments`` pieces of at most ``chars`` characters per language: of the distinct texts with the least content hashes.
 
-    Only this sample comes to the driver.  Rows without text or label are left
-    out; equal texts count once.
+    A language with fewer distinct texts gives a piece of each.  Only this sample
+    comes to the driver.  Rows without text or label are left out; equal texts
+    count once.
     """
     rows = labelled.where(F.col(text).rlike(r"\p{L}") & F.col(lang).isNotNull()).select(
         F.col(lang).alias("__lang"), F.col(text).alias("__text"), F.xxhash64(text).alias("__h")
     )
-    counts = rows.groupBy("__lang").agg(F.count(F.lit(1)).alias("__n"))  # one row per language
-    share = F.pmod("__h", F.lit(1 << 30)) < F.lit(16.0 * fragments * (1 << 30)) / F.col("__n")
+    least = rows.select("__lang", "__h").distinct().withColumn("__b", F.pmod("__h", F.lit(BUCKETS)))
+    for place in (["__lang", "__b"], ["__lang"]):  # of each bucket first, so that no task ranks a whole language
+        first = Window.partitionBy(*place).orderBy("__h")
+        least = least.withColumn("__i", F.row_number().over(first)).where(F.col("__i") <= fragments).drop("__i")
     room = F.greatest(F.lit(1), F.length("__text") - chars)
-    some = (
-        rows.join(F.broadcast(counts), "__lang").where(share)
+    chosen = (
+        rows.join(F.broadcast(least.drop("__b")), ["__lang", "__h"])  # ``fragments`` rows per language
         .select("__lang", "__h", F.substring("__text", (F.pmod(F.xxhash64("__h"), room) + 1).cast("int"), F.lit(chars)).alias("__t"))
-        .dropDuplicates(["__lang", "__h"])
+        .dropDuplicates(["__lang", "__h"]).orderBy("__lang", "__h").collect()
     )
-    first = Window.partitionBy("__lang").orderBy("__h")
-    chosen = some.withColumn("__i", F.row_number().over(first)).where(F.col("__i") <= fragments).orderBy("__lang", "__h").collect()
     out: dict[str, list[str]] = {}
     for r in chosen:
         out.setdefault(r["__lang"], []).append(r["__t"])

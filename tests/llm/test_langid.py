@@ -65,6 +65,18 @@ def test_sample_is_bounded(spark):
         assert len(pieces) == 5 and all(len(p) <= 100 for p in pieces)
 
 
+def test_sample_is_full_among_many_copies(spark):
+    rows = spark.range(12_000).selectExpr(
+        "if(id < 40, concat('word', id), 'the same words again') text", "if(id % 2 = 0, 'a', 'b') lang")
+    got = dict(langid.sample(rows))
+    want = {}
+    for r in rows.selectExpr("lang", "text", "xxhash64(text) h").distinct().orderBy("h").collect():
+        want.setdefault(r.lang, []).append(r.text)
+    assert {k: len(v) for k, v in want.items()} == {"a": 21, "b": 21}
+    assert {k: list(v) for k, v in got.items()} == want
+    assert {k: list(v) for k, v in langid.sample(rows, fragments=7)} == {k: v[:7] for k, v in want.items()}
+
+
 def test_query_is_accurate_on_held_out_rows(spark, sf_dir):
     import __spark_entry__ as entry
 
