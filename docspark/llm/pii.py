@@ -93,11 +93,16 @@ NUMBER = "(?:zero|one|two|three|four|five|six|seven|eight|nine|oh)"
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _WORD = r"(?:at|AT|At)"
 _DOT = r"(?:dot|DOT|Dot)"
+# Last labels that count in any form; elsewhere the dot in words, or an "@" with blanks, is sign enough.
 TOP = "com org net edu gov mil int info biz io co uk de fr es it nl eu us ca au ch at be jp cn in ru br"
+_TOPS = frozenset(TOP.split())
 _BRACKET = re.compile(rf"[ ]?{_OPEN}[ ]?(?:(?P<at>{_WORD}|@)|(?P<dot>{_DOT}|\.))[ ]?{_CLOSE}[ ]?")
 _PLAIN = re.compile(
     rf"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?:\.| {_DOT} )[A-Za-z0-9_%+-]+)*?(?P<at> {_WORD} |[ ]?@[ ]?)"
-    rf"[A-Za-z0-9-]+(?:(?:\.| {_DOT} )[A-Za-z0-9-]+)*(?:\.| {_DOT} )(?:{'|'.join(TOP.split())})(?![\w-])")
+    rf"(?P<domain>[A-Za-z0-9-]+(?:(?:\.| {_DOT} )[A-Za-z0-9-]+)*(?:\.| {_DOT} )[A-Za-z]{{2,}}(?![\w-]))")
+_LABEL = re.compile(rf"(?P<sign>\.| {_DOT} )(?P<label>[A-Za-z0-9-]+)")
+# Words that prose has before "dot": "at the dot in the middle", "at one dot two".
+_PROSE = re.compile(rf"(?:the|an?|this|that|each|every|any|no|some|my|your|his|her|its|our|their|polka|{NUMBER})", re.I)
 _PLAIN_HINT = re.compile(rf" {_WORD} [^ \n]+ {_DOT} |@[ ]| @| {_DOT} ")
 _PLAIN_SIGN = re.compile(rf" {_DOT} | {_WORD} |[ ]?@[ ]?")
 _SPELLED_RUN = re.compile(
@@ -159,6 +164,30 @@ def _spelled(m: re.Match, at: int) -> list[tuple[int, int, str]]:
     return out
 
 
+def _address_end(x: re.Match) -> int | None:
+    """Where the address of a plain match ends: after its last label that can be a top-level domain; None if none can."""
+    signs = list(_LABEL.finditer(x.string, x.start("domain"), x.end("domain")))
+    spoken = x["at"].strip() != "@"
+    # "look at example.com" is prose: the word "at" counts only with a dot in words too.
+    words = [" " in y["sign"] for y in signs]
+    least = 0
+    if spoken and " dot " not in x.string[x.start(): x.start("at")].lower():
+        least = words.index(True) if True in words else len(words)
+    for i in range(len(signs) - 1, least - 1, -1):
+        label = signs[i]["label"]
+        if not (label.isalpha() and len(label) > 1):
+            continue
+        if label.lower() in _TOPS:
+            return signs[i].end()
+        before = signs[i - 1]["label"] if i else x.string[x.start("domain"): signs[0].start()]
+        if words[i]:
+            if not _PROSE.fullmatch(before):
+                return signs[i].end()
+        elif x["at"] == "@" or label.islower() or label.isupper():  # "@ noon.Then": a new sentence
+            return signs[i].end()
+    return None
+
+
 def rewrite(text: str) -> Mapped | None:
     """The rewritten text, or None if nothing is disguised."""
     m = Mapped(text)
@@ -177,13 +206,14 @@ def rewrite(text: str) -> Mapped | None:
                 edits += _spelled(x, x.start())
         m.apply(edits)
     if _PLAIN_HINT.search(m.text):
-        edits = []
-        for x in _PLAIN.finditer(m.text):
-            # "look at example.com" is prose: the word "at" counts only with a dot in words too.
-            if x["at"].strip().lower() == "at" and " dot " not in x.group().lower():
+        edits, at = [], 0
+        while x := _PLAIN.search(m.text, at):
+            end = _address_end(x)
+            if end is None:
+                at = x.start("domain")  # it may be the local part of another
                 continue
-            base = x.start()
-            for y in _PLAIN_SIGN.finditer(x.group()):
+            base, at = x.start(), end
+            for y in _PLAIN_SIGN.finditer(m.text[base:end]):
                 sign = "@" if x.start("at") == base + y.start() else "." if "dot" in y.group().lower() else None
                 if sign:
                     edits.append((base + y.start(), base + y.end(), sign))

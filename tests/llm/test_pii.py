@@ -64,6 +64,26 @@ def test_disguises_map_back_to_the_source(kind, hidden, context):
         assert (at, at + len(hidden)) in found
 
 
+@pytest.mark.parametrize("hidden", [
+    "jane at firma dot pl", "jane @ firma.se", "JANE AT MAIL DOT COM", "jane.roe @ mail.firma.museum", "Jane At Firma Dot Dev",
+    "JANE @ FIRMA.SE", "jane dot roe at firma dot co dot za", "jane@firma dot pl"])
+def test_any_top_level_domain_in_either_case(hidden):
+    text = f"Write to {hidden}, now."
+    assert (9, 9 + len(hidden)) in pii.detect(text)[1][0]
+
+
+def test_prose_with_at_and_dot_has_none():
+    for t in ("Look at the dot on the page.", "She stared at every dot she saw.", "Meet @ noon.Then we go.", "He looks at firma.se often.",
+              "at one dot two", "a look at polka dot dresses"):
+        assert pii.detect(t)[1][0] == [], t
+
+
+def test_a_rejected_form_hides_no_address():
+    text = "Look at the dot bob at firma dot pl"
+    assert [text[s:e] for s, e in pii.detect(text)[1][0]] == ["the dot bob at firma dot pl"]
+    pii.detect("x at " + "a.b1." * 60_000 + "c at b dot c1 at c @ d")
+
+
 def test_clean_prose_has_none():
     for t in ("Look at example.com for it.", "one two three four", "meet at noon dot", "He is at home. Two or three.", "a (at) b",
               "the seven one or two", "café – naïve", "", None, "[at]", "seven at one dot two"):
