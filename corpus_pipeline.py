@@ -17,7 +17,10 @@ from docspark.llm.common import load, materialise, prepare
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognised language go; labels of the held-out fifth are not learned from."""
+    """Documents without a letter go (all, if no label is learned from); labels of the held-out fifth are not learned from.
+
+    Which language is found rejects no row: text in a language that was never learned stays.
+    """
     prepare(spark)
     samples = langid.sample(docs.where(~langid.held_out("doc_id")).select("text", "lang"))
     known = langid.identify(docs, samples).where(F.col("lang_pred") != langid.UNKNOWN)
