@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, decontam, dedup_exact, langid, line_dedup, ngram_join, pii, sharding, suffix_dedup, warc
+from docspark.llm import bpe, decontam, dedup_exact, fim, langid, line_dedup, ngram_join, pii, sharding, suffix_dedup, warc
 from docspark.llm.common import load
 from docspark.llm.registry import query
 
@@ -108,3 +108,26 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ngram_trie_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_components(load(spark, sf_dir, "documents"))
+
+
+@query("op11_piece_table_fim", """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+units AS (SELECT *, regexp_extract_all(t, '[^\\n]*\\n|[^\\n]+') AS u, ('0x' || h[1:8])::UBIGINT AS h1, ('0x' || h[9:16])::UBIGINT AS h2,
+                 ('0x' || h[17:24])::UBIGINT AS h3, ('0x' || h[25:32])::UBIGINT AS h4 FROM d),
+cuts AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b FROM units),
+parts AS (SELECT doc_id, t, n, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM cuts),
+texts AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                              ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS o FROM parts)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars, sha256(o) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN o
+                        WHEN 'psm' THEN split_part(o[4:], '<S>', 1) || split_part(o, '<M>', 2) || split_part(split_part(o, '<S>', 2), '<M>', 1)
+                        ELSE split_part(split_part(o, '<P>', 2), '<M>', 1) || split_part(o, '<M>', 2) || split_part(o[4:], '<P>', 1)
+                        END) AS restored_sha256
+FROM texts""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.transform(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return fim.restore(cut.drop("text"), keep_text=False).select(
+        "doc_id", F.col("n_lines").alias("n"), "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
