@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, decontam, dedup_exact, fim, langid, line_dedup, ngram_join, pii, sharding, suffix_dedup, warc
+from docspark.llm import bpe, decontam, dedup_exact, divergence, fim, langid, line_dedup, ngram_join, pii, sharding, suffix_dedup, warc
 from docspark.llm.common import load
 from docspark.llm.registry import query
 
@@ -131,3 +131,28 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = fim.transform(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return fim.restore(cut.drop("text"), keep_text=False).select(
         "doc_id", F.col("n_lines").alias("n"), "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+@query("op12_source_divergence", r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t, row_number() OVER () AS row FROM documents),
+words AS (SELECT lang, source, row, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+sizes AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+found AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (SELECT lang, source, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d)
+           LEFT JOIN (SELECT lang, source, sum(n) AS total FROM found GROUP BY lang, source) USING (lang, source)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(f.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(f.n, 0) + 5)) // (g.total + 5 * s.v) AS p,
+             1 + (1000000000::HUGEINT * (k.n + 5)) // (s.total + 5 * s.v) AS q
+      FROM groups g JOIN kept k ON g.lang = k.lang JOIN sizes s ON g.lang = s.lang
+      LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(f, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN (SELECT x.lang, x.source AS s1, y.source AS s2, sum(abs(x.p - y.p)) AS f FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term
+                     GROUP BY ALL) z ON z.lang = a.lang AND z.s1 = a.source AND z.s2 = b.source),
+parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+         UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 50""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(load(spark, sf_dir, "documents"))
