@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, decontam, dedup_exact, divergence, fim, langid, line_dedup, ngram_join, pii, sharding, suffix_dedup, warc
+from docspark.llm import bpe, decontam, dedup_exact, divergence, fim, langid, line_dedup, ngram_join, pii, sharding, suffix_dedup, toxicity, warc
 from docspark.llm.common import load
 from docspark.llm.registry import query
 
@@ -156,3 +156,11 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 50""")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(load(spark, sf_dir, "documents"))
+
+
+@query("op13_toxicity_trees")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = load(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs.where(~langid.held_out("doc_id")), labels)
+    return toxicity.score(docs, model).select("doc_id", langid.held_out("doc_id").alias("held_out"), "score", "predicted")
