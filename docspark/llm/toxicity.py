@@ -10,7 +10,6 @@ is never described by a lexicon that saw it.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -25,7 +24,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docspark.llm.common import free_names, materialise, releasing
+from docspark.llm.common import free_names, materialise, releasing, text_bytes
 
 # The classifier's sample: distinct labelled texts of least content hash, per label.
 SAMPLE = 20_000
@@ -39,20 +38,24 @@ FOLDS = 5
 CALIBRATION = 0  # this fold calibrates, the others are boosted on
 TREES, DEPTH, STEP = 30, 3, 0.2
 
-WORD = re.compile(r"[^\W\d_]+")
-# Words with signs or digits inside or hanging on.
-OBFUSCATED = re.compile(r"[^\W\d_]+[*#$@!&%0-9]+[^\W\d_]+|[^\W\d_]+[*#$@&%]{2,}|[^\W\d_]+[!?]{2,}")
-SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][ .*_-]){3,}[^\W\d_](?!\w)")
-DRAWN = re.compile(r"([^\W\d_])\1\1+")
+# Words are runs of ASCII letters and non-ASCII characters, lower-cased.
+_LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
+# Tokens (runs of non-blanks) with signs or digits inside a word, or hanging on it.
+OBFUSCATED = re.compile(r"[^\W\d_][*#$@!&%0-9._-]+[^\W\d_]|[^\W\d_][*#$@&%]{2,}|[^\W\d_][!?]{2,}")
+DRAWN = re.compile(r"([^\W\d_])\1\1")
 SHOUTED = re.compile(r"[!?]{2,}")
+# Single letters in a row that may be a word spelled out.
+SPELLED = 4
 # Look-alike signs for letters.
 SIGNS = str.maketrans("013457@$!", "oieastasi")
 # Second-person pronouns of English, German, French and Spanish.
 YOU = frozenset(
     "you your yours yourself yourselves u ur du dich dir dein deine deinen deiner ihr euch euer tu te toi ton ta tes vous votre vos "
     "tú ti tuyo tuya usted ustedes vosotros vuestro".split())
-# Words on either side within which a second-person pronoun is near.
+# Tokens on either side within which a second-person pronoun is near.
 NEAR = 5
+# Tokens that a task remembers, and terms whose counts it holds before it passes them on.
+REMEMBERED, HELD_TERMS = 200_000, 300_000
 
 FEATURES = (
     "log_words", "hit_density", "log_hits", "weight_density", "log_weight", "top_weight", "log_kinds", "stem_density", "log_stems",
@@ -61,74 +64,138 @@ FEATURES = (
 )
 
 
+Lexicon = dict[str, float]
+
+
+def words_of(text: str) -> list[str]:
+    return text.lower().encode("utf-8", "replace").translate(_LETTERS).decode("utf-8").split()
+
+
 def terms(words: set[str]) -> set[str]:
     """The words and, marked by a star, the beginnings of longer ones."""
     out = set(words)
-    for w in words:
-        for k in STEMS:
-            if len(w) > k:
-                out.add(w[:k] + "*")
+    for k in STEMS:
+        out.update([w[:k] + "*" for w in words if len(w) > k])
     return out
 
 
-Lexicon = dict[str, float]
-
-
-def describe(text: str | None, lexicon: Lexicon) -> list[float]:
-    """The features of a whole text; a text without words has none but the shares of its signs."""
-    text = text or ""
-    low = text.lower()
-    words = WORD.findall(low)
-    n = len(words)
-    per = 1.0 / n if n else 0.0
-    counts = Counter(words)
-    hits = weight = top = kinds = stems = 0.0
-    found: dict[str, float] = {}
-    for w, c in counts.items():
-        own = lexicon.get(w, 0.0)
-        stem = max((lexicon.get(w[:k] + "*", 0.0) for k in STEMS if len(w) > k), default=0.0)
-        best = max(own, stem)
-        if best > 0:
-            found[w] = best
-            hits += c
-            kinds += 1
-            weight += c * best
-            top = max(top, best)
-            stems += c * (own <= 0)
-    you = near = 0
-    if found:
-        at = [i for i, w in enumerate(words) if w in YOU]
-        you = len(at)
-        if at:
-            close = np.array(at)
-            mine = np.array([i for i, w in enumerate(words) if w in found])
-            right = np.searchsorted(close, mine)
-            gap = np.minimum(np.abs(mine - close[np.minimum(right, you - 1)]), np.abs(mine - close[np.maximum(right - 1, 0)]))
-            near = int((gap <= NEAR).sum())
-    else:
-        you = sum(counts[w] for w in YOU if w in counts)
-    masked = OBFUSCATED.findall(low)
-    hidden = 0
-    for m in masked:
-        bare = WORD.findall(m.translate(SIGNS))
-        plain = "".join(WORD.findall(m))
-        hidden += any(lexicon.get(x, 0.0) > 0 for x in (*bare, plain))
-    spaced = SPACED.findall(low)
-    hidden += sum(lexicon.get("".join(WORD.findall(s)), 0.0) > 0 for s in spaced)
-    size = len(text)
-    share = 1.0 / size if size else 0.0
-    raw = WORD.findall(text)
-    capital = sum(map(str.isupper, text)) if not text.islower() else 0
-    letters = sum(map(len, words))
-    loud = sum(len(w) > 2 and w.isupper() for w in raw) if capital > letters * 0.02 else 0
-    blanks = sum(map(text.count, " \n\t\r"))
-    digits = sum(map(text.count, "0123456789"))
-    return [
-        math.log1p(n), hits * per, math.log1p(hits), weight * per, math.log1p(weight), top, math.log1p(kinds), stems * per, math.log1p(stems),
-        you * per, near / hits if hits else 0.0, near * per, hidden * per, math.log1p(hidden), capital / letters if letters else 0.0,
-        loud * per, max(0, size - letters - blanks - digits) * share, len(SHOUTED.findall(text)) * per, len(masked) * per,
-        len(spaced) * per, len(DRAWN.findall(low)) * per, digits * share,
-    ]
+# What a token adds to its text.
+_ADDS = WORDS, HITS, WEIGHT, STEM, YOURS, LOUD, MASKED, HIDDEN, STRETCHED, SHOUTS, TOPMOST, SINGLE = range(12)
+
+
+class Tokens(dict):
+    """Numbers of tokens, given at first sight, and in ``table`` what each adds: every different token is looked at once."""
+
+    def __init__(self, lexicon: Lexicon):
+        super().__init__()
+        self.lexicon, self.rows, self.done = lexicon, [], np.zeros((0, len(_ADDS)), np.float32)
+        # A plain word that the lexicon does not know adds itself only.
+        self.plain = (1, *[0] * (len(_ADDS) - 1))
+        self.begins = [frozenset(t[:-1] for t in lexicon if t.endswith("*") and len(t) == k + 1) for k in STEMS]
+
+    def __missing__(self, token: str) -> int:
+        self[token] = n = len(self.done) + len(self.rows)
+        self.rows.append(self._adds(token))
+        return n
+
+    def table(self) -> np.ndarray:
+        if self.rows:
+            self.done = np.concatenate([self.done, np.array(self.rows, np.float32)])
+            self.rows = []
+        return self.done
+
+    def _adds(self, token: str) -> tuple:
+        get = self.lexicon.get
+        core = token.rstrip(".,;:")
+        plain = core.isalpha()
+        if plain and len(core) > 1 and not core.isupper() and DRAWN.search(core) is None:
+            low = core.lower()
+            if low not in self.lexicon and low not in YOU and not any(low[:k] in x for k, x in zip(STEMS, self.begins)):
+                return self.plain
+        words = [core.lower()] if plain else words_of(token)
+        hits = weight = stems = top = yours = 0.0
+        for w in words:
+            own = get(w, 0.0)
+            best = own
+            for k in STEMS:
+                if len(w) > k:
+                    best = max(best, get(w[:k] + "*", 0.0))
+            if best > 0:
+                hits += 1
+                weight += best
+                stems += own <= 0
+                top = max(top, best)
+            yours += w in YOU
+        masked = hidden = 0
+        shouts = 0
+        if not plain:
+            masked = OBFUSCATED.search(token) is not None
+            if masked:
+                low = token.lower()
+                hidden = any(get(x, 0.0) > 0 for x in (*words_of(low.translate(SIGNS)), "".join(words_of(low))))
+            shouts = len(SHOUTED.findall(token))
+        return (len(words), hits, weight, stems, yours, len(core) > 2 and core.isupper(), masked, hidden, DRAWN.search(core) is not None, shouts,
+                top, len(core) == 1 and plain)
+
+
+def describe(texts: list[str | None], lexicon: Lexicon, known: Tokens | None = None) -> np.ndarray:
+    """The features of whole texts (rows); a text without words has none but the shares of its signs."""
+    known = Tokens(lexicon) if known is None else known
+    n = len(texts)
+    texts = [t or "" for t in texts]
+    split = [t.split() for t in texts]
+    ids = np.array([known[x] for tokens in split for x in tokens], np.int64)
+    sizes = np.array([len(x) for x in split], np.int64)
+    owner = np.repeat(np.arange(n), sizes)
+    table = known.table()
+
+    def total(add: int) -> np.ndarray:
+        return np.bincount(owner, table[ids, add], minlength=n)
+
+    words, hits, weight, stems = (total(x) for x in (WORDS, HITS, WEIGHT, STEM))
+    hit = np.flatnonzero(table[ids, HITS] > 0)
+    top, kinds, near = np.zeros(n), np.zeros(n), np.zeros(n)
+    np.maximum.at(top, owner[hit], table[ids[hit], TOPMOST])
+    different = np.unique(np.stack([owner[hit], ids[hit]]), axis=1)
+    np.add.at(kinds, different[0], 1)
+    you = np.flatnonzero(table[ids, YOURS] > 0)
+    if len(you) and len(hit):
+        at = np.searchsorted(you, hit)
+        close = np.zeros(len(hit), bool)
+        for side in (np.minimum(at, len(you) - 1), np.maximum(at - 1, 0)):
+            close |= (np.abs(you[side] - hit) <= NEAR) & (owner[you[side]] == owner[hit])
+        np.add.at(near, owner[hit[close]], 1)
+    hidden, spelled = total(HIDDEN), np.zeros(n)
+    lone = table[ids, SINGLE] > 0
+    joined = lone[1:] & lone[:-1] & (owner[1:] == owner[:-1])
+    starts, ends = np.flatnonzero(lone & ~np.concatenate([[False], joined])[: len(lone)]), np.flatnonzero(lone & ~np.concatenate([joined, [False]])[: len(lone)]) + 1
+    first = np.cumsum(sizes) - sizes
+    for a, b in zip(starts, ends):
+        if b - a >= SPELLED:
+            d = owner[a]
+            spelled[d] += 1
+            run = split[d][a - first[d]: b - first[d]]
+            hidden[d] += lexicon.get("".join(words_of("".join(run))), 0.0) > 0
+    data, offs = text_bytes(pa.array(texts, pa.string()))
+    chars, letters, capitals, digits, blanks = _signs(data, offs)
+
+    def per(x: np.ndarray, of: np.ndarray) -> np.ndarray:
+        return x / np.maximum(of, 1)
+
+    log = np.log1p
+    return np.stack([
+        log(words), per(hits, words), log(hits), per(weight, words), log(weight), top, log(kinds), per(stems, words), log(stems),
+        per(total(YOURS), words), per(near, hits), per(near, words), per(hidden, words), log(hidden), per(capitals, letters),
+        per(total(LOUD), words), per(chars - letters - digits - blanks, chars), per(total(SHOUTS), words), per(total(MASKED), words),
+        per(spelled, words), per(total(STRETCHED), words), per(digits, chars)], axis=1)
+
+
+def _signs(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Per text: characters, letters (ASCII ones and all non-ASCII characters), ASCII capitals, digits, blanks."""
+    capital, small = (data >= 65) & (data <= 90), (data >= 97) & (data <= 122)
+    beyond = data >= 0xC0
+    masks = (data & 0xC0 != 0x80), capital | small | beyond, capital, (data >= 48) & (data <= 57), data <= 32
+    return tuple((lambda c: c[offs[1:]] - c[offs[:-1]])(np.concatenate([[0], np.cumsum(m)])) for m in masks)
 
 
 def _sample(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, size: int) -> DataFrame:
@@ -166,22 +233,22 @@ def learn_lexicons(sample: DataFrame, size: int = LEXICON) -> list[Lexicon]:
     """One lexicon without each fold, and last that of all folds; texts are counted, not occurrences."""
 
     def count(batches):
-        held: Counter = Counter()
+        held: dict = {}
 
         def out():
-            rows = [(t, f, y, n) for (t, f, y), n in held.items()]
-            cols = list(zip(*rows)) if rows else [()] * 4
-            return pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.int64())],
-                ["term", "fold", "y", "n"])
+            for (fold, y), counts in held.items():
+                k = len(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(counts), pa.string()), pa.array(np.full(k, fold, np.int32)), pa.array(np.full(k, y)), pa.array(list(counts.values()), pa.int64())],
+                    ["term", "fold", "y", "n"])
 
         for batch in batches:
             for text, y, fold in zip(*(batch.column(c).to_pylist() for c in ("text", "y", "fold"))):
-                held.update((t, fold, y) for t in terms(set(WORD.findall(text.lower()))))
-                if len(held) > 200_000:
-                    yield out()
-                    held.clear()
-        yield out()
+                held.setdefault((fold, y), Counter()).update(terms(set(words_of(text))))
+            if sum(map(len, held.values())) > HELD_TERMS:
+                yield from out()
+                held.clear()
+        yield from out()
 
     sizes = {(r["fold"], r["y"]): r["count"] for r in sample.groupBy("fold", "y").count().collect()}
     totals = {y: np.array([sizes.get((f, y), 0) for f in range(FOLDS)]) for y in (0.0, 1.0)}
@@ -210,11 +277,16 @@ def features(df: DataFrame, lexicons: list[Lexicon], text: str = "text", fold: s
 
     @releasing
     def run(batches):
-        mine = shared.value
+        mine = [Tokens(x) for x in shared.value]
         for batch in batches:
-            which = batch.column(fold).to_pylist() if fold else [-1] * batch.num_rows
-            rows = [describe(t, mine[f]) for t, f in zip(batch.column(text).to_pylist(), which)]
-            table = np.array(rows, np.float64).reshape(-1, len(FEATURES))
+            texts = batch.column(text).to_pylist()
+            which = np.array(batch.column(fold).to_pylist() if fold else [len(mine) - 1] * len(texts), np.int64)
+            table = np.zeros((len(texts), len(FEATURES)))
+            for f in np.unique(which):
+                rows = np.flatnonzero(which == f)
+                table[rows] = describe([texts[i] for i in rows], mine[f].lexicon, mine[f])
+                if len(mine[f]) > REMEMBERED:
+                    mine[f] = Tokens(mine[f].lexicon)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *[pa.array(table[:, i]) for i in range(len(FEATURES))]], [*names, *[f"__{c}" for c in FEATURES]])
 
@@ -259,7 +331,9 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
                               subsamplingRate=1.0, seed=13).fit(boosted)
     finally:
         boosted.unpersist()
-    scored = _margin(model.transform(kept)).select("y", "weight", "__margin")
+    # Equal margins are one row: the regression pools them in any case.
+    scored = _margin(model.transform(kept)).groupBy("__margin").agg(
+        F.sum("weight").alias("weight"), F.sum(F.col("y") * F.col("weight")).alias("y")).select((F.col("y") / F.col("weight")).alias("y"), "weight", "__margin")
     # Two rows at the ends keep the steps of a small sample off 0 and 1.
     ends = df.sparkSession.createDataFrame([(0.0, 1.0, -4.0), (1.0, 1.0, 4.0)], "y double, weight double, __margin double")
     calibration = IsotonicRegression(featuresCol="__margin", labelCol="y", weightCol="weight", predictionCol="__score").fit(scored.unionByName(ends))

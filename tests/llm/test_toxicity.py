@@ -7,36 +7,51 @@ import pytest
 from docspark.llm import toxicity
 
 
+def describe(text, lexicon):
+    return toxicity.describe([text], lexicon)[0]
+
+
 def col(name, vector):
     return vector[toxicity.FEATURES.index(name)]
 
 
 def test_features_by_hand():
     lexicon = {"fool": 2.0, "dunce*": 1.0, "sadl*": 9.0}  # beginnings have five or seven letters
-    v = toxicity.describe("You fool! A DUNCER, sadly; f00l and f.o.o.l?!! nooo", lexicon)
-    words = ["you", "fool", "a", "duncer", "sadly", "f", "l", "and", "f", "o", "o", "l", "nooo"]
-    n = len(words)
+    v = describe("You fool! A DUNCER, sadly; f00l and f.o.o.l?!! nooo", lexicon)
+    n = 13  # you fool a duncer sadly f l and f o o l nooo
     assert col("log_words", v) == pytest.approx(math.log1p(n))
     assert col("hit_density", v) == pytest.approx(2 / n)
     assert col("weight_density", v) == pytest.approx(3 / n)
     assert col("top_weight", v) == 2.0
     assert col("stem_density", v) == pytest.approx(1 / n)
+    assert col("log_kinds", v) == pytest.approx(math.log1p(2))
     assert col("you_density", v) == pytest.approx(1 / n)
     assert col("near_share", v) == 1.0
     assert col("hidden_density", v) == pytest.approx(2 / n)  # f00l and f.o.o.l
-    assert col("spaced_runs", v) == pytest.approx(1 / n)
+    assert col("obfuscated_words", v) == pytest.approx(2 / n)
     assert col("drawn_runs", v) == pytest.approx(1 / n)
     assert col("shouts", v) == pytest.approx(1 / n)
-    assert col("capital_share", v) == pytest.approx(9 / sum(map(len, words)))
+    assert col("capital_share", v) == pytest.approx(8 / 32)
     assert col("shouted_words", v) == pytest.approx(1 / n)
 
 
+def test_spelled_out_words_and_order_of_texts():
+    lexicon = {"fool": 2.0}
+    texts = ["a f o o l b", "f o o l now", "you", "far from a fool", "x y z", ""]
+    many = toxicity.describe(texts, lexicon)
+    for text, row in zip(texts, many):
+        assert row.tolist() == describe(text, lexicon).tolist()
+    assert [col("spaced_runs", r) > 0 for r in many] == [True, True, False, False, False, False]
+    assert [col("hidden_density", r) > 0 for r in many] == [False, True, False, False, False, False]
+    assert not any(col("near_share", r) for r in many)  # the pronoun is another text's
+
+
 def test_distance_and_texts_without_words():
     far = "you " + "calm " * 6 + "fool " + "calm " * 6 + "you"
-    v = toxicity.describe(far, {"fool": 1.0})
+    v = describe(far, {"fool": 1.0})
     assert col("near_share", v) == 0.0 and col("you_density", v) > 0
-    assert toxicity.describe(None, {}) == toxicity.describe("", {}) == [0.0] * len(toxicity.FEATURES)
-    assert all(math.isfinite(x) for t in ("!!!", "1 2", "\n", "😀", "a") for x in toxicity.describe(t, {"a": 1.0}))
+    assert describe(None, {}).tolist() == describe("", {}).tolist() == [0.0] * len(toxicity.FEATURES)
+    assert all(math.isfinite(x) for t in ("!!!", "1 2", "\n", "😀", "a") for x in describe(t, {"a": 1.0}))
 
 
 def corpus(n, seed=1):
