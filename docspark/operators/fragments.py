@@ -58,7 +58,16 @@ def line_type(
     return kind
 
 
-def _shape(x: Column) -> Column:
+def _place(start: Column, text: Column, source: Column) -> list[Column]:
+    """Where a fragment stands in its document, and the text there if the fragment's own is a different one."""
+    return [start.cast("int").alias("start"), F.when(source != text, source).alias("source")]
+
+
+def _leading_blanks(text: Column) -> Column:
+    return F.length(text) - F.length(F.ltrim(text, F.lit(S.BLANKS)))
+
+
+def _shape(x: Column, offsets: bool = False) -> Column:
     """Fragment struct; markers of headers and list items are not content."""
     line, kind = x["line"], x["kind"]
     hashes = F.length(F.regexp_extract(line, r"^(#{1,6})[ \t]+", 1))
@@ -74,32 +83,50 @@ def _shape(x: Column) -> Column:
         kind.alias("fragment_type"),
         level.cast("int").alias("level"),
         body.alias("text"),
+        # Markers stand before the content, so its place is counted from the line's end.
+        *(_place(x["start"] + F.length(line) - F.length(body), body, body) if offsets else []),
     )
 
 
-def page_fragments(pages, **detect: bool) -> Column:
+def page_fragments(pages, offsets: bool = False, **detect: bool) -> Column:
     """Fragments of each page, as one array per page next to ``pages``.
 
-    ``reading_order`` counts the non-blank lines of a page from 0.
+    ``reading_order`` counts the non-blank lines of a page from 0.  With
+    ``offsets`` every fragment carries ``start``, its place in the document
+    counted from the page's ``start``, and ``source``.
     """
 
+    def placed(p: Column, lines: Column) -> Column:
+        ends = S.running_sum(F.transform(lines, lambda x: F.length(x) + 1))
+        return F.transform(
+            F.arrays_zip(lines.alias("x"), ends.alias("e")),
+            lambda z: F.struct(
+                S.trimmed(z["x"]).alias("line"), (p["start"] + z["e"] - 1 - F.length(z["x"]) + _leading_blanks(z["x"])).alias("start")),
+        )
+
     def of_page(p: Column) -> Column:
-        lines = F.filter(F.transform(F.split(p["text"], "\n"), S.trimmed), lambda x: x != "")
-        typed = F.transform(
-            lines,
-            lambda line, i: F.struct(
+        split = F.split(p["text"], "\n")
+        if offsets:
+            lines = F.filter(S.let(split, lambda x: placed(p, x)), lambda x: x["line"] != "")
+        else:
+            lines = F.filter(F.transform(split, S.trimmed), lambda x: x != "")
+
+        def typed(x: Column, i: Column) -> Column:
+            line = x["line"] if offsets else x
+            return F.struct(
                 p["page_number"].alias("page"),
                 i.alias("order"),
                 line.alias("line"),
                 line_type(line, (p["page_number"] == 1) & (i == 0), **detect).alias("kind"),
-            ),
-        )
-        return F.transform(typed, _shape)
+                *([x["start"].alias("start")] if offsets else []),
+            )
+
+        return F.transform(F.transform(lines, typed), lambda x: _shape(x, offsets))
 
     return F.transform(S._c(pages), of_page)
 
 
-def whole_pages(pages) -> Column:
+def whole_pages(pages, offsets: bool = False) -> Column:
     """Every page as one text fragment: layout detection is off."""
 
     def of_page(p: Column) -> Column:
@@ -110,6 +137,7 @@ def whole_pages(pages) -> Column:
             F.lit("text").alias("fragment_type"),
             F.lit(None).cast("int").alias("level"),
             text.alias("text"),
+            *(_place(p["start"] + _leading_blanks(p["text"]), text, text) if offsets else []),
         )
         return F.filter(F.array(one), lambda f: f["text"] != "")
 
@@ -218,8 +246,12 @@ def html_table_text(markup: Column) -> Column:
     return S.let(F.split(F.regexp_replace(markup, r"(?i)<tr\b[^>]*>", "\u0002"), "\u0002"), lines)
 
 
-def html_fragments(html) -> Column:
-    """Typed fragments of a fetched page (one page per URL) as one array."""
+def html_fragments(html, offsets: bool = False) -> Column:
+    """Typed fragments of a fetched page (one page per URL) as one array.
+
+    With ``offsets`` every fragment carries its place in the page's visible
+    text: the segments' own visible texts, one blank apart, are that text.
+    """
 
     def shape(x: Column) -> Column:
         seg, kind = x["seg"], x["kind"]
@@ -230,9 +262,18 @@ def html_fragments(html) -> Column:
         alt = F.regexp_extract(seg, r"""(?i)^<img\b[^>]*\balt="([^"]*)""", 1)
         table = F.when(kind == "table", html_table_text(seg))
         text = F.when(seg.rlike(r"(?i)^<img\b"), html_text(alt)).otherwise(F.coalesce(table, html_text(body)))
-        return F.struct(kind.alias("fragment_type"), level.cast("int").alias("level"), text.alias("text"))
-
-    segments = F.transform(html_segments(html), lambda s: F.struct(s.alias("seg"), html_type(s).alias("kind")))
+        return F.struct(
+            kind.alias("fragment_type"), level.cast("int").alias("level"), text.alias("text"),
+            *(_place(x["end"] - 1 - F.length(x["seen"]), text, x["seen"]) if offsets else []))
+
+    def placed(segs: Column) -> Column:
+        ends = S.running_sum(F.transform(segs, lambda x: F.when(x["seen"] == "", 0).otherwise(F.length(x["seen"]) + 1)))
+        return F.transform(F.arrays_zip(segs.alias("s"), ends.alias("e")), lambda z: z["s"].withField("end", z["e"]))
+
+    segments = F.transform(html_segments(html), lambda s: F.struct(
+        s.alias("seg"), html_type(s).alias("kind"), *([html_text(s).alias("seen")] if offsets else [])))
+    if offsets:
+        segments = S.let(segments, placed)
     typed = F.filter(
         F.transform(F.filter(segments, lambda x: x["kind"].isNotNull()), shape), lambda f: f["text"] != ""
     )
@@ -244,6 +285,7 @@ def html_fragments(html) -> Column:
             f["fragment_type"].alias("fragment_type"),
             f["level"].alias("level"),
             f["text"].alias("text"),
+            *([f["start"].alias("start"), f["source"].alias("source")] if offsets else []),
         ),
     )
 

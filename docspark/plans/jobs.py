@@ -64,6 +64,8 @@ def route(docs: DataFrame, routes: DataFrame) -> DataFrame:
 Cases = Sequence[tuple[Column, Configuration]]
 
 FRAGMENTS = "array<array<struct<page_number:int,reading_order:int,fragment_type:string,level:int,text:string>>>"
+# The same with places in the document, where citations are wanted.
+PLACED_FRAGMENTS = FRAGMENTS.replace("text:string", "text:string,start:int,source:string")
 CHUNKS = "array<struct<content:string,page_number:int>>"
 BEST = "array<struct<page_class:string,score:double,reason:string>>"
 CITATIONS = "array<struct<field:string,page_number:int,offset:int>>"
@@ -86,19 +88,24 @@ def _case(cases: Cases, make: Callable[[Configuration], Column | None], kind: st
     return out
 
 
-def _typed_fragments(config: Configuration) -> Column:
+def _cited(cases: Cases) -> bool:
+    return any(o.provide_citations for _, c in cases for o in c.extraction)
+
+
+def _typed_fragments(config: Configuration, offsets: bool) -> Column:
     """Fragments per page with the detections the configuration asks for."""
     if config.parsing.disable_layout_detection:
-        return G.whole_pages("pages")
+        return G.whole_pages("pages", offsets)
     return G.page_fragments(
         "pages",
+        offsets,
         signatures=config.parsing.signature_detection,
         struck=config.parsing.remove_strikethrough_lines,
         key_values=config.enrichment.key_value_extraction,
     )
 
 
-def _kept_fragments(config: Configuration) -> Column:
+def _kept_fragments(config: Configuration, offsets: bool) -> Column:
     """Fragments per page after ignored types and strikethrough are taken out."""
     drop = set(config.parsing.ignore_sections)
     if config.parsing.remove_strikethrough_lines:
@@ -107,9 +114,13 @@ def _kept_fragments(config: Configuration) -> Column:
     def kept(frags: Column) -> Column:
         frags = F.filter(frags, lambda f: ~f["fragment_type"].isin(*sorted(drop)))
         if config.parsing.remove_strikethrough_lines:
-            frags = F.transform(frags, lambda f: f.withField("text", G.unstruck(f["text"])))
+            frags = F.transform(frags, unstruck)
         return frags
 
+    def unstruck(f: Column) -> Column:
+        left = f.withField("text", G.unstruck(f["text"]))
+        return left.withField("source", F.coalesce(f["source"], f["text"])) if offsets else left
+
     if not drop:
         return F.col("page_fragments")
     return F.transform("page_fragments", kept)
@@ -120,8 +131,9 @@ def _parse(docs: DataFrame, cases: Cases, text: str) -> DataFrame:
 
     Usage counts what was detected, so it is taken before anything is removed.
     """
-    kind = FRAGMENTS
-    typed = _case(cases, _typed_fragments, kind)
+    offsets = _cited(cases)
+    kind = PLACED_FRAGMENTS if offsets else FRAGMENTS
+    typed = _case(cases, lambda c: _typed_fragments(c, offsets), kind)
     if "mime_type" in docs.columns:
         # A web page is one page; its text is what a reader sees.
         web = F.coalesce(F.col("mime_type") == "text/html", F.lit(False))
@@ -132,14 +144,14 @@ def _parse(docs: DataFrame, cases: Cases, text: str) -> DataFrame:
         )).cast(P.PAGE_STRUCT)
         out = out.withColumn("pages", F.when(web, one).otherwise(P.page_array("page_text")))
         out = out.withColumn("total_pages", F.size("pages"))
-        of_web = F.transform("pages", lambda p: G.html_fragments(text)).cast(kind)
+        of_web = F.transform("pages", lambda p: G.html_fragments(text, offsets)).cast(kind)
         typed = F.when(web, of_web).otherwise(typed)
     else:
         out = P.with_pages(docs.withColumn("page_text", F.col(text)), text)
     if "page_range" in docs.columns:
         out = P.keep_pages(out, "page_range")
     out = with_usage(out.withColumn("page_fragments", typed))
-    out = out.withColumn("page_fragments", _case(cases, _kept_fragments, kind))
+    out = out.withColumn("page_fragments", _case(cases, lambda c: _kept_fragments(c, offsets), kind))
     return out.withColumn("fragments", F.flatten("page_fragments"))
 
 
@@ -224,30 +236,38 @@ def with_page_classes(docs: DataFrame) -> DataFrame:
     return docs.withColumn("page_classes", S.let(labels, grouped))
 
 
-def _partition_start(frags: Column) -> Column:
-    """Offset in the document where a partition begins: its first fragment on the page that holds it."""
-    first = F.get(frags, F.lit(0))
-    page = F.get(F.filter("pages", lambda p: p["page_number"] == first["page_number"]), F.lit(0))["start"]
-    base = F.coalesce(page, F.lit(0))
-    inside = F.instr(F.substring(F.col("page_text"), base + 1, F.length("page_text")), first["text"])
-    return base + F.greatest(F.coalesce(inside, F.lit(0)) - 1, F.lit(0))
-
-
-def _citations(part_text: Column, start: Column, struct) -> Column:
-    """Where the scalar fields of a partition stand in the document, from the partition's start on: page and offset."""
-    entries = []
-    rest = F.substring(F.col("page_text"), start + 1, F.length("page_text"))
-    for f in struct.fields:
-        if X.by_line(f.dataType):
-            raw = F.coalesce(X.field_text(part_text, f.name), F.get_json_object(part_text, f"$.{f.name}"))
-            found = F.instr(rest, S.blank_to_null(raw))
-            at = F.when(found > 0, start + found - 1)
-            entries.append(
-                F.struct(F.lit(f.name).alias("field"), X.cite_in_row("pages", at).alias("page_number"), at.alias("offset"))
-            )
-    if not entries:
+def _citations(part_text: Column, frags: Column, struct) -> Column:
+    """Where the scalar fields of a partition stand in the document: page and offset.
+
+    A value is looked up in the partition's own fragments, which carry their
+    places, so all partitions together read the document once per field.
+    """
+    fields = [f.name for f in struct.fields if X.by_line(f.dataType)]
+    if not fields:
         return F.lit(None).cast(CITATIONS)
-    return F.filter(F.array(*entries), lambda e: e["offset"] >= 0)
+
+    def source(f: Column) -> Column:
+        return F.coalesce(f["source"], f["text"])
+
+    def entry(name: str) -> Column:
+        raw = S.blank_to_null(F.coalesce(X.field_text(part_text, name), F.get_json_object(part_text, f"$.{name}")))
+
+        def cited(value: Column) -> Column:
+            holding = F.filter(frags, lambda f: source(f).contains(value))
+
+            def chosen(near: Column) -> Column:
+                labelled = F.filter(near, lambda f: X.field_text(f["text"], name) == value)
+                return F.coalesce(F.get(labelled, F.lit(0)), F.get(near, F.lit(0)))
+
+            return S.let(S.let(holding, chosen), lambda f: F.struct(
+                F.lit(name).alias("field"),
+                f["page_number"].alias("page_number"),
+                (f["start"] + X.value_at(source(f), name, value)).alias("offset"),
+            ))
+
+        return S.let(raw, cited)
+
+    return F.filter(F.array(*[entry(n) for n in fields]), lambda e: e["offset"] >= 0).cast(CITATIONS)
 
 
 def _objects(options: ExtractionOptions) -> Column:
@@ -267,7 +287,7 @@ def _objects(options: ExtractionOptions) -> Column:
     def one(s: Column) -> Column:
         part = F.array_join(F.transform(s["frags"], lambda f: f["text"]), "\n")
         cited = (
-            S.let(_partition_start(s["frags"]), lambda at: _citations(part, at, struct))
+            S.let(part, lambda t: _citations(t, s["frags"], struct))
             if options.provide_citations else F.lit(None).cast(CITATIONS)
         )
         pages = F.array_sort(F.array_distinct(F.transform(s["frags"], lambda f: f["page_number"])))
@@ -435,9 +455,10 @@ def assemble(docs: DataFrame, key: str = "parse_id") -> DataFrame:
     status = F.col("status") if "status" in have else F.lit("successful")
     error = F.col("error") if "error" in have else F.lit("")
     if "structured" in have:
-        whole = F.transform(F.filter("structured", lambda s: F.size(s["missing"]) == 0), lambda s: s["schema_name"])
-        broken = F.filter("structured", lambda s: ~F.array_contains(whole, s["schema_name"]))
-        lacking = F.array_distinct(F.flatten(F.transform(broken, lambda s: s["missing"])))
+        # Bound once: few different schemas, compared with every object.
+        whole = F.array_distinct(F.transform(F.filter("structured", lambda s: F.size(s["missing"]) == 0), lambda s: s["schema_name"]))
+        lacking = S.let(whole, lambda names: F.array_distinct(F.flatten(F.transform(
+            F.filter("structured", lambda s: ~F.array_contains(names, s["schema_name"])), lambda s: s["missing"]))))
         lacks = F.coalesce(F.size(lacking) > 0, F.lit(False)) & (status == "successful")
         error = F.when(lacks, F.concat(F.lit("missing required: "), F.array_join(lacking, ", "))).otherwise(error)
         status = F.when(lacks, "failure").otherwise(status)

@@ -228,3 +228,28 @@ def summary_hook(spark, sf_dir):
         lambda texts, prompt: prompt + (texts.str.count("\n")).astype("string"), "rows: "
     )
     return tables.summarize_tables(t.table_rows(spark, sf_dir), enabled=True, hook=hook)
+
+
+# Every line is followed by its length, so that equal values stand many times on every page.
+@query("doc_11_job_citations", r"""
+WITH src AS (SELECT doc_id, string_agg(line || chr(10) || 'length: ' || length(line), chr(10) ORDER BY pos) AS text
+             FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)
+             GROUP BY doc_id),
+pg AS (SELECT doc_id, i + 1 AS page_number, i * 3000 AS start, substr(text, i * 3000 + 1, 3000) AS page
+       FROM (SELECT doc_id, text, unnest(range((length(text) + 2999) // 3000)) AS i FROM src)),
+ln AS (SELECT doc_id, page_number, start, unnest(string_split(page, chr(10))) AS line, generate_subscripts(string_split(page, chr(10)), 1) AS pos FROM pg),
+placed AS (SELECT *, start + sum(length(line) + 1) OVER (PARTITION BY doc_id, page_number ORDER BY pos) - length(line) - 1 AS line_at FROM ln)
+SELECT doc_id, CAST(page_number AS INTEGER) AS page_number, CAST(line_at + 8 AS BIGINT) AS "offset", CAST(line[9:] AS BIGINT) AS length
+FROM placed WHERE regexp_matches(line, '^length: [0-9]+$')""")
+def job_citations(spark, sf_dir):
+    """Citations of an extraction per fragment, from the places that fragments carry."""
+    docs = t.load(spark, sf_dir, "documents").select("doc_id", F.array_join(F.transform(
+        F.split("text", "\n"), lambda x: F.concat(x, F.lit("\nlength: "), F.length(x))), "\n").alias("text"))
+    schema = {"type": "object", "properties": {"length": {"type": "integer"}}, "required": ["length"]}
+    config = Configuration(extraction=(ExtractionOptions("lengths", json.dumps(schema), partition_strategy="fragment", provide_citations=True),))
+    out = jobs.run_dataset(docs, config, "extract")
+    hit = S.unnest(out, ["doc_id"], F.filter("structured", lambda s: F.size(s["citations"]) > 0), "s")
+    cited = F.get("s.citations", F.lit(0))
+    return hit.select(
+        "doc_id", cited["page_number"].alias("page_number"), cited["offset"].cast("bigint").alias("offset"),
+        F.get_json_object("s.data", "$.length").cast("bigint").alias("length"))

@@ -241,6 +241,36 @@ def test_citations_stay_in_their_partition(spark):
     assert cited == [(1, text.index("7")), (2, text.index("7", second))]
 
 
+def test_citations_point_at_the_labelled_value(spark):
+    # The number stands before in prose, in an ignored fragment, behind blanks and markers, and next to a struck one.
+    text = "Order of 12 items, which is the title of this\n   - total: 12  \n\fnothing\n# total: 12\n~~5~~ total: ~~11~~ 12\n{x} 漢字\n\ttotal: 12"
+    docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    for strategy in ("none", "page", "fragment"):
+        for off in (False, True):
+            config = Configuration(
+                ParsingOptions(remove_strikethrough_lines=True, disable_layout_detection=off),
+                extraction=(ExtractionOptions("t", SCHEMA, partition_strategy=strategy, provide_citations=True),))
+            r = Jb.assemble(Jb.run_dataset(docs, config, "extract"), "doc_id").first()
+            cited = [(c["page_number"], c["offset"]) for s in r["structured_data"] for c in s["citations"]]
+            assert cited and all(text[o: o + 2] == "12" and text[:o].rstrip(" ").endswith((":", "~~")) for _, o in cited)
+            assert all(page == 1 + text[:o].count("\f") for page, o in cited)
+            if strategy == "fragment" and not off:
+                assert len(cited) == 4
+
+
+def test_citations_in_web_pages(spark):
+    html = ("<html><head><title>total: 1</title></head><body>lead &amp; text<nav>total 12</nav><h1>An &lt;order&gt;</h1><p>price list</p>"
+            "<p>total: 12<table><tr><td>12</td><td>b</td></tr></table><div>total: 34</div> tail</body></html>")
+    docs = spark.createDataFrame([(1, html, "text/html")], "doc_id int, text string, mime_type string")
+    config = Configuration(extraction=(ExtractionOptions("t", SCHEMA, partition_strategy="fragment", provide_citations=True),))
+    from docspark.operators import fragments as G
+
+    seen = docs.select(G.html_visible("text")).first()[0]
+    r = Jb.assemble(Jb.run_dataset(docs, config, "extract"), "doc_id").first()
+    cited = [c["offset"] for s in r["structured_data"] for c in s["citations"]]
+    assert cited == [seen.index("total: 12") + 7, seen.index("total: 34") + 7]
+
+
 def test_an_extraction_without_its_field_fails(spark):
     config = Configuration(extraction=(ExtractionOptions("t", SCHEMA),))
     docs = spark.createDataFrame([(1, "nothing here"), (2, "total: 3")], "doc_id int, text string")

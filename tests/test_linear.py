@@ -6,6 +6,12 @@ import pytest
 
 from docspark.operators import chunks, pages
 from docspark.operators import fragments as G
+from docspark.plans import jobs
+from docspark.plans.config import Configuration, ExtractionOptions
+
+
+CITED = Configuration(extraction=(ExtractionOptions(
+    "t", '{"type":"object","properties":{"total":{"type":"number"},"name":{"type":"string"}}}', partition_strategy="fragment", provide_citations=True),))
 
 
 def seconds(run):
@@ -21,6 +27,8 @@ def seconds(run):
     (lambda n: "\f".join(f"page {i}" for i in range(n)), lambda df: pages.split_pages(df).count()),
     (lambda n: "\n".join(f"{'#' * (1 + i % 4)} h{i}\nbody" for i in range(n)),
      lambda df: chunks.header_path(G.with_fragments(pages.with_pages(df))).count()),
+    (lambda n: "\n".join(f"total: {i % 7}\nsome words that make a line of text, which ends here {i}" for i in range(n // 5)),
+     lambda df: jobs.assemble(jobs.run_dataset(df, CITED, "extract"), "doc_id").write.format("noop").mode("overwrite").save()),
 ])
 def test_time_grows_with_the_document(spark, make, run):
     small, large = (spark.createDataFrame([(1, make(n))], "doc_id long, text string").cache() for n in (5_000, 20_000))
