@@ -26,8 +26,8 @@ SIMILARITY = 0.8
 STEPS, SAMPLED, WALKS, SAMPLES = 12, 6, 3, 2
 # A key of an item must read so many of its words: fewer are met by chance everywhere.
 KEY_WORDS = 4
-# Items of fewer words are found by pairs of words, which one of their few edits cannot all touch.
-SHORT = 8
+# Items of fewer words are found by pairs of words: an edit touches two of them at most, so that a fifth of edits leaves some whole.
+SHORT = 15
 SEED = 7
 # Benchmark text that one pass over the documents holds in memory.
 BLOCK_BYTES = 16 << 20
@@ -109,6 +109,7 @@ class Index:
         self.sets = [set(w) for w in self.words]
         sizes = np.diff(first)
         self.allowed = [int(n * (1 - similarity) + 1e-9) for n in sizes]
+        self.whole = np.maximum(1, sizes - 1 - 2 * np.array(self.allowed, np.int64))
         owner = np.repeat(np.arange(len(items)), sizes)
         offset = np.arange(len(h)) - np.repeat(first[:-1], sizes)
         stop = np.repeat(first[1:], sizes)
@@ -144,13 +145,24 @@ class Index:
         entry = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
         return np.repeat(at, n) - offset[entry], owner[entry], np.repeat(at, n)
 
+    def _enough_pairs(self, found, first: np.ndarray):
+        """Of the pairs met, those of texts that hold as many pairs of an item as its allowed edits must leave whole."""
+        begin, item, at = found
+        place = np.searchsorted(first, at, "right") * len(self.ids) + item
+        _, which, met = np.unique(place, return_inverse=True, return_counts=True)
+        enough = met[which] >= self.whole[item]
+        return begin[enough], item[enough], at[enough]
+
     def matches(self, data: np.ndarray, offs: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(text, item, distance, start byte, end byte) of the best window of each text and item within the threshold."""
         h, starts, ends, first = words(data, offs)
         if not len(h) or not self.ids:
             return []
         found = [self._look(t, k) for t, (k, *_) in zip(self.tables, keys(h))]
-        found += [self._look(t, k) for t, k in ((self.pairs, self._pair(h)), (self.singles, h)) if t is not None]
+        if self.pairs is not None:
+            found.append(self._enough_pairs(self._look(self.pairs, self._pair(h)), first))
+        if self.singles is not None:
+            found.append(self._look(self.singles, h))
         begin, item, at = (np.concatenate(x) for x in zip(*found))
         text = np.searchsorted(first, at, "right") - 1
         order = np.lexsort((begin, item, text))

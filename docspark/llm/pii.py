@@ -97,9 +97,12 @@ _DOT = r"(?:dot|DOT|Dot)"
 TOP = "com org net edu gov mil int info biz io co uk de fr es it nl eu us ca au ch at be jp cn in ru br"
 _TOPS = frozenset(TOP.split())
 _BRACKET = re.compile(rf"[ ]?{_OPEN}[ ]?(?:(?P<at>{_WORD}|@)|(?P<dot>{_DOT}|\.))[ ]?{_CLOSE}[ ]?")
+# Found from the sign outwards: the part before it is read backwards, so that no run of words is scanned twice.
 _PLAIN = re.compile(
-    rf"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?:\.| {_DOT} )[A-Za-z0-9_%+-]+)*?(?P<at> {_WORD} |[ ]?@[ ]?)"
+    rf"(?P<at> {_WORD} |[ ]?@[ ]?)"
     rf"(?P<domain>[A-Za-z0-9-]+(?:(?:\.| {_DOT} )[A-Za-z0-9-]+)*(?:\.| {_DOT} )[A-Za-z]{{2,}}(?![\w-]))")
+_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-")
+_SPOKEN_DOTS = (" dot ", " DOT ", " Dot ")
 _LABEL = re.compile(rf"(?P<sign>\.| {_DOT} )(?P<label>[A-Za-z0-9-]+)")
 # Words that prose has before "dot": "at the dot in the middle", "at one dot two".
 _PROSE = re.compile(rf"(?:the|an?|this|that|each|every|any|no|some|my|your|his|her|its|our|their|polka|{NUMBER})", re.I)
@@ -164,14 +167,34 @@ def _spelled(m: re.Match, at: int) -> list[tuple[int, int, str]]:
     return out
 
 
-def _address_end(x: re.Match) -> int | None:
+def _local_start(text: str, low: int, end: int) -> int | None:
+    """Where the part of an address that ends at ``end`` begins: the leftmost start from ``low`` on that is not inside a word."""
+    start, i = None, end
+    while True:
+        j = i
+        while j > low and text[j - 1] in _PART:
+            j -= 1
+        if j == i:
+            return start
+        before = text[j - 1: j]
+        if not (before.isalnum() or before in ("_", ".", "%", "+", "-")):
+            start = j
+        if j > low and before == ".":
+            i = j - 1
+        elif j - 5 >= low and text[j - 5: j] in _SPOKEN_DOTS:
+            i = j - 5
+        else:
+            return start
+
+
+def _address_end(x: re.Match, start: int) -> int | None:
     """Where the address of a plain match ends: after its last label that can be a top-level domain; None if none can."""
     signs = list(_LABEL.finditer(x.string, x.start("domain"), x.end("domain")))
     spoken = x["at"].strip() != "@"
     # "look at example.com" is prose: the word "at" counts only with a dot in words too.
     words = [" " in y["sign"] for y in signs]
     least = 0
-    if spoken and " dot " not in x.string[x.start(): x.start("at")].lower():
+    if spoken and " dot " not in x.string[start: x.start("at")].lower():
         least = words.index(True) if True in words else len(words)
     for i in range(len(signs) - 1, least - 1, -1):
         label = signs[i]["label"]
@@ -206,13 +229,17 @@ def rewrite(text: str) -> Mapped | None:
                 edits += _spelled(x, x.start())
         m.apply(edits)
     if _PLAIN_HINT.search(m.text):
-        edits, at = [], 0
+        edits, low, at = [], 0, 0
         while x := _PLAIN.search(m.text, at):
-            end = _address_end(x)
+            base = _local_start(m.text, low, x.start())
+            if base is None:
+                at = x.start() + 1
+                continue
+            end = _address_end(x, base)
             if end is None:
-                at = x.start("domain")  # it may be the local part of another
+                low = at = x.start("domain")  # it may be the local part of another
                 continue
-            base, at = x.start(), end
+            low = at = end
             for y in _PLAIN_SIGN.finditer(m.text[base:end]):
                 sign = "@" if x.start("at") == base + y.start() else "." if "dot" in y.group().lower() else None
                 if sign:

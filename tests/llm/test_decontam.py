@@ -100,3 +100,32 @@ def test_query(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()
     got = {(r.doc_id, r.item_id) for r in entry.queries()["op7_cgk_decontamination"](spark, sf_dir).collect()}
     assert {(d.doc_id, i.item_id) for d in docs for i in items if i.text in d.text} <= got
+
+
+def test_recall_at_every_length():
+    """The largest allowed number of edits, evenly spaced or random; no unedited copies among them."""
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choices("abcdefghij", k=6))
+    low = {}
+    for n in range(1, 61):
+        items = tuple((i, " ".join(word() for _ in range(n))) for i in range(40))
+        index = dc.Index(items)
+        for kind in ("even", "random"):
+            texts = []
+            for _, t in items:
+                w, edits = t.split(), n // 5
+                if kind == "even":
+                    for k in range(edits):
+                        w[(2 * k + 1) * n // (2 * edits)] = word()
+                else:
+                    for _ in range(edits):
+                        at = rnd.randrange(len(w))
+                        w[at: at + rnd.choice([0, 1, 1])] = rnd.choice([[word()], [word()], []])
+                texts.append(" ".join([*(word() for _ in range(30)), *w, *(word() for _ in range(30))]))
+            hits = {(t, i) for t, i, *_ in index.matches(*text_bytes(pa.array(texts)))}
+            low[n, kind] = sum((i, i) in hits for i in range(40)) / 40
+    assert all(r == 1 for (n, _), r in low.items() if n < dc.SHORT)
+    assert min(low.values()) >= 0.8
+    for kind in ("even", "random"):
+        for a in range(dc.SHORT, 60, 5):
+            assert sum(low[n, kind] for n in range(a, min(a + 5, 61))) / min(5, 61 - a) >= 0.9

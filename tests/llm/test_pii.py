@@ -1,3 +1,4 @@
+import time
 import random
 import re
 
@@ -91,8 +92,11 @@ def test_clean_prose_has_none():
 
 
 def test_long_texts_take_linear_time():
-    for t in ("1" * 300_000, "a" * 300_000 + "@", "+1" + " " * 300_000, "@" * 200_000, "one " * 60_000, "1." * 100_000, " at x" * 60_000):
+    for t in ("1" * 300_000, "a" * 300_000 + "@", "+1" + " " * 300_000, "@" * 200_000, "one " * 60_000, "1." * 100_000, " at x" * 60_000,
+              *(x * (300_000 // len(x)) for x in ("a dot ", "a.b dot ", "a at ", "x at a dot b ", "a@ ", "a dot b at ", "a."))):
+        begin = time.perf_counter()
         pii.detect(t)
+        assert time.perf_counter() - begin < 5
 
 
 def test_frame(spark, sf_dir):
