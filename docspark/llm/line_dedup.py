@@ -30,11 +30,36 @@ MIN_LINES = 3
 MIN_WORDS = 50
 
 
+# Bits of a filter for each name it holds, and bits at most (32 MB); a word of the filter has 64 bits, a row 2**9 words.
+NAME_BITS, FILTER_BITS, WORDS = 16, 1 << 28, 1 << 9
+
+
+def _may_be_in(rows: DataFrame, name: Column, names: DataFrame) -> DataFrame:
+    """The rows whose 64-bit ``name`` may be among the written ``names``, by a broadcast bit table of bounded size.
+
+    Names that stand alone are dropped where they are, but for about one in
+    NAME_BITS, so that the exact join behind moves little else than what repeats.
+    """
+    n = names.count()
+    bits = min(FILTER_BITS, max(64 * WORDS, 1 << (NAME_BITS * n).bit_length()))
+    words = names.select(
+        F.expr(f"cast(pmod(name, {bits}) div 64 as int)").alias("__w"), F.expr(f"shiftleft(1L, cast(pmod(name, {bits}) % 64 as int))").alias("__b"))
+    words = words.groupBy("__w").agg(F.bit_or("__b").alias("__b"))
+    table = words.groupBy(F.shiftright("__w", 9).alias("__r")).agg(
+        F.map_from_entries(F.collect_list(F.struct((F.col("__w") % WORDS).alias("k"), F.col("__b").alias("v")))).alias("__m"))
+    # Dense rows, so that a bit is found by its place.
+    table = table.select("__r", F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda k: F.coalesce(F.try_element_at("__m", k), F.lit(0).cast("long"))).alias("__bits"))
+    at = F.pmod(name, F.lit(bits))
+    word = F.get("__bits", (F.shiftright(at, 6) % WORDS).cast("int"))
+    hit = F.getbit(word, (at % 64).cast("int")) == 1
+    return rows.join(F.broadcast(table), F.shiftright(at, 15).cast("int") == F.col("__r")).where(hit).drop("__r", "__bits")
+
+
 def _repeating(named: DataFrame) -> DataFrame:
     """The rows whose name occurs more than once; counts are combined before the shuffle."""
     # Written first, so that the join is one of plain exchanges, in which the rows of a very common name can be split.
     twice = materialise(named.groupBy("name").agg(F.count(F.lit(1)).alias("__m")).where("__m > 1").select("name"))
-    return materialise(named.join(twice, "name"))
+    return materialise(_may_be_in(named, F.col("name"), twice).join(twice, "name"))
 
 
 def _extend(named: DataFrame, step: int) -> DataFrame:
@@ -69,7 +94,9 @@ def _wordy_copies(df: DataFrame, key: str, text: str, min_lines: int, min_words:
     # Rows of equal key and text have equal places, so that none of them is a later copy of the other.
     first = materialise(
         named.groupBy("name").agg(F.count(F.lit(1)).alias("m"), F.min(_place()).alias("first")).where("m > 1").drop("m"))
-    return named.join(first, "name").where(_place() > F.col("first")).select("doc", "th", "pos", "size")
+    short = named.withColumn("short", F.xxhash64("name"))
+    kept = _may_be_in(short, F.col("short"), first.select(F.xxhash64("name").alias("name"))).drop("short")
+    return kept.join(first, "name").where(_place() > F.col("first")).select("doc", "th", "pos", "size")
 
 
 def later_runs(df: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES,
