@@ -88,19 +88,24 @@ def whole_slice(frags) -> Column:
     return F.array(F.struct(F.lit(0).alias("no"), S._c(frags).alias("frags")))
 
 
-def pattern_slices(frags, start: str, end: str | None = None) -> Column:
+def _matches(f: Column, pattern: str | Column) -> Column:
+    return F.rlike(f["text"], F.lit(pattern) if isinstance(pattern, str) else pattern)
+
+
+def pattern_slices(frags, start: str | Column, end: str | Column | None = None) -> Column:
     """Regions from a start line to the first end line after it, both included.
 
     A new start closes the open region.  Lines outside regions are dropped; a
     region without an end runs to the next start or the end of the document.
+    Patterns may be values of the row; an end that is NULL there matches nothing.
     """
     f = S._c(frags)
-    regions = cut_at(f, positions(f, lambda x, i: x["text"].rlike(start)), F.lit(1))
-    if not end:
+    regions = cut_at(f, positions(f, lambda x, i: _matches(x, start)), F.lit(1))
+    if end is None or (isinstance(end, str) and not end):
         return regions
 
     def close(r: Column) -> Column:
-        ends = positions(r["frags"], lambda x, i: x["text"].rlike(end))
+        ends = positions(r["frags"], lambda x, i: _matches(x, end))
         upto = F.coalesce(F.get(ends, F.lit(0)), F.size(r["frags"]))
         return F.struct(r["no"].alias("no"), F.slice(r["frags"], 1, upto).alias("frags"))
 
@@ -116,6 +121,18 @@ def slices(frags, strategy: str, start: str | None = None, end: str | None = Non
     return make[strategy](frags)
 
 
+def slices_by(frags, strategy: Column, start: Column | None = None, end: Column | None = None) -> Column:
+    """Slices by a strategy that is a value of the row; ``patterns`` needs ``start``."""
+    cut = (
+        F.when(strategy == "page", page_slices(frags))
+        .when(strategy == "section", section_slices(frags))
+        .when(strategy == "fragment", fragment_slices(frags))
+    )
+    if start is not None:
+        cut = cut.when(strategy == "patterns", pattern_slices(frags, start, end))
+    return cut.otherwise(whole_slice(frags))
+
+
 def partition(
     docs: DataFrame, strategy: str = "none", start: str | None = None, end: str | None = None, key: str = "doc_id"
 ) -> DataFrame:
@@ -147,13 +164,7 @@ def chunk(docs: DataFrame, strategy: str = "none", key: str = "doc_id") -> DataF
 
 def chunk_by_column(docs: DataFrame, strategy: str, key: str = "doc_id") -> DataFrame:
     """Chunks where each document names its own strategy in a column."""
-    s = F.coalesce(F.col(strategy), F.lit("none"))
-    cut = (
-        F.when(s == "page", page_slices("fragments"))
-        .when(s == "section", section_slices("fragments"))
-        .when(s == "fragment", fragment_slices("fragments"))
-        .otherwise(whole_slice("fragments"))
-    )
+    cut = slices_by("fragments", F.col(strategy))
     return docs.select(key, F.explode(cut).alias("s")).select(
         key,
         F.col("s.no").alias("chunk_no"),

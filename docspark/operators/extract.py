@@ -17,25 +17,36 @@ KEY_VALUE = r"(?m)^([A-Za-z0-9_ ]+):[ \t]*([^\n]+)$"
 CITE_BUCKET = 3000
 
 
-def _label(name: str) -> str:
+def label_pattern(name: str) -> str:
+    """Regular expression of a field's name up to its colon."""
     # The name is text; only its underscores may stand for spaces.
     return rf"(?im)^[ \t]*{re.escape(name).replace('_', '[ _]')}[ \t]*:"
 
 
+def labelled_text(text, label: Column) -> Column:
+    """Value of the first line that begins with a label; the label's pattern may be a value of the row."""
+    found = F.call_function("regexp_extract", S._c(text), F.concat(label, F.lit(r"[ \t]*([^\n]+)$")), F.lit(1))
+    return S.blank_to_null(S.trimmed(found))
+
+
 def field_text(text, name: str) -> Column:
     """Value of the first ``name: value`` line; spaces may stand for underscores."""
-    found = F.regexp_extract(S._c(text), _label(name) + r"[ \t]*([^\n]+)$", 1)
-    return S.blank_to_null(S.trimmed(found))
+    return labelled_text(text, F.lit(label_pattern(name)))
 
 
-def value_at(text, name: str, value) -> Column:
+def labelled_at(text, label: Column, value) -> Column:
     """0-based place of a value in a text: behind its label if the label stands there, else where it first occurs."""
     t, v = S._c(text), S._c(value)
-    colon = F.call_function("locate", F.lit(":"), t, F.greatest(F.regexp_instr(t, F.lit(_label(name))), F.lit(1)))
-    behind = F.when(t.rlike(_label(name)), F.call_function("locate", v, t, F.greatest(colon, F.lit(1)))).otherwise(0)
+    colon = F.call_function("locate", F.lit(":"), t, F.greatest(F.regexp_instr(t, label), F.lit(1)))
+    behind = F.when(F.rlike(t, label), F.call_function("locate", v, t, F.greatest(colon, F.lit(1)))).otherwise(0)
     return F.when(behind > 0, behind - 1).otherwise(F.instr(t, v) - 1)
 
 
+def value_at(text, name: str, value) -> Column:
+    """The same for a field by its name."""
+    return labelled_at(text, F.lit(label_pattern(name)), value)
+
+
 def _typed(raw: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.ArrayType):
         return F.when(

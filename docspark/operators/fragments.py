@@ -27,10 +27,13 @@ HEADERS = ("title", "section_header")
 
 
 def line_type(
-    line: Column, opens_document: Column, signatures: bool = True, struck: bool = True, key_values: bool = False
+    line: Column, opens_document: Column, signatures: bool | Column = True, struck: bool | Column = True,
+    key_values: bool | Column = False,
 ) -> Column:
     """Fragment type of one trimmed, non-blank line.  Detections that are off leave other types.
 
+    A detection is switched for the whole table, or by a column for each row.
+
     A pattern is only tried on a line that starts like it, so a line of prose
     costs a few byte comparisons and no regex.
     """
@@ -53,8 +56,8 @@ def line_type(
     ]
     kind = F.lit("text")
     for on, rule, name in reversed(rules):
-        if on:
-            kind = F.when(rule, name).otherwise(kind)
+        if on is not False:
+            kind = F.when(rule if on is True else on & rule, name).otherwise(kind)
     return kind
 
 
@@ -88,7 +91,7 @@ def _shape(x: Column, offsets: bool = False) -> Column:
     )
 
 
-def page_fragments(pages, offsets: bool = False, **detect: bool) -> Column:
+def page_fragments(pages, offsets: bool = False, **detect: bool | Column) -> Column:
     """Fragments of each page, as one array per page next to ``pages``.
 
     ``reading_order`` counts the non-blank lines of a page from 0.  With

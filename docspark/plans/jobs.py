@@ -105,6 +105,12 @@ def _typed_fragments(config: Configuration, offsets: bool) -> Column:
     )
 
 
+def without_struck(f: Column, offsets: bool) -> Column:
+    """A fragment without its struck parts; its place is that of the text as it was."""
+    left = f.withField("text", G.unstruck(f["text"]))
+    return left.withField("source", F.coalesce(f["source"], f["text"])) if offsets else left
+
+
 def _kept_fragments(config: Configuration, offsets: bool) -> Column:
     """Fragments per page after ignored types and strikethrough are taken out."""
     drop = set(config.parsing.ignore_sections)
@@ -118,8 +124,7 @@ def _kept_fragments(config: Configuration, offsets: bool) -> Column:
         return frags
 
     def unstruck(f: Column) -> Column:
-        left = f.withField("text", G.unstruck(f["text"]))
-        return left.withField("source", F.coalesce(f["source"], f["text"])) if offsets else left
+        return without_struck(f, offsets)
 
     if not drop:
         return F.col("page_fragments")
@@ -127,13 +132,19 @@ def _kept_fragments(config: Configuration, offsets: bool) -> Column:
 
 
 def _parse(docs: DataFrame, cases: Cases, text: str) -> DataFrame:
+    offsets = _cited(cases)
+    kind = PLACED_FRAGMENTS if offsets else FRAGMENTS
+    typed = _case(cases, lambda c: _typed_fragments(c, offsets), kind)
+    return parsed(docs, typed, _case(cases, lambda c: _kept_fragments(c, offsets), kind), offsets, text)
+
+
+def parsed(docs: DataFrame, typed: Column, kept: Column, offsets: bool, text: str) -> DataFrame:
     """Pages, fragments per page, all fragments, and the metered usage.
 
+    ``typed`` is made from ``pages`` and ``kept`` from ``page_fragments``.
     Usage counts what was detected, so it is taken before anything is removed.
     """
-    offsets = _cited(cases)
     kind = PLACED_FRAGMENTS if offsets else FRAGMENTS
-    typed = _case(cases, lambda c: _typed_fragments(c, offsets), kind)
     if "mime_type" in docs.columns:
         # A web page is one page; its text is what a reader sees.
         web = F.coalesce(F.col("mime_type") == "text/html", F.lit(False))
@@ -151,7 +162,7 @@ def _parse(docs: DataFrame, cases: Cases, text: str) -> DataFrame:
     if "page_range" in docs.columns:
         out = P.keep_pages(out, "page_range")
     out = with_usage(out.withColumn("page_fragments", typed))
-    out = out.withColumn("page_fragments", _case(cases, lambda c: _kept_fragments(c, offsets), kind))
+    out = out.withColumn("page_fragments", kept)
     return out.withColumn("fragments", F.flatten("page_fragments"))
 
 
@@ -177,9 +188,13 @@ def with_usage(docs: DataFrame) -> DataFrame:
 
 
 def _chunks(config: Configuration) -> Column:
-    """``[{content, page_number}]`` by the configured strategy."""
+    return chunks_of(C.slices("fragments", config.parsing.chunking_strategy or "none"))
+
+
+def chunks_of(cut: Column) -> Column:
+    """``[{content, page_number}]`` of slices."""
     return F.transform(
-        C.slices("fragments", config.parsing.chunking_strategy or "none"),
+        cut,
         lambda s: F.struct(
             C.markdown(s["frags"]).alias("content"),
             F.coalesce(F.get(s["frags"], F.lit(0))["page_number"], F.lit(0)).alias("page_number"),
@@ -314,10 +329,11 @@ def _structured(config: Configuration) -> Column | None:
 
 
 def _merged_tables(config: Configuration, key: str) -> Column | None:
-    """Tables on consecutive pages with equal column counts, as one table each."""
-    if not config.parsing.merge_tables:
-        return None
+    return merged_tables(key, F.lit(config.enrichment.table_summarization)) if config.parsing.merge_tables else None
+
 
+def merged_tables(key: str, summaries: Column) -> Column:
+    """Tables on consecutive pages with equal column counts, as one table each."""
     def of_page(z: Column) -> Column:
         lines = F.filter(z["f"], lambda f: f["fragment_type"] == "table")
         rows = F.flatten(F.transform(lines, lambda f: T.table_rows_of(f["text"])))
@@ -343,7 +359,7 @@ def _merged_tables(config: Configuration, key: str) -> Column | None:
             first["page_number"].alias("start_page"),
             F.element_at(numbers, -1).alias("end_page"),
             F.size(run).alias("pages_merged"),
-            (note if config.enrichment.table_summarization else F.lit(None).cast("string")).alias("summary"),
+            F.when(summaries, note).alias("summary"),
             F.struct(numbers.alias("pages"), columns.alias("target_columns")).alias("merge_actions"),
         )
 

@@ -10,6 +10,7 @@ from docspark.operators import chunks as C
 from docspark.operators import fragments as G
 from docspark.operators import tables
 from docspark.plans import jobs
+from docspark.plans import requests as R
 from docspark.plans.config import Configuration, EnrichmentOptions, ExtractionOptions, PageClass, ParsingOptions
 from docspark.session import shared_dir
 from docspark.streaming import feeds, ingest
@@ -99,6 +100,49 @@ def run_jobs(spark, sf_dir):
     ).unionByName(rejects.select("parse_id", "dataset_id", "job_type", F.col("code").alias("status")), allowMissingColumns=True)
 
 
+# A dataset's own schema, and what a third of the requests have without one of their own.
+ACCOUNT_DATASETS = {
+    "d0": Configuration(ParsingOptions(chunking_strategy="fragment"), extraction=(ExtractionOptions("account", json.dumps({
+        "type": "object", "properties": {"account_number": {"type": "integer"}, "segment": {"type": "string"}},
+        "required": ["account_number", "segment"]})),)),
+    "d1": Configuration(),
+}
+
+
+@query("doc_19_request_configurations", """
+WITH c AS (SELECT c_custkey AS k, c_name, c_mktsegment, c_custkey % 3 = 0 AS shared, c_custkey % 13 <> 0 AS numbered, c_custkey % 7 <> 0 AS segmented,
+                  CASE WHEN c_custkey % 17 = 3 THEN 'ENTITY_NOT_FOUND' WHEN c_custkey % 17 = 4 THEN 'INVALID_CONFIGURATION' END AS bad FROM customer),
+r AS (SELECT *, numbered AND (segmented OR NOT shared) AS good FROM c)
+SELECT k AS parse_id, CASE WHEN k % 17 = 3 THEN 'gone' WHEN k % 3 < 2 THEN 'd' || k % 3 END AS dataset_id,
+       coalesce(bad, CASE WHEN good THEN 'successful' ELSE 'failure' END) AS status,
+       CASE WHEN bad IS NULL AND good THEN CASE WHEN shared THEN 'account' ELSE 's' || k % 1000 END END AS schema_name,
+       CASE WHEN bad IS NULL AND good THEN '{"account_number":' || k || CASE WHEN NOT shared AND k % 2 = 0 THEN ',"client_name":"' || c_name || '"'
+            WHEN segmented THEN ',"segment":"' || c_mktsegment || '"' ELSE '' END || '}' END AS data,
+       CAST(CASE WHEN bad IS NULL THEN CASE WHEN k % 5 <> 0 AND NOT shared THEN 1 WHEN segmented THEN 6 ELSE 5 END END AS BIGINT) AS chunks
+FROM r""")
+def request_configurations(spark, sf_dir):
+    """Requests with configurations of their own, over that of their dataset or without one: up to 1,000 different schemas in one plan."""
+    k = F.col("doc_id")
+    chunking = F.when(k % 17 == 4, '"odd"').when(k % 5 == 0, '"fragment"').otherwise("null")
+    second = F.when(k % 2 == 0, "client_name").otherwise("segment")
+    schema = F.concat(F.lit('{"type":"object","required":["account_number"],"properties":{"account_number":{"type":"integer"},"'),
+                      second, F.lit('":{"type":"string"}}}'))
+    extraction = F.to_json(F.struct(F.array(F.struct(
+        F.concat(F.lit("s"), (k % 1000).cast("string")).alias("schema_name"), schema.alias("json_schema"))).alias("structured_extraction_options")))
+    options = F.concat(F.lit('{"parsing_options":{"chunking_strategy":'), chunking, F.lit("}"))
+    own = F.concat(options, F.when(k % 3 == 0, F.lit("}")).otherwise(F.concat(F.lit(","), F.substr(extraction, F.lit(2)))))
+    dataset = F.when(k % 17 == 3, "gone").when(k % 3 < 2, F.concat(F.lit("d"), (k % 3).cast("string")))
+    asked = account_text(spark, sf_dir).select(
+        k.alias("parse_id"), "text", F.lit("parse").alias("job_type"), dataset.alias("dataset_id"), own.alias("configuration"))
+    datasets = spark.createDataFrame([(n, c.to_json()) for n, c in ACCOUNT_DATASETS.items()], "dataset_id string, configuration string")
+    out, rejects = R.run_requests(asked, datasets)
+    first = F.get("structured_data", F.lit(0))
+    return out.select(
+        "parse_id", "dataset_id", "status", first["schema_name"].alias("schema_name"), first["data"].alias("data"),
+        F.size("chunks").cast("bigint").alias("chunks"),
+    ).unionByName(rejects.select("parse_id", "dataset_id", F.col("code").alias("status")), allowMissingColumns=True)
+
+
 @query("doc_19_web_pages", f"""WITH {HTML},
 h AS (SELECT page_id, count(*) AS fragments, count(*) FILTER (WHERE fragment_type IN ('title', 'section_header')) AS headers,
    max(CASE WHEN fragment_type = 'title' THEN text END) AS title, min(CASE WHEN fragment_type IN ('title', 'section_header') THEN reading_order END) AS first_header
