@@ -8,7 +8,8 @@ from docspark import workload
 
 QUERIES = workload.queries()
 STREAMS = {n for n in QUERIES if n.endswith("_stream") or n in ("set_2_replay_then_live", "udf_1_update_callback")}
-PYTHON = {"doc_8_classify_pages", "doc_9_page_classes", "flt_9_pages_in_classes", "udf_2_custom_extractor", "udf_3_summary_hook"}
+PYTHON = {"doc_8_classify_pages", "doc_9_page_classes", "flt_9_pages_in_classes", "udf_2_custom_extractor", "udf_3_summary_hook",
+          "doc_19_request_configurations"}
 
 
 def physical(df):
