@@ -11,6 +11,8 @@ from docspark.schemas import PARSE_RESULT_JSON
 
 # Fixed value: the text of an error.
 BAD_REPLY = "failed to decode SSE response"
+# What a reject says whose line is no result.
+BAD_RESULT = "the line is not a parse result"
 
 
 def shape_result(df: DataFrame) -> DataFrame:
@@ -52,6 +54,28 @@ def decode_results(df: DataFrame, column: str) -> DataFrame:
     return shape_result(df.select(F.from_json(column, PARSE_RESULT_JSON).alias("r")).select("r.*"))
 
 
+def decode_with_rejects(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """Results, and the rows that are none as rejects ``(line, code, message)`` with their text.
+
+    A reject is no JSON object, or has a field of another type than the result's.
+    Every row is in one of the two tables; rows are read once for each.
+    """
+    schema = f"{PARSE_RESULT_JSON}, _corrupt STRING"
+    # The option keeps the whole schema in use, so that a field not asked for is checked too.
+    read = F.from_json("line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    parsed = S.with_once(df.select(F.col(column).alias("line")), "r", read)
+    bad = F.col("r").isNull() | F.col("r._corrupt").isNotNull() | ~F.coalesce(S.trimmed("line").startswith("{"), F.lit(False))
+    results = shape_result(parsed.where(~bad).select("r.*").drop("_corrupt"))
+    rejects = parsed.where(bad).select("line", F.lit("INVALID_RESULT").alias("code"), F.lit(BAD_RESULT).alias("message"))
+    return results, rejects
+
+
+def read_results_with_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The same from result files, one JSON object per line; blank lines are no rows."""
+    lines = spark.read.text(path)
+    return decode_with_rejects(lines.where(S.trimmed("value") != ""), "value")
+
+
 def read_replies(replies: DataFrame) -> DataFrame:
     """Replies that are either an event feed or one plain JSON result.
 

@@ -132,6 +132,25 @@ def read_results(spark, sf_dir):
     return _result_columns(results_src.decode_results(result_json(spark, sf_dir), "json"))
 
 
+# Every eleventh line is cut off, every other eleventh one has a text for a number, or is no JSON.
+@query("src_7_result_rejects", f"""WITH {t.JOBS}
+SELECT CASE WHEN parse_id % 11 > 2 THEN 'parse_' || parse_id END AS parse_id,
+       CASE WHEN parse_id % 11 <= 2 THEN 'INVALID_RESULT' END AS code,
+       CASE parse_id % 11 WHEN 0 THEN '{{"parse_id":"parse_' || parse_id || '","total' WHEN 1 THEN '{{"parse_id":"' || parse_id || '","total_pages":"many"}}'
+            WHEN 2 THEN 'line ' || parse_id END AS line FROM jobs""")
+def result_rejects(spark, sf_dir):
+    """Stored results with broken lines: every line is a result or a reject that keeps its text."""
+    k = F.col("order_id")
+    number, kind = k.cast("string"), k % 11
+    line = (
+        F.when(kind == 0, F.concat(F.lit('{"parse_id":"parse_'), number, F.lit('","total')))
+        .when(kind == 1, F.concat(F.lit('{"parse_id":"'), number, F.lit('","total_pages":"many"}')))
+        .when(kind == 2, F.concat(F.lit("line "), number)).otherwise(F.col("json"))
+    )
+    ok, bad = results_src.decode_with_rejects(result_json(spark, sf_dir).select(line.alias("json")), "json")
+    return ok.select("parse_id").unionByName(bad.select("code", "line"), allowMissingColumns=True)
+
+
 @query("src_9_write_results", RESULT_SQL)
 def write_results(spark, sf_dir):
     """Results go to the shared folder as JSON lines and are read back."""

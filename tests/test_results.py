@@ -68,6 +68,21 @@ def test_null_is_not_zero(decoded):
     assert None in decoded
 
 
+def test_lines_that_are_no_results_are_rejects(spark, tmp_path):
+    good, wrong = json.dumps(RESULT), json.dumps({**RESULT, "total_pages": "many"})
+    deep = json.dumps({**RESULT, "pages": [{"page_number": "one"}]})
+    broken = [good[:-4], "oops", wrong, deep, "[1]", "5", "null"]
+    df = spark.createDataFrame([(x,) for x in [good, "{}", *broken, "", None]], "j string")
+    ok, bad = R.decode_with_rejects(df, "j")
+    assert sorted(str(r["parse_id"]) for r in ok.collect()) == ["None", "parse_1"]
+    assert sorted(str(r["line"]) for r in bad.collect()) == sorted([*broken, "", "None"])
+    # A count that needs no field gives the same.
+    assert (ok.count(), bad.count()) == (2, 9)
+    (tmp_path / "r.jsonl").write_text("\n".join([good, "", *broken]) + "\n")
+    ok, bad = R.read_results_with_rejects(spark, str(tmp_path))
+    assert [r["parse_id"] for r in ok.collect()] == ["parse_1"] and sorted(r["line"] for r in bad.collect()) == sorted(broken)
+
+
 def test_files_and_replies(spark, tmp_path):
     (tmp_path / "r.jsonl").write_text(json.dumps(RESULT) + "\n")
     assert R.read_results(spark, str(tmp_path)).first()["parse_id"] == "parse_1"
