@@ -7,19 +7,17 @@ terms that occur on the page.  It is a documented stand-in for a hosted model;
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docspark.functions import scalars as S
 
-# Classes are request configuration.  Up to this size their terms travel with
-# the tasks; beyond, an equi join on terms does the same work.
-MAX_CLASSES = 10_000
-MAX_CLASS_CHARS = 8 << 20
+# A page whose best class holds this share of its terms needs no longer prefixes.
+SURE = 0.5
+# Terms of a prefix that a page must share with a class before both are compared.
+MATCHES = 6
 PART_PAGES = 100_000
 
 # Fixed value: what separates terms.
@@ -76,51 +74,44 @@ def best_class(page_terms: Column, classes: Column, threshold: float = 0.0) -> C
     return S.let(F.array_intersect(page_terms, every), among)
 
 
-def small_classes(classes: DataFrame) -> list[Row] | None:
-    """The classes with their terms, or None when they are too many.
+def known_terms(pages: DataFrame, lists: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(_page, known)``: the terms of each page that any class has.
 
-    At most ``MAX_CLASSES + 1`` rows ever reach the driver, and only when a sum
-    over the table has shown that their text is small.
+    One narrow shuffle by page, which every later step shares; the text stays
+    where it was read.  The key is a struct, so NULL keys meet as equal.
     """
-    size = classes.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("description")), F.lit(0)).alias("chars")
-    ).first()
-    if size["n"] > MAX_CLASSES or size["chars"] > MAX_CLASS_CHARS:
-        return None
-    return sorted(class_terms(classes).limit(MAX_CLASSES + 1).collect(), key=lambda r: r["class_no"])
+    vocabulary = lists.select(F.explode("terms").alias("term"))
+    words = S.unnest(pages, [F.struct(*keys).alias("_page")], terms("text"), "term")
+    return words.join(vocabulary, "term", "left_semi").groupBy("_page").agg(F.collect_set("term").alias("known"))
 
 
-def term_scorer(rows: list[Row], threshold: float = 0.0) -> Callable[[Column], Column]:
-    """Best class of a page's terms, as an Arrow-batched function.
+def rare_first(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """Classes with their terms in one global order: those of the fewest pages first."""
+    pages_of = known.select(F.explode("known").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    ordered = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term")))
+    return (
+        lists.select("class_no", "page_class", F.explode("terms").alias("term"))
+        .join(pages_of, "term", "left")
+        .groupBy("class_no", "page_class")
+        .agg(ordered["term"].alias("terms"))
+    )
+
+
+def candidates(known: DataFrame, ranked: DataFrame, share: float) -> DataFrame:
+    """``(_page, class_no)`` of every pair that can reach a share of the class's terms.
 
-    Postings ``term -> classes`` are counted with one ``bincount`` per page;
-    the built-in array functions would intersect the page with every class.
+    A page with ``k`` of the ``n`` terms misses at most ``n - k`` of them, so it
+    has ``m`` of the first ``n - k + m`` in any order, for each ``m`` up to ``k``.
+    Only these are joined and counted; ``MATCHES`` bounds ``m``.
     """
-    names = [r["page_class"] for r in rows]
-    vocabulary = [frozenset(r["terms"]) for r in rows]
-    lengths = np.array([len(v) for v in vocabulary], dtype="float64")
-    postings: dict[str, np.ndarray] = {}
-    for no, words in enumerate(vocabulary):
-        for w in words:
-            postings.setdefault(w, []).append(no)
-    postings = {w: np.array(nos, dtype="int64") for w, nos in postings.items()}
-
-    def best(words) -> tuple:
-        hits = [postings[w] for w in words if w in postings]
-        if not hits:
-            return (None, None, None)
-        scores = np.bincount(np.concatenate(hits), minlength=len(names)) / lengths
-        no = int(scores.argmax())
-        if scores[no] < threshold:
-            return (None, None, None)
-        return (names[no], float(scores[no]), ", ".join(sorted(w for w in words if w in vocabulary[no])))
-
-    @F.pandas_udf("page_class string, score double, reason string")
-    def score(terms_of_page: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([best(w) for w in terms_of_page], columns=["page_class", "score", "reason"])
-
-    # Not pushed into the filter below, where it would run a second time.
-    return score.asNondeterministic()
+    # The small slack keeps rounding from asking for one term too many.
+    needed = F.greatest(F.ceil(F.size("terms") * F.lit(share) - F.lit(1e-6)).cast("int"), F.lit(1))
+    matches = F.least(needed, F.lit(MATCHES))
+    prefix = F.slice("terms", F.lit(1), F.greatest(F.size("terms") - needed + matches, F.lit(0)))
+    postings = ranked.select("class_no", matches.alias("matches"), F.explode(prefix).alias("term"))
+    words = known.select("_page", F.explode("known").alias("term"))
+    met = words.join(postings, "term").groupBy("_page", "class_no", "matches").agg(F.count(F.lit(1)).alias("n"))
+    return met.where(F.col("n") >= F.col("matches")).select("_page", "class_no")
 
 
 def classify_pages(
@@ -128,21 +119,44 @@ def classify_pages(
 ) -> DataFrame:
     """Best class per page with score and reason; unmatched pages are left out.
 
-    Terms are cut by Spark; with a small set of classes nothing is shuffled.
+    A containment join with prefix filter, the same for any number of classes.
+    Pages that reach a share of ``SURE`` with some class have their best class
+    among the few candidates of that share; the others are looked up with the
+    longer prefixes of ``threshold``.  ``keys`` name a page (equal keys are one
+    page, NULL included), ``class_no`` a class.  No page and no class: no rows.
     """
-    rows = small_classes(classes)
-    if rows is None:
-        return classify_pages_join(pages, classes, threshold, keys)
-    if not rows:
-        return classify_pages_join(pages.limit(0), classes, threshold, keys)
-    scored = pages.select(*keys, term_scorer(rows, threshold)(terms("text")).alias("_b"))
-    return scored.where(F.col("_b.page_class").isNotNull()).select(*keys, "_b.*")
+    lists = class_terms(classes)
+    known = known_terms(pages, lists, keys)
+    ranked = rare_first(lists, known)
+    shared = F.array_intersect("terms", "known")
+
+    def best(among: DataFrame, share: float) -> DataFrame:
+        scored = candidates(among, ranked, share).join(known, "_page").join(ranked, "class_no").select(
+            "_page",
+            F.struct(
+                (F.size(shared) / F.size("terms")).alias("score"),
+                (-F.col("class_no")).alias("rank"),
+                "page_class",
+                shared.alias("shared"),
+            ).alias("_b"),
+        )
+        return scored.groupBy("_page").agg(F.max("_b").alias("_b")).where(F.col("_b.score") >= share)
+
+    found = best(known, max(threshold, SURE))
+    if threshold < SURE:
+        found = found.unionByName(best(known.join(found, "_page", "left_anti"), threshold))
+    return found.select(
+        *(F.col("_page")[k].alias(k) for k in keys),
+        "_b.page_class",
+        "_b.score",
+        F.array_join(F.array_sort("_b.shared"), ", ").alias("reason"),
+    )
 
 
 def classify_pages_join(
     pages: DataFrame, classes: DataFrame, threshold: float = 0.0, keys: Sequence[str] = ("doc_id", "page_number")
 ) -> DataFrame:
-    """The same for any number of classes: an equi join on terms.
+    """The same by counting every match: a plain equi join on terms.
 
     Spark's own size check picks the join; a term that occurs everywhere is
     split by AQE.  Matches are counted before the shuffle by page.

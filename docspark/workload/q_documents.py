@@ -305,7 +305,7 @@ def classify_pages(spark, sf_dir):
 
 @query("doc_8_classify_pages_join", _LABEL_SQL)
 def classify_join(spark, sf_dir):
-    """The form for any number of classes."""
+    """The form that counts every match."""
     return _labels(spark, sf_dir, classify.classify_pages_join).withColumn("score", F.round("score", 9))
 
 

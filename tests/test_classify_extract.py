@@ -1,4 +1,5 @@
 import json
+import random
 
 import pandas as pd
 import pytest
@@ -47,10 +48,47 @@ def test_threshold(pages, classes):
         assert how(pages, classes, 0.6).count() == 2
 
 
-def test_many_classes_take_the_join(pages, classes, monkeypatch):
-    monkeypatch.setattr(K, "MAX_CLASSES", 2)
-    assert K.small_classes(classes) is None
-    assert K.classify_pages(pages, classes).count() == 3
+@pytest.mark.parametrize("threshold", [0.0, 0.1, 0.25, 0.3, 0.5, 0.75, 1.0, 1.5])
+def test_prefix_join_equals_counting(spark, threshold):
+    rng = random.Random(5)
+    # Some words are on most pages, most on few; ties, repeated words and empty texts occur.
+    words = [f"w{i}" for i in range(60)]
+    draw = lambda n: " ".join(words[int(60 * rng.random() ** 2)] for _ in range(n))
+    texts = [(d, p, draw(rng.choice([0, 1, 5, 20]))) for d in range(40) for p in (1, 2)]
+    kinds = [(n, f"c{n}", draw(rng.choice([0, 1, 2, 10, 30]))) for n in range(50)]
+    p = spark.createDataFrame(texts, "doc_id int, page_number int, text string")
+    c = spark.createDataFrame(kinds, "class_no int, name string, description string")
+    want = {}
+    sets = [(n, name, set((text or name).split())) for n, name, text in kinds]
+    for d, no, text in texts:
+        have = set(text.split())
+        scores = [(len(v & have) / len(v), -n, name, ", ".join(sorted(v & have))) for n, name, v in sets]
+        top = max(scores)
+        if top[0] > 0 and top[0] >= threshold:
+            want[d, no] = (top[2], top[0], top[3])
+    for how in (K.classify_pages, K.classify_pages_join):
+        rows = how(p, c, threshold).collect()
+        assert {(r[0], r[1]): tuple(r[2:]) for r in (tuple(r) for r in rows)} == want
+        assert len(rows) == len(want)
+
+
+def test_rows_before_the_check_are_few(spark):
+    """Every class shares a common word with every page; candidates need a rarer one."""
+    p = spark.range(300).selectExpr("id AS doc_id", "1 AS page_number", "concat('the report of item', id, ' total', id) AS text")
+    c = spark.range(200).selectExpr(
+        "int(id) AS class_no", "string(id) AS name", "concat('the report of item', id, ' total', id) AS description")
+    lists = K.class_terms(c)
+    known = K.known_terms(p, lists, ["doc_id", "page_number"])
+    assert K.candidates(known, K.rare_first(lists, known), 0.75).count() == 200
+    assert K.classify_pages(p, c, 0.75).where("page_class = string(doc_id) AND score = 1").count() == 200
+
+
+def test_null_keys_and_empty_inputs(spark, pages, classes):
+    odd = spark.createDataFrame(
+        [(None, 1, "dear regards"), (None, 1, "dear regards"), (5, None, None)], "doc_id int, page_number int, text string")
+    assert [tuple(r) for r in K.classify_pages(odd, classes).collect()] == [(None, 1, "letter", 1.0, "dear, regards")]
+    assert K.classify_pages(pages.limit(0), classes).count() == 0
+    assert K.classify_pages(pages, classes.limit(0)).count() == 0
 
 
 def test_page_class_output(spark, pages, classes):

@@ -8,8 +8,7 @@ from docspark import workload
 
 QUERIES = workload.queries()
 STREAMS = {n for n in QUERIES if n.endswith("_stream") or n in ("set_2_replay_then_live", "udf_1_update_callback")}
-PYTHON = {"doc_8_classify_pages", "doc_9_page_classes", "flt_9_pages_in_classes", "udf_2_custom_extractor", "udf_3_summary_hook",
-          "doc_19_request_configurations"}
+PYTHON = {"udf_2_custom_extractor", "udf_3_summary_hook", "doc_19_request_configurations"}
 
 
 def physical(df):
@@ -45,7 +44,7 @@ def test_only_needed_columns_are_read(spark, sf_dir, name, columns):
 
 @pytest.mark.parametrize("name", [
     "doc_1_split_pages", "doc_2_fragment_text", "doc_5_markdown", "doc_6_chunk_section", "doc_7_partition_patterns",
-    "win_2_section_id", "win_3_header_path", "doc_8_classify_pages", "doc_11_citations", "doc_20_run_dataset", "doc_19_run_jobs",
+    "win_2_section_id", "win_3_header_path", "doc_11_citations", "doc_20_run_dataset", "doc_19_run_jobs",
 ])
 def test_document_work_has_no_shuffle(spark, sf_dir, name):
     plan = physical(QUERIES[name](spark, sf_dir))
