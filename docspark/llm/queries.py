@@ -165,4 +165,4 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     labels = load(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = toxicity.fit(docs.where(~langid.held_out("doc_id")), labels)
-    return toxicity.score(docs, model).select("doc_id", langid.held_out("doc_id").alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, model, keep_text=False).select("doc_id", langid.held_out("doc_id").alias("held_out"), "score", "predicted")

@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -84,34 +85,38 @@ _ADDS = WORDS, HITS, WEIGHT, STEM, YOURS, LOUD, MASKED, HIDDEN, STRETCHED, SHOUT
 
 
 class Tokens(dict):
-    """Numbers of tokens, given at first sight, and in ``table`` what each adds: every different token is looked at once."""
+    """Numbers of tokens, given at first sight, and in ``table`` what each adds: every different token is looked at once.
+
+    Number 0 is any plain word that the lexicon does not know: it adds itself only.
+    """
 
     def __init__(self, lexicon: Lexicon):
         super().__init__()
-        self.lexicon, self.rows, self.done = lexicon, [], np.zeros((0, len(_ADDS)), np.float32)
-        # A plain word that the lexicon does not know adds itself only.
-        self.plain = (1, *[0] * (len(_ADDS) - 1))
-        self.begins = [frozenset(t[:-1] for t in lexicon if t.endswith("*") and len(t) == k + 1) for k in STEMS]
+        self.lexicon, self.rows, self.done = lexicon, [], np.eye(1, len(_ADDS), WORDS, np.float32)
+        self.known = frozenset(lexicon) | YOU
+        self.short, self.long = (frozenset(t[:-1] for t in lexicon if t.endswith("*") and len(t) == k + 1) for k in STEMS)
 
     def __missing__(self, token: str) -> int:
-        self[token] = n = len(self.done) + len(self.rows)
-        self.rows.append(self._adds(token))
+        core = token.rstrip(".,;:")
+        n = 0
+        if not (len(core) > 1 and core.isalpha() and not core.isupper() and self._unknown(core.lower()) and DRAWN.search(core) is None):
+            n = len(self.done) + len(self.rows)
+            self.rows.append(self._adds(token, core))
+        self[token] = n
         return n
 
+    def _unknown(self, low: str) -> bool:
+        return low not in self.known and low[: STEMS[0]] not in self.short and low[: STEMS[1]] not in self.long
+
     def table(self) -> np.ndarray:
         if self.rows:
             self.done = np.concatenate([self.done, np.array(self.rows, np.float32)])
             self.rows = []
         return self.done
 
-    def _adds(self, token: str) -> tuple:
+    def _adds(self, token: str, core: str) -> tuple:
         get = self.lexicon.get
-        core = token.rstrip(".,;:")
         plain = core.isalpha()
-        if plain and len(core) > 1 and not core.isupper() and DRAWN.search(core) is None:
-            low = core.lower()
-            if low not in self.lexicon and low not in YOU and not any(low[:k] in x for k, x in zip(STEMS, self.begins)):
-                return self.plain
         words = [core.lower()] if plain else words_of(token)
         hits = weight = stems = top = yours = 0.0
         for w in words:
@@ -144,38 +149,40 @@ def describe(texts: list[str | None], lexicon: Lexicon, known: Tokens | None = N
     n = len(texts)
     texts = [t or "" for t in texts]
     split = [t.split() for t in texts]
-    ids = np.array([known[x] for tokens in split for x in tokens], np.int64)
+    ids = np.array(list(map(known.__getitem__, chain.from_iterable(split))), np.int64)
     sizes = np.array([len(x) for x in split], np.int64)
-    owner = np.repeat(np.arange(n), sizes)
-    table = known.table()
+    ends = np.cumsum(sizes)
+    # Only tokens that add more than themselves are looked at: their places, texts and what they add.
+    at = np.flatnonzero(ids)
+    ids, owner = ids[at], np.searchsorted(ends, at, "right")
+    adds = known.table()[ids]
 
     def total(add: int) -> np.ndarray:
-        return np.bincount(owner, table[ids, add], minlength=n)
+        return np.bincount(owner, adds[:, add], minlength=n)
 
-    words, hits, weight, stems = (total(x) for x in (WORDS, HITS, WEIGHT, STEM))
-    hit = np.flatnonzero(table[ids, HITS] > 0)
+    words = total(WORDS) + sizes - np.bincount(owner, minlength=n)
+    hits, weight, stems = (total(x) for x in (HITS, WEIGHT, STEM))
+    hit = np.flatnonzero(adds[:, HITS] > 0)
     top, kinds, near = np.zeros(n), np.zeros(n), np.zeros(n)
-    np.maximum.at(top, owner[hit], table[ids[hit], TOPMOST])
+    np.maximum.at(top, owner[hit], adds[hit, TOPMOST])
     different = np.unique(np.stack([owner[hit], ids[hit]]), axis=1)
     np.add.at(kinds, different[0], 1)
-    you = np.flatnonzero(table[ids, YOURS] > 0)
+    you = np.flatnonzero(adds[:, YOURS] > 0)
     if len(you) and len(hit):
-        at = np.searchsorted(you, hit)
+        after = np.searchsorted(you, hit)
         close = np.zeros(len(hit), bool)
-        for side in (np.minimum(at, len(you) - 1), np.maximum(at - 1, 0)):
-            close |= (np.abs(you[side] - hit) <= NEAR) & (owner[you[side]] == owner[hit])
+        for side in (you[np.minimum(after, len(you) - 1)], you[np.maximum(after - 1, 0)]):
+            close |= (np.abs(at[side] - at[hit]) <= NEAR) & (owner[side] == owner[hit])
         np.add.at(near, owner[hit[close]], 1)
     hidden, spelled = total(HIDDEN), np.zeros(n)
-    lone = table[ids, SINGLE] > 0
-    joined = lone[1:] & lone[:-1] & (owner[1:] == owner[:-1])
-    starts, ends = np.flatnonzero(lone & ~np.concatenate([[False], joined])[: len(lone)]), np.flatnonzero(lone & ~np.concatenate([joined, [False]])[: len(lone)]) + 1
-    first = np.cumsum(sizes) - sizes
-    for a, b in zip(starts, ends):
-        if b - a >= SPELLED:
-            d = owner[a]
+    lone = np.flatnonzero(adds[:, SINGLE] > 0)
+    apart = np.flatnonzero((np.diff(at[lone]) != 1) | (np.diff(owner[lone]) != 0)) + 1
+    for run in np.split(lone, apart):
+        if len(run) >= SPELLED:
+            d = owner[run[0]]
             spelled[d] += 1
-            run = split[d][a - first[d]: b - first[d]]
-            hidden[d] += lexicon.get("".join(words_of("".join(run))), 0.0) > 0
+            first = at[run[0]] - ends[d] + sizes[d]
+            hidden[d] += lexicon.get("".join(words_of("".join(split[d][first: first + len(run)]))), 0.0) > 0
     data, offs = text_bytes(pa.array(texts, pa.string()))
     chars, letters, capitals, digits, blanks = _signs(data, offs)
 
@@ -190,12 +197,20 @@ def describe(texts: list[str | None], lexicon: Lexicon, known: Tokens | None = N
         per(spelled, words), per(total(STRETCHED), words), per(digits, chars)], axis=1)
 
 
-def _signs(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Per text: characters, letters (ASCII ones and all non-ASCII characters), ASCII capitals, digits, blanks."""
-    capital, small = (data >= 65) & (data <= 90), (data >= 97) & (data <= 122)
-    beyond = data >= 0xC0
-    masks = (data & 0xC0 != 0x80), capital | small | beyond, capital, (data >= 48) & (data <= 57), data <= 32
-    return tuple((lambda c: c[offs[1:]] - c[offs[:-1]])(np.concatenate([[0], np.cumsum(m)])) for m in masks)
+# Bytes, and classes a byte may be of: a character's first, a letter (ASCII ones and all non-ASCII characters), ASCII capital, digit, blank.
+_BYTE = np.arange(256)
+_CAPITAL, _BEYOND = (_BYTE >= 65) & (_BYTE <= 90), _BYTE >= 0xC0
+_CLASSES = np.stack([_BYTE & 0xC0 != 0x80, _CAPITAL | _BEYOND | ((_BYTE >= 97) & (_BYTE <= 122)), _CAPITAL, (_BYTE >= 48) & (_BYTE <= 57), _BYTE <= 32]).astype(np.int64)
+COUNTED = 1 << 20  # bytes counted at once
+
+
+def _signs(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Per text: characters, letters, capitals, digits, blanks."""
+    counts = np.zeros((len(offs) - 1, 256), np.int64)
+    for row, a, b in zip(counts, offs[:-1].tolist(), offs[1:].tolist()):
+        for i in range(a, b, COUNTED):
+            row += np.bincount(data[i: min(b, i + COUNTED)], minlength=256)
+    return _CLASSES @ counts.T
 
 
 def _sample(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, size: int) -> DataFrame:
@@ -269,10 +284,10 @@ def learn_lexicons(sample: DataFrame, size: int = LEXICON) -> list[Lexicon]:
     return out
 
 
-def features(df: DataFrame, lexicons: list[Lexicon], text: str = "text", fold: str | None = None) -> DataFrame:
+def features(df: DataFrame, lexicons: list[Lexicon], text: str = "text", fold: str | None = None, keep_text: bool = True) -> DataFrame:
     """``df`` plus the FEATURES; with ``fold`` each row is described without its own fold, else with the last lexicon."""
-    names = df.columns
-    schema = df.select("*", *[F.lit(0.0).alias(f"__{c}") for c in FEATURES]).schema
+    names = [c for c in df.columns if keep_text or c != text]
+    schema = df.select(*[F.col(f"`{c}`") for c in names], *[F.lit(0.0).alias(f"__{c}") for c in FEATURES]).schema
     shared = df.sparkSession.sparkContext.broadcast(lexicons)  # LEXICON entries at most
 
     @releasing
@@ -288,7 +303,7 @@ def features(df: DataFrame, lexicons: list[Lexicon], text: str = "text", fold: s
                 if len(mine[f]) > REMEMBERED:
                     mine[f] = Tokens(mine[f].lexicon)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *[pa.array(table[:, i]) for i in range(len(FEATURES))]], [*names, *[f"__{c}" for c in FEATURES]])
+                [*[batch.column(c) for c in names], *[pa.array(table[:, i]) for i in range(len(FEATURES))]], [*names, *[f"__{c}" for c in FEATURES]])
 
     return df.mapInArrow(run, schema)
 
@@ -321,7 +336,7 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
         return Model([{}], None, None, base)
     lexicons = learn_lexicons(rows)
     # Written first, so that each tree reads the same rows, also after a lost executor.
-    table = _vector(materialise(features(rows, lexicons, "text", "fold").drop("text"))).select("y", "weight", "fold", "__features")
+    table = _vector(materialise(features(rows, lexicons, "text", "fold", keep_text=False))).select("y", "weight", "fold", "__features")
     boosted, kept = table.where(F.col("fold") != CALIBRATION), table.where(F.col("fold") == CALIBRATION)
     if boosted.select("y").distinct().count() < 2:
         return Model([{}], None, None, base)
@@ -344,8 +359,8 @@ def _margin(df: DataFrame) -> DataFrame:
     return df.withColumn("__margin", vector_to_array("rawPrediction")[1])
 
 
-def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``df`` plus ``score`` (0 to 1, calibrated) and ``predicted`` (1 from 0.5 on).
+def score(df: DataFrame, model: Model, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``df`` (without ``text`` if not ``keep_text``) plus ``score`` (0 to 1, calibrated) and ``predicted`` (1 from 0.5 on).
 
     Only ``text`` is read; null is empty, and empty texts have a score too.
     Without a learned model every score is the share of toxic texts in the
@@ -353,10 +368,11 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     like an output keep their values as ``<name>_in``.
     """
     df = free_names(df, ["score", "predicted"])
-    names = df.columns
+    names = [c for c in df.columns if keep_text or c != text]
     if model.trees is None:
-        return df.withColumn("score", F.lit(float(model.base))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
-    described = _vector(features(df, model.lexicons, text))
+        out = df.select(*[F.col(f"`{c}`") for c in names], F.lit(float(model.base)).alias("score"))
+        return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    described = _vector(features(df, model.lexicons, text, keep_text=keep_text))
     out = model.calibration.transform(_margin(model.trees.transform(described)))
     value = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("__score")))
     return out.select(*[F.col(f"`{c}`") for c in names], value.alias("score"), (value >= 0.5).cast("int").alias("predicted"))
