@@ -163,19 +163,39 @@ def _closing_row(job_id, state: tuple) -> pd.DataFrame:
 # ---- feeds that stop -----------------------------------------------------
 
 
+# A closed feed is remembered until it has sent nothing for so many micro-batches.
+KEEP_CLOSED = 1000
+
+
 def _until_closed(
     sink: str, key: str, rows: Callable[[DataFrame], DataFrame], closed: Callable[[DataFrame], DataFrame],
-    notify: Callable[[DataFrame, int], None] | None = None,
+    notify: Callable[[DataFrame, int], None] | None = None, keep: int = KEEP_CLOSED,
 ) -> Callable[[DataFrame, int], None]:
-    """Micro-batch step: skip feeds closed earlier, keep rows, note new closings."""
+    """Micro-batch step: skip feeds closed earlier, keep rows, carry the marks of closed feeds on.
+
+    Marks (key, last micro-batch with a row of the feed) live in two folders in
+    turn: a micro-batch reads those of the one before and overwrites those of the
+    one before that, which no repetition needs.  A mark leaves once its feed was
+    silent for ``keep`` micro-batches, so marks do not grow with the stream's age;
+    rows that come later still begin a new feed.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id > 0:
-            done = spark.read.schema(f"{key} BIGINT, batch_id BIGINT").parquet(f"{sink}/closed")
-            batch = batch.join(done.where(F.col("batch_id") < batch_id), key, "left_anti")
-        rows(batch).write.mode("overwrite").parquet(f"{sink}/rows/batch_id={batch_id}")
-        closed(batch).select(key).distinct().write.mode("overwrite").parquet(f"{sink}/closed/batch_id={batch_id}")
+        batch = batch.persist()
+        try:
+            fresh, marks = batch, spark.createDataFrame([], f"{key} BIGINT, seen BIGINT")
+            if batch_id > 0:
+                marks = spark.read.schema(marks.schema).parquet(f"{sink}/closed/{(batch_id - 1) % 2}")
+                fresh = batch.join(marks, key, "left_anti")
+            rows(fresh).write.mode("overwrite").parquet(f"{sink}/rows/batch_id={batch_id}")
+            now = F.lit(batch_id).cast("bigint")
+            silent = marks.join(batch, key, "left_anti").where(F.col("seen") > batch_id - keep)
+            still = marks.join(batch, key, "left_semi").select(key, now.alias("seen"))
+            new = closed(fresh).select(key).distinct().withColumn("seen", now)
+            silent.unionByName(still).unionByName(new).write.mode("overwrite").parquet(f"{sink}/closed/{batch_id % 2}")
+        finally:
+            batch.unpersist()
         if notify is not None:
             notify(spark.read.parquet(f"{sink}/rows/batch_id={batch_id}"), batch_id)
 
@@ -187,9 +207,12 @@ def closed_runs(events: DataFrame) -> DataFrame:
     return events.where((F.col("name") == E.EOF) | bad)
 
 
-def follow_to(events: DataFrame, sink: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+def follow_to(
+    events: DataFrame, sink: str, checkpoint: str, interval: str | None = None, keep: int = KEEP_CLOSED,
+) -> StreamingQuery:
     """Follow output feeds into a sink; rows after a run's end never arrive there."""
-    return start(events, _until_closed(sink, "run_id", E.follow_output, closed_runs), checkpoint, "append", interval)
+    step = _until_closed(sink, "run_id", E.follow_output, closed_runs, keep=keep)
+    return start(events, step, checkpoint, "append", interval)
 
 
 def run_follow_output(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -253,3 +276,73 @@ def run_await_status(spark: SparkSession, path: str, want: str, max_wait: int, f
         .otherwise("timed_out")
     )
     return r.select("entity_id", outcome.alias("outcome"))
+
+
+WAIT_STATE = "start BIGINT, got BIGINT, ended BIGINT, last_ms BIGINT, decided BOOLEAN"
+WAIT_OUT = "entity_id BIGINT, outcome STRING, waited BIGINT"
+
+
+def await_with_deadline(
+    log: DataFrame, want: str, max_wait: int, delay: str = "0 seconds", keep_ms: int = 24 * 3600 * 1000,
+) -> DataFrame:
+    """One row per entity as soon as its wait is decided, ``timed_out`` without a further row of it too.
+
+    The rule is that of ``status.await_status``.  Event time decides: an outcome
+    leaves once the watermark has passed the row that decides it, or the
+    deadline, so rows may come in any order within ``delay``.  Rows without an
+    entity are heartbeats, which only move event time on; rows without a time, or
+    of 1970 and before, are dropped.  A decided entity leaves a mark until event time passes its last row
+    by ``keep_ms``; rows that come later still begin a new wait.  The state is
+    five values, folded batch by batch, whatever an entity's rows.
+    """
+
+    def outcome(key: int, start: int, got: int | None, ended: int | None) -> pd.DataFrame:
+        got, ended = (x if x is not None and x < start + max_wait else None for x in (got, ended))
+        ready = got is not None and (ended is None or got < ended)
+        name = "ready" if ready else "timed_out" if ended is None else "terminated"
+        waited = pd.array([got - start if ready else None], "Int64")
+        return pd.DataFrame({"entity_id": [key], "outcome": [name], "waited": waited})
+
+    def least(held: int | None, times: pd.Series) -> int | None:
+        return held if not len(times) else int(times.min()) if held is None else min(held, int(times.min()))
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        fresh, watermark = (None, None, None, 0, False), state.getCurrentWatermarkMs()
+        start, got, ended, last_ms, decided = state.get if state.exists else fresh
+        if decided and last_ms + keep_ms < watermark:  # the mark leaves before rows that come with the timer
+            start, got, ended, last_ms, decided = fresh
+        for pdf in batches:
+            if not len(pdf):  # a call by the timer
+                continue
+            times, status = pdf["ts_us"], pdf["status"]
+            last_ms = max(last_ms, int(times.max()) // 1000)
+            if not decided:
+                start = least(start, times)
+                got, ended = least(got, times[status == want]), least(ended, times[status == "terminated"])
+        if key[0] is None or pd.isna(key[0]):
+            return
+        if start is None:
+            state.remove()
+            return
+        if not decided:
+            due = min(x for x in (start + max_wait, got, ended) if x is not None) // 1000
+            decided = due < watermark
+            if decided:
+                yield outcome(key[0], start, got, ended)
+        due = last_ms + keep_ms if decided else due
+        state.update((start, got, ended, last_ms, decided))
+        state.setTimeoutTimestamp(max(due, watermark))
+
+    timed = log.where(F.col("ts_us").isNotNull()).withColumn("ts", F.timestamp_micros("ts_us")).withWatermark("ts", delay)
+    return timed.select("entity_id", "ts_us", "status", "ts").groupBy("entity_id").applyInPandasWithState(
+        step, WAIT_OUT, WAIT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def run_await_deadline(
+    spark: SparkSession, path: str, want: str, max_wait: int, delay: str = "0 seconds", files_per_trigger: int | None = None,
+) -> DataFrame:
+    """Stream a log to its end; waits whose deadline event time has not passed have no row yet."""
+    work = shared_dir(spark)
+    feed = read_feed(spark, path, STATUS_EVENT, files_per_trigger)
+    to_end(await_with_deadline(feed, want, max_wait, delay), _batch_writer(f"{work}/out"), f"{work}/checkpoint")
+    return spark.read.schema(WAIT_OUT).parquet(f"{work}/out").drop("batch_id")

@@ -168,3 +168,17 @@ SELECT entity_id, CASE WHEN g IS NOT NULL AND (e IS NULL OR g < e) THEN 'ready'
 def await_stream(spark, sf_dir):
     path = feeds.stage(t.status_log(spark, sf_dir), "status_log")
     return feeds.run_await_status(spark, path, "running", 12 * 3600 * 1_000_000).select("entity_id", "outcome")
+
+
+@query("str_4_await_deadline_stream", f"""WITH {t.STATUS_LOG},
+f AS (SELECT entity_id, min(ts_us) AS s, min(ts_us) FILTER (WHERE status = 'running') AS g,
+             min(ts_us) FILTER (WHERE status = 'terminated') AS e FROM status_log GROUP BY entity_id),
+d AS (SELECT entity_id, s, CASE WHEN g < s + 43200000000 THEN g END AS g, CASE WHEN e < s + 43200000000 THEN e END AS e FROM f),
+o AS (SELECT entity_id, s, CASE WHEN g IS NOT NULL AND (e IS NULL OR g < e) THEN 'ready' WHEN e IS NOT NULL THEN 'terminated' ELSE 'timed_out' END AS outcome, g, e
+      FROM d)
+SELECT entity_id, outcome, CASE WHEN outcome = 'ready' THEN g - s END AS waited FROM o
+WHERE CASE outcome WHEN 'ready' THEN g WHEN 'terminated' THEN e ELSE s + 43200000000 END // 1000 < (SELECT max(ts_us) // 1000 FROM status_log)""")
+def await_deadline(spark, sf_dir):
+    """Waits that event time has decided by the end of the log, each as it is decided; the others are still open."""
+    path = feeds.stage(t.status_log(spark, sf_dir), "status_log")
+    return feeds.run_await_deadline(spark, path, "running", 12 * 3600 * 1_000_000)

@@ -141,3 +141,78 @@ def test_an_ended_job_stays_ended_in_later_batches(spark, tmp_path):
     got = spark.read.parquet(out).select("job_id", "status", "error", "result").collect()
     want = E.job_state(spark.createDataFrame(every, schema).drop("ts")).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 4
+
+
+def test_marks_of_closed_feeds_stay_few(spark, tmp_path):
+    """Fifty micro-batches, each closing two runs: marks leave with their feeds' silence, and closed runs stay closed before."""
+    sink, keep = str(tmp_path / "out"), 4
+    step = feeds._until_closed(sink, "run_id", lambda df: df.select("run_id", "seq"), lambda df: df.where("name = 'eof'"), keep=keep)
+    marks = []
+    for i in range(50):
+        rows = [(2 * i, 0, "eof", "{}"), (2 * i + 1, 0, "eof", "{}"), (10_000, i, "eof", "{}")]
+        if i >= keep:
+            rows.append((2 * (i - keep + 1), 1, "output", "{}"))  # closed three micro-batches ago
+        step(spark.createDataFrame(rows, feeds.OUTPUT_EVENT).coalesce(1), i)
+        if i in (10, 20, 49):
+            marks.append(spark.read.parquet(f"{sink}/closed/{i % 2}").count())
+    assert max(marks) <= 3 * keep + 2 and marks[0] == marks[1] == marks[2]
+    got = spark.read.parquet(f"{sink}/rows")
+    assert got.where("seq > 0").count() == 0 and got.count() == 101
+    assert sorted(p.name for p in (tmp_path / "out" / "closed").iterdir()) == ["0", "1"]
+    # A repeated micro-batch finds the marks of the one before.
+    step(spark.createDataFrame([(10_000, 50, "eof", "{}"), (98, 5, "output", "{}")], feeds.OUTPUT_EVENT), 49)
+    assert spark.read.parquet(f"{sink}/rows/batch_id=49").where("run_id = 10000").count() == 0
+
+
+SECOND, EPOCH = 1_000_000, 1_700_000_000
+
+
+def waits(spark, tmp_path, files, **options):
+    path = str(tmp_path / "in")
+    for rows in files:
+        spark.createDataFrame(rows, feeds.STATUS_EVENT).coalesce(1).write.mode("append").parquet(path)
+    feed = feeds.read_feed(spark, path, feeds.STATUS_EVENT, files_per_trigger=1)
+    out = str(tmp_path / "out")
+    feeds.to_end(feeds.await_with_deadline(feed, "running", 50 * SECOND, **options), feeds._batch_writer(out), str(tmp_path / "cp"))
+    return spark.read.schema(feeds.WAIT_OUT + ", batch_id BIGINT").parquet(out).orderBy("batch_id", "entity_id").collect()
+
+
+def entry(entity, event, second, status):
+    return (entity, event, 0, None if second is None else (EPOCH + second) * SECOND, status)
+
+
+def test_deadlines_pass_without_further_rows(spark, tmp_path):
+    files = [
+        [entry(1, 0, 0, "pending"), entry(2, 1, 0, "pending"), entry(3, 2, 0, "pending"), entry(4, 3, 0, "pending")],
+        [entry(1, 4, 10, "running"), entry(2, 5, 20, "terminated"), entry(9, 6, None, "running")],
+        [entry(None, 7, 70, None)],  # a heartbeat: nothing else comes from entity 3
+        [entry(5, 8, 80, "pending"), entry(1, 9, 81, "terminated"), entry(3, 10, 82, "running"), entry(2, 11, 83, "running")],
+        [entry(None, 12, 85, "pending")],
+    ]
+    got = waits(spark, tmp_path, files)
+    log = spark.createDataFrame([r for rows in files for r in rows if r[0] not in (None, 9)], feeds.STATUS_EVENT)
+    want = {tuple(r) for r in ST.await_status(log, "running", 50 * SECOND).collect() if r["entity_id"] != 5}
+    assert {tuple(r)[:3] for r in got} == want and len(got) == 4  # entity 5 still waits
+    last = max(r["batch_id"] for r in got)
+    assert {r["entity_id"] for r in got if r["outcome"] == "timed_out"} == {3, 4}
+    assert last == 3 and {r["entity_id"] for r in got if r["batch_id"] == last} >= {3, 4}  # before the stream's end
+
+
+def test_waits_bear_disorder_within_the_delay(spark, tmp_path):
+    files = [
+        [entry(1, 0, 30, "running"), entry(2, 1, 25, "pending")],
+        [entry(1, 2, 22, "terminated"), entry(1, 3, 20, "pending"), entry(2, 4, 24, "running"), entry(2, 5, 18, "pending")],
+        [entry(None, 6, 500, None)],
+    ]
+    got = waits(spark, tmp_path, files, delay="1 minute")
+    assert [tuple(r)[:3] for r in got] == [(1, "terminated", None), (2, "ready", 6 * SECOND)]
+
+
+def test_marks_of_decided_waits_leave(spark, tmp_path):
+    """Within the time a mark is kept later rows change nothing; after it they begin a new wait."""
+    files = [
+        [entry(1, 0, 0, "running")], [entry(None, 1, 10, None)], [entry(1, 2, 15, "running")], [entry(None, 3, 16, None)],
+        [entry(None, 4, 100, None)], [entry(1, 5, 120, "running")], [entry(None, 6, 200, None)],
+    ]
+    got = waits(spark, tmp_path, files, keep_ms=60_000)
+    assert [tuple(r)[:3] for r in got] == [(1, "ready", 0)] * 2
