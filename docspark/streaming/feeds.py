@@ -181,21 +181,18 @@ def _until_closed(
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            fresh, marks = batch, spark.createDataFrame([], f"{key} BIGINT, seen BIGINT")
-            if batch_id > 0:
-                marks = spark.read.schema(marks.schema).parquet(f"{sink}/closed/{(batch_id - 1) % 2}")
-                fresh = batch.join(marks, key, "left_anti")
-            rows(fresh).write.mode("overwrite").parquet(f"{sink}/rows/batch_id={batch_id}")
-            now = F.lit(batch_id).cast("bigint")
-            silent = marks.join(batch, key, "left_anti").where(F.col("seen") > batch_id - keep)
-            still = marks.join(batch, key, "left_semi").select(key, now.alias("seen"))
-            new = closed(fresh).select(key).distinct().withColumn("seen", now)
-            silent.unionByName(still).unionByName(new).write.mode("overwrite").parquet(f"{sink}/closed/{batch_id % 2}")
-        finally:
-            batch.unpersist()
+        spark, fresh, now = batch.sparkSession, batch, F.lit(batch_id).cast("bigint")
+        marks = None
+        if batch_id > 0:
+            marks = spark.read.schema(f"{key} BIGINT, seen BIGINT").parquet(f"{sink}/closed/{(batch_id - 1) % 2}")
+            fresh = batch.join(marks, key, "left_anti")
+        rows(fresh).write.mode("overwrite").parquet(f"{sink}/rows/batch_id={batch_id}")
+        kept = closed(fresh).select(key).distinct().withColumn("seen", now)
+        if marks is not None:
+            heard = batch.select(key).distinct().withColumn("_now", now)
+            held = marks.join(heard, key, "left").select(key, F.coalesce("_now", "seen").alias("seen"))
+            kept = kept.unionByName(held.where(F.col("seen") > batch_id - keep))
+        kept.write.mode("overwrite").parquet(f"{sink}/closed/{batch_id % 2}")
         if notify is not None:
             notify(spark.read.parquet(f"{sink}/rows/batch_id={batch_id}"), batch_id)
 
