@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +14,8 @@ from docspark.functions import scalars as S
 from docspark.schemas import DEFAULT_MIME, MIME_BY_EXTENSION
 
 MAX_FILE_BYTES = 1 << 30
+FOLDER_FILES = 4096
+TASK_BYTES = 4 << 20
 
 
 def file_id_of(content) -> Column:
@@ -49,10 +56,16 @@ def _listing(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
 
 
-def _oversized(spark: SparkSession, path: str, limit: int) -> DataFrame:
+def _small_files_together(files: DataFrame, listing: DataFrame) -> DataFrame:
+    """Tasks of about ``TASK_BYTES`` where files are small: the scan counts 4 MB for opening one, so 32 would make a task."""
+    size = int(str(listing._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return files.coalesce(max(files.sparkSession.sparkContext.defaultParallelism, size // TASK_BYTES))
+
+
+def _oversized(listing: DataFrame, limit: int) -> DataFrame:
     """Rejects from the listing's columns alone: the bytes of these files are not read."""
     return (
-        _listing(spark, path).select("file_name", F.col("length").alias("file_size")).where(F.col("file_size") > limit)
+        listing.where(F.col("_metadata.file_size") > limit).select("file_name", F.col("length").alias("file_size"))
         .select("file_name", "file_size", mime_type("file_name").alias("mime_type"), *_too_large(limit))
     )
 
@@ -62,10 +75,11 @@ def ingest_files(
 ) -> tuple[DataFrame, DataFrame]:
     """A folder of files as catalog rows, and its oversized files as rejects.
 
-    The length filter is pushed into the file listing, so oversized files are
-    never read.
+    The folder is listed once and parted by the sizes of that listing, before
+    tasks are planned: oversized files are never read, and no file is visited twice.
     """
-    raw = _listing(spark, path).where(F.col("length") <= limit)
+    listing = _listing(spark, path)
+    raw = listing.where(F.col("_metadata.file_size") <= limit)
     pairs = [F.lit(x) for kv in (labels or {}).items() for x in kv]
     label_col = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
     files = (
@@ -80,7 +94,52 @@ def ingest_files(
             label_col.alias("labels"),
         )
     )
-    return files, _oversized(spark, path, limit)
+    return _small_files_together(files, listing), _small_files_together(_oversized(listing, limit), listing)
+
+
+def write_files(texts: DataFrame, path: str, text_col: str = "text") -> None:
+    """Every row's text, ended by a line break, as a ``.txt`` file of its own below a new folder.
+
+    The counterpart of ``ingest_files``; NULL counts as empty.  On a ``file:``
+    path Spark's writer starts processes that set rights for every file, so
+    there each task writes its files itself, into a hidden folder of its
+    attempt, renamed at the end: listings skip hidden folders, so a failed or
+    repeated attempt adds no file.  Other stores go through Spark's writer,
+    which ends the job at a million rows in one task.
+    """
+    spark = texts.sparkSession
+    lines = texts.select(F.coalesce(F.col(text_col), F.lit("")).alias("value"))
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toUri()
+    if uri.getScheme() != "file":
+        lines.write.option("maxRecordsPerFile", 1).text(path)
+        return
+    root = uri.getPath()
+    os.makedirs(root)
+
+    def run(batches):
+        task, n = TaskContext.get(), 0
+        mine, done = f"{root}/_{task.taskAttemptId()}", f"{root}/part-{task.partitionId():05d}"
+        for batch in batches:
+            for body in batch.column(0):
+                if n % FOLDER_FILES == 0:
+                    folder = f"{mine}/{n // FOLDER_FILES:05d}"
+                    os.makedirs(folder)
+                with open(f"{folder}/{n:08d}.txt", "wb") as out:
+                    out.write(body.as_buffer())
+                n += 1
+        if n:
+            try:
+                os.rename(mine, done)
+            except OSError:
+                # An earlier attempt may have ended; its files are the same.
+                if not os.path.isdir(done):
+                    raise
+                shutil.rmtree(mine)
+        yield pa.RecordBatch.from_pydict({"files": pa.array([n], pa.int64())})
+
+    ended = F.concat("value", F.lit("\n")).cast("binary").alias("body")
+    lines.select(ended).mapInArrow(run, "files long").agg(F.sum("files")).collect()
 
 
 TEXT_TYPES = ("text/plain", "text/markdown", "text/x-markdown", "text/html", "text/csv", "text/xml")
@@ -92,7 +151,8 @@ def read_documents(spark: SparkSession, path: str, limit: int = MAX_FILE_BYTES)
     A type that is not text is rejected on its name alone, and an oversized
     file on its length, before their bytes are read.
     """
-    raw = _listing(spark, path).where(F.col("length") <= limit).withColumn("mime_type", mime_type("file_name"))
+    listing = _listing(spark, path)
+    raw = listing.where(F.col("_metadata.file_size") <= limit).withColumn("mime_type", mime_type("file_name"))
     readable = F.col("mime_type").isin(*TEXT_TYPES)
     docs = raw.where(readable).select(
         file_id_of("content").alias("file_id"), "file_name", "mime_type",
@@ -102,7 +162,7 @@ def read_documents(spark: SparkSession, path: str, limit: int = MAX_FILE_BYTES)
     rejects = raw.where(~readable).select(
         "file_name", "mime_type", F.lit("INVALID_MIME_TYPE").alias("code"), F.lit("no text reader for this type").alias("message")
     )
-    large = _oversized(spark, path, limit).select("file_name", "mime_type", "code", "message")
+    large = _oversized(listing, limit).select("file_name", "mime_type", "code", "message")
     return docs, rejects.unionByName(large)
 
 

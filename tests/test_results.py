@@ -1,5 +1,6 @@
 """Decoding of stored results: names, nested values, NULL against zero."""
 
+import hashlib
 import json
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from docspark.sources import files as files_src
 from docspark.sources import results as R
+from docspark.workload import q_sources, tables
 
 RESULT = {
     "parse_id": "parse_1", "parsed_pages_count": 3, "status": "successful", "created_at": "2024-01-01T00:00:00Z",
@@ -150,3 +152,57 @@ def test_size_limit(spark):
     assert [r["file_name"] for r in ok.collect()] == ["a"]
     assert [(r["file_name"], r["code"]) for r in bad.collect()] == [("b", "INVALID_FILE")]
     assert bad.where(F.col("message").contains("10 bytes")).count() == 1
+
+
+def test_files_of_rows(spark, tmp_path):
+    texts = ["a", "a", None, "", "é\n\x00", "x" * 60] + [f"row {i}" for i in range(300)]
+    out = tmp_path / "out"
+    df = spark.createDataFrame([(x,) for x in texts], "text string").coalesce(2)
+    files_src.write_files(df, str(out))
+    want = sorted((x or "").encode() + b"\n" for x in texts)
+    assert sorted(p.read_bytes() for p in out.rglob("*.txt")) == want
+    # Folders do not grow with the rows, and nothing but the files is left.
+    assert len([p for p in out.rglob("*") if p.is_dir()]) <= 4 and len([p for p in out.rglob("*") if p.is_file()]) == len(texts)
+    # What an attempt left behind that did not end is no part of the folder.
+    (out / "_7" / "00000").mkdir(parents=True)
+    (out / "_7" / "00000" / "00000000.txt").write_bytes(b"half")
+    files, rejects = files_src.ingest_files(spark, str(out), limit=50)
+    assert sorted(r["checksum_sha256"] for r in files.collect()) == sorted(hashlib.sha256(x).hexdigest() for x in want if len(x) <= 50)
+    assert [r["file_size"] for r in rejects.collect()] == [61]
+    with pytest.raises(FileExistsError):
+        files_src.write_files(df, str(out))
+
+
+def test_files_of_rows_in_another_store(spark, tmp_path):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.files.link./in", f"file://{tmp_path}")
+    df = spark.createDataFrame([("a",), ("a",), (None,), ("é",)], "text string").coalesce(1)
+    files_src.write_files(df, "viewfs://files/in/out")
+    assert sorted(p.read_bytes() for p in (tmp_path / "out").glob("*.txt")) == sorted([b"a\n", b"a\n", b"\n", "é\n".encode()])
+    assert files_src.ingest_files(spark, "viewfs://files/in/out")[0].count() == 4
+
+
+def test_ingest_visits_each_file_once(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    for i in range(33 * cores):
+        (tmp_path / f"{i}.txt").write_bytes(b"x" * (i % 9 + 1))
+    files, rejects = files_src.ingest_files(spark, str(tmp_path), limit=9)
+    assert files.count() == 33 * cores and rejects.count() == 0
+    # Small files share tasks, and the scan for rejects has none.
+    assert files.rdd.getNumPartitions() <= cores and rejects.rdd.getNumPartitions() == 0
+    files, rejects = files_src.ingest_files(spark, str(tmp_path), limit=4)
+    assert files.count() + rejects.count() == 33 * cores and files.agg({"file_size": "max"}).first()[0] == 4
+    assert rejects.agg({"file_size": "min"}).first()[0] == 5
+
+
+def test_ingest_query_writes_a_file_per_document(spark, tmp_path, monkeypatch):
+    # An id that comes twice, or none at all, is a file of its own like any other.
+    rows = [(i % 150, f"text {i}") for i in range(298)] + [(None, "n"), (None, "x" * 9000)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(str(tmp_path / "sf" / "documents.parquet"))
+    monkeypatch.setattr(q_sources, "shared_dir", lambda _: str(tmp_path / "files"))
+    monkeypatch.setattr(tables, "SPREAD_BYTES", -1)
+    got = q_sources.ingest(spark, str(tmp_path / "sf")).collect()
+    want = [hashlib.sha256(f"{x}\n".encode()).hexdigest() for _, x in rows if len(x) <= 8191]
+    assert sorted(r["file_id"] for r in got if r["file_id"]) == sorted(f"file_{x}" for x in want)
+    assert [(r["file_size"], r["code"]) for r in got if not r["file_id"]] == [(9001, "INVALID_FILE")]
+    assert len([p for p in (tmp_path / "files").rglob("*") if p.is_dir()]) <= 4
